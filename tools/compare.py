@@ -80,7 +80,7 @@ def compare(spark, con, sf_dir, name):
 
 def main():
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(REGISTRY)
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, **{"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
