@@ -15,14 +15,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from engrama.defaults import DEFAULT_TOP_K, RRF_CONSTANT, RRF_LIST_LENGTH, TEXT_VECTOR_DIM
-from engrama.functions.text import tokens
+from engrama.functions.text import TOKEN_SPLIT
 from engrama.functions.vectors import r6
+from engrama.session import spread
 
 
 def term_counts(texts: DataFrame, id_columns: Sequence[str], text: str) -> DataFrame:
-    """``(*id_columns, token, tf)``."""
-    exploded = texts.select(*id_columns, F.explode(tokens(F.col(text))).alias("token"))
-    return exploded.groupBy(*id_columns, "token").agg(F.count(F.lit(1)).alias("tf"))
+    """``(*id_columns, token, tf)``; columns that ride along with the id stay part of the key."""
+    # the outer form keeps the optimizer from splitting every text a second time just to test for emptiness
+    texts = spread(texts.select(*id_columns, text), *id_columns)
+    exploded = texts.select(*id_columns, F.explode_outer(F.split(F.lower(text), TOKEN_SPLIT)).alias("token"))
+    return exploded.where(F.col("token") != "").groupBy(*id_columns, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def idf(total: Column, df: Column) -> Column:
@@ -30,22 +33,27 @@ def idf(total: Column, df: Column) -> Column:
 
 
 def corpus_size(texts: DataFrame) -> DataFrame:
-    """One row holding the number of texts; joined as a broadcast single row."""
+    """One row holding the number of texts."""
     return texts.agg(F.count(F.lit(1)).cast("double").alias("n_texts"))
 
 
 def token_idf(counts: DataFrame, texts: DataFrame) -> DataFrame:
     """``(token, df, idf)`` of a corpus."""
-    frequencies = counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # counting on tf keeps this branch identical to the weights branch, so both read one shuffle
+    frequencies = counts.groupBy("token").agg(F.count_if(F.col("tf") > 0).alias("df"))
     return frequencies.crossJoin(F.broadcast(corpus_size(texts))).select(
         "token", "df", idf(F.col("n_texts"), F.col("df")).alias("idf")
     )
 
 
-def tfidf_weights(texts: DataFrame, id_columns: Sequence[str], text: str) -> DataFrame:
-    """``(*id_columns, token, tf, w)`` with unrounded weights."""
+def tfidf_weights(
+    texts: DataFrame, id_columns: Sequence[str], text: str, corpus: DataFrame | None = None
+) -> DataFrame:
+    """``(*id_columns, token, tf, w)`` with unrounded weights; frequencies come from ``corpus`` if given."""
     counts = term_counts(texts, id_columns, text)
-    return counts.join(token_idf(counts, texts), "token").select(
+    corpus_counts = counts if corpus is None else term_counts(corpus, id_columns, text)
+    frequencies = token_idf(corpus_counts, texts if corpus is None else corpus)
+    return counts.join(frequencies, "token").select(
         *id_columns, "token", "tf", (F.col("tf") * F.col("idf")).alias("w")
     )
 
@@ -63,36 +71,30 @@ def text_search(
     corpus: DataFrame | None = None,
     boost: Column | None = None,
 ) -> DataFrame:
-    """``(query_id, *within, text_id, score, rank)``: weighted term overlap over the length of the text vector.
+    """``(query_id, *scope, *within, text_id, score, rank)``: weighted term overlap over the text vector's length.
 
     ``scope``   columns queries and texts share: a query sees only texts that agree.
     ``within``  text columns: a query gets its own ``k`` texts for every value of them.
     ``corpus``  where document frequencies come from; default is ``texts``.
-    ``boost``   factor on the score, over text columns kept in ``texts``.
+    ``boost``   factor on the score, an expression over the columns of ``texts``.
+
+    The length is a window over one text's own tokens; it leaves the rows
+    partitioned by text, which the overlap aggregate then reuses.
     """
-    corpus = texts if corpus is None else corpus
     carried = [*dict.fromkeys([*scope, *within])]
-    counts = term_counts(texts, [text_id], text)
-    corpus_counts = counts if corpus is texts else term_counts(corpus, [text_id], text)
-    weights = counts.join(token_idf(corpus_counts, corpus), "token").select(
-        text_id, "token", (F.col("tf") * F.col("idf")).alias("w")
-    )
-    lengths = weights.groupBy(text_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_length"))
+    if boost is not None:
+        texts = texts.withColumn("_boost", boost)
+        carried.append("_boost")
+    weights = tfidf_weights(texts, [text_id, *carried], text, corpus)
+    squares = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(text_id))
     query_terms = term_counts(queries, [query_id, *scope], query_text).withColumnRenamed("tf", "_query_tf")
-    if scope:
-        searched = weights.join(texts.select(text_id, *scope), text_id)
-        matched = searched.join(query_terms, ["token", *scope])
-    else:
-        matched = weights.join(query_terms, "token")
-    overlap = matched.groupBy(query_id, text_id).agg(F.sum(F.col("_query_tf") * F.col("w")).alias("_overlap"))
-    scored = overlap.join(lengths, text_id).withColumn("score", r6(F.col("_overlap") / F.col("_length")))
-    extra = texts.select(text_id, *carried, *([boost.alias("_boost")] if boost is not None else []))
-    if carried or boost is not None:
-        scored = scored.join(extra, text_id)
+    matched = weights.withColumn("_length", F.sqrt(squares)).join(query_terms, ["token", *scope])
+    scored = matched.groupBy(query_id, text_id, *carried).agg(
+        r6(F.sum(F.col("_query_tf") * F.col("w")) / F.first("_length")).alias("score")
+    )
     if boost is not None:
-        scored = scored.withColumn("score", r6(F.col("score") * F.col("_boost")))
-    found = scored.select(query_id, *carried, text_id, "score")
-    return ranked(found, [query_id, *within], text_id, k)
+        scored = scored.withColumn("score", r6(F.col("score") * F.col("_boost"))).drop("_boost")
+    return ranked(scored, [query_id, *within], text_id, k)
 
 
 def ranked(found: DataFrame, keys: Sequence[str], id_column: str, k: int | None) -> DataFrame:

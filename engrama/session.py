@@ -57,3 +57,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint, so that partition numbers stay fixed on retry."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str, floor: int = 1024 * 1024) -> DataFrame:
+    """Use all cores on a table too small to have a full scan split for each of them.
+
+    A large table already has more splits than cores and is returned as it is,
+    so no shuffle is added where one would cost.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, *keys) if floor < size < cores * split else df
