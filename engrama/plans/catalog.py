@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from engrama.plans import text_queries, vector_queries  # noqa: F401
+from engrama.plans import ingest_queries, text_queries, vector_queries  # noqa: F401
 from engrama.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
