@@ -33,4 +33,4 @@ def normal_form(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, SENTENCE_SPLIT), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, SENTENCE_SPLIT), lambda s: F.trim(s)), lambda s: s != "")

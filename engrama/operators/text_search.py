@@ -49,9 +49,12 @@ def token_idf(counts: DataFrame, texts: DataFrame) -> DataFrame:
 def tfidf_weights(
     texts: DataFrame, id_columns: Sequence[str], text: str, corpus: DataFrame | None = None
 ) -> DataFrame:
-    """``(*id_columns, token, tf, w)`` with unrounded weights; frequencies come from ``corpus`` if given."""
+    """``(*id_columns, token, tf, w)`` with unrounded weights; frequencies come from ``corpus`` if given.
+
+    The first id column identifies a text, in ``corpus`` too.
+    """
     counts = term_counts(texts, id_columns, text)
-    corpus_counts = counts if corpus is None else term_counts(corpus, id_columns, text)
+    corpus_counts = counts if corpus is None else term_counts(corpus, id_columns[:1], text)
     frequencies = token_idf(corpus_counts, texts if corpus is None else corpus)
     return counts.join(frequencies, "token").select(
         *id_columns, "token", "tf", (F.col("tf") * F.col("idf")).alias("w")

@@ -34,7 +34,7 @@ _VIEWS = {
                source AS dataset_name,
                concat('batch_', lpad(cast(cast(floor(doc_id / 50.0) AS bigint) AS string), 6, '0'))
                    AS import_batch_id,
-               text, timestamp '2024-01-01 00:00:00' + doc_id * interval '1' minute AS event_time,
+               text, timestamp_ntz '2024-01-01 00:00:00' + doc_id * interval '1' minute AS event_time,
                n_chars / 20000.0D AS importance,
                doc_id % 10 <> 0 AS is_active,
                CASE WHEN doc_id % 3 = 0 THEN 'cold' ELSE 'hot' END AS tier,
@@ -92,7 +92,7 @@ _VIEWS = {
 
 
 def _for_duckdb(text: str) -> str:
-    text = re.sub(r"\barray\(", "list_value(", text).replace("20000.0D", "20000.0::double")
+    text = re.sub(r"\barray\(", "list_value(", text).replace("20000.0D", "20000.0::double").replace("timestamp_ntz", "timestamp")
     return text.format(**{t: t for t in BASE_TABLES})
 
 
