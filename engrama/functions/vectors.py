@@ -53,17 +53,25 @@ def sortable(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return values.astype(str) if values.dtype == object else values
 
 
+def distances_l2(queries: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Euclidean distances by one matrix product; pairs too close for that are recomputed directly."""
+    scale = (queries**2).sum(axis=1)[:, None] + (base**2).sum(axis=1)[None, :]
+    squared = np.maximum(scale - 2 * (queries @ base.T), 0)
+    rows, cols = np.nonzero(squared < 1e-4 * scale)
+    for start in range(0, len(rows), 50_000):
+        r, c = rows[start : start + 50_000], cols[start : start + 50_000]
+        squared[r, c] = ((queries[r] - base[c]) ** 2).sum(axis=1)
+    return np.sqrt(squared)
+
+
 def scores(metric: str, queries: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Score matrix, larger is better; L2 is returned negated."""
     if metric == "L2":
-        out = np.empty((len(queries), len(base)))
-        for i, row in enumerate(queries):
-            out[i] = -np.sqrt(((base - row) ** 2).sum(axis=1))
-    else:
-        out = queries @ base.T
-        if metric == "COSINE":
-            scale = np.outer(np.linalg.norm(queries, axis=1), np.linalg.norm(base, axis=1))
-            out = np.divide(out, scale, out=np.zeros_like(out), where=scale > 0)
+        return -np.round(distances_l2(queries, base), 6) + 0.0
+    out = queries @ base.T
+    if metric == "COSINE":
+        scale = np.outer(np.linalg.norm(queries, axis=1), np.linalg.norm(base, axis=1))
+        out = np.divide(out, scale, out=np.zeros_like(out), where=scale > 0)
     return np.round(out, 6) + 0.0
 
 

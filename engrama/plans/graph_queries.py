@@ -115,12 +115,12 @@ def agent_list(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH k AS (SELECT * FROM fx_events QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY lsn DESC) <= 10)
+WITH k AS (SELECT * FROM fx_events QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY lsn DESC) <= 2)
 SELECT session_id, event_id, event_type, row_number() OVER (PARTITION BY session_id ORDER BY lsn) AS position FROM k
 """)
 def session_context(t: Tables) -> DataFrame:
-    """The last ten events of every session."""
-    return graph.session_context(t.fx_events, 10, order="lsn").select("session_id", "event_id", "event_type", "position")
+    """The last two events of every session."""
+    return graph.session_context(t.fx_events, 2, order="lsn").select("session_id", "event_id", "event_type", "position")
 
 
 @query("""

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from engrama.plans.views import VIEW_SQL, Tables
+from engrama.session import ship_package
 
 
 @dataclass(frozen=True)
@@ -18,6 +19,7 @@ class Registered:
     sql: str | None
 
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         return self.build(Tables(spark, sf_dir))
 
 

@@ -7,6 +7,8 @@ masters (tests, laptops), where driver and executors share one disk anyway.
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -70,3 +72,19 @@ def spread(df: DataFrame, *keys: str, floor: int = 1024 * 1024) -> DataFrame:
     split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores, *keys) if floor < size < cores * split else df
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started (as ``--py-files`` would)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='engrama-package-')}/engrama", "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)  # Spark copies it to every executor
+    _shipped.add(context.applicationId)
