@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from engrama.defaults import SCORE_CELLS
 
@@ -47,10 +50,19 @@ def matrix_of(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
 
 
-def sortable(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def sortable(ids: np.ndarray | pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Ids as a plain numpy array that sorts as Spark sorts them."""
-    values = ids.to_numpy(zero_copy_only=False) if isinstance(ids, pa.Array) else ids.to_numpy()
-    return values.astype(str) if values.dtype == object else values
+    if isinstance(ids, pa.Array):
+        ids = ids.to_numpy(zero_copy_only=False)
+    elif isinstance(ids, pa.ChunkedArray):
+        ids = ids.to_numpy()
+    return ids.astype(str) if ids.dtype == object else ids
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(schema)
 
 
 def distances_l2(queries: np.ndarray, base: np.ndarray) -> np.ndarray:
@@ -102,3 +114,27 @@ def block_top_k(
             rows, cols = (axis.ravel() for axis in np.indices(block.shape))
         parts.append(keep_best(query_rows[start + rows], ids[cols], block[rows, cols], k))
     return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+class Best:
+    """Running best rows per (group, query) inside one task."""
+
+    def __init__(self, k: int):
+        self.k, self.kept = k, {}
+
+    def keep(self, group: tuple, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        if not len(query):
+            return
+        if group in self.kept:
+            query, ids, score = (np.concatenate(pair) for pair in zip(self.kept[group], (query, ids, score)))
+        self.kept[group] = keep_best(query, ids, score, self.k)
+
+    def batches(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Rows of ``(query id, *group, id, score)``."""
+        for group, (query, ids, score) in self.kept.items():
+            columns = [pa.array(query_ids[query], type=schema.field(0).type)]
+            for value, field in zip(group, list(schema)[1:-2]):
+                columns.append(pa.array([value] * len(query), type=field.type))
+            columns.append(pa.array(ids, type=schema.field(len(schema) - 2).type))
+            columns.append(pa.array(score, type=pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)

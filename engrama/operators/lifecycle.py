@@ -15,7 +15,7 @@ from engrama.defaults import HALF_LIFE_DAYS, STALE_AFTER_DAYS, SUMMARY_SENTENCES
 from engrama.functions.text import normal_form, sentences
 from engrama.functions.vectors import r6
 from engrama.operators.ingest import materialize_memory
-from engrama.operators.text_search import term_counts, token_idf
+from engrama.operators.text_search import term_counts, token_idf, with_idf
 from engrama.session import spread
 from engrama.sources import snapshots
 
@@ -67,9 +67,8 @@ def compressed_sources(memory: DataFrame) -> DataFrame:
 def session_summaries(turns: DataFrame, n: int = SUMMARY_SENTENCES) -> DataFrame:
     """``(session_id, summary)``: the sentences with the rarest words, in their original order."""
     split = turns.select("session_id", "seq", F.posexplode(sentences(F.col("text"))).alias("pos", "sentence"))
-    counts = term_counts(turns, ["session_id", "seq"], "text")
     words = term_counts(split, ["session_id", "seq", "pos"], "sentence")
-    scored = words.join(token_idf(counts, turns), "token").groupBy("session_id", "seq", "pos").agg(
+    scored = with_idf(words, token_idf(turns, "text")).groupBy("session_id", "seq", "pos").agg(
         r6(F.avg("idf")).alias("score")
     )
     best = Window.partitionBy("session_id").orderBy(F.desc("score"), "seq", "pos")

@@ -1,30 +1,42 @@
 """TF-IDF weights, text search over them, and rank fusion.
 
-Tokens are exploded and counted with map-side combining, so a row shuffles one
-record per distinct token, keyed by (row, token): no hot key.  Document
-frequencies join back by token, where common words are hot; the join is left to
-adaptive execution, which broadcasts a small vocabulary and otherwise splits
-skewed partitions.
+Texts are partitioned by id once; counting tokens, weighing them and measuring
+a text's length then all happen inside that partitioning.  Document frequencies
+need only the vocabulary to shuffle, and a vocabulary of checked size is
+broadcast, so no row ever moves to the task of a common word.  Searching keeps
+the best texts per task, without rows for (query, text) pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from engrama.defaults import DEFAULT_TOP_K, RRF_CONSTANT, RRF_LIST_LENGTH, TEXT_VECTOR_DIM
+from engrama.defaults import (
+    BROADCAST_BYTES, DEFAULT_TOP_K, RRF_CONSTANT, RRF_LIST_LENGTH, SCORE_CELLS, TEXT_VECTOR_DIM,
+)
 from engrama.functions.text import TOKEN_SPLIT
-from engrama.functions.vectors import r6
-from engrama.session import spread
+from engrama.functions.vectors import Best, arrow_schema, r6, sortable
+from engrama.session import materialize, spread
+
+TERM_BYTES = 64  # room for one vocabulary entry or posting in memory
 
 
 def term_counts(texts: DataFrame, id_columns: Sequence[str], text: str) -> DataFrame:
-    """``(*id_columns, token, tf)``; columns that ride along with the id stay part of the key."""
+    """``(*id_columns, token, tf)``; columns that ride along with the id stay part of the key.
+
+    Moving whole texts by id is the only shuffle: counting per (id, token) needs
+    no second one, and moving exploded tokens would carry the id once per token.
+    """
     # the outer form keeps the optimizer from splitting every text a second time just to test for emptiness
-    texts = spread(texts.select(*id_columns, text), *id_columns)
-    exploded = texts.select(*id_columns, F.explode_outer(F.split(F.lower(text), TOKEN_SPLIT)).alias("token"))
+    placed = texts.select(*id_columns, text).repartition(*id_columns)
+    exploded = placed.select(*id_columns, F.explode_outer(F.split(F.lower(text), TOKEN_SPLIT)).alias("token"))
     return exploded.where(F.col("token") != "").groupBy(*id_columns, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -32,31 +44,34 @@ def idf(total: Column, df: Column) -> Column:
     return F.log((total + 1) / (df + 1)) + 1
 
 
-def corpus_size(texts: DataFrame) -> DataFrame:
-    """One row holding the number of texts."""
-    return texts.agg(F.count(F.lit(1)).cast("double").alias("n_texts"))
+def token_idf(texts: DataFrame, text: str) -> DataFrame:
+    """``(token, df, idf)`` of a corpus, pinned: it is read by later joins and its size decides how."""
+    words = spread(texts.select(text)).select(
+        F.explode_outer(F.array_distinct(F.split(F.lower(text), TOKEN_SPLIT))).alias("token")
+    )
+    frequencies = words.where(F.col("token") != "").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    total = texts.agg(F.count(F.lit(1)).cast("double").alias("n_texts"))  # a single row
+    return materialize(frequencies.crossJoin(F.broadcast(total)).select(
+        "token", "df", idf(F.col("n_texts"), F.col("df")).alias("idf")
+    ))
+
 
+def small_enough(pinned: DataFrame, row_bytes: int = TERM_BYTES) -> bool:
+    return pinned.count() * row_bytes <= BROADCAST_BYTES
 
-def token_idf(counts: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(token, df, idf)`` of a corpus."""
-    # counting on tf keeps this branch identical to the weights branch, so both read one shuffle
-    frequencies = counts.groupBy("token").agg(F.count_if(F.col("tf") > 0).alias("df"))
-    return frequencies.crossJoin(F.broadcast(corpus_size(texts))).select(
-        "token", "df", idf(F.col("n_texts"), F.col("df")).alias("idf")
-    )
+
+def with_idf(counts: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """Join frequencies by token: broadcast within the size bound, otherwise a skew-aware shuffle join."""
+    side = F.broadcast(frequencies) if small_enough(frequencies) else frequencies.hint("shuffle_merge")
+    return counts.join(side, "token")
 
 
 def tfidf_weights(
     texts: DataFrame, id_columns: Sequence[str], text: str, corpus: DataFrame | None = None
 ) -> DataFrame:
-    """``(*id_columns, token, tf, w)`` with unrounded weights; frequencies come from ``corpus`` if given.
-
-    The first id column identifies a text, in ``corpus`` too.
-    """
-    counts = term_counts(texts, id_columns, text)
-    corpus_counts = counts if corpus is None else term_counts(corpus, id_columns[:1], text)
-    frequencies = token_idf(corpus_counts, texts if corpus is None else corpus)
-    return counts.join(frequencies, "token").select(
+    """``(*id_columns, token, tf, w)`` with unrounded weights; frequencies come from ``corpus`` if given."""
+    frequencies = token_idf(texts if corpus is None else corpus, text)
+    return with_idf(term_counts(texts, id_columns, text), frequencies).select(
         *id_columns, "token", "tf", (F.col("tf") * F.col("idf")).alias("w")
     )
 
@@ -64,7 +79,7 @@ def tfidf_weights(
 def text_search(
     queries: DataFrame,
     texts: DataFrame,
-    k: int | None = DEFAULT_TOP_K,
+    k: int = DEFAULT_TOP_K,
     scope: Sequence[str] = (),
     within: Sequence[str] = (),
     query_id: str = "query_id",
@@ -73,6 +88,7 @@ def text_search(
     text: str = "text",
     corpus: DataFrame | None = None,
     boost: Column | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(query_id, *scope, *within, text_id, score, rank)``: weighted term overlap over the text vector's length.
 
@@ -80,31 +96,123 @@ def text_search(
     ``within``  text columns: a query gets its own ``k`` texts for every value of them.
     ``corpus``  where document frequencies come from; default is ``texts``.
     ``boost``   factor on the score, an expression over the columns of ``texts``.
-
-    The length is a window over one text's own tokens; it leaves the rows
-    partitioned by text, which the overlap aggregate then reuses.
     """
     carried = [*dict.fromkeys([*scope, *within])]
-    if boost is not None:
-        texts = texts.withColumn("_boost", boost)
-        carried.append("_boost")
-    weights = tfidf_weights(texts, [text_id, *carried], text, corpus)
-    squares = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(text_id))
-    query_terms = term_counts(queries, [query_id, *scope], query_text).withColumnRenamed("tf", "_query_tf")
-    matched = weights.withColumn("_length", F.sqrt(squares)).join(query_terms, ["token", *scope])
-    scored = matched.groupBy(query_id, text_id, *carried).agg(
+    texts = texts.withColumn("_boost", F.lit(1.0) if boost is None else boost.cast("double"))
+    keys = [text_id, *carried, "_boost"]
+    weights = tfidf_weights(texts, keys, text, corpus)
+    # one text's own tokens; the rows are already partitioned by these columns
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys)))
+    measured = weights.withColumn("_length", length)
+    terms = materialize(term_counts(queries, [query_id, *scope], query_text).withColumnRenamed("tf", "_query_tf"))
+    if terms.count() * TERM_BYTES <= broadcast_bytes:
+        found = _scored_in_tasks(terms, measured, query_id, text_id, scope, carried, k)
+    else:
+        found = _scored_by_join(terms, measured, query_id, text_id, scope, carried)
+    return ranked(found, [query_id, *within], text_id, k)
+
+
+def _scored_by_join(terms, measured, query_id, text_id, scope, carried) -> DataFrame:
+    """Any number of query terms: join by token and sum per (query, text)."""
+    matched = measured.join(terms, ["token", *scope])
+    scored = matched.groupBy(query_id, text_id, *carried, "_boost").agg(
         r6(F.sum(F.col("_query_tf") * F.col("w")) / F.first("_length")).alias("score")
     )
-    if boost is not None:
-        scored = scored.withColumn("score", r6(F.col("score") * F.col("_boost"))).drop("_boost")
-    return ranked(scored, [query_id, *within], text_id, k)
-
-
-def ranked(found: DataFrame, keys: Sequence[str], id_column: str, k: int | None) -> DataFrame:
+    return scored.select(query_id, *carried, text_id, r6(F.col("score") * F.col("_boost")).alias("score"))
+
+
+def _scored_in_tasks(terms, measured, query_id, text_id, scope, carried, k) -> DataFrame:
+    """Query terms of checked size: every task scores its own texts and keeps the best per query."""
+    packed = terms.toPandas()
+    query_keys = packed[[query_id, *scope]].drop_duplicates().reset_index(drop=True)
+    vocabulary = {token: i for i, token in enumerate(packed["token"].unique())}
+    packed = packed.merge(query_keys.reset_index(names="_row"), on=[query_id, *scope])
+    packed["_term"] = packed["token"].map(vocabulary)
+    packed = packed.sort_values("_term", kind="stable")
+    starts = np.searchsorted(packed["_term"].to_numpy(dtype=np.int64), np.arange(len(vocabulary) + 1))
+    postings = (starts, packed["_row"].to_numpy(dtype=np.int64), packed["_query_tf"].to_numpy(dtype=np.float64))
+    spark = measured.sparkSession
+    shared = spark.sparkContext.broadcast((query_keys, postings))
+    term_numbers = spark.createDataFrame(list(vocabulary.items()), "token string, _term bigint")
+    keys = [text_id, *carried, "_boost", "_length"]
+    # the window left every text's rows together; joining a broadcast side keeps them so
+    rows = measured.join(F.broadcast(term_numbers), "token").select(*keys, "_term", "w")
+    out_schema = T.StructType(
+        [terms.schema[query_id], *[measured.schema[c] for c in [*carried, text_id]], T.StructField("score", T.DoubleType())]
+    )
+    out_arrow = arrow_schema(out_schema)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_rows, query_postings = shared.value
+        best = Best(k)
+        for frame in _whole_texts(batches, text_id):
+            for group, q, ids, score in _score(frame, query_rows, query_postings, text_id, scope, carried):
+                best.keep(group, q, ids, score)
+        yield from best.batches(query_rows[query_id].to_numpy(), out_arrow)
+
+    return rows.mapInArrow(search, out_schema)
+
+
+def _whole_texts(batches: Iterator[pa.RecordBatch], text_id: str) -> Iterator[pd.DataFrame]:
+    """Batches cut at text boundaries: the rows of the last text wait for the next batch."""
+    waiting = None
+    for batch in batches:
+        frame = batch.to_pandas()
+        if waiting is not None:
+            frame = pd.concat([waiting, frame], ignore_index=True)
+        if frame.empty:
+            continue
+        last = frame[text_id].iloc[-1]
+        cut = int((frame[text_id] == last).to_numpy().argmax())
+        waiting = frame.iloc[cut:]
+        if cut:
+            yield frame.iloc[:cut]
+    if waiting is not None:
+        yield waiting
+
+
+def _score(frame, query_rows, postings, text_id, scope, carried):
+    """``(group, query rows, text ids, scores)`` of all queries that share a term with these texts."""
+    starts, posting_query, posting_tf = postings
+    ids = frame[text_id].to_numpy()
+    new_text = np.concatenate([[True], ids[1:] != ids[:-1]])
+    text_of_row, first = np.cumsum(new_text) - 1, np.flatnonzero(new_text)
+    terms, weights = frame["_term"].to_numpy(), frame["w"].to_numpy()
+    n_queries, n_texts = len(query_rows), len(first)
+    per_text = frame.iloc[first]
+    fan_out = starts[terms + 1] - starts[terms]
+    step = max(1, SCORE_CELLS // max(1, n_queries))
+    for low in range(0, n_texts, step):
+        high = min(low + step, n_texts)
+        a, b = np.searchsorted(text_of_row, [low, high])
+        overlap = np.zeros((high - low) * n_queries)
+        edges = np.flatnonzero(np.diff(np.cumsum(fan_out[a:b]) // SCORE_CELLS)) + 1
+        for rows in np.split(np.arange(a, b), edges):
+            size = fan_out[rows]
+            repeated = np.repeat(rows, size)
+            at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + starts[terms[repeated]]
+            cells = (text_of_row[repeated] - low) * n_queries + posting_query[at]
+            overlap += np.bincount(cells, weights[repeated] * posting_tf[at], minlength=len(overlap))
+        chosen = np.flatnonzero(overlap)
+        text, q = chosen // n_queries + low, chosen % n_queries
+        length, factor = per_text["_length"].to_numpy()[text], per_text["_boost"].to_numpy()[text]
+        score = np.round(np.round(overlap[chosen] / length, 6) * factor, 6)
+        for column in scope:
+            agree = per_text[column].to_numpy()[text] == query_rows[column].to_numpy()[q]
+            text, q, score = text[agree], q[agree], score[agree]
+        if not carried:
+            yield (), q, sortable(ids[first][text]), score
+            continue
+        groups = per_text[list(carried)].iloc[text]
+        for group, where in groups.groupby(list(carried), sort=False, dropna=False).indices.items():
+            yield (group if isinstance(group, tuple) else (group,)), q[where], sortable(ids[first][text[where]]), score[where]
+
+
+def ranked(found: DataFrame, keys: Sequence[str], id_column: str, k: int) -> DataFrame:
     """Rank by score per key, ties by id, and keep ``k``; the filter becomes a partial limit per task."""
     ranking = Window.partitionBy(*keys).orderBy(F.desc("score"), id_column)
     numbered = found.withColumn("rank", F.row_number().over(ranking).cast("bigint"))
-    return numbered if k is None else numbered.where(F.col("rank") <= k)
+    return numbered.where(F.col("rank") <= k)
 
 
 def rrf_fusion(lists: Sequence[DataFrame], key: str, id_column: str, k: int) -> DataFrame:

@@ -19,32 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engrama.defaults import BASE_BLOCK_ROWS, BROADCAST_BYTES, DEFAULT_TOP_K, QUERY_BLOCK_ROWS
-from engrama.functions.vectors import block_top_k, keep_best, matrix_of, normalize_metric, r6, sortable
-
-
-class _Best:
-    """Running best rows per (base group, query) inside one task."""
-
-    def __init__(self, metric: str, k: int):
-        self.metric, self.k, self.kept = metric, k, {}
-
-    def add(self, group: tuple, query_rows, queries, ids, base) -> None:
-        if not len(query_rows) or not len(ids):
-            return
-        found = block_top_k(self.metric, query_rows, queries, ids, base, self.k)
-        if group in self.kept:
-            joined = [np.concatenate(pair) for pair in zip(self.kept[group], found)]
-            found = keep_best(*joined, self.k)
-        self.kept[group] = found
-
-    def tables(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        for group, (rows, ids, score) in self.kept.items():
-            columns = [pa.array(query_ids[rows], type=schema.field(0).type)]
-            for value, field in zip(group, list(schema)[1:-2]):
-                columns.append(pa.array([value] * len(rows), type=field.type))
-            columns.append(pa.array(ids, type=schema.field(len(schema) - 2).type))
-            columns.append(pa.array(score, type=pa.float64()))
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+from engrama.functions import vectors
+from engrama.functions.vectors import r6
 
 
 def _groups(batch, names: Sequence[str]) -> Iterator[tuple[tuple, np.ndarray]]:
@@ -59,12 +35,6 @@ def _groups(batch, names: Sequence[str]) -> Iterator[tuple[tuple, np.ndarray]]:
         yield (key if isinstance(key, tuple) else (key,)), rows
 
 
-def _arrow_schema(spark_schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(spark_schema)
-
-
 def top_k(
     queries: DataFrame,
     base: DataFrame,
@@ -84,7 +54,7 @@ def top_k(
     ``within``  base columns; a query gets its own ``k`` rows for every value of them.
     Ranks count per query, and per ``within`` value when that is given.
     """
-    metric = normalize_metric(metric)
+    metric = vectors.normalize_metric(metric)
     queries = queries.where(F.col(query_vector).isNotNull()).select(query_id, *on, query_vector)
     base = base.where(F.col(base_vector).isNotNull()).select(*on, *within, base_id, base_vector)
     out_schema = T.StructType(
@@ -110,27 +80,29 @@ def _broadcast_form(queries, base, k, metric, on, within, out_schema) -> DataFra
     base_id, base_vector = base.columns[-2:]
     packed = queries.toArrow()  # size checked by the caller
     ids = packed.column(query_id).to_numpy()
-    matrix = matrix_of(packed.column(query_vector)) if len(ids) else np.empty((0, 0))
+    matrix = vectors.matrix_of(packed.column(query_vector)) if len(ids) else np.empty((0, 0))
     by_group = {key: rows for key, rows in _groups(packed, on)}
     shared = base.sparkSession.sparkContext.broadcast((ids, matrix, by_group))
-    arrow_schema = _arrow_schema(out_schema)
+    arrow_schema = vectors.arrow_schema(out_schema)
     n_on = len(on)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, query_matrix, positions = shared.value
-        best = _Best(metric, k)
+        best = vectors.Best(k)
         for batch in batches:
             if not batch.num_rows or not len(query_ids):
                 continue
-            names = sortable(batch.column(base_id))
+            names = vectors.sortable(batch.column(base_id))
             for group, rows in _groups(batch, [*on, *within]):
                 wanted = positions.get(group[:n_on])
                 if wanted is None:
                     continue
                 picked = batch.column(base_vector).take(pa.array(rows))
-                vectors = matrix_of(picked, query_matrix.shape[1])
-                best.add(group, wanted, query_matrix[wanted], names[rows], vectors)
-        yield from best.tables(query_ids, arrow_schema)
+                found = vectors.block_top_k(
+                    metric, wanted, query_matrix[wanted], names[rows], vectors.matrix_of(picked, query_matrix.shape[1]), k
+                )
+                best.keep(group, *found)
+        yield from best.batches(query_ids, arrow_schema)
 
     return base.mapInArrow(search, out_schema)
 
@@ -162,18 +134,18 @@ def _block_form(queries, base, k, metric, on, within, out_schema) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("_base_blocks") - 1)).cast("bigint").alias("_base_block"),
     )
     cell = [*on, "_base_block", "_query_block"]
-    arrow_schema = _arrow_schema(out_schema)
+    arrow_schema = vectors.arrow_schema(out_schema)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = _Best(metric, k)
+        best = vectors.Best(k)
         if left.num_rows and right.num_rows:
-            query_matrix = matrix_of(left.column(query_vector))
+            query_matrix = vectors.matrix_of(left.column(query_vector))
             rows_of_queries = np.arange(left.num_rows)
-            names = sortable(right.column(base_id))
+            names = vectors.sortable(right.column(base_id))
             for group, rows in _groups(right, [*on, *within]):
-                vectors = matrix_of(right.column(base_vector).take(pa.array(rows)), query_matrix.shape[1])
-                best.add(group, rows_of_queries, query_matrix, names[rows], vectors)
-        found = list(best.tables(left.column(query_id).to_numpy(), arrow_schema))
+                block = vectors.matrix_of(right.column(base_vector).take(pa.array(rows)), query_matrix.shape[1])
+                best.keep(group, *vectors.block_top_k(metric, rows_of_queries, query_matrix, names[rows], block, k))
+        found = list(best.batches(left.column(query_id).to_numpy(), arrow_schema))
         return pa.Table.from_batches(found, schema=arrow_schema)
 
     return query_side.groupBy(*cell).cogroup(base_side.groupBy(*cell)).applyInArrow(search, out_schema)

@@ -83,8 +83,9 @@ def multi_query(t: Tables) -> DataFrame:
         .when(F.col("query_id") % 4 == 2, "fr").otherwise("es")
     )
     bodies = t.fx_queries.withColumn("workspace_id", workspace)
-    found = ts.text_search(bodies, t.fx_memory, k=None, scope=["workspace_id"])
     wanted = bodies.select("query_id", (3 + F.col("query_id") % 5).alias("top_k"))
+    largest = wanted.agg(F.max("top_k")).first()[0]
+    found = ts.text_search(bodies, t.fx_memory, k=largest, scope=["workspace_id"])
     return found.join(wanted, "query_id").where(F.col("rank") <= F.col("top_k")).select(
         F.col("query_id").alias("query_idx"), "memory_id", "score", "rank"
     ).orderBy("query_idx", "rank")
