@@ -113,7 +113,7 @@ def _block_form(queries, base, k, metric, on, within, out_schema) -> DataFrame:
 
     def block_counts(df: DataFrame, rows: int, name: str) -> DataFrame:
         counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        return counted.select(*on, F.ceil(F.col("_n") / rows).cast("int").alias(name))
+        return counted.select(*on, F.ceil(F.col("_n") / rows).cast("bigint").alias(name))
 
     base_blocks = block_counts(base, BASE_BLOCK_ROWS, "_base_blocks")
     query_blocks = block_counts(queries, QUERY_BLOCK_ROWS, "_query_blocks")
@@ -126,12 +126,12 @@ def _block_form(queries, base, k, metric, on, within, out_schema) -> DataFrame:
     base_side = with_blocks(base).select(
         *on, *within, base_id, base_vector,
         F.pmod(F.xxhash64(base_id, base_vector), "_base_blocks").alias("_base_block"),
-        F.explode(F.sequence(F.lit(0), F.col("_query_blocks") - 1)).cast("bigint").alias("_query_block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_query_blocks") - 1)).alias("_query_block"),
     )
     query_side = with_blocks(queries).select(
         query_id, *on, query_vector,
         F.pmod(F.xxhash64(query_id, query_vector), "_query_blocks").alias("_query_block"),
-        F.explode(F.sequence(F.lit(0), F.col("_base_blocks") - 1)).cast("bigint").alias("_base_block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_base_blocks") - 1)).alias("_base_block"),
     )
     cell = [*on, "_base_block", "_query_block"]
     arrow_schema = vectors.arrow_schema(out_schema)

@@ -128,9 +128,11 @@ class RowReader(DataSourceReader):
             n = min(n, self.limit) if self.limit > 0 else n
             step = max(1, self.split_bytes // (4 * dim))
             parts += [RowRange(path, dim, i, min(i + step, n)) for i in range(0, n, step)]
-        return parts
+        return parts or [RowRange(self.path, 1, 0, 0)]  # Spark wants one partition even when there is no row
 
     def read(self, part) -> Iterator[pa.RecordBatch]:
+        if part.start == part.end:
+            return
         system, inner = _open(part.path)
         width = 4 * part.dim
         step = max(1, BATCH_BYTES // width)
