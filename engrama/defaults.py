@@ -41,6 +41,7 @@ PQ_RERANK = 4
 
 # --- physical bounds --------------------------------------------------------
 BROADCAST_BYTES = 256 * 1024 * 1024   # largest query or centroid matrix sent to every executor
-BASE_BLOCK_ROWS = 10_000              # base rows per search block
-QUERY_BLOCK_ROWS = 4_000              # query rows per search block
+BASE_BLOCK_BYTES = 128 * 1024 * 1024  # base vectors of one search block
+QUERY_BLOCK_BYTES = 32 * 1024 * 1024  # query vectors of one search block
 SCORE_CELLS = 4_000_000               # scores held at once inside a task
+KEPT_ROWS = 2_000_000                 # best rows a task holds before handing them over

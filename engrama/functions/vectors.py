@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from engrama.defaults import SCORE_CELLS
+from engrama.defaults import KEPT_ROWS, SCORE_CELLS
 
 METRICS = ("COSINE", "IP", "L2")
 
@@ -120,14 +120,23 @@ class Best:
     """Running best rows per (group, query) inside one task."""
 
     def __init__(self, k: int):
-        self.k, self.kept = k, {}
+        self.k, self.kept, self.size = k, {}, 0
 
     def keep(self, group: tuple, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
         if not len(query):
             return
+        held = 0
         if group in self.kept:
+            held = len(self.kept[group][0])
             query, ids, score = (np.concatenate(pair) for pair in zip(self.kept[group], (query, ids, score)))
         self.kept[group] = keep_best(query, ids, score, self.k)
+        self.size += len(self.kept[group][0]) - held
+
+    def overflow(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """With very many groups, hand over what is held; the final ranking sorts it out."""
+        if self.size > KEPT_ROWS:
+            yield from self.batches(query_ids, schema)
+            self.kept, self.size = {}, 0
 
     def batches(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """Rows of ``(query id, *group, id, score)``."""

@@ -87,7 +87,7 @@ def similarity_search(
     k: int = DEFAULT_STORE_K, with_score: bool = True,
 ) -> DataFrame:
     """Query texts to stored documents; a vector whose document never arrived still counts as a hit."""
-    embedded = queries.withColumn("query_vector", embed_queries(make_model, F.col("query_text")))
+    embedded = materialize(queries.withColumn("query_vector", embed_queries(make_model, F.col("query_text"))))
     hits = vs.top_k(embedded, vectors, k=k)
     documents = events.select(F.col("event_id").alias("object_id"), "payload.page_content", "payload.metadata")
     found = with_payload(hits, documents, "object_id", True)

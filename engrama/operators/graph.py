@@ -17,7 +17,7 @@ def proof_trace(roots: DataFrame, edges: DataFrame, max_depth: int = TRACE_DEPTH
     by a checkpoint so that later levels do not repeat earlier joins.  Nodes seen
     before are dropped, so cycles end, and the loop stops at an empty frontier.
     """
-    links = edges.select(F.col("src_id").alias("node_id"), "dst_id").distinct()
+    links = edges.select(F.col("src_id").alias("node_id"), "dst_id")
     seen = roots.select(root, F.col(root).alias("node_id")).distinct().withColumn("depth", F.lit(0).cast("bigint"))
     frontier = seen
     for depth in range(1, max_depth + 1):

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from engrama.defaults import BROADCAST_BYTES, DEFAULT_TOP_K, PQ_BITS, PQ_PARTS, PQ_RERANK
 from engrama.functions.vectors import distances_l2, dot, matrix_of, norm, r6
 from engrama.operators import vector_search as vs
+from engrama.session import materialize
 from engrama.sources.snapshots import spread_by
 
 CODES = T.ArrayType(T.ShortType())
@@ -93,7 +94,7 @@ def ivf_search(
     metric: str = "COSINE", query_id: str = "query_id", base_id: str = "object_id",
 ) -> DataFrame:
     """Exact search inside the probed lists; with every list probed it equals the full search."""
-    probed = probes(queries, centroids, nprobe, query_id)
+    probed = materialize(probes(queries, centroids, nprobe, query_id))  # read three times below
     # on a table written by list this prunes the folders of lists nobody asked for
     wanted = assigned.join(probed.select("list_id").distinct(), "list_id", "left_semi")
     found = vs.top_k(probed, wanted, k=k, metric=metric, on=["list_id"], query_id=query_id, base_id=base_id)

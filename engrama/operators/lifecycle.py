@@ -16,7 +16,7 @@ from engrama.functions.text import normal_form, sentences
 from engrama.functions.vectors import r6
 from engrama.operators.ingest import materialize_memory
 from engrama.operators.text_search import term_counts, token_idf, with_idf
-from engrama.session import spread
+from engrama.session import materialize, spread
 from engrama.sources import snapshots
 
 
@@ -40,28 +40,34 @@ def decayed(memory: DataFrame, now: Column, half_life_days: float = HALF_LIFE_DA
 def copy_groups(memory: DataFrame) -> DataFrame:
     """``kept_id`` per memory: the smallest id among texts equal up to case and spacing, per workspace and agent.
 
-    Only digests are grouped; the groups themselves are never gathered.
+    The texts are read once and reduced to digests; the groups are never gathered.
     """
     keys = ["workspace_id", "agent_id", "_digest"]
-    digested = spread(memory).withColumn("_digest", F.md5(normal_form(F.col("text"))))
-    kept = digested.groupBy(*keys).agg(F.min("memory_id").alias("kept_id"))
-    return digested.join(kept, keys).drop("_digest")
+    digests = materialize(spread(memory).select(
+        "memory_id", "workspace_id", "agent_id", "importance", "source_event_ids",
+        F.md5(normal_form(F.col("text"))).alias("_digest"),
+    ))
+    kept = digests.groupBy(*keys).agg(F.min("memory_id").alias("kept_id"))
+    return digests.join(kept, keys).drop("_digest")
 
 
 def compressed(memory: DataFrame) -> DataFrame:
     """One row per group of copies, with its strongest importance and how much it stands for."""
-    links = copy_groups(memory).select("workspace_id", "agent_id", "kept_id", "memory_id", "importance", "source_event_ids")
+    links = copy_groups(memory)
     merged = links.groupBy("workspace_id", "agent_id", "kept_id").agg(
         F.max("importance").alias("importance"), F.count(F.lit(1)).alias("n_merged")
     )
-    sources = compressed_sources(memory).groupBy("kept_id").agg(F.count(F.lit(1)).alias("n_sources"))
+    sources = _sources(links).groupBy("kept_id").agg(F.count(F.lit(1)).alias("n_sources"))
     return merged.join(sources, "kept_id", "left").withColumn("n_sources", F.coalesce("n_sources", F.lit(0)))
 
 
+def _sources(links: DataFrame) -> DataFrame:
+    return links.select("kept_id", F.explode("source_event_ids").alias("source_event_id")).distinct()
+
+
 def compressed_sources(memory: DataFrame) -> DataFrame:
     """``(kept_id, source_event_id)``: the united sources of every group as rows, so no group has a size limit."""
-    links = copy_groups(memory).select("kept_id", F.explode("source_event_ids").alias("source_event_id"))
-    return links.distinct()
+    return _sources(copy_groups(memory))
 
 
 def session_summaries(turns: DataFrame, n: int = SUMMARY_SENTENCES) -> DataFrame:

@@ -148,6 +148,7 @@ def _scored_in_tasks(terms, measured, query_id, text_id, scope, carried, k) -> D
         for frame in _whole_texts(batches, text_id):
             for group, q, ids, score in _score(frame, query_rows, query_postings, text_id, scope, carried):
                 best.keep(group, q, ids, score)
+            yield from best.overflow(query_rows[query_id].to_numpy(), out_arrow)
         yield from best.batches(query_rows[query_id].to_numpy(), out_arrow)
 
     return rows.mapInArrow(search, out_schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from engrama.defaults import BASE_BLOCK_ROWS, BROADCAST_BYTES, DEFAULT_TOP_K, QUERY_BLOCK_ROWS
+from engrama.defaults import BASE_BLOCK_BYTES, BROADCAST_BYTES, DEFAULT_TOP_K, QUERY_BLOCK_BYTES
 from engrama.functions import vectors
 from engrama.functions.vectors import r6
 
@@ -47,6 +47,7 @@ def top_k(
     base_id: str = "object_id",
     base_vector: str = "embedding",
     broadcast_bytes: int = BROADCAST_BYTES,
+    block_bytes: tuple[int, int] = (BASE_BLOCK_BYTES, QUERY_BLOCK_BYTES),
 ) -> DataFrame:
     """``(query_id, *on, *within, base_id, score, rank)`` of the ``k`` best base rows.
 
@@ -67,7 +68,9 @@ def top_k(
     if (size["cells"] or 0) * 8 <= broadcast_bytes:
         partial = _broadcast_form(queries, base, k, metric, on, within, out_schema)
     else:
-        partial = _block_form(queries, base, k, metric, on, within, out_schema)
+        dim = size["cells"] / size["rows"]
+        block_rows = [max(1, int(limit / (8 * dim))) for limit in block_bytes]
+        partial = _block_form(queries, base, k, metric, on, within, out_schema, *block_rows)
     best_first = F.col("score").asc() if metric == "L2" else F.col("score").desc()
     if metric == "L2":
         partial = partial.withColumn("score", F.abs("score"))
@@ -102,12 +105,13 @@ def _broadcast_form(queries, base, k, metric, on, within, out_schema) -> DataFra
                     metric, wanted, query_matrix[wanted], names[rows], vectors.matrix_of(picked, query_matrix.shape[1]), k
                 )
                 best.keep(group, *found)
+            yield from best.overflow(query_ids, arrow_schema)
         yield from best.batches(query_ids, arrow_schema)
 
     return base.mapInArrow(search, out_schema)
 
 
-def _block_form(queries, base, k, metric, on, within, out_schema) -> DataFrame:
+def _block_form(queries, base, k, metric, on, within, out_schema, base_rows, query_rows) -> DataFrame:
     query_id, query_vector = queries.columns[0], queries.columns[-1]
     base_id, base_vector = base.columns[-2:]
 
@@ -115,8 +119,8 @@ def _block_form(queries, base, k, metric, on, within, out_schema) -> DataFrame:
         counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
         return counted.select(*on, F.ceil(F.col("_n") / rows).cast("bigint").alias(name))
 
-    base_blocks = block_counts(base, BASE_BLOCK_ROWS, "_base_blocks")
-    query_blocks = block_counts(queries, QUERY_BLOCK_ROWS, "_query_blocks")
+    base_blocks = block_counts(base, base_rows, "_base_blocks")
+    query_blocks = block_counts(queries, query_rows, "_query_blocks")
     blocks = base_blocks.join(query_blocks, list(on)) if on else base_blocks.crossJoin(query_blocks)
 
     def with_blocks(df: DataFrame) -> DataFrame:

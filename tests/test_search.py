@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from engrama.functions import vectors
 from engrama.operators import ivf, text_search as ts, vector_search as vs
-from engrama.operators import vector_search
 
 
 def frame(spark, ids, rows, id_name, vector_name, **extra):
@@ -44,27 +43,24 @@ def points():
 
 @pytest.mark.parametrize("metric", ["COSINE", "IP", "L2"])
 @pytest.mark.parametrize("limit", [1 << 28, 0], ids=["broadcast", "blocks"])
-def test_both_forms_equal_brute_force(spark, points, metric, limit, monkeypatch):
+def test_both_forms_equal_brute_force(spark, points, metric, limit):
     base, queries = points
-    monkeypatch.setattr(vector_search, "BASE_BLOCK_ROWS", 37)
-    monkeypatch.setattr(vector_search, "QUERY_BLOCK_ROWS", 5)
     ids = list(range(300))
     b = frame(spark, ids, base, "object_id", "embedding").repartition(4)
     q = frame(spark, range(12), queries, "query_id", "query_vector")
-    got = answers(vs.top_k(q, b, k=7, metric=metric, broadcast_bytes=limit))
+    got = answers(vs.top_k(q, b, k=7, metric=metric, broadcast_bytes=limit, block_bytes=(37 * 64, 5 * 64)))
     want = brute(metric, queries.astype(float), base.astype(float), np.array(ids), 7)
     assert got == want
 
 
 @pytest.mark.parametrize("limit", [1 << 28, 0], ids=["broadcast", "blocks"])
-def test_on_and_within(spark, points, limit, monkeypatch):
+def test_on_and_within(spark, points, limit):
     base, queries = points
-    monkeypatch.setattr(vector_search, "BASE_BLOCK_ROWS", 50)
     part = ["hot" if i % 3 else "cold" for i in range(300)]
     source = ["x" if i % 2 else "y" for i in range(300)]
     b = frame(spark, range(300), base, "object_id", "embedding", part=part, source=source)
     q = frame(spark, range(12), queries, "query_id", "query_vector", part=["hot", "cold"] * 6)
-    hits = vs.top_k(q, b, k=3, on=["part"], within=["source"], broadcast_bytes=limit)
+    hits = vs.top_k(q, b, k=3, on=["part"], within=["source"], broadcast_bytes=limit, block_bytes=(50 * 64, 5 * 64))
     rows = hits.collect()
     assert len(rows) == 12 * 2 * 3
     for r in rows:
@@ -72,6 +68,21 @@ def test_on_and_within(spark, points, limit, monkeypatch):
         assert source[r.object_id] == r.source
 
 
+def test_many_groups_are_handed_over_early(spark, points, monkeypatch):
+    base, queries = points
+    source = [f"s{i % 30}" for i in range(300)]
+    b = frame(spark, range(300), base, "object_id", "embedding", source=source)
+    q = frame(spark, range(12), queries, "query_id", "query_vector")
+    want = sorted(map(tuple, vs.top_k(q, b, k=3, within=["source"]).collect()))
+    best = vectors.Best(3)
+    best.keep(("a",), np.array([0]), np.array([1]), np.array([0.5]))
+    schema = vectors.arrow_schema(vs.top_k(q, b, k=3, within=["source"]).drop("rank").schema)
+    assert not list(best.overflow(np.array([7]), schema))
+    monkeypatch.setattr(vectors, "KEPT_ROWS", 0)
+    assert [x.to_pylist() for x in best.overflow(np.array([7]), schema)] == [[{"query_id": 7, "source": "a", "object_id": 1, "score": 0.5}]]
+    assert best.size == 0 and len(want) == 12 * 30 * 3
+
+
 def test_query_dimension_must_match(spark, points):
     base, _ = points
     b = frame(spark, range(300), base, "object_id", "embedding")
