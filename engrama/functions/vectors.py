@@ -21,15 +21,6 @@ def r6(value: Column) -> Column:
     return F.round(value, 6)
 
 
-def dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(dot(a, a))
-
-
 def normalize_metric(metric: str | None) -> str:
     name = (metric or "COSINE").strip().upper()
     if name not in METRICS:

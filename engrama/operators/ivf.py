@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engrama.defaults import BROADCAST_BYTES, DEFAULT_TOP_K, PQ_BITS, PQ_PARTS, PQ_RERANK
-from engrama.functions.vectors import distances_l2, dot, matrix_of, norm, r6
+from engrama.functions.vectors import distances_l2, matrix_of
 from engrama.operators import vector_search as vs
 from engrama.session import materialize
 from engrama.sources.snapshots import spread_by
@@ -238,14 +238,29 @@ def pq_search(
     exact = rough.select(query_id, base_id).join(assigned.select(base_id, "embedding"), base_id).join(
         queries.select(query_id, "query_vector"), query_id
     )
-    lengths = norm(F.col("query_vector")) * norm(F.col("embedding"))
-    cosine = F.when(lengths > 0, dot(F.col("query_vector"), F.col("embedding")) / lengths).otherwise(0.0)
     ranking = Window.partitionBy(query_id).orderBy(F.desc("score"), base_id)
-    return exact.select(query_id, base_id, r6(cosine).alias("score")).withColumn(
+    return _pair_cosines(exact.select(query_id, base_id, "query_vector", "embedding")).withColumn(
         "rank", F.row_number().over(ranking).cast("bigint")
     ).where(F.col("rank") <= k)
 
 
+def _pair_cosines(pairs: DataFrame) -> DataFrame:
+    """``(query id, base id, score)`` from rows that hold both vectors in their last two columns."""
+    schema = T.StructType([*pairs.schema.fields[:2], T.StructField("score", T.DoubleType())])
+
+    def cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = matrix_of(batch.column(2)), matrix_of(batch.column(3))
+                lengths = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+                score = np.divide((a * b).sum(axis=1), lengths, out=np.zeros(len(a)), where=lengths > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(np.round(score, 6) + 0.0)], names=schema.names
+                )
+
+    return pairs.mapInArrow(cosines, schema)
+
+
 # --- stored indexes ---------------------------------------------------------
 
 def build_index(base: DataFrame, centroids: DataFrame, path: str, segment_id: str, index_type: str = "IVF_FLAT") -> DataFrame:

@@ -10,7 +10,7 @@ from engrama.functions.vectors import r6
 from engrama.operators import collections, embedding, ivf
 from engrama.plans.registry import query
 from engrama.plans.views import Tables
-from engrama.session import work_dir
+from engrama.session import materialize, work_dir
 
 # --- approximate search -----------------------------------------------------
 
@@ -27,8 +27,9 @@ def _queries(t: Tables) -> DataFrame:
 
 
 def _lists(t: Tables) -> tuple[DataFrame, DataFrame]:
-    centroids = ivf.sampled_centroids(_base(t), NLIST, "vec_id")
-    return centroids, ivf.assign_lists(_base(t), centroids, "vec_id")
+    """Centroids and assigned vectors, pinned as a stored index would be."""
+    centroids = materialize(ivf.sampled_centroids(_base(t), NLIST, "vec_id"))
+    return centroids, materialize(ivf.assign_lists(_base(t), centroids, "vec_id"))
 
 
 _LISTS = """
