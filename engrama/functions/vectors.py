@@ -78,6 +78,15 @@ def scores(metric: str, queries: np.ndarray, base: np.ndarray) -> np.ndarray:
     return np.round(out, 6) + 0.0
 
 
+def nearest(rows: np.ndarray, centers: np.ndarray, closeness) -> np.ndarray:
+    """Number of the closest center per row, ties to the smaller number; the matrix is held in slices."""
+    step = max(1, SCORE_CELLS // len(centers))
+    slices = [
+        np.round(closeness(rows[i : i + step], centers), 6).argmax(axis=1) for i in range(0, len(rows), step)
+    ]
+    return np.concatenate(slices)  # argmax takes the first of equals
+
+
 def keep_best(
     query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,24 +119,34 @@ def block_top_k(
 class Best:
     """Running best rows per (group, query) inside one task."""
 
-    def __init__(self, k: int):
-        self.k, self.kept, self.size = k, {}, 0
+    def __init__(self, k: int, n_queries: int):
+        self.k, self.n_queries = k, n_queries
+        self.kept, self.bars, self.size = {}, {}, 0
 
     def keep(self, group: tuple, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        held = 0
+        if group in self.bars:
+            # what scores below a query's k-th best so far cannot get in any more
+            contending = score >= self.bars[group][query]
+            query, ids, score = query[contending], ids[contending], score[contending]
         if not len(query):
             return
-        held = 0
         if group in self.kept:
             held = len(self.kept[group][0])
             query, ids, score = (np.concatenate(pair) for pair in zip(self.kept[group], (query, ids, score)))
-        self.kept[group] = keep_best(query, ids, score, self.k)
-        self.size += len(self.kept[group][0]) - held
+        query, ids, score = self.kept[group] = keep_best(query, ids, score, self.k)
+        self.size += len(query) - held
+        if len(self.kept) * self.n_queries <= KEPT_ROWS:
+            full = np.flatnonzero(np.bincount(query, minlength=self.n_queries) == self.k)
+            bar = np.full(self.n_queries, -np.inf)
+            bar[full] = score[np.searchsorted(query, full, side="right") - 1]
+            self.bars[group] = bar
 
     def overflow(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """With very many groups, hand over what is held; the final ranking sorts it out."""
         if self.size > KEPT_ROWS:
             yield from self.batches(query_ids, schema)
-            self.kept, self.size = {}, 0
+            self.kept, self.bars, self.size = {}, {}, 0
 
     def batches(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """Rows of ``(query id, *group, id, score)``."""

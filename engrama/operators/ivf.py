@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engrama.defaults import BROADCAST_BYTES, DEFAULT_TOP_K, PQ_BITS, PQ_PARTS, PQ_RERANK
-from engrama.functions.vectors import distances_l2, matrix_of
+from engrama.functions.vectors import distances_l2, matrix_of, nearest
 from engrama.operators import vector_search as vs
 from engrama.session import materialize
 from engrama.sources.snapshots import spread_by
@@ -59,11 +59,11 @@ def assign_lists(base: DataFrame, centroids: DataFrame, id_column: str = "object
     """Add ``list_id``: the centroid with the highest inner product, ties to the smaller id."""
     size = centroids.agg(F.sum(F.size("centroid").cast("bigint"))).first()[0] or 0
     if size * 8 > BROADCAST_BYTES:
-        nearest = vs.top_k(
+        closest = vs.top_k(
             base, centroids, k=1, metric="IP", query_id=id_column, query_vector="embedding",
             base_id="list_id", base_vector="centroid",
         )
-        return base.join(nearest.select(id_column, "list_id"), id_column)
+        return base.join(closest.select(id_column, "list_id"), id_column)
     packed = centroids.orderBy("list_id").toArrow()  # size checked above
     ids = packed.column("list_id").to_numpy()
     shared = base.sparkSession.sparkContext.broadcast((ids, matrix_of(packed.column("centroid"))))
@@ -73,10 +73,9 @@ def assign_lists(base: DataFrame, centroids: DataFrame, id_column: str = "object
         list_ids, centers = shared.value
         for batch in batches:
             if batch.num_rows:
-                products = np.round(matrix_of(batch.column(position), centers.shape[1]) @ centers.T, 6)
-                # argmax takes the first, which is the smaller id
-                batch = batch.append_column("list_id", pa.array(list_ids[products.argmax(axis=1)]))
-                yield batch
+                rows = matrix_of(batch.column(position), centers.shape[1])
+                chosen = nearest(rows, centers, lambda a, b: a @ b.T)
+                yield batch.append_column("list_id", pa.array(list_ids[chosen]))
 
     return base.mapInArrow(assign, T.StructType([*base.schema.fields, T.StructField("list_id", T.LongType())]))
 
@@ -209,7 +208,7 @@ def pq_encode(base: DataFrame, codebooks: np.ndarray) -> DataFrame:
     def encode(rows: np.ndarray) -> np.ndarray:
         sliced = _sliced(rows, len(codebooks))
         codes = [
-            np.round(distances_l2(sliced[:, p], book) ** 2, 6).argmin(axis=1) for p, book in enumerate(codebooks)
+            nearest(sliced[:, p], book, lambda a, b: -(distances_l2(a, b) ** 2)) for p, book in enumerate(codebooks)
         ]
         return np.stack(codes, axis=1).astype(np.int16)
 

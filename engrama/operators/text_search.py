@@ -144,7 +144,7 @@ def _scored_in_tasks(terms, measured, query_id, text_id, scope, carried, k) -> D
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_rows, query_postings = shared.value
-        best = Best(k)
+        best = Best(k, len(query_rows))
         for frame in _whole_texts(batches, text_id):
             for group, q, ids, score in _score(frame, query_rows, query_postings, text_id, scope, carried):
                 best.keep(group, q, ids, score)

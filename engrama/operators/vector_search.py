@@ -91,7 +91,7 @@ def _broadcast_form(queries, base, k, metric, on, within, out_schema) -> DataFra
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, query_matrix, positions = shared.value
-        best = vectors.Best(k)
+        best = vectors.Best(k, len(query_ids))
         for batch in batches:
             if not batch.num_rows or not len(query_ids):
                 continue
@@ -141,7 +141,7 @@ def _block_form(queries, base, k, metric, on, within, out_schema, base_rows, que
     arrow_schema = vectors.arrow_schema(out_schema)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = vectors.Best(k)
+        best = vectors.Best(k, left.num_rows)
         if left.num_rows and right.num_rows:
             query_matrix = vectors.matrix_of(left.column(query_vector))
             rows_of_queries = np.arange(left.num_rows)

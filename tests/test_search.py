@@ -74,7 +74,7 @@ def test_many_groups_are_handed_over_early(spark, points, monkeypatch):
     b = frame(spark, range(300), base, "object_id", "embedding", source=source)
     q = frame(spark, range(12), queries, "query_id", "query_vector")
     want = sorted(map(tuple, vs.top_k(q, b, k=3, within=["source"]).collect()))
-    best = vectors.Best(3)
+    best = vectors.Best(3, 1)
     best.keep(("a",), np.array([0]), np.array([1]), np.array([0.5]))
     schema = vectors.arrow_schema(vs.top_k(q, b, k=3, within=["source"]).drop("rank").schema)
     assert not list(best.overflow(np.array([7]), schema))
@@ -181,3 +181,22 @@ def test_rrf_prefers_what_both_lists_have(spark):
     rows = ts.rrf_fusion([a, b], "query_id", "memory_id", 3).orderBy("rank").collect()
     assert [r.memory_id for r in rows] == ["y", "x", "z"]
     assert rows[0].score == round(2 / 62, 6)
+
+
+def test_lists_by_search_equal_lists_by_broadcast(spark, points, monkeypatch):
+    base, _ = points
+    b = frame(spark, range(300), base, "object_id", "embedding")
+    centroids = ivf.sampled_centroids(b, 8)
+    want = {r.object_id: r.list_id for r in ivf.assign_lists(b, centroids).collect()}
+    monkeypatch.setattr(ivf, "BROADCAST_BYTES", 0)  # centroids too large to send
+    got = {r.object_id: r.list_id for r in ivf.assign_lists(b, centroids).collect()}
+    assert got == want and len(want) == 300
+
+
+def test_a_large_vocabulary_is_joined_not_broadcast(spark, monkeypatch):
+    texts = spark.createDataFrame(TEXTS, "memory_id string, text string, ws string")
+    want = sorted(map(tuple, ts.tfidf_weights(texts, ["memory_id"], "text").collect()))
+    monkeypatch.setattr(ts, "BROADCAST_BYTES", 0)
+    got = ts.tfidf_weights(texts, ["memory_id"], "text")
+    assert sorted(map(tuple, got.collect())) == want
+    assert "SortMergeJoin" in got._jdf.queryExecution().toString()
