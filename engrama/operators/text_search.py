@@ -1,10 +1,10 @@
 """TF-IDF weights, text search over them, and rank fusion.
 
-Texts are partitioned by id once; counting tokens, weighing them and measuring
-a text's length then all happen inside that partitioning.  Document frequencies
-need only the vocabulary to shuffle, and a vocabulary of checked size is
-broadcast, so no row ever moves to the task of a common word.  Searching keeps
-the best texts per task, without rows for (query, text) pairs.
+Tokens are counted inside each row and the texts never move.  Document
+frequencies need only the vocabulary to shuffle, and a vocabulary of checked
+size is broadcast, so no row goes to the task of a common word.  Searching
+measures and scores texts where they lie and keeps the best per task, without
+rows for (query, text) pairs.
 """
 
 from __future__ import annotations
@@ -29,15 +29,25 @@ TERM_BYTES = 64  # room for one vocabulary entry or posting in memory
 
 
 def term_counts(texts: DataFrame, id_columns: Sequence[str], text: str) -> DataFrame:
-    """``(*id_columns, token, tf)``; columns that ride along with the id stay part of the key.
+    """``(*id_columns, token, tf)``, counted inside the row: no shuffle, and a text's tokens stay together.
 
-    Moving whole texts by id is the only shuffle: counting per (id, token) needs
-    no second one, and moving exploded tokens would carry the id once per token.
+    The tokens are sorted; a token's count is the distance from where its run
+    starts to where the next one does.
     """
-    # the outer form keeps the optimizer from splitting every text a second time just to test for emptiness
-    placed = texts.select(*id_columns, text).repartition(*id_columns)
-    exploded = placed.select(*id_columns, F.explode_outer(F.split(F.lower(text), TOKEN_SPLIT)).alias("token"))
-    return exploded.where(F.col("token") != "").groupBy(*id_columns, "token").agg(F.count(F.lit(1)).alias("tf"))
+    words = texts.select(*id_columns, F.sort_array(F.split(F.lower(text), TOKEN_SPLIT)).alias("_words"))
+    word = F.col("_words")
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size(word) - 1), lambda i: (i == 0) | (F.get(word, i) != F.get(word, i - 1))
+    )
+    runs = words.select(*id_columns, "_words", starts.alias("_starts"))
+    counted = F.transform("_starts", lambda start, n: F.struct(
+        F.get(word, start).alias("token"),
+        (F.coalesce(F.get(F.col("_starts"), n + 1), F.size(word)) - start).cast("bigint").alias("tf"),
+    ))
+    # the outer form keeps the optimizer from computing every array a second time just to test for emptiness
+    return runs.select(*id_columns, F.explode_outer(counted).alias("_run")).select(
+        *id_columns, "_run.token", "_run.tf"
+    ).where(F.col("token") != "")
 
 
 def idf(total: Column, df: Column) -> Column:
@@ -71,7 +81,7 @@ def tfidf_weights(
 ) -> DataFrame:
     """``(*id_columns, token, tf, w)`` with unrounded weights; frequencies come from ``corpus`` if given."""
     frequencies = token_idf(texts if corpus is None else corpus, text)
-    return with_idf(term_counts(texts, id_columns, text), frequencies).select(
+    return with_idf(term_counts(spread(texts.select(*id_columns, text)), id_columns, text), frequencies).select(
         *id_columns, "token", "tf", (F.col("tf") * F.col("idf")).alias("w")
     )
 
@@ -98,22 +108,27 @@ def text_search(
     ``boost``   factor on the score, an expression over the columns of ``texts``.
     """
     carried = [*dict.fromkeys([*scope, *within])]
-    texts = texts.withColumn("_boost", F.lit(1.0) if boost is None else boost.cast("double"))
     keys = [text_id, *carried, "_boost"]
-    weights = tfidf_weights(texts, keys, text, corpus)
-    # one text's own tokens; the rows are already partitioned by these columns
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys)))
-    measured = weights.withColumn("_length", length)
+    texts = texts.withColumn("_boost", F.lit(1.0) if boost is None else boost.cast("double")).select(*keys, text)
+    frequencies = token_idf(texts if corpus is None else corpus, text)
+    weights = with_idf(term_counts(spread(texts), keys, text), frequencies).select(
+        *keys, "token", (F.col("tf") * F.col("idf")).alias("w")
+    )
+    if not small_enough(frequencies):
+        # the shuffle join tore the texts apart
+        weights = weights.repartition(*keys).sortWithinPartitions(*keys)
     terms = materialize(term_counts(queries, [query_id, *scope], query_text).withColumnRenamed("tf", "_query_tf"))
     if terms.count() * TERM_BYTES <= broadcast_bytes:
-        found = _scored_in_tasks(terms, measured, query_id, text_id, scope, carried, k)
+        found = _scored_in_tasks(terms, weights, query_id, text_id, scope, carried, k)
     else:
-        found = _scored_by_join(terms, measured, query_id, text_id, scope, carried)
+        found = _scored_by_join(terms, weights, query_id, text_id, scope, carried)
     return ranked(found, [query_id, *within], text_id, k)
 
 
-def _scored_by_join(terms, measured, query_id, text_id, scope, carried) -> DataFrame:
+def _scored_by_join(terms, weights, query_id, text_id, scope, carried) -> DataFrame:
     """Any number of query terms: join by token and sum per (query, text)."""
+    own_tokens = Window.partitionBy(text_id, *carried, "_boost")
+    measured = weights.withColumn("_length", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own_tokens)))
     matched = measured.join(terms, ["token", *scope])
     scored = matched.groupBy(query_id, text_id, *carried, "_boost").agg(
         r6(F.sum(F.col("_query_tf") * F.col("w")) / F.first("_length")).alias("score")
@@ -121,8 +136,12 @@ def _scored_by_join(terms, measured, query_id, text_id, scope, carried) -> DataF
     return scored.select(query_id, *carried, text_id, r6(F.col("score") * F.col("_boost")).alias("score"))
 
 
-def _scored_in_tasks(terms, measured, query_id, text_id, scope, carried, k) -> DataFrame:
-    """Query terms of checked size: every task scores its own texts and keeps the best per query."""
+def _scored_in_tasks(terms, weights, query_id, text_id, scope, carried, k) -> DataFrame:
+    """Query terms of checked size: every task scores its own texts and keeps the best per query.
+
+    All rows of a text arrive one after the other: they were made from one row,
+    and only broadcast sides were joined since.
+    """
     packed = terms.toPandas()
     query_keys = packed[[query_id, *scope]].drop_duplicates().reset_index(drop=True)
     vocabulary = {token: i for i, token in enumerate(packed["token"].unique())}
@@ -131,14 +150,13 @@ def _scored_in_tasks(terms, measured, query_id, text_id, scope, carried, k) -> D
     packed = packed.sort_values("_term", kind="stable")
     starts = np.searchsorted(packed["_term"].to_numpy(dtype=np.int64), np.arange(len(vocabulary) + 1))
     postings = (starts, packed["_row"].to_numpy(dtype=np.int64), packed["_query_tf"].to_numpy(dtype=np.float64))
-    spark = measured.sparkSession
+    spark = weights.sparkSession
     shared = spark.sparkContext.broadcast((query_keys, postings))
     term_numbers = spark.createDataFrame(list(vocabulary.items()), "token string, _term bigint")
-    keys = [text_id, *carried, "_boost", "_length"]
-    # the window left every text's rows together; joining a broadcast side keeps them so
-    rows = measured.join(F.broadcast(term_numbers), "token").select(*keys, "_term", "w")
+    numbered = weights.join(F.broadcast(term_numbers), "token", "left")
+    rows = numbered.select(text_id, *carried, "_boost", F.coalesce("_term", F.lit(-1)).alias("_term"), "w")
     out_schema = T.StructType(
-        [terms.schema[query_id], *[measured.schema[c] for c in [*carried, text_id]], T.StructField("score", T.DoubleType())]
+        [terms.schema[query_id], *[weights.schema[c] for c in [*carried, text_id]], T.StructField("score", T.DoubleType())]
     )
     out_arrow = arrow_schema(out_schema)
 
@@ -180,7 +198,9 @@ def _score(frame, query_rows, postings, text_id, scope, carried):
     text_of_row, first = np.cumsum(new_text) - 1, np.flatnonzero(new_text)
     terms, weights = frame["_term"].to_numpy(), frame["w"].to_numpy()
     n_queries, n_texts = len(query_rows), len(first)
-    per_text = frame.iloc[first]
+    per_text, lengths = frame.iloc[first], np.sqrt(np.add.reduceat(weights**2, first))
+    asked = terms >= 0
+    terms, weights, text_of_row = terms[asked], weights[asked], text_of_row[asked]
     fan_out = starts[terms + 1] - starts[terms]
     step = max(1, SCORE_CELLS // max(1, n_queries))
     for low in range(0, n_texts, step):
@@ -196,8 +216,7 @@ def _score(frame, query_rows, postings, text_id, scope, carried):
             overlap += np.bincount(cells, weights[repeated] * posting_tf[at], minlength=len(overlap))
         chosen = np.flatnonzero(overlap)
         text, q = chosen // n_queries + low, chosen % n_queries
-        length, factor = per_text["_length"].to_numpy()[text], per_text["_boost"].to_numpy()[text]
-        score = np.round(np.round(overlap[chosen] / length, 6) * factor, 6)
+        score = np.round(np.round(overlap[chosen] / lengths[text], 6) * per_text["_boost"].to_numpy()[text], 6)
         for column in scope:
             agree = per_text[column].to_numpy()[text] == query_rows[column].to_numpy()[q]
             text, q, score = text[agree], q[agree], score[agree]

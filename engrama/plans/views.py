@@ -104,6 +104,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._seen = spark, sf_dir.rstrip("/"), {}
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # all times here are UTC
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or (name not in BASE_TABLES and name not in _VIEWS):
