@@ -29,12 +29,10 @@ ERRORS_SHOWN = 5
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 50
 RRF_CONSTANT = 60
-RRF_LIST_LENGTH = 20
 SUMMARY_SENTENCES = 3
 HALF_LIFE_DAYS = 30
 STALE_AFTER_DAYS = 30
 CONTEXT_EVENTS = 10
-TRACE_DEPTH = 6
 PQ_PARTS = 8
 PQ_BITS = 4
 PQ_RERANK = 4

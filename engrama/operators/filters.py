@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from engrama.defaults import DEFAULT_TOP_K, DEFAULT_WINDOW_FROM, DEFAULT_WINDOW_TO
+from engrama.session import join_null_safe
 
 
 @dataclass(frozen=True)
@@ -68,7 +69,7 @@ def latest_batches(df: DataFrame, keys: Sequence[str] = ("workspace_id", "datase
     newest = df.groupBy(*keys).agg(
         F.max(F.struct("event_time", "import_batch_id"))["import_batch_id"].alias("import_batch_id")
     )
-    return df.join(newest, [*keys, "import_batch_id"], "left_semi")
+    return join_null_safe(df, newest, [*keys, "import_batch_id"], "left_semi")
 
 
 def related(df: DataFrame, edges: DataFrame, constraints: Sequence[Mapping[str, str]], id_column: str) -> DataFrame:

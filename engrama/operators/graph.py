@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from engrama.defaults import CONTEXT_EVENTS, TRACE_DEPTH
+from engrama.defaults import CONTEXT_EVENTS
 from engrama.operators.ingest import document_chunks
 from engrama.session import materialize
 
 
-def proof_trace(roots: DataFrame, edges: DataFrame, max_depth: int = TRACE_DEPTH, root: str = "root_id") -> DataFrame:
-    """``(root, node_id, depth)``: everything reachable along edges, at its smallest depth.
+def proof_trace(roots: DataFrame, edges: DataFrame, max_depth: int | None = None, root: str = "root_id") -> DataFrame:
+    """``(root, node_id, depth)``: everything reachable along edges, at its smallest depth, up to ``max_depth`` if given.
 
     Breadth-first: each level is one join of the frontier with the edges, pinned
     by a checkpoint so that later levels do not repeat earlier joins.  Nodes seen
@@ -20,7 +22,9 @@ def proof_trace(roots: DataFrame, edges: DataFrame, max_depth: int = TRACE_DEPTH
     links = edges.select(F.col("src_id").alias("node_id"), "dst_id")
     seen = roots.select(root, F.col(root).alias("node_id")).distinct().withColumn("depth", F.lit(0).cast("bigint"))
     frontier = seen
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
+        if max_depth is not None and depth > max_depth:
+            break
         reached = frontier.join(links, "node_id").select(root, F.col("dst_id").alias("node_id")).distinct()
         fresh = reached.join(seen.select(root, "node_id"), [root, "node_id"], "left_anti")
         frontier = materialize(fresh.withColumn("depth", F.lit(depth).cast("bigint")))

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from engrama.defaults import (
     CHUNK_OVERLAP, CHUNK_SIZE, DEFAULT_BATCH_SIZE, DEFAULT_EVENT_TYPE, DEFAULT_TENANT, ERRORS_SHOWN,
-    MAX_BATCH_VECTORS, MAX_ID_BYTES, MAX_VECTOR_DIM,
+    MAX_BATCH_VECTORS, MAX_ID_BYTES, MAX_QUERY_BATCH, MAX_VECTOR_DIM,
 )
 from engrama.functions.text import blank_to, slug
-from engrama.operators.numbering import batch_of, dense_number
+from engrama.operators.numbering import batch_of, dense_number, running_total
+from engrama.session import join_null_safe
 
 # fixed values: texts and id formats callers see
 EVENT_ID_FORMAT = "evt_%s_%s_%08d"
@@ -20,7 +21,7 @@ BATCH_EVENT_ID_FORMAT = "evt_%s_%s_%s_%08d"
 EVENT_TEXT_FORMAT = "dataset=%s dataset_name:%s row:%d dim:%d dtype:float32 head:%s"
 FAILURE_FORMAT = "Batch operation failed: %d items failed across %d batches. Errors: %s"
 
-ASSEMBLE_CHARS = 16_000_000  # parts of larger uploads stay rows
+PAGE_CHARS = 1_000_000  # text pages of an assembled upload hold about so many characters
 
 
 # --- events -----------------------------------------------------------------
@@ -137,15 +138,22 @@ def missing_parts(parts: DataFrame) -> DataFrame:
     return expected.join(received, ["upload_batch_id", "segment_index"], "left_anti")
 
 
-def assembled_text(parts: DataFrame, max_chars: int = ASSEMBLE_CHARS) -> DataFrame:
-    """Ordered text of complete uploads up to ``max_chars``; larger ones are read as ordered part rows."""
-    status = upload_status(parts).where(F.col("complete") & (F.col("n_chars") <= max_chars))
-    small = parts.join(status.select("upload_batch_id", "segment_total", "n_chars").withColumnsRenamed(
-        {"segment_total": "_total", "n_chars": "_chars"}), "upload_batch_id")
-    pieces = F.array_sort(F.collect_list(F.struct("segment_index", "text")))
-    return small.groupBy("upload_batch_id").agg(
+def assembled_text(parts: DataFrame, page_chars: int = PAGE_CHARS) -> DataFrame:
+    """``(upload_batch_id, page, text)`` of complete uploads: their parts in order, joined by newlines.
+
+    A page takes neighbouring parts up to about ``page_chars`` characters (at least one part), so an
+    upload of any size comes out whole and no row grows with it; pages joined by newlines are the text.
+    """
+    complete = upload_status(parts).where("complete").select("upload_batch_id")
+    whole = parts.join(complete, "upload_batch_id", "left_semi").select("upload_batch_id", "segment_index", "text")
+    sized = whole.withColumn("_chars", F.length("text").cast("bigint") + 1)
+    placed = running_total(sized, ["upload_batch_id"], ["segment_index"], "_chars", "_upto")
+    paged = placed.withColumn("page", F.floor((F.col("_upto") - F.col("_chars")) / F.lit(page_chars)).cast("bigint"))
+    pieces = F.array_sort(F.collect_list(F.struct("segment_index", "text")))  # of one page
+    pages = paged.groupBy("upload_batch_id", "page").agg(
         F.array_join(F.transform(pieces, lambda p: p["text"]), "\n").alias("text")
     )
+    return pages
 
 
 # --- records and ids --------------------------------------------------------
@@ -174,8 +182,28 @@ def default_object_ids(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 
 # --- validation and accounting ----------------------------------------------
 
+def framed(rows: DataFrame, keys: Sequence[str], order: str, frame_rows: int = MAX_BATCH_VECTORS) -> DataFrame:
+    """Add ``frame``: the rows of each key in order, cut into frames of at most ``frame_rows``.
+
+    Only keys and order are numbered; ``order`` must be unique within a key.
+    """
+    numbered = dense_number(rows.select(*keys, order), [order], keys, "_i")
+    frames = numbered.select(*keys, order, F.floor(F.col("_i") / frame_rows).cast("bigint").alias("frame"))
+    return join_null_safe(rows, frames, [*keys, order])
+
+
+def check_query(dim: int, n_queries: int, n_ids: int | None = None) -> None:
+    """Refuse a query frame that no server takes: its dimension, its size and its ids."""
+    if not 0 < dim <= MAX_VECTOR_DIM:
+        raise ValueError(f"a query needs 1 to {MAX_VECTOR_DIM} dimensions, not {dim}")
+    if not 0 < n_queries <= MAX_QUERY_BATCH:
+        raise ValueError(f"a frame takes 1 to {MAX_QUERY_BATCH} queries, not {n_queries}")
+    if n_ids is not None and n_ids != n_queries:
+        raise ValueError(f"{n_ids} ids for {n_queries} vectors")
+
+
 def validate_vectors(rows: DataFrame, batch: Sequence[str], order: str) -> DataFrame:
-    """Add ``dim`` and ``reject_reason`` (null when the row is good)."""
+    """Add ``dim`` and ``reject_reason`` (null when the row is good); ``batch`` names one frame, see ``framed``."""
     sized = rows.withColumn("dim", F.coalesce(F.size("embedding"), F.lit(0)))
     per_batch = sized.groupBy(*batch).agg(
         F.min_by("dim", order).alias("_first_dim"), F.count(F.lit(1)).alias("_rows")
@@ -188,7 +216,7 @@ def validate_vectors(rows: DataFrame, batch: Sequence[str], order: str) -> DataF
         .when(F.octet_length("object_id") > MAX_ID_BYTES, "object id too long")
         .when(F.octet_length("segment_id") > MAX_ID_BYTES, "segment id too long")
     )
-    checked = sized.join(per_batch, list(batch)).withColumn("reject_reason", reason)
+    checked = join_null_safe(sized, per_batch, list(batch)).withColumn("reject_reason", reason)
     return checked.drop("_first_dim", "_rows")
 
 

@@ -15,10 +15,13 @@ from engrama.defaults import HALF_LIFE_DAYS, STALE_AFTER_DAYS, SUMMARY_SENTENCES
 from engrama.functions.text import normal_form, sentences
 from engrama.functions.vectors import r6
 from engrama.operators.ingest import materialize_memory
+from engrama.operators.numbering import dense_number
 from engrama.operators.text_search import term_counts, token_idf, with_idf
-from engrama.session import materialize, spread
+from engrama.session import join_null_safe, materialize, spread
 from engrama.sources import snapshots
 
+CONFIRM_COLD = "purge_cold_tier"  # fixed value: what a caller must send
+
 
 # --- aging and merging ------------------------------------------------------
 
@@ -45,10 +48,11 @@ def copy_groups(memory: DataFrame) -> DataFrame:
     keys = ["workspace_id", "agent_id", "_digest"]
     digests = materialize(spread(memory).select(
         "memory_id", "workspace_id", "agent_id", "importance", "source_event_ids",
-        F.md5(normal_form(F.col("text"))).alias("_digest"),
+        # a memory without text is no copy of another
+        F.coalesce(F.md5(normal_form(F.col("text"))), F.concat(F.lit("id "), "memory_id")).alias("_digest"),
     ))
     kept = digests.groupBy(*keys).agg(F.min("memory_id").alias("kept_id"))
-    return digests.join(kept, keys).drop("_digest")
+    return join_null_safe(digests, kept, keys).drop("_digest")
 
 
 def compressed(memory: DataFrame) -> DataFrame:
@@ -91,7 +95,7 @@ def conflict_winners(states: DataFrame, key: str, id_column: str, newest: Sequen
     order = F.struct(*newest, id_column)
     winners = states.groupBy(key).agg(F.max(order)[id_column].alias("_winner"))
     won = F.col(id_column) == F.col("_winner")
-    return states.join(winners, key).withColumns({
+    return join_null_safe(states, winners, [key]).withColumns({
         "is_active": won, "superseded_by": F.when(~won, F.col("_winner")),
     }).drop("_winner")
 
@@ -118,7 +122,8 @@ def source_match(workspace_id: str, reference_id: str = "", event_id: str = "",
 
 
 def soft_deleted(memory: DataFrame, match: Column) -> DataFrame:
-    return memory.withColumn("is_active", F.col("is_active") & ~match)
+    """Matching rows made inactive; all others keep what they had, null included."""
+    return memory.withColumn("is_active", F.when(match, F.lit(False)).otherwise(F.col("is_active")))
 
 
 def deletion_report(memory: DataFrame, match: Column) -> DataFrame:
@@ -129,9 +134,13 @@ def deletion_report(memory: DataFrame, match: Column) -> DataFrame:
 
 
 def purged(memory: DataFrame, match: Column, only_if_inactive: bool = True) -> DataFrame:
-    """Matching rows removed; active ones stay unless told otherwise."""
-    gone = match & ~F.col("is_active") if only_if_inactive else match
-    return memory.where(~gone)
+    """Matching rows removed; those not known to be inactive stay unless told otherwise."""
+    return memory.where(~_gone(match, only_if_inactive))
+
+
+def _gone(match: Column, only_if_inactive: bool) -> Column:
+    """True for rows to remove, false for all others: an unknown match is no match."""
+    return F.coalesce(match & ~F.col("is_active") if only_if_inactive else match, F.lit(False))
 
 
 def dataset_match(workspace_id: str, dataset_name: str) -> Column:
@@ -140,13 +149,13 @@ def dataset_match(workspace_id: str, dataset_name: str) -> Column:
     return (F.col("workspace_id") == workspace_id) & (F.col("dataset_name") == dataset_name)
 
 
-def cold_purged(memory: DataFrame, confirm: bool, dry_run: bool = False) -> DataFrame:
-    """Cold rows removed; a dry run only counts them."""
+def cold_purged(memory: DataFrame, confirm: str = "", dry_run: bool = False) -> DataFrame:
+    """Cold rows removed, given the literal ``CONFIRM_COLD``; a dry run only counts them."""
     if dry_run:
         return memory.where("tier = 'cold'").agg(F.count(F.lit(1)).alias("n_cold"))
-    if not confirm:
-        raise ValueError("purging the cold tier needs confirm")
-    return memory.where("tier <> 'cold'")
+    if confirm != CONFIRM_COLD:
+        raise ValueError(f"purging the cold tier needs confirm={CONFIRM_COLD!r}")
+    return memory.where("NOT tier <=> 'cold'")
 
 
 def rolled_back(memory: DataFrame, memory_id: str, action: str) -> DataFrame:
@@ -163,11 +172,12 @@ def purge_job(
 ) -> DataFrame:
     """Hard purge of a versioned table; a repeated key returns the stored report and changes nothing.
 
-    The audit row, naming the version to come, is written first.  A run that died
-    in between left an audit row whose version does not exist; the repeat writes it.
+    The audit row is written first.  A version carries the key of the job that wrote
+    it, so a run that died in between is told from one that finished, whatever other
+    jobs wrote meanwhile; the repeat then purges what the table holds by now.
     """
     current = snapshots.read_version(spark, table)
-    gone = match & ~F.col("is_active") if only_if_inactive else match
+    gone = _gone(match, only_if_inactive)
     counts = current.agg(F.count_if(gone).alias("n_removed"), F.count_if(~gone).alias("n_left"))
     if dry_run:
         return counts
@@ -180,8 +190,8 @@ def purge_job(
             F.lit(finished[-1] + 1).cast("bigint").alias("version"), "n_removed", "n_left",
         )
         snapshots.write_version(row if history is None else history.unionByName(row), audit)
-    if stored is None or stored["version"] not in finished:
-        snapshots.write_version(current.where(~gone), table, partition_by)
+    if idempotency_key not in snapshots.finished_jobs(spark, table):
+        snapshots.write_version(current.where(~gone), table, partition_by, job=idempotency_key)
     return snapshots.read_version(spark, audit).where(F.col("idempotency_key") == idempotency_key)
 
 
@@ -193,8 +203,11 @@ def replayed(log: DataFrame, from_lsn: int, limit: int | None = None) -> DataFra
 
 
 def log_slice(log: DataFrame, from_lsn: int, limit: int | None = None) -> DataFrame:
+    """The log from a position on; of a limited slice the rows are numbered, so no task holds them all."""
     kept = log.where(F.col("lsn") >= from_lsn)
-    return kept.orderBy("lsn").limit(limit) if limit else kept
+    if not limit:
+        return kept
+    return dense_number(kept, ["lsn"], name="_i").where(F.col("_i") < limit).drop("_i")
 
 
 def replay_preview(log: DataFrame, from_lsn: int, limit: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from engrama.session import materialize
+from engrama.session import join_null_safe, materialize
 
 _SEGMENT, _SLOT, _LOCAL, _BEFORE = "_segment", "_slot", "_local", "_before"
 
@@ -50,7 +50,7 @@ def dense_number(
         shift = first_slot.select(
             _SEGMENT, *keys, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(_BEFORE)
         )
-        numbered = segments.join(shift, [_SEGMENT, *keys]).withColumn(
+        numbered = join_null_safe(segments, shift, [_SEGMENT, *keys]).withColumn(
             name, F.col(_SLOT) - F.col("_first") + F.col(_BEFORE)
         )
     else:
@@ -75,7 +75,7 @@ def running_total(
         Window.partitionBy(_SEGMENT, *keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, 0)
     )
     local = segments.withColumn(_LOCAL, F.sum(value).over(inside))
-    return local.join(shift, [_SEGMENT, *keys]).select(
+    return join_null_safe(local, shift, [_SEGMENT, *keys]).select(
         *df.columns, (F.col(_LOCAL) + F.col(_BEFORE)).alias(name)
     )
 

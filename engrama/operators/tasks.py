@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engrama.functions.vectors import r6
-from engrama.operators.numbering import running_total
+from engrama.operators.numbering import dense_number, running_total
+from engrama.session import join_null_safe
 
 
 def task_summary(tasks: DataFrame, durations: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def claims(attempts: DataFrame) -> DataFrame:
     """Every claim, with whether it was the first for its task; one small struct per task is compared."""
     first = attempts.groupBy("task_id").agg(F.min(F.struct("claimed_at", "order_key", "agent_id")).alias("_first"))
     mine = F.struct("claimed_at", "order_key", "agent_id")
-    return attempts.join(first, "task_id").withColumn("is_winner", mine == F.col("_first")).drop("_first")
+    return join_null_safe(attempts, first, ["task_id"]).withColumn("is_winner", mine == F.col("_first")).drop("_first")
 
 
 def stage_progress(stages: DataFrame) -> DataFrame:
@@ -65,11 +66,13 @@ def answer_consistency(scores: DataFrame) -> DataFrame:
 def handoffs(turns: DataFrame) -> DataFrame:
     """Counts of (from agent, to agent) between neighbouring turns.
 
-    Turn numbers are dense, so the previous turn is an equi-join on the number
-    before; unlike a lag window this does not gather a long session.
+    Turns are numbered densely, so gaps in their own numbers don't matter and the
+    previous turn is an equi-join on the number before; unlike a lag window this
+    does not gather a long session.
     """
-    earlier = turns.select("session_id", (F.col("seq") + 1).alias("seq"), F.col("agent_id").alias("from_agent_id"))
-    return turns.join(earlier, ["session_id", "seq"]).groupBy(
+    placed = dense_number(turns.select("session_id", "seq", "agent_id"), ["seq", "agent_id"], ["session_id"], "_i")
+    earlier = placed.select("session_id", (F.col("_i") + 1).alias("_i"), F.col("agent_id").alias("from_agent_id"))
+    return join_null_safe(placed, earlier, ["session_id", "_i"]).groupBy(
         "from_agent_id", F.col("agent_id").alias("to_agent_id")
     ).agg(F.count(F.lit(1)).alias("n_handoffs"))
 
@@ -83,12 +86,21 @@ def store_metrics(events: DataFrame, storage: bool = False) -> DataFrame:
     return events.groupBy("workspace_id", "event_type").agg(*measures)
 
 
-def aggregate_across_agents(hits_by_agent: DataFrame, visible: DataFrame, requester: str, k: int) -> DataFrame:
-    """The requester's best visible memories over all source agents, keeping the source."""
-    allowed = visible.where(F.col("viewer_agent_id") == requester).select("memory_id")
+def visible_to(shared: DataFrame, requester: str) -> DataFrame:
+    """Ids of the memories a requester may see, to be searched in; cutting hits down later would lose some."""
+    return shared.where(F.col("viewer_agent_id") == requester).select("memory_id").distinct()
+
+
+def aggregate_across_agents(hits_by_agent: DataFrame, k: int) -> DataFrame:
+    """The best memories over all source agents, keeping the source; the hits are among visible memories already."""
     ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "memory_id")
-    seen = hits_by_agent.join(allowed, "memory_id", "left_semi").drop("rank")
-    return seen.withColumn("rank", F.row_number().over(ranking).cast("bigint")).where(F.col("rank") <= k)
+    ranked = hits_by_agent.drop("rank").withColumn("rank", F.row_number().over(ranking).cast("bigint"))
+    return ranked.where(F.col("rank") <= k)
+
+
+def source_agents(hits: DataFrame) -> DataFrame:
+    """``(query_id, source_agent_id, n_hits)``: which agents' memories an aggregate came from, as rows."""
+    return hits.groupBy("query_id", F.col("agent_id").alias("source_agent_id")).agg(F.count(F.lit(1)).alias("n_hits"))
 
 
 def retrieval_eval(retrieved: DataFrame, truth: DataFrame) -> DataFrame:

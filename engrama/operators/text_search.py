@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engrama.defaults import (
-    BROADCAST_BYTES, DEFAULT_TOP_K, RRF_CONSTANT, RRF_LIST_LENGTH, SCORE_CELLS, TEXT_VECTOR_DIM,
+    BROADCAST_BYTES, DEFAULT_TOP_K, RRF_CONSTANT, SCORE_CELLS, TEXT_VECTOR_DIM,
 )
 from engrama.functions.text import TOKEN_SPLIT
 from engrama.functions.vectors import Best, arrow_schema, r6, sortable
@@ -236,10 +236,10 @@ def ranked(found: DataFrame, keys: Sequence[str], id_column: str, k: int) -> Dat
 
 
 def rrf_fusion(lists: Sequence[DataFrame], key: str, id_column: str, k: int) -> DataFrame:
-    """Reciprocal rank fusion of ranked lists, each cut at its first entries."""
+    """Reciprocal rank fusion of ranked lists, taken as long as they are given."""
     pooled = None
     for ranked_list in lists:
-        part = ranked_list.where(F.col("rank") <= RRF_LIST_LENGTH).select(key, id_column, "rank")
+        part = ranked_list.select(key, id_column, "rank")
         pooled = part if pooled is None else pooled.unionByName(part)
     fused = pooled.groupBy(key, id_column).agg(r6(F.sum(1.0 / (RRF_CONSTANT + F.col("rank")))).alias("score"))
     return ranked(fused, [key], id_column, k)

@@ -221,21 +221,21 @@ def answer_consistency(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH {WEIGHTS}, {QTERMS}, {OVERLAP},
-ha AS (SELECT * FROM sc JOIN (SELECT memory_id, agent_id FROM fx_memory) USING (memory_id)
-       QUALIFY row_number() OVER (PARTITION BY query_id, agent_id ORDER BY score DESC, memory_id) <= 5),
 vis AS (SELECT memory_id FROM fx_memory WHERE agent_id = 'a_2'
         UNION SELECT memory_id FROM fx_memory m JOIN fx_share_contracts c
-        ON owner_agent_id = agent_id AND c.workspace_id = m.workspace_id WHERE grantee_agent_id = 'a_2')
+        ON owner_agent_id = agent_id AND c.workspace_id = m.workspace_id WHERE grantee_agent_id = 'a_2'),
+ha AS (SELECT * FROM sc JOIN (SELECT memory_id, agent_id FROM fx_memory SEMI JOIN vis USING (memory_id)) USING (memory_id)
+       QUALIFY row_number() OVER (PARTITION BY query_id, agent_id ORDER BY score DESC, memory_id) <= 5)
 SELECT query_id, agent_id, memory_id, score, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, memory_id) AS rank
-  FROM ha SEMI JOIN vis USING (memory_id))
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, memory_id) AS rank FROM ha)
 WHERE rank <= 5
 """)
 def mas_aggregate(t: Tables) -> DataFrame:
-    """For one requester: the best of every source agent, cut down to what the requester may see."""
-    hits = ts.text_search(t.fx_queries, t.fx_memory, k=5, within=["agent_id"])
-    visible = graph.shared_view(t.fx_memory, t.fx_share_contracts)
-    return tasks.aggregate_across_agents(hits, visible, "a_2", 5)
+    """For one requester: the best of every source agent among what the requester may see."""
+    seen = tasks.visible_to(graph.shared_view(t.fx_memory, t.fx_share_contracts), "a_2")
+    visible = t.fx_memory.join(seen, "memory_id", "left_semi")
+    hits = ts.text_search(t.fx_queries, visible, k=5, within=["agent_id"], corpus=t.fx_memory)
+    return tasks.aggregate_across_agents(hits, 5)
 
 
 @query("""

@@ -219,7 +219,7 @@ def event_canonicalize(t: Tables) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT page_id, trim(regexp_replace(url, '[^A-Za-z0-9_-]+', '_', 'g'), '_') AS d,
-                  trim(regexp_replace(substring(html, 1, 40), '[^A-Za-z0-9_-]+', '_', 'g'), '_') AS f FROM pages)
+                  trim(regexp_replace(html, '[^A-Za-z0-9_-]+', '_', 'g'), '_') AS f FROM pages)
 SELECT page_id, concat('evt_', CASE d WHEN '' THEN 'dataset' ELSE d END, '_',
                        CASE f WHEN '' THEN 'file' ELSE f END, '_', lpad(page_id::varchar, 8, '0')) AS event_id,
        concat('evt_', CASE d WHEN '' THEN 'dataset' ELSE d END, '_batch_', CASE f WHEN '' THEN 'file' ELSE f END,
@@ -228,7 +228,7 @@ FROM s
 """)
 def event_id_slug(t: Tables) -> DataFrame:
     """Event ids from page addresses; the empty batch name falls back to its word."""
-    stem = F.substring("html", 1, 40)
+    stem = F.col("html")
     return t.pages.select(
         "page_id",
         ingest.event_slug_id(F.col("url"), stem, F.col("page_id")).alias("event_id"),
@@ -331,11 +331,13 @@ def document_parts_missing(t: Tables) -> DataFrame:
 
 @query(f"""
 WITH {_PARTS}
-SELECT upload_batch_id, string_agg(text, chr(10) ORDER BY segment_index) AS text
-FROM p GROUP BY 1 HAVING count(*) = max(segment_total)
+SELECT upload_batch_id, page, string_agg(text, chr(10) ORDER BY segment_index) AS text FROM (
+  SELECT *, CAST(floor((sum(length(text) + 1) OVER w - length(text) - 1) / 1000000) AS BIGINT) AS page
+  FROM p SEMI JOIN (SELECT upload_batch_id FROM p GROUP BY 1 HAVING count(*) = max(segment_total)) USING (upload_batch_id)
+  WINDOW w AS (PARTITION BY upload_batch_id ORDER BY segment_index)) GROUP BY 1, 2
 """)
 def document_parts_text(t: Tables) -> DataFrame:
-    """Ordered text of the complete uploads."""
+    """Ordered text pages of the complete uploads."""
     return ingest.assembled_text(_parts(t))
 
 
@@ -441,14 +443,16 @@ def error_summary(t: Tables) -> DataFrame:
 
 @query("""
 WITH b AS (SELECT *, CASE WHEN vec_id % 137 = 0 THEN embedding[1:63] ELSE embedding END AS e FROM fx_vectors),
-f AS (SELECT *, len(e) AS dim, first_value(len(e)) OVER (PARTITION BY segment_id ORDER BY vec_id) AS fd FROM b)
+n AS (SELECT *, (row_number() OVER (PARTITION BY segment_id ORDER BY vec_id) - 1) // 4194304 AS frame FROM b),
+f AS (SELECT *, len(e) AS dim, first_value(len(e)) OVER (PARTITION BY segment_id, frame ORDER BY vec_id) AS fd FROM n)
 SELECT segment_id, object_id, CAST(dim AS INTEGER) AS dim,
        CASE WHEN dim <> fd THEN 'dimension differs from the batch' END AS reject_reason
 FROM f
 """)
 def vector_validate(t: Tables) -> DataFrame:
-    """Per-row verdicts, each segment being one batch; rows with a reason go to quarantine."""
-    checked = ingest.validate_vectors(_damaged(t), ["segment_id"], "vec_id")
+    """Per-row verdicts, each segment being cut into frames; rows with a reason go to quarantine."""
+    framed = ingest.framed(_damaged(t), ["segment_id"], "vec_id")
+    checked = ingest.validate_vectors(framed, ["segment_id", "frame"], "vec_id")
     return checked.select("segment_id", "object_id", "dim", "reject_reason")
 
 

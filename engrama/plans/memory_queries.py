@@ -345,7 +345,7 @@ def dataset_purge(t: Tables) -> DataFrame:
 SELECT {_LIST} FROM fx_memory WHERE tier <> 'cold'
 """)
 def cold_purge(t: Tables) -> DataFrame:
-    return lifecycle.cold_purged(t.fx_memory, confirm=True).select(*_COLUMNS)
+    return lifecycle.cold_purged(t.fx_memory, confirm=lifecycle.CONFIRM_COLD).select(*_COLUMNS)
 
 
 @query("""

@@ -47,9 +47,7 @@ def stream_ingest_dedup(t: Tables) -> DataFrame:
     twice = t.fx_events.unionByName(t.fx_events.where("event_type = 'purchase'"))
     output, state = _folders(t, "dedup")
     jobs.deduplicated_ingest(_stream_of(t, twice, "events"), output, state)
-    return t.spark.read.parquet(output).select(
-        "event_id", "workspace_id", "event_type", F.col("event_time").cast("timestamp_ntz").alias("event_time")
-    )
+    return jobs.ingested(t.spark, output).select("event_id", "workspace_id", "event_type", "event_time")
 
 
 @query("""
@@ -68,27 +66,25 @@ def stream_materialize(t: Tables) -> DataFrame:
 @query("""
 WITH w AS (SELECT date_trunc('day', event_time) AS window_start, workspace_id, event_type, count(*) AS n_events,
                   CAST(sum(strlen(payload)) AS BIGINT) AS payload_bytes FROM fx_events GROUP BY 1, 2, 3)
-SELECT * FROM w WHERE window_start + interval 1 day <= (SELECT max(event_time) - interval 1 hour FROM fx_events)
+SELECT *, 0::bigint AS n_late, window_start + interval 1 day <= (SELECT max(event_time) - interval 1 hour FROM fx_events) AS closed FROM w
 """)
 def stream_metrics(t: Tables) -> DataFrame:
-    """Daily counts of all closed days."""
+    """Daily counts of all days, closed and open."""
     output, state = _folders(t, "metrics")
     jobs.window_metrics(_stream_of(t, t.fx_events, "events"), output, state)
-    return t.spark.read.parquet(output)
+    return jobs.metrics(t.spark, output)
 
 
-@query("""
-WITH s AS (SELECT task_id, task_type, started_at FROM fx_tasks),
+_OUTCOMES = """
+s AS (SELECT task_id, task_type, started_at FROM fx_tasks),
 f AS (SELECT o_orderkey AS task_id, o_orderdate + to_hours(CAST(floor(o_totalprice / 1000) AS INTEGER)) AS finished_at
       FROM orders WHERE o_orderstatus <> 'O'),
 w AS (SELECT least((SELECT max(started_at) FROM s), (SELECT max(finished_at) FROM f)) - interval 1 hour AS mark),
-j AS (SELECT s.*, finished_at FROM s LEFT JOIN f ON s.task_id = f.task_id AND finished_at <= started_at + interval 10 day)
-SELECT task_id, task_type, started_at, CASE WHEN finished_at IS NULL THEN 'timed_out' ELSE 'completed' END AS outcome,
-       (epoch_us(finished_at) - epoch_us(started_at)) / 1000.0::double AS duration_ms
-FROM j, w WHERE finished_at IS NOT NULL OR started_at + interval 10 day < mark
-""")
-def stream_task_lifecycle(t: Tables) -> DataFrame:
-    """Orders as tasks; the dearer an order, the longer it takes, and some take too long."""
+j AS (SELECT s.*, finished_at FROM s LEFT JOIN f ON s.task_id = f.task_id AND finished_at <= started_at + interval 10 day)"""
+
+
+def _task_stream(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Starts and outcomes of orders as tasks; the dearer an order, the longer it takes, and some take too long."""
     starts = t.fx_tasks.select("task_id", "task_type", "started_at")
     hours = F.make_dt_interval(hours=F.floor(F.col("o_totalprice") / 1000).cast("int"))
     completions = t.orders.where("o_orderstatus <> 'O'").select(
@@ -96,4 +92,24 @@ def stream_task_lifecycle(t: Tables) -> DataFrame:
     )
     output, state = _folders(t, "tasks")
     jobs.task_lifecycle(_stream_of(t, starts, "starts"), _stream_of(t, completions, "completions"), output, state)
-    return t.spark.read.parquet(output)
+    return starts, t.spark.read.parquet(output)
+
+
+@query(f"""
+WITH {_OUTCOMES}
+SELECT task_id, task_type, started_at, CASE WHEN finished_at IS NULL THEN 'timed_out' ELSE 'completed' END AS outcome,
+       (epoch_us(finished_at) - epoch_us(started_at)) / 1000.0::double AS duration_ms
+FROM j, w WHERE finished_at IS NOT NULL OR started_at + interval 10 day < mark
+""")
+def stream_task_lifecycle(t: Tables) -> DataFrame:
+    """Orders as tasks: completed or timed out."""
+    return _task_stream(t)[1]
+
+
+@query(f"""
+WITH {_OUTCOMES}
+SELECT task_id, task_type, started_at FROM j, w WHERE NOT coalesce(finished_at IS NOT NULL OR started_at + interval 10 day < mark, false)
+""")
+def stream_open_tasks(t: Tables) -> DataFrame:
+    """The tasks that are neither so far."""
+    return jobs.open_tasks(*_task_stream(t))

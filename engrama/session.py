@@ -11,6 +11,8 @@ import pathlib
 import shutil
 import tempfile
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +76,13 @@ def spread(df: DataFrame, *keys: str, floor: int = 1024 * 1024) -> DataFrame:
     return df.repartition(cores, *keys) if floor < size < cores * split else df
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; the key columns are the left side's."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    matched = reduce(and_, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
+    return left.join(renamed, matched, how).drop(*[f"_right_{k}" for k in keys])
+
+
 _shipped: set[str] = set()
 
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
+import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +16,8 @@ from engrama.sources import fbin
 
 
 def new_import_batch_id() -> str:
-    """A fresh id for one load, distinct even within one second."""
-    now = dt.datetime.now(dt.timezone.utc)
-    return f"batch_{now:%Y%m%dT%H%M%S}_{now.microsecond:06d}_{time.time_ns()}"
+    """A fresh id for one load: the day it began and a random part."""
+    return f"load-{dt.date.today():%Y-%m-%d}-{uuid.uuid4().hex}"
 
 
 @F.pandas_udf(T.StringType())
@@ -74,7 +73,7 @@ def bulk_upload(
     import_batch_id: str = "",
     **event_fields,
 ) -> int:
-    """Append the events of a vector file or folder to ``table_path``; returns the number of rows.
+    """Append the events of a vector file or folder to ``table_path``; returns the number of rows written.
 
     A dry run reads one row, writes nothing and returns 1, or 0 for an empty file.
     """
@@ -82,5 +81,7 @@ def bulk_upload(
         return fbin.read(spark, path, limit=1).limit(1).count()
     rows = fbin.read(spark, path, limit=max(0, limit))
     batch_id = import_batch_id.strip() or new_import_batch_id()
-    vector_events(rows, dataset, workspace_id, batch_id, **event_fields).write.mode("append").parquet(table_path)
-    return fbin.read(spark, path, mode="header", limit=max(0, limit)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    written = Observation()
+    events = vector_events(rows, dataset, workspace_id, batch_id, **event_fields)
+    events.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(table_path)
+    return written.get["n"]

@@ -1,8 +1,8 @@
 """``.fbin`` vector files: ``uint32 n, uint32 dim`` and ``n * dim`` little-endian float32 values.
 
-``spark.read.format("fbin")`` splits every file into row ranges, since row ``i``
-starts at byte ``8 + 4 * dim * i``; each task reads only its range and yields
-Arrow batches.  ``df.write.format("fbin")`` writes bounded files per task.
+``spark.read.format("fbin")`` splits every file into byte ranges; row ``i`` starts
+at byte ``8 + 4 * dim * i``, so each task reads the rows beginning in its range and
+yields Arrow batches.  ``df.write.format("fbin")`` writes bounded files per task.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 import glob
 import os
 import struct
+import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -62,6 +64,15 @@ def _files(path: str) -> list[str]:
     return [prefix + f for f in found]
 
 
+def _sizes(path: str) -> list[tuple[str, int]]:
+    """Files with their bytes, from one listing per call of the file system."""
+    files = _files(path)
+    if not files:
+        return []
+    system, _ = _open(files[0])
+    return [(f, info.size) for f, info in zip(files, system.get_file_info([_open(f)[1] for f in files]))]
+
+
 def read_header(path: str) -> tuple[int, int]:
     system, inner = _open(path)
     with system.open_input_file(inner) as source:
@@ -80,11 +91,12 @@ class FilePart(InputPartition):
 
 
 @dataclass
-class RowRange(InputPartition):
+class ByteRange(InputPartition):
+    """Rows beginning in bytes [start, end) of a file; the last range of a file has no end."""
+
     path: str
-    dim: int
     start: int
-    end: int
+    end: int | None
 
 
 class FbinSource(DataSource):
@@ -122,35 +134,40 @@ class RowReader(DataSourceReader):
         self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))
 
     def partitions(self):
+        """Ranges by file size alone: headers are opened by the tasks, not by the driver one after the other."""
         parts = []
-        for path in _files(self.path):
-            n, dim = read_header(path)
-            n = min(n, self.limit) if self.limit > 0 else n
-            step = max(1, self.split_bytes // (4 * dim))
-            parts += [RowRange(path, dim, i, min(i + step, n)) for i in range(0, n, step)]
-        return parts or [RowRange(self.path, 1, 0, 0)]  # Spark wants one partition even when there is no row
+        for path, size in _sizes(self.path):
+            cuts = list(range(0, max(size, 1), self.split_bytes))
+            parts += [ByteRange(path, a, b) for a, b in zip(cuts, [*cuts[1:], None])]
+        return parts or [ByteRange("", 0, 0)]  # Spark wants one partition even when there is no row
 
     def read(self, part) -> Iterator[pa.RecordBatch]:
-        if part.start == part.end:
+        if not part.path:
             return
+        n, dim = read_header(part.path)
+        n = min(n, self.limit) if self.limit > 0 else n
         system, inner = _open(part.path)
-        width = 4 * part.dim
+        width = 4 * dim
         step = max(1, BATCH_BYTES // width)
+        begin = max(0, -(-(part.start - HEADER.size) // width))
+        stop = n if part.end is None else min(n, -(-(part.end - HEADER.size) // width))
+        if begin >= stop:
+            return
         with system.open_input_file(inner) as source:
-            source.seek(HEADER.size + width * part.start)
-            for first in range(part.start, part.end, step):
-                rows = min(step, part.end - first)
+            source.seek(HEADER.size + width * begin)
+            for first in range(begin, stop, step):
+                rows = min(step, stop - first)
                 raw = source.read(rows * width)
                 if len(raw) != rows * width:
-                    raise ValueError(f"{part.path}: truncated data at row {first + len(raw) // width}")
+                    raise ValueError(f"{part.path}: the header promises {n} rows, the file ends in row {first + len(raw) // width}")
                 flat = pa.array(np.frombuffer(raw, dtype="<f4"))
-                offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * part.dim)
+                offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * dim)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part.path] * rows),
                         pa.array([os.path.basename(part.path)] * rows),
                         pa.array(np.arange(first, first + rows, dtype=np.int64)),
-                        pa.array(np.full(rows, part.dim, dtype=np.int32)),
+                        pa.array(np.full(rows, dim, dtype=np.int32)),
                         pa.ListArray.from_arrays(offsets, flat),
                     ],
                     names=["path", "file_name", "row_index", "dim", "vector"],
@@ -164,18 +181,26 @@ class Written(WriterCommitMessage):
 
 class FbinWriter(DataSourceArrowWriter):
     """Takes one vector column.  Files are closed at ``fileBytes``, so their row count is known when the
-    header is written and nothing is rewritten in place; names depend only on the partition, so a retried
-    task replaces its own files."""
+    header is written and nothing is rewritten in place.
+
+    Tasks write into a folder of this write; committing moves the finished tasks' files out of it, so an
+    append never meets earlier files and a lost or repeated task leaves nothing behind.  Names begin with the
+    time of the write, so files of later appends sort behind earlier ones.
+    """
 
     def __init__(self, options):
         self.path = options["path"]
+        self.write_id = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        self.pending = f"{self.path.rstrip('/')}/_pending-{self.write_id}"
         self.column = options.get("column", "vector")
         self.file_bytes = int(options.get("fileBytes", SPLIT_BYTES))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         from pyspark import TaskContext
 
-        partition, paths, blocks, held = TaskContext.get().partitionId(), [], [], 0
+        context = TaskContext.get()
+        partition, attempt = context.partitionId(), context.taskAttemptId()
+        paths, blocks, held = [], [], 0
 
         def flush():
             nonlocal blocks, held
@@ -184,7 +209,7 @@ class FbinWriter(DataSourceArrowWriter):
             if len({b.shape[1] for b in blocks}) != 1:
                 raise ValueError("all vectors of one file must have the same dimension")
             rows = np.concatenate(blocks)
-            target = f"{self.path.rstrip('/')}/part-{partition:05d}-{len(paths):04d}{SUFFIX}"
+            target = f"{self.pending}/{attempt}/part-{self.write_id}-{partition:05d}-{len(paths):04d}{SUFFIX}"
             system, inner = _open(target)
             system.create_dir(os.path.dirname(inner), recursive=True)
             with system.open_output_stream(inner) as sink:
@@ -208,6 +233,22 @@ class FbinWriter(DataSourceArrowWriter):
         flush()
         return Written(paths)
 
+    def commit(self, messages) -> None:
+        system, root = _open(self.path.rstrip("/"))
+        system.create_dir(root, recursive=True)
+        for path in (p for m in messages if m for p in m.paths):
+            inner = _open(path)[1]
+            system.move(inner, f"{root}/{os.path.basename(inner)}")
+        self._clear()
+
+    def abort(self, messages) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        system, inner = _open(self.pending)
+        if system.get_file_info(inner).type == fs.FileType.Directory:
+            system.delete_dir(inner)
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(FbinSource)

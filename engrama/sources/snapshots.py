@@ -7,9 +7,13 @@ readable.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from engrama.session import join_null_safe
+
 ROWS_PER_FILE = 5_000_000
 
 
@@ -19,40 +23,73 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target, jvm
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target, _ = _file_system(spark, path)
+    return system.exists(target)
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Finished versions, oldest first."""
+    return sorted({number for number, _ in _folders(spark, root)})
+
+
+def _folders(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, folder name) of all finished versions, oldest first."""
     system, target, jvm = _file_system(spark, root)
     if not system.exists(target):
         return []
     names = [status.getPath().getName() for status in system.listStatus(target)]
     return sorted(
-        int(n[2:]) for n in names
+        (int(n[2:].split("-")[0]), n) for n in names
         if n.startswith("v=") and system.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))
     )
 
 
-def write_version(df: DataFrame, root: str, partition_by: str | None = None) -> int:
-    """Write the next version and return its number; ``df`` may read an earlier one."""
+def _job_mark(job: str) -> str:
+    return hashlib.sha256(job.encode()).hexdigest()[:32]
+
+
+class _Finished:
+    """Which jobs wrote a finished version, by the mark in its folder's name."""
+
+    def __init__(self, marks: set[str]):
+        self.marks = marks
+
+    def __contains__(self, job: str) -> bool:
+        return _job_mark(job) in self.marks
+
+
+def finished_jobs(spark: SparkSession, root: str) -> _Finished:
+    return _Finished({name.split("-")[1] for _, name in _folders(spark, root) if "-" in name})
+
+
+def write_version(df: DataFrame, root: str, partition_by: str | None = None, job: str = "") -> int:
+    """Write the next version and return its number; ``df`` may read an earlier one.
+
+    With ``job`` the folder's name carries the job's mark, and becomes finished
+    together with it.
+    """
     spark = df.sparkSession
     number = (versions(spark, root) or [0])[-1] + 1
+    path = f"{root}/v={number}" + (f"-{_job_mark(job)}" if job else "")
     if partition_by:
-        spread_by(df, partition_by).write.partitionBy(partition_by).mode("overwrite").parquet(f"{root}/v={number}")
+        spread_by(df, partition_by).write.partitionBy(partition_by).mode("overwrite").parquet(path)
     else:
-        df.write.mode("overwrite").parquet(f"{root}/v={number}")
+        df.write.mode("overwrite").parquet(path)
     return number
 
 
 def read_version(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
-    found = versions(spark, root)
+    found = [name for n, name in _folders(spark, root) if number in (None, n)]
     if not found:
         raise FileNotFoundError(root)
-    return spark.read.parquet(f"{root}/v={number or found[-1]}")
+    return spark.read.parquet(f"{root}/{found[-1]}")
 
 
 def spread_by(df: DataFrame, key: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Gather rows by ``key`` for a partitioned write, with a hot key cut into several tasks."""
     shares = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_pieces"))
-    cut = df.join(shares, key).withColumn("_piece", F.pmod(F.xxhash64(*df.columns), "_pieces"))
+    cut = join_null_safe(df, shares, [key]).withColumn("_piece", F.pmod(F.xxhash64(*df.columns), "_pieces"))
     return cut.repartition(key, "_piece").select(*df.columns)
 
 
@@ -67,10 +104,9 @@ def export_snapshot(df: DataFrame, path: str, partition_by: str) -> DataFrame:
     spread_by(df, partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     back = df.sparkSession.read.parquet(path).select(*df.columns)
     want, got = manifest(df, [partition_by]), manifest(back, [partition_by])
-    return want.join(
-        got.withColumnsRenamed({"n_rows": "n_read", "checksum": "checksum_read"}), partition_by, "full"
-    ).select(
-        partition_by, "n_rows", "n_read",
+    got = got.withColumnsRenamed({"n_rows": "n_read", "checksum": "checksum_read", partition_by: "_read_key"})
+    return want.join(got, want[partition_by].eqNullSafe(got["_read_key"]), "full").select(
+        F.coalesce(want[partition_by], got["_read_key"]).alias(partition_by), "n_rows", "n_read",
         (F.col("n_rows").eqNullSafe(F.col("n_read")) & F.col("checksum").eqNullSafe(F.col("checksum_read")))
         .alias("verified"),
     )

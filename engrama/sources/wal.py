@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # fixed values: the frame layout
 EVENT_NAME = "wal"
 FRAME_END = "\n\n"
-FILE_COLUMNS = ["_file", "_size", "_block"]
 EVENT_SCHEMA = "lsn bigint, event string, _raw string"
 
 
@@ -40,12 +39,14 @@ def finished_frames(frames: DataFrame, newline: str = "\n") -> DataFrame:
     """Drop the last frame of a file that ends before the frame's blank line.
 
     Every finished frame takes its bytes plus the separator; when these sums pass
-    the file size, the file's last row was cut short.
+    the file size, the file's last row was cut short.  A compressed log can't be
+    appended to and is taken as finished.
     """
+    packed = F.lower(F.col("_file")).rlike(r"\.(gz|bz2|zst|deflate|lz4|snappy|xz)$")
     placed = frames.withColumn("_at", F.struct("_block", F.monotonically_increasing_id().alias("_id")))
     per_file = placed.groupBy("_file").agg(
         F.max("_at").alias("_last"),
-        (F.sum(F.octet_length("value") + 2 * len(newline)) > F.max("_size")).alias("_cut"),
+        (~F.bool_or(packed) & (F.sum(F.octet_length("value") + 2 * len(newline)) > F.max("_size"))).alias("_cut"),
     )
     kept = placed.join(per_file, "_file").where(~(F.col("_cut") & (F.col("_at") == F.col("_last"))))
     return kept.select(*frames.columns)
@@ -72,6 +73,9 @@ def parse_frames(frames: DataFrame, newline: str = "\n") -> DataFrame:
 
 
 def scan_log(spark: SparkSession, path: str, from_lsn: int = 0, newline: str = "\n") -> DataFrame:
-    """Events of a log from ``from_lsn`` on; unparsable frames are kept as such when reading from the start."""
-    events = parse_frames(read_frames(spark, path, newline), newline)
-    return events.where(F.col("lsn") >= from_lsn) if from_lsn > 0 else events
+    """Events of a log from ``from_lsn`` on; unparsable frames have no position and are always kept as such."""
+    return from_position(parse_frames(read_frames(spark, path, newline), newline), from_lsn)
+
+
+def from_position(events: DataFrame, from_lsn: int) -> DataFrame:
+    return events.where((F.col("lsn") >= from_lsn) | F.col("lsn").isNull())

@@ -16,7 +16,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from engrama.operators.ingest import materialize_memory, upsert_latest
-from engrama.sources.wal import parse_frames
+from engrama.session import join_null_safe
+from engrama.sources import snapshots
+from engrama.sources.wal import from_position, parse_frames
 
 INGEST_DELAY = "1 hour"
 
@@ -47,19 +49,45 @@ def _per_batch(transform: Callable[[DataFrame], DataFrame], output: str):
 def wal_tail(frames: DataFrame, output: str, checkpoint: str, from_lsn: int = 0) -> StreamingQuery:
     """Follow the log folder and append its events from a position on."""
     def parse(batch: DataFrame) -> DataFrame:
-        events = parse_frames(batch)
-        return events.where(F.col("lsn") >= from_lsn) if from_lsn > 0 else events
+        return from_position(parse_frames(batch), from_lsn)
 
     writer = frames.writeStream.foreachBatch(_per_batch(parse, output)).option("checkpointLocation", checkpoint)
     return run_available(writer)
 
 
-def deduplicated_ingest(events: DataFrame, output: str, checkpoint: str, delay: str = INGEST_DELAY) -> StreamingQuery:
-    """One row per event id; the state of an id is dropped once the watermark has passed it."""
-    unique = with_event_time(events).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
-    return run_available(
-        unique.writeStream.format("parquet").outputMode("append").option("path", output).option("checkpointLocation", checkpoint)
-    )
+def _before(spark: SparkSession, output: str, batch_id: int) -> DataFrame | None:
+    """What earlier micro-batches wrote, or None; an unfinished run of this batch isn't among it."""
+    if not snapshots.exists(spark, output):
+        return None
+    rows = spark.read.parquet(output)
+    return rows.where(F.col("batch_id") < batch_id)
+
+
+def deduplicated_ingest(events: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
+    """One row per event id and day of the event, however late it comes.
+
+    The output, partitioned by day, is its own ledger: a batch reads the ids of the
+    days it brings, so no event is discarded and no state grows.  A repeated delivery
+    has the time of the first.  Events without an id are all kept.
+    """
+    keys = ["event_id", "event_date"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.withColumn("event_date", F.to_date("event_time"))
+        fresh = dated.where("event_id IS NOT NULL").dropDuplicates(keys)
+        earlier = _before(spark, output, batch_id)
+        if earlier is not None:
+            days = fresh.select("event_date").distinct()
+            fresh = join_null_safe(fresh, join_null_safe(earlier.select(*keys), days, ["event_date"], "left_semi"), keys, "left_anti")
+        rows = fresh.unionByName(dated.where("event_id IS NULL"))
+        rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{output}/batch_id={batch_id}")
+
+    return run_available(events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
+def ingested(spark: SparkSession, output: str) -> DataFrame:
+    return spark.read.parquet(output).drop("batch_id", "event_date")
 
 
 def materialization(events: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
@@ -68,34 +96,60 @@ def materialization(events: DataFrame, output: str, checkpoint: str) -> Streamin
     return run_available(writer.option("checkpointLocation", checkpoint))
 
 
-def current_memory(spark: SparkSession, output: str) -> DataFrame:
-    """Merge on read: each batch appended only its own rows, the newest version of an id counts."""
+def current_memory(spark: SparkSession, output: str, table: str | None = None) -> DataFrame:
+    """Newest version of every id: of the compacted table, if there is one, and the batches written since."""
     rows = spark.read.parquet(output)
     newest = [F.desc("version"), F.desc("event_time"), F.desc("batch_id")]
-    return upsert_latest(rows, rows.where("false"), ["memory_id"], newest).drop("batch_id")
+    base = rows.where("false")
+    if table and snapshots.versions(spark, table):
+        base = snapshots.read_version(spark, table)
+        through = base.agg(F.max("batch_id")).first()[0]
+        rows = rows.where(F.col("batch_id") > through)
+        base = base.select(*rows.columns)
+    return upsert_latest(base, rows, ["memory_id"], newest).drop("batch_id")
+
+
+def compact_memory(spark: SparkSession, output: str, table: str) -> int:
+    """Write the next version of the compacted table, so that reads merge only newer batches; returns its number.
+
+    Every row carries the last batch it includes.
+    """
+    last = spark.read.parquet(output).agg(F.max("batch_id")).first()[0]
+    merged = current_memory(spark, output, table).withColumn("batch_id", F.lit(last))
+    return snapshots.write_version(merged, table)
 
 
 def window_metrics(
     events: DataFrame, output: str, checkpoint: str, window: str = "1 day", delay: str = INGEST_DELAY
 ) -> StreamingQuery:
-    """Event counts per closed window, workspace and type; open windows stay in the state."""
-    counted = with_event_time(events).withWatermark("event_time", delay).groupBy(
-        F.window("event_time", window), "workspace_id", "event_type"
-    ).agg(F.count(F.lit(1)).alias("n_events"), F.sum(F.octet_length("payload")).alias("payload_bytes"))
-    flat = counted.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        "workspace_id", "event_type", "n_events", "payload_bytes",
-    )
-    return run_available(
-        flat.writeStream.format("parquet").outputMode("append").option("path", output).option("checkpointLocation", checkpoint)
-    )
+    """Event counts per window, workspace and type: each batch adds its part, late rows like any other.
 
+    ``n_late`` counts input rows whose window had closed before they came.
+    """
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that arrived behind the watermark and were left out of their window."""
-    return sum(
-        state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"]
+    def write(batch: DataFrame, batch_id: int) -> None:
+        earlier = _before(batch.sparkSession, output, batch_id)
+        latest = earlier.agg(F.max("latest")).first()[0] if earlier is not None else None
+        counted = batch.groupBy(F.window(F.col("event_time").cast("timestamp"), window), "workspace_id", "event_type").agg(
+            F.count(F.lit(1)).alias("n_events"), F.sum(F.octet_length("payload")).alias("payload_bytes"), F.max("event_time").alias("latest"),
+        )
+        closed = F.lit(False) if latest is None else F.col("window.end").cast("timestamp_ntz") <= F.lit(latest) - F.expr(f"interval {delay}")
+        counted.select(
+            F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            "workspace_id", "event_type", "n_events", "payload_bytes", F.when(closed, F.col("n_events")).otherwise(0).alias("n_late"), "latest",
+        ).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+
+    return run_available(events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
+def metrics(spark: SparkSession, output: str, delay: str = INGEST_DELAY) -> DataFrame:
+    """Totals per window with ``n_late`` and ``closed``: whether events have come from ``delay`` behind its end."""
+    rows = spark.read.parquet(output)
+    reached = rows.agg((F.max("latest") - F.expr(f"interval {delay}")).alias("_reached"))  # one row
+    totals = rows.groupBy("window_start", "window_end", "workspace_id", "event_type").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("n_events", "payload_bytes", "n_late")]
     )
+    return totals.crossJoin(F.broadcast(reached)).withColumn("closed", F.col("window_end") <= F.col("_reached")).drop("_reached", "window_end")
 
 
 def task_lifecycle(
@@ -105,7 +159,8 @@ def task_lifecycle(
     """Started tasks joined to their completion; without one in time they come out as timed out.
 
     An outer stream-stream join keeps a start until the watermark is past its
-    timeout, so the state is bounded by the tasks of one timeout span.
+    timeout, so the state is bounded by the tasks of one timeout span.  Tasks that
+    came out as neither, late ones among them, are listed by ``open_tasks``.
     """
     started = with_event_time(starts, "started_at").withWatermark("started_at", delay)
     finished = with_event_time(completions, "finished_at").withWatermark("finished_at", delay).withColumnRenamed(
@@ -122,3 +177,8 @@ def task_lifecycle(
     return run_available(
         joined.writeStream.format("parquet").outputMode("append").option("path", output).option("checkpointLocation", checkpoint)
     )
+
+
+def open_tasks(starts: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Started tasks without an outcome so far."""
+    return starts.join(outcomes.select("task_id"), "task_id", "left_anti")

@@ -1,5 +1,7 @@
 """Batches, accounting, ids, chunks and files, on the cases users know."""
 
+import gzip
+import os
 import struct
 
 import pytest
@@ -173,8 +175,9 @@ def test_upload_parts(spark):
                                   "upload_batch_id string, segment_index int, segment_total int, text string")
     status = {r.upload_batch_id: (r.complete, r.n_missing) for r in ingest.upload_status(parts).collect()}
     assert status == {"u": (True, 0), "v": (False, 2)}
-    assert [tuple(r) for r in ingest.assembled_text(parts).collect()] == [("u", "a\nb")]
-    assert ingest.assembled_text(parts, max_chars=1).count() == 0
+    assert [tuple(r) for r in ingest.assembled_text(parts).collect()] == [("u", 0, "a\nb")]
+    pages = ingest.assembled_text(parts, page_chars=2).orderBy("page").collect()
+    assert [tuple(r) for r in pages] == [("u", 0, "a"), ("u", 1, "b")]
     assert sorted(map(tuple, ingest.missing_parts(parts).collect())) == [("v", 0), ("v", 1)]
 
 
@@ -228,10 +231,34 @@ def test_bad_headers(spark, tmp_path, content, message):
 
 def test_truncated_row(spark, tmp_path):
     path = write_fbin(tmp_path / "t.fbin", 3, 2, cut=4)
-    with pytest.raises(Exception, match="truncated data at row 2"):
+    with pytest.raises(Exception, match="ends in row 2"):
         fbin.read(spark, path).collect()
 
 
+def test_appends_add_up(spark, tmp_path):
+    path = str(tmp_path / "out")
+    for low, high in ((0, 4), (4, 7)):
+        rows = spark.range(low, high).selectExpr("id", "array(cast(id AS float), 1f) AS vector")
+        fbin.write(rows, path, "vector", order="id", fileBytes=16)
+    got = fbin.read(spark, path).orderBy("file_name", "row_index").collect()
+    assert sorted(r.vector[0] for r in got) == [0, 1, 2, 3, 4, 5, 6]
+    assert [r.vector[0] for r in got] == [0, 1, 2, 3, 4, 5, 6]
+    assert not [p for p in os.listdir(path) if p.startswith("_pending")]
+
+
+def test_frames_are_cut_per_key(spark):
+    rows = spark.range(10).selectExpr("id", "if(id < 7, 's', NULL) AS segment_id")
+    got = ingest.framed(rows, ["segment_id"], "id", frame_rows=3).groupBy("segment_id", "frame").count().collect()
+    assert sorted((r.segment_id or "", r.frame, r["count"]) for r in got) == [("", 0, 3), ("s", 0, 3), ("s", 1, 3), ("s", 2, 1)]
+
+
+@pytest.mark.parametrize("args", [(0, 1), (20_000, 1), (8, 0), (8, 70_000), (8, 3, 2)])
+def test_query_frames_are_checked(args):
+    with pytest.raises(ValueError):
+        ingest.check_query(*args)
+    ingest.check_query(8, 3, 3)
+
+
 def test_other_suffix_is_refused(spark, tmp_path):
     path = tmp_path / "data.csv"
     path.write_text("a,b\n1,2\n")
@@ -256,7 +283,7 @@ def test_dry_run_of_an_empty_file(spark, tmp_path):
 
 def test_every_load_has_its_own_batch():
     assert bulk_load.new_import_batch_id() != bulk_load.new_import_batch_id()
-    assert bulk_load.new_import_batch_id().startswith("batch_")
+    assert bulk_load.new_import_batch_id().startswith("load-")
 
 
 # --- log -----------------------------------------------------------------------
@@ -287,6 +314,17 @@ def test_bad_json_is_kept_as_such(spark, tmp_path):
     assert [(r.parse_error, r.raw) for r in rows] == [(True, "{broken")]
 
 
+def test_bad_json_has_no_position_to_be_behind(spark, tmp_path):
+    text = 'event: wal\ndata: {broken\n\nevent: wal\ndata: {"lsn": 1, "event": {}}\n\nevent: wal\ndata: {"lsn": 5, "event": {}}\n\n'
+    assert sorted(str(r.lsn) for r in scan(spark, tmp_path, text, from_lsn=2)) == ["5", "None"]
+
+
+def test_a_compressed_log_is_finished(spark, tmp_path):
+    text = "".join(f'event: wal\ndata: {{"lsn": {i}, "event": {{}}}}\n\n' for i in range(100))
+    (tmp_path / "a.log.gz").write_bytes(gzip.compress(text.encode()))
+    assert wal.scan_log(spark, str(tmp_path)).count() == 100
+
+
 def test_windows_line_ends(spark, tmp_path):
     rows = scan(spark, tmp_path, 'event: wal\r\ndata: {"lsn": 7, "event": {}}\r\n\r\n', newline="\r\n")
     assert [r.lsn for r in rows] == [7]

@@ -75,11 +75,81 @@ def test_purge_job_finishes_what_a_dead_run_announced(spark, memory, tmp_path):
     assert ids(snapshots.read_version(spark, table)) == ["m1", "m3", "m4"]
 
 
+def test_purge_of_a_dead_run_happens_after_another_job(spark, memory, tmp_path):
+    table, audit = str(tmp_path / "t"), str(tmp_path / "a")
+    snapshots.write_version(memory, table)
+    announced = spark.createDataFrame([("k1", "purge", 2, 1, 3)], "idempotency_key string, action string, version bigint, n_removed bigint, n_left bigint")
+    snapshots.write_version(announced, audit)  # job k1 died here
+    lifecycle.purge_job(spark, table, audit, lifecycle.source_match("v", memory_id="m4"), "purge", "k2", only_if_inactive=False, partition_by=None)
+    for _ in range(2):
+        lifecycle.purge_job(spark, table, audit, lifecycle.source_match("w", reference_id="r1"), "purge", "k1", partition_by=None)
+    assert ids(snapshots.read_version(spark, table)) == ["m1", "m3"]
+    assert snapshots.versions(spark, table) == [1, 2, 3]
+
+
+@pytest.fixture(scope="module")
+def gaps(spark):
+    return spark.createDataFrame(
+        [
+            ("m1", None, "a", "d", "hello", True, None, None, 0.5),
+            ("m2", "w", None, "d", "hello", None, "cold", None, 0.9),
+            ("m3", "w", None, "d2", "hello", True, "hot", ["r1"], 0.1),
+            ("m4", None, "a", None, None, False, None, ["r1"], 0.2),
+            ("m5", None, "a", None, None, True, None, ["r1"], 0.2),
+        ],
+        "memory_id string, workspace_id string, agent_id string, dataset_name string, text string, is_active boolean, "
+        "tier string, source_event_ids array<string>, importance double",
+    )
+
+
+def test_nulls_survive_what_does_not_name_them(spark, gaps, tmp_path):
+    everything = ["m1", "m2", "m3", "m4", "m5"]
+    match = lifecycle.source_match("w", reference_id="r1")
+    left = ["m1", "m2", "m4", "m5"]
+    assert ids(lifecycle.purged(gaps, match, only_if_inactive=False)) == left and ids(lifecycle.purged(gaps, match)) == everything
+    assert {r.memory_id: r.is_active for r in lifecycle.soft_deleted(gaps, match).collect()} == {"m1": True, "m2": None, "m3": False, "m4": False, "m5": True}
+    assert ids(lifecycle.purged(gaps, lifecycle.dataset_match("w", "d"), only_if_inactive=False)) == ["m1", "m3", "m4", "m5"]
+    assert ids(lifecycle.cold_purged(gaps, lifecycle.CONFIRM_COLD)) == ["m1", "m3", "m4", "m5"]
+    assert {r.kept_id: r.n_merged for r in lifecycle.compressed(gaps).collect()} == {"m1": 1, "m2": 2, "m4": 1, "m5": 1}
+    table, audit, snapshot = (str(tmp_path / n) for n in "tas")
+    snapshots.write_version(gaps, table, "workspace_id")
+    assert ids(snapshots.read_version(spark, table)) == everything
+    report = lifecycle.purge_job(spark, table, audit, match, "purge", "k", only_if_inactive=False).first()
+    assert (report.n_removed, report.n_left) == (1, 4) and ids(snapshots.read_version(spark, table)) == left
+    assert all(r.verified for r in snapshots.export_snapshot(gaps, snapshot, "workspace_id").collect())
+    assert spark.read.parquet(snapshot).count() == 5
+
+
+def test_null_keys_are_keys(spark):
+    states = spark.createDataFrame([("s1", None, 1), ("s2", None, 2), ("s3", "k", 1)], "id string, key string, at int")
+    got = {r.id: (r.is_active, r.superseded_by) for r in lifecycle.conflict_winners(states, "key", "id", ["at"]).collect()}
+    assert got == {"s1": (False, "s2"), "s2": (True, None), "s3": (True, None)}
+
+
+def test_hand_offs_across_gaps(spark):
+    turns = spark.createDataFrame([("s", 1, "a"), ("s", 2, "b"), ("s", 4, "c"), (None, 1, "a"), (None, 9, "c")], "session_id string, seq int, agent_id string")
+    got = {(r.from_agent_id, r.to_agent_id): r.n_handoffs for r in tasks.handoffs(turns).collect()}
+    assert got == {("a", "b"): 1, ("b", "c"): 1, ("a", "c"): 1}
+
+
+def test_replay_of_a_limited_slice(spark):
+    log = spark.range(100).selectExpr("id AS lsn", "'t' AS event_type")
+    row = lifecycle.replay_preview(log, from_lsn=10, limit=25).first()
+    assert (row.n_events, row.first_lsn, row.last_lsn) == (25, 10, 34)
+
+
+def test_traces_have_no_depth_limit_of_their_own(spark):
+    edges = spark.range(12).selectExpr("cast(id AS string) AS src_id", "cast(id + 1 AS string) AS dst_id")
+    roots = spark.createDataFrame([("0",)], "root_id string")
+    assert graph.proof_trace(roots, edges).agg(F.max("depth")).first()[0] == 12
+    assert graph.proof_trace(roots, edges, max_depth=3).agg(F.max("depth")).first()[0] == 3
+
+
 def test_cold_purge_needs_confirm(memory):
     with pytest.raises(ValueError, match="confirm"):
-        lifecycle.cold_purged(memory, confirm=False)
-    assert lifecycle.cold_purged(memory, confirm=False, dry_run=True).first().n_cold == 2
-    assert ids(lifecycle.cold_purged(memory, confirm=True)) == ["m1", "m4"]
+        lifecycle.cold_purged(memory, confirm="yes")
+    assert lifecycle.cold_purged(memory, dry_run=True).first().n_cold == 2
+    assert ids(lifecycle.cold_purged(memory, confirm="purge_cold_tier")) == ["m1", "m4"]
 
 
 def test_rollback(memory):

@@ -21,16 +21,24 @@ def add(df, path):
     df.coalesce(1).write.mode("append").parquet(path)
 
 
-def test_late_rows_are_counted_and_left_out(spark, tmp_path):
+def test_late_rows_are_counted_and_kept(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     add(rows(spark, [("e1", "2024-01-01 10:00:00", 1), ("e2", "2024-01-03 10:00:00", 1)]), source)
     stream = lambda: jobs.table_stream(spark, source, rows(spark, []).schema)
     jobs.window_metrics(stream(), out, state)
     add(rows(spark, [("late", "2024-01-01 11:00:00", 1), ("e3", "2024-01-05 10:00:00", 1)]), source)
-    query = jobs.window_metrics(stream(), out, state)
-    got = {str(r.window_start)[:10]: r.n_events for r in spark.read.parquet(out).collect()}
-    assert got == {"2024-01-01": 1, "2024-01-03": 1}
-    assert jobs.late_rows(query) == 1
+    jobs.window_metrics(stream(), out, state)
+    got = {str(r.window_start)[:10]: (r.n_events, r.n_late, r.closed) for r in jobs.metrics(spark, out).collect()}
+    assert got == {"2024-01-01": (2, 1, True), "2024-01-03": (1, 0, True), "2024-01-05": (1, 0, False)}
+
+
+def test_late_events_are_ingested_once(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    stream = lambda: jobs.table_stream(spark, source, rows(spark, []).schema)
+    for data in ([("e1", "2024-01-05 10:00:00", 1)], [("late", "2024-01-01 10:00:00", 1)], [("late", "2024-01-01 10:00:00", 1), ("e1", "2024-01-05 10:00:00", 1), (None, None, 1), (None, None, 1)]):
+        add(rows(spark, data), source)
+        jobs.deduplicated_ingest(stream(), out, state)
+    assert sorted(r.event_id or "" for r in jobs.ingested(spark, out).collect()) == ["", "", "e1", "late"]
 
 
 def test_duplicates_across_runs(spark, tmp_path):
@@ -40,7 +48,7 @@ def test_duplicates_across_runs(spark, tmp_path):
     jobs.deduplicated_ingest(jobs.table_stream(spark, source, schema), out, state)
     add(rows(spark, [("e1", "2024-01-01 10:00:00", 1), ("e2", "2024-01-01 10:01:00", 1)]), source)
     jobs.deduplicated_ingest(jobs.table_stream(spark, source, schema), out, state)
-    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["e1", "e2"]
+    assert sorted(r.event_id for r in jobs.ingested(spark, out).collect()) == ["e1", "e2"]
 
 
 def test_materialized_memory_equals_its_batch_twin(spark, tmp_path):
@@ -53,6 +61,15 @@ def test_materialized_memory_equals_its_batch_twin(spark, tmp_path):
     got = sorted(map(tuple, jobs.current_memory(spark, out).select("memory_id", "version").collect()))
     want = sorted(map(tuple, materialize_memory(first.unionByName(second)).select("memory_id", "version").collect()))
     assert got == want == [("mem_e1", 2), ("mem_e2", 1)]
+    table = str(tmp_path / "table")
+    assert jobs.compact_memory(spark, out, table) == 1
+    third = rows(spark, [("e2", "2024-01-01 12:00:00", 3), ("e3", "2024-01-01 12:00:00", 1)])
+    add(third, source)
+    jobs.materialization(jobs.table_stream(spark, source, first.schema), out, state)
+    for _ in range(2):
+        got = sorted(map(tuple, jobs.current_memory(spark, out, table).select("memory_id", "version").collect()))
+        assert got == [("mem_e1", 2), ("mem_e2", 3), ("mem_e3", 1)]
+        jobs.compact_memory(spark, out, table)
 
 
 def test_log_is_followed_across_runs(spark, tmp_path):
@@ -73,3 +90,4 @@ def test_tasks_complete_or_time_out(spark, tmp_path):
     jobs.task_lifecycle(jobs.table_stream(spark, paths[0], starts.schema), jobs.table_stream(spark, paths[1], done.schema), *paths[2:])
     got = {r.task_id: r.outcome for r in spark.read.parquet(paths[2]).collect()}
     assert got == {1: "completed", 2: "timed_out"}
+    assert [r.task_id for r in jobs.open_tasks(starts, spark.read.parquet(paths[2])).collect()] == [3]
