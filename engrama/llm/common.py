@@ -33,6 +33,14 @@ def map_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return text_batches(df).mapInArrow(run, schema)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores put in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def sized(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df``, which should be pinned, marked for broadcast if its counted rows fit; else left to a shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

@@ -171,5 +171,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap with no item."""
-    gone = materialize(overlaps(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(sized(gone, 16), docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id")), "left_anti").select(*docs.columns)
+    gone = sized(materialize(overlaps(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct()), 16)
+    return docs.join(gone, docs["doc_id"].cast("bigint").eqNullSafe(gone["_id"]), "left_anti").select(*docs.columns)

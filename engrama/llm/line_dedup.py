@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from engrama.llm.common import sized
+from engrama.llm.common import sized, unused
 from engrama.session import materialize
 
 MIN_WORDS = 50
@@ -138,26 +138,30 @@ def removed_spans(runs: DataFrame) -> DataFrame:
     return spans.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later copies deleted from ``text``, and n_lines, n_removed and removed spans."""
-    one = docs.where("doc_id is not null and text is not null")
-    spans = materialize(removed_spans(repeated_runs(one, min_words))).withColumnRenamed("spans", "_spans").withColumnRenamed("doc", "_doc")
-    joined = docs.join(sized(spans, 64), docs["doc_id"].cast("bigint") == F.col("_doc"), "left")
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, info: str = "line_dedup") -> DataFrame:
+    """``docs`` with later copies deleted from ``text``, and a struct ``info`` of n_lines, n_removed and removed spans.
+
+    ``info`` gets underscores in front if ``docs`` has such a column.
+    """
+    spans = materialize(removed_spans(repeated_runs(docs, min_words)))
+    key, found, info = unused("doc", docs.columns), unused("spans", docs.columns), unused(info, docs.columns)
+    joined = docs.join(sized(spans.select(F.col("doc").alias(key), F.col("spans").alias(found)), 64), docs["doc_id"].cast("bigint") == F.col(key), "left")
     lines = _lines(F.col("text").cast("string"))
     # the text between removed spans; spans are sorted and apart
-    kept = F.filter(lines, lambda x, i: ~F.exists("_spans", lambda s: (i >= s["first"]) & (i <= s["last"])))
-    text = F.when(F.col("_spans").isNull(), F.col("text").cast("string")).otherwise(F.array_join(kept, "\n"))
-    removed = F.coalesce(F.aggregate("_spans", F.lit(0).cast("bigint"), lambda a, s: a + s["last"] - s["first"] + 1), F.lit(0))
-    return joined.select(
-        *[text.alias(c) if c == "text" else docs[c] for c in docs.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("_n_lines"), removed.cast("bigint").alias("_n_removed"),
-        "_spans",
+    kept = F.filter(lines, lambda x, i: ~F.exists(found, lambda s: (i >= s["first"]) & (i <= s["last"])))
+    text = F.when(F.col(found).isNull(), F.col("text").cast("string")).otherwise(F.array_join(kept, "\n"))
+    removed = F.coalesce(F.aggregate(found, F.lit(0).cast("bigint"), lambda a, s: a + s["last"] - s["first"] + 1), F.lit(0))
+    told = F.struct(
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+        removed.cast("bigint").alias("n_removed"), F.col(found).alias("spans"),
     )
+    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns], told.alias(info))
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without later copies; a document is dropped only if nothing but copies was in it."""
-    out = dedup_lines(docs, min_words)
-    emptied = (F.col("_n_removed") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    info = unused("line_dedup", docs.columns)
+    out = dedup_lines(docs, min_words, info)
+    left = F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
     columns = [F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.where(~emptied | (F.col("_n_removed") == 0)).select(*columns)
+    return out.where(left | (F.col(info)["n_removed"] == 0)).select(*columns)

@@ -44,7 +44,7 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"))
+    return out.select("doc_id", "text", "line_dedup.n_lines", "line_dedup.n_removed")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
