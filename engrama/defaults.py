@@ -42,4 +42,5 @@ BROADCAST_BYTES = 256 * 1024 * 1024   # largest query or centroid matrix sent to
 BASE_BLOCK_BYTES = 128 * 1024 * 1024  # base vectors of one search block
 QUERY_BLOCK_BYTES = 32 * 1024 * 1024  # query vectors of one search block
 SCORE_CELLS = 4_000_000               # scores held at once inside a task
-KEPT_ROWS = 2_000_000                 # best rows a task holds before handing them over
+KEPT_ROWS = 2_000_000                 # best rows a task holds, all queries and groups together
+LEAST_QUERY_ROWS = 256                # queries compared at once, however much each keeps

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: id tokens keep only these characters; text tokens are ASCII letters and digits
+# fixed values: id tokens keep only these characters; text tokens are letters and digits of all scripts
 SLUG_DROP = r"[^A-Za-z0-9_-]+"
-TOKEN_SPLIT = r"[^a-z0-9]+"
+TOKEN_SPLIT = r"[^\p{L}\p{M}\p{N}]+"
 SENTENCE_SPLIT = r"[.!?\n]+"
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from engrama.defaults import KEPT_ROWS, SCORE_CELLS
+from engrama.defaults import SCORE_CELLS
 
 METRICS = ("COSINE", "IP", "L2")
 
@@ -117,14 +117,13 @@ def block_top_k(
 
 
 class Best:
-    """Running best rows per (group, query) inside one task."""
+    """Running best rows per (group, query) inside one task: at most groups x queries x k, which the caller bounds."""
 
     def __init__(self, k: int, n_queries: int):
         self.k, self.n_queries = k, n_queries
-        self.kept, self.bars, self.size = {}, {}, 0
+        self.kept, self.bars = {}, {}
 
     def keep(self, group: tuple, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
-        held = 0
         if group in self.bars:
             # what scores below a query's k-th best so far cannot get in any more
             contending = score >= self.bars[group][query]
@@ -132,21 +131,12 @@ class Best:
         if not len(query):
             return
         if group in self.kept:
-            held = len(self.kept[group][0])
             query, ids, score = (np.concatenate(pair) for pair in zip(self.kept[group], (query, ids, score)))
         query, ids, score = self.kept[group] = keep_best(query, ids, score, self.k)
-        self.size += len(query) - held
-        if len(self.kept) * self.n_queries <= KEPT_ROWS:
-            full = np.flatnonzero(np.bincount(query, minlength=self.n_queries) == self.k)
-            bar = np.full(self.n_queries, -np.inf)
-            bar[full] = score[np.searchsorted(query, full, side="right") - 1]
-            self.bars[group] = bar
-
-    def overflow(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        """With very many groups, hand over what is held; the final ranking sorts it out."""
-        if self.size > KEPT_ROWS:
-            yield from self.batches(query_ids, schema)
-            self.kept, self.bars, self.size = {}, {}, 0
+        full = np.flatnonzero(np.bincount(query, minlength=self.n_queries) == self.k)
+        bar = np.full(self.n_queries, -np.inf)
+        bar[full] = score[np.searchsorted(query, full, side="right") - 1]
+        self.bars[group] = bar
 
     def batches(self, query_ids: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """Rows of ``(query id, *group, id, score)``."""

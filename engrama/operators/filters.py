@@ -12,8 +12,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engrama.defaults import DEFAULT_TOP_K, DEFAULT_WINDOW_FROM, DEFAULT_WINDOW_TO
-from engrama.session import join_null_safe
+from engrama.defaults import BROADCAST_BYTES, DEFAULT_TOP_K, DEFAULT_WINDOW_FROM, DEFAULT_WINDOW_TO
+from engrama.session import join_null_safe, materialize
+
+ID_BYTES = 128  # room for one id in memory
 
 
 @dataclass(frozen=True)
@@ -115,8 +117,22 @@ def session_for(workspace: Column, dataset: Column, file_name: Column, session:
 
 
 def with_payload(hits: DataFrame, payload: DataFrame, on: str, include_payload: bool) -> DataFrame:
-    """Hits with their content when asked for; a hit without stored content stays, with nulls."""
-    return hits.join(payload, on, "left") if include_payload else hits
+    """Hits with their content when asked for; a hit without stored content stays, with nulls.
+
+    The ids of the hits, if few enough, are sent to the scan of the content, so that
+    only content of hits is shuffled.
+    """
+    if not include_payload:
+        return hits
+    pinned = materialize(hits)
+    return pinned.join(only_of(payload, pinned, on), on, "left")
+
+
+def only_of(rows: DataFrame, hits: DataFrame, on: str) -> DataFrame:
+    """Rows whose id is among the hits': filtered where they are read as long as the ids may be broadcast."""
+    ids = materialize(hits.select(on).distinct())
+    small = ids.count() * ID_BYTES <= BROADCAST_BYTES
+    return rows.join(F.broadcast(ids) if small else ids, on, "left_semi")
 
 
 def listed(df: DataFrame, params: Mapping[str, str], limit: int | None, order: str) -> DataFrame:

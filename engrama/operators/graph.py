@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engrama.defaults import CONTEXT_EVENTS
+from engrama.operators.filters import only_of
 from engrama.operators.ingest import document_chunks
 from engrama.session import materialize
 
@@ -39,7 +40,7 @@ def evidence(
 ) -> DataFrame:
     """One row per piece of evidence of every hit: chunk texts in order, then trace nodes by depth."""
     hits = materialize(hits)
-    hit_texts = texts.join(hits.select(id_column), id_column, "left_semi")
+    hit_texts = only_of(texts, hits, id_column)
     chunks = document_chunks(hit_texts, [id_column], text).select(
         id_column, F.lit("chunk").alias("evidence_kind"), F.col("segment_index").alias("position"),
         F.col("chunk").alias("evidence"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -254,6 +255,24 @@ def row_accounting(batched: DataFrame, error: str) -> DataFrame:
     )
 
 
+def error_rows(batched: DataFrame, error: str, error_type: str = "ValueError") -> DataFrame:
+    """``(batch_index, event_index, error_type, error)``: every refused row, whatever their number."""
+    return batched.where(F.col(error).isNotNull()).select(
+        "batch_index", F.col("row_index").alias("event_index"), F.lit(error_type).alias("error_type"), F.col(error).alias("error")
+    )
+
+
+def accepted_ids(batched: DataFrame, error: str, id_column: str) -> DataFrame:
+    """``(batch_index, accepted_id)`` of every accepted row."""
+    return batched.where(F.col(error).isNull()).select("batch_index", F.col(id_column).cast("string").alias("accepted_id"))
+
+
+def merge_rows(parts: Sequence[DataFrame]) -> DataFrame:
+    """Error or id rows of several operations as one table, numbered by ``operation``."""
+    numbered = [p.withColumn("operation", F.lit(i)) for i, p in enumerate(parts)]
+    return reduce(DataFrame.unionByName, numbered)
+
+
 def batch_totals(batches: DataFrame) -> DataFrame:
     """One row: sums over batches, and whether everything was accepted."""
     return batches.agg(

@@ -13,17 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engrama.defaults import BROADCAST_BYTES, DEFAULT_TOP_K, PQ_BITS, PQ_PARTS, PQ_RERANK
-from engrama.functions.vectors import distances_l2, matrix_of, nearest
+from engrama.functions.vectors import distances_l2, matrix_of, nearest, normalize_metric, scores
 from engrama.operators import vector_search as vs
+from engrama.operators.filters import only_of
 from engrama.session import materialize
 from engrama.sources.snapshots import spread_by
 
 CODES = T.ArrayType(T.ShortType())
+FILTERED_LISTS = 4_096  # list numbers written into a filter
+QUANTIZED = ("IVF_SQ8", "IVF_PQ")
 
 
 def list_count(n_vectors: int, nlist: int = 0) -> int:
@@ -37,12 +40,17 @@ def probe_count(nlist: int, nprobe: int = 0) -> int:
 # --- centroids and lists ----------------------------------------------------
 
 def sampled_centroids(base: DataFrame, nlist: int, id_column: str = "object_id") -> DataFrame:
-    """``(list_id, centroid)``: the vectors with the smallest ids."""
-    first = base.select(id_column, "embedding").orderBy(id_column).limit(nlist)
-    numbered = F.row_number().over(Window.orderBy(id_column)) - 1  # over nlist rows
+    """``(list_id, centroid)``: a random sample of the vectors, the first ``nlist`` by a digest of their id."""
+    first = base.select(digest_of(id_column).alias("_digest"), "embedding").orderBy("_digest").limit(nlist)
+    numbered = F.row_number().over(Window.orderBy("_digest")) - 1  # over nlist rows
     return first.select(numbered.cast("bigint").alias("list_id"), F.col("embedding").alias("centroid"))
 
 
+def digest_of(id_column: str) -> Column:
+    """An order of ids that has nothing to do with the vectors."""
+    return F.md5(F.col(id_column).cast("string"))
+
+
 def kmeans_centroids(base: DataFrame, nlist: int, sample: float = 1.0, iterations: int = 10, seed: int = 17) -> DataFrame:
     """``(list_id, centroid)`` fitted by k-means, on a sample for large tables."""
     from pyspark.ml.clustering import KMeans
@@ -55,12 +63,17 @@ def kmeans_centroids(base: DataFrame, nlist: int, sample: float = 1.0, iteration
     return base.sparkSession.createDataFrame(centers, "list_id bigint, centroid array<float>")
 
 
-def assign_lists(base: DataFrame, centroids: DataFrame, id_column: str = "object_id") -> DataFrame:
-    """Add ``list_id``: the centroid with the highest inner product, ties to the smaller id."""
+def assign_lists(base: DataFrame, centroids: DataFrame, id_column: str = "object_id", metric: str = "IP") -> DataFrame:
+    """Add ``list_id``: the closest centroid by the index's metric, ties to the smaller id.
+
+    For vectors of unequal length take the metric that searches will use, so that
+    a long centroid doesn't attract everything.
+    """
+    metric = normalize_metric(metric)
     size = centroids.agg(F.sum(F.size("centroid").cast("bigint"))).first()[0] or 0
     if size * 8 > BROADCAST_BYTES:
         closest = vs.top_k(
-            base, centroids, k=1, metric="IP", query_id=id_column, query_vector="embedding",
+            base, centroids, k=1, metric=metric, query_id=id_column, query_vector="embedding",
             base_id="list_id", base_vector="centroid",
         )
         return base.join(closest.select(id_column, "list_id"), id_column)
@@ -74,32 +87,43 @@ def assign_lists(base: DataFrame, centroids: DataFrame, id_column: str = "object
         for batch in batches:
             if batch.num_rows:
                 rows = matrix_of(batch.column(position), centers.shape[1])
-                chosen = nearest(rows, centers, lambda a, b: a @ b.T)
+                chosen = nearest(rows, centers, lambda a, b: scores(metric, a, b))
                 yield batch.append_column("list_id", pa.array(list_ids[chosen]))
 
     return base.mapInArrow(assign, T.StructType([*base.schema.fields, T.StructField("list_id", T.LongType())]))
 
 
-def probes(queries: DataFrame, centroids: DataFrame, nprobe: int, query_id: str = "query_id") -> DataFrame:
+def probes(queries: DataFrame, centroids: DataFrame, nprobe: int, query_id: str = "query_id", metric: str = "IP") -> DataFrame:
     """Queries repeated for each of their best lists: ``(query_id, list_id, query_vector)``."""
     best = vs.top_k(
-        queries, centroids, k=nprobe, metric="IP", query_id=query_id, base_id="list_id", base_vector="centroid"
+        queries, centroids, k=nprobe, metric=metric, query_id=query_id, base_id="list_id", base_vector="centroid"
     )
     return best.select(query_id, "list_id").join(queries.select(query_id, "query_vector"), query_id)
 
 
 def ivf_search(
     queries: DataFrame, assigned: DataFrame, centroids: DataFrame, nprobe: int, k: int = DEFAULT_TOP_K,
-    metric: str = "COSINE", query_id: str = "query_id", base_id: str = "object_id",
+    metric: str = "COSINE", query_id: str = "query_id", base_id: str = "object_id", list_metric: str = "IP",
 ) -> DataFrame:
     """Exact search inside the probed lists; with every list probed it equals the full search."""
-    probed = materialize(probes(queries, centroids, nprobe, query_id))  # read three times below
-    # on a table written by list this prunes the folders of lists nobody asked for
-    wanted = assigned.join(probed.select("list_id").distinct(), "list_id", "left_semi")
+    probed = materialize(probes(queries, centroids, nprobe, query_id, list_metric))  # read three times below
+    wanted = of_lists(assigned, probed)
     found = vs.top_k(probed, wanted, k=k, metric=metric, on=["list_id"], query_id=query_id, base_id=base_id)
     return found.drop("list_id")
 
 
+def of_lists(rows: DataFrame, probed: DataFrame) -> DataFrame:
+    """Rows of the lists somebody asked for.
+
+    List numbers, as long as they are few, become a filter: nothing is shuffled,
+    and of a table written by list only those folders are read.
+    """
+    lists = materialize(probed.select("list_id").distinct())
+    if lists.count() <= FILTERED_LISTS:
+        return rows.where(F.col("list_id").isin([r.list_id for r in lists.collect()]))
+    return rows.join(F.broadcast(lists), "list_id", "left_semi")  # no more numbers than centroids
+
+
 # --- scalar quantization ----------------------------------------------------
 
 def dimension_ranges(base: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +203,9 @@ def sq8_search(
 # --- product quantization ---------------------------------------------------
 
 def sampled_codebooks(base: DataFrame, parts: int = PQ_PARTS, bits: int = PQ_BITS, id_column: str = "object_id") -> np.ndarray:
-    """``(parts, 2**bits, dim / parts)``: slices of the vectors with the smallest ids."""
-    rows = matrix_of(base.select(id_column, "embedding").orderBy(id_column).limit(2**bits).toArrow().column("embedding"))
+    """``(parts, 2**bits, dim / parts)``: slices of a random sample of the vectors."""
+    first = base.select(digest_of(id_column).alias("_digest"), "embedding").orderBy("_digest").limit(2**bits)
+    rows = matrix_of(first.toArrow().column("embedding"))
     return _sliced(rows, parts).transpose(1, 0, 2)
 
 
@@ -262,20 +287,75 @@ def _pair_cosines(pairs: DataFrame) -> DataFrame:
 
 # --- stored indexes ---------------------------------------------------------
 
-def build_index(base: DataFrame, centroids: DataFrame, path: str, segment_id: str, index_type: str = "IVF_FLAT") -> DataFrame:
-    """Write centroids and assignments, a folder per list; returns the registry row."""
+def build_index(
+    base: DataFrame, centroids: DataFrame, path: str, segment_id: str, index_type: str = "IVF_FLAT",
+    codebooks: np.ndarray | None = None, id_column: str = "object_id", metric: str = "IP",
+) -> DataFrame:
+    """Write an index, a folder per list; returns the registry row.
+
+    ``IVF_FLAT`` stores vectors.  ``IVF_SQ8`` stores a byte per dimension and the
+    dimensions' ranges; ``IVF_PQ`` a code per part, the codebooks, and the vectors
+    apart, by list, which only the exact ranking of candidates reads.
+    """
     spark = base.sparkSession
-    assigned = assign_lists(base, centroids)
+    assigned = assign_lists(base.select(id_column, "embedding"), centroids, id_column, metric)
     centroids.write.mode("overwrite").parquet(f"{path}/centroids")
-    spread_by(assigned, "list_id").write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/lists")
-    stored = read_lists(spark, path)
-    registry = stored.agg(
-        F.lit(segment_id).alias("segment_id"), F.lit(index_type).alias("index_type"),
+    if index_type in QUANTIZED:
+        assigned = materialize(assigned)  # read for the ranges, the codes and the vectors
+    if index_type == "IVF_SQ8":
+        low, high = dimension_ranges(assigned)
+        ranges = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(low, high))]
+        spark.createDataFrame(ranges, "dim int, low double, high double").write.mode("overwrite").parquet(f"{path}/ranges")
+        stored = sq8_encode(assigned, low, high)
+    elif index_type == "IVF_PQ":
+        books = sampled_codebooks(base, id_column=id_column) if codebooks is None else codebooks
+        entries = [(p, c, [float(x) for x in v]) for p, book in enumerate(books) for c, v in enumerate(book)]
+        spark.createDataFrame(entries, "part int, code int, entry array<double>").write.mode("overwrite").parquet(f"{path}/codebooks")
+        stored = pq_encode(assigned, books)
+        _write_lists(assigned, f"{path}/vectors")
+    else:
+        stored = assigned
+    _write_lists(stored, f"{path}/lists")
+    registry = read_lists(spark, path).agg(
+        F.lit(segment_id).alias("segment_id"), F.lit(index_type).alias("index_type"), F.lit(metric).alias("list_metric"),
         F.count_distinct("list_id").alias("n_lists"), F.count(F.lit(1)).alias("n_vectors"), F.lit(path).alias("path"),
     )
     registry.write.mode("overwrite").parquet(f"{path}/registry")
     return spark.read.parquet(f"{path}/registry")
 
 
-def read_lists(spark, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/lists").withColumn("list_id", F.col("list_id").cast("bigint"))
+def _write_lists(rows: DataFrame, path: str) -> None:
+    spread_by(rows, "list_id").write.mode("overwrite").partitionBy("list_id").parquet(path)
+
+
+def read_lists(spark: SparkSession, path: str, table: str = "lists") -> DataFrame:
+    return spark.read.parquet(f"{path}/{table}").withColumn("list_id", F.col("list_id").cast("bigint"))
+
+
+def search_index(
+    spark: SparkSession, path: str, queries: DataFrame, nprobe: int, k: int = DEFAULT_TOP_K, metric: str = "COSINE",
+    query_id: str = "query_id", base_id: str = "object_id", rerank: int = PQ_RERANK,
+) -> DataFrame:
+    """Search a stored index: only the folders of probed lists are read, and codes are decoded there."""
+    registry = spark.read.parquet(f"{path}/registry").first()
+    centroids = spark.read.parquet(f"{path}/centroids")
+    probed = materialize(probes(queries, centroids, nprobe, query_id, registry.list_metric))
+    rows = of_lists(read_lists(spark, path), probed)
+    names = {"on": ["list_id"], "query_id": query_id, "base_id": base_id}
+    if registry.index_type == "IVF_PQ":
+        entries = spark.read.parquet(f"{path}/codebooks").orderBy("part", "code").toArrow()  # parts x codes rows
+        parts = entries.column("part").to_numpy().max() + 1
+        flat = matrix_of(entries.column("entry"))
+        decoded = pq_decode(rows, flat.reshape(parts, len(flat) // parts, -1))
+        rough = materialize(vs.top_k(probed, decoded, k=k * rerank, metric="L2", **names))
+        # a candidate's vector lies in the list it was found in
+        vectors = of_lists(read_lists(spark, path, "vectors"), rough).select(base_id, "list_id", "embedding")
+        exact = rough.select(query_id, base_id, "list_id").join(only_of(vectors, rough, base_id), [base_id, "list_id"])
+        pairs = exact.join(queries.select(query_id, "query_vector"), query_id)
+        ranking = Window.partitionBy(query_id).orderBy(F.desc("score"), base_id)
+        scored = _pair_cosines(pairs.select(query_id, base_id, "query_vector", "embedding"))
+        return scored.withColumn("rank", F.row_number().over(ranking).cast("bigint")).where(F.col("rank") <= k)
+    if registry.index_type == "IVF_SQ8":
+        ranges = spark.read.parquet(f"{path}/ranges").orderBy("dim").toArrow()  # one row per dimension
+        rows = sq8_decode(rows, ranges.column("low").to_numpy(), ranges.column("high").to_numpy())
+    return vs.top_k(probed, rows, k=k, metric=metric, **names).drop("list_id")

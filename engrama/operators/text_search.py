@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engrama.defaults import (
-    BROADCAST_BYTES, DEFAULT_TOP_K, RRF_CONSTANT, SCORE_CELLS, TEXT_VECTOR_DIM,
+    BROADCAST_BYTES, DEFAULT_TOP_K, KEPT_ROWS, RRF_CONSTANT, SCORE_CELLS, TEXT_VECTOR_DIM,
 )
 from engrama.functions.text import TOKEN_SPLIT
 from engrama.functions.vectors import Best, arrow_schema, r6, sortable
@@ -118,7 +118,10 @@ def text_search(
         # the shuffle join tore the texts apart
         weights = weights.repartition(*keys).sortWithinPartitions(*keys)
     terms = materialize(term_counts(queries, [query_id, *scope], query_text).withColumnRenamed("tf", "_query_tf"))
-    if terms.count() * TERM_BYTES <= broadcast_bytes:
+    # a task holds the best k of every query, in each group of texts
+    size = terms.agg(F.count(F.lit(1)).alias("terms"), F.count_distinct(query_id, *scope).alias("queries")).first()
+    groups = (texts.agg(F.count_distinct(*within)).first()[0] or 1) if within else 1
+    if size["terms"] * TERM_BYTES <= broadcast_bytes and size["queries"] * k * groups <= KEPT_ROWS:
         found = _scored_in_tasks(terms, weights, query_id, text_id, scope, carried, k)
     else:
         found = _scored_by_join(terms, weights, query_id, text_id, scope, carried)
@@ -166,7 +169,6 @@ def _scored_in_tasks(terms, weights, query_id, text_id, scope, carried, k) -> Da
         for frame in _whole_texts(batches, text_id):
             for group, q, ids, score in _score(frame, query_rows, query_postings, text_id, scope, carried):
                 best.keep(group, q, ids, score)
-            yield from best.overflow(query_rows[query_id].to_numpy(), out_arrow)
         yield from best.batches(query_rows[query_id].to_numpy(), out_arrow)
 
     return rows.mapInArrow(search, out_schema)

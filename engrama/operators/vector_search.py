@@ -13,12 +13,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from engrama.defaults import BASE_BLOCK_BYTES, BROADCAST_BYTES, DEFAULT_TOP_K, QUERY_BLOCK_BYTES
+from engrama.defaults import BASE_BLOCK_BYTES, BROADCAST_BYTES, DEFAULT_TOP_K, KEPT_ROWS, LEAST_QUERY_ROWS, QUERY_BLOCK_BYTES
 from engrama.functions import vectors
 from engrama.functions.vectors import r6
 
@@ -30,9 +31,17 @@ def _groups(batch, names: Sequence[str]) -> Iterator[tuple[tuple, np.ndarray]]:
         return
     if batch.num_rows == 0:
         return
-    frame = pa.Table.from_arrays([batch.column(n) for n in names], names=list(names)).to_pandas()
-    for key, rows in frame.groupby(list(names), sort=False, dropna=False).indices.items():
-        yield (key if isinstance(key, tuple) else (key,)), rows
+    # codes of distinct values, so that large and missing integers keep their type
+    codes, values = [], []
+    for name in names:
+        column = batch.column(name)
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        coded = column.dictionary_encode(null_encoding="encode")
+        codes.append(coded.indices.to_numpy(zero_copy_only=False)), values.append(coded.dictionary.to_pylist())
+    frame = pd.DataFrame(dict(enumerate(codes)))
+    for key, rows in frame.groupby(list(frame.columns), sort=False).indices.items():
+        spots = key if isinstance(key, tuple) else (key,)
+        yield tuple(v[i] for v, i in zip(values, spots)), rows
 
 
 def top_k(
@@ -48,6 +57,7 @@ def top_k(
     base_vector: str = "embedding",
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: tuple[int, int] = (BASE_BLOCK_BYTES, QUERY_BLOCK_BYTES),
+    kept_rows: int = KEPT_ROWS,
 ) -> DataFrame:
     """``(query_id, *on, *within, base_id, score, rank)`` of the ``k`` best base rows.
 
@@ -65,11 +75,15 @@ def top_k(
     size = queries.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.size(query_vector).cast("bigint")).alias("cells")
     ).first()
-    if (size["cells"] or 0) * 8 <= broadcast_bytes:
+    # what a task holds, and hands over once: the best k of every query, in each group of base rows
+    per_query = k * (base.agg(F.count_distinct(*within)).first()[0] or 1 if within else 1)
+    if (size["cells"] or 0) * 8 <= broadcast_bytes and size["rows"] * per_query <= kept_rows:
         partial = _broadcast_form(queries, base, k, metric, on, within, out_schema)
     else:
         dim = size["cells"] / size["rows"]
-        block_rows = [max(1, int(limit / (8 * dim))) for limit in block_bytes]
+        base_rows, query_rows = (max(1, int(limit / (8 * dim))) for limit in block_bytes)
+        # fewer queries at once where each keeps much, but not so few that the base is copied without need
+        block_rows = base_rows, min(query_rows, max(LEAST_QUERY_ROWS, kept_rows // per_query))
         partial = _block_form(queries, base, k, metric, on, within, out_schema, *block_rows)
     best_first = F.col("score").asc() if metric == "L2" else F.col("score").desc()
     if metric == "L2":
@@ -105,7 +119,6 @@ def _broadcast_form(queries, base, k, metric, on, within, out_schema) -> DataFra
                     metric, wanted, query_matrix[wanted], names[rows], vectors.matrix_of(picked, query_matrix.shape[1]), k
                 )
                 best.keep(group, *found)
-            yield from best.overflow(query_ids, arrow_schema)
         yield from best.batches(query_ids, arrow_schema)
 
     return base.mapInArrow(search, out_schema)

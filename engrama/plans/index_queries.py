@@ -14,7 +14,7 @@ from engrama.session import materialize, work_dir
 
 # --- approximate search -----------------------------------------------------
 
-NLIST, NPROBE = 16, 4
+NLIST_SQL = "(SELECT CAST(floor(sqrt(count(*))) AS BIGINT) FROM embeddings)"
 _IDS = {"query_id": "qid", "base_id": "vec_id"}
 
 
@@ -26,20 +26,36 @@ def _queries(t: Tables) -> DataFrame:
     return t.embeddings.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query_vector"))
 
 
-def _lists(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Centroids and assigned vectors, pinned as a stored index would be."""
-    centroids = materialize(ivf.sampled_centroids(_base(t), NLIST, "vec_id"))
-    return centroids, materialize(ivf.assign_lists(_base(t), centroids, "vec_id"))
+def _sizes(t: Tables) -> tuple[int, int]:
+    """How many lists there are and how many are probed, by the size of the table."""
+    lists = ivf.list_count(t.embeddings.count())
+    return lists, ivf.probe_count(lists)
 
 
-_LISTS = """
+def _lists(t: Tables) -> tuple[DataFrame, DataFrame, int]:
+    """Centroids and assigned vectors, pinned as a stored index would be, and how many lists to probe."""
+    lists, probed = _sizes(t)
+    centroids = materialize(ivf.sampled_centroids(_base(t), lists, "vec_id"))
+    return centroids, materialize(ivf.assign_lists(_base(t), centroids, "vec_id")), probed
+
+
+def _search_stored(t: Tables, index_type: str) -> DataFrame:
+    """Build an index of the type as tables and search it."""
+    lists, probed = _sizes(t)
+    path = work_dir(t.spark, "index")
+    centroids = materialize(ivf.sampled_centroids(_base(t), lists, "vec_id"))
+    ivf.build_index(_base(t), centroids, path, "warm.default", index_type, id_column="vec_id")
+    return ivf.search_index(t.spark, path, _queries(t), probed, 10, **_IDS)
+
+
+_LISTS = f"""
 v AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM
       (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),
-c AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS list_id, e FROM v ORDER BY vec_id LIMIT 16),
+c AS (SELECT * FROM (SELECT row_number() OVER (ORDER BY md5(vec_id::varchar)) - 1 AS list_id, e FROM v) WHERE list_id < {NLIST_SQL}),
 near AS (SELECT vec_id, list_id, row_number() OVER (
            PARTITION BY vec_id ORDER BY round(list_dot_product(v.e, c.e), 6) DESC, list_id) AS r FROM v, c),
 assigned AS (SELECT vec_id, list_id FROM near WHERE r = 1),
-probe AS (SELECT vec_id AS qid, list_id FROM near WHERE r <= 4)"""
+probe AS (SELECT vec_id AS qid, list_id FROM near WHERE r <= greatest(1, {NLIST_SQL} // 4))"""
 _TOP = """
 SELECT qid, vec_id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10"""
@@ -52,9 +68,9 @@ s AS (SELECT qid, a.vec_id, round(list_dot_product(q.e, b.e) / (q.n * b.n), 6) +
 {_TOP}
 """)
 def ivf_flat_search(t: Tables) -> DataFrame:
-    """Sixteen lists, four probed, exact scores inside them."""
-    centroids, assigned = _lists(t)
-    return ivf.ivf_search(_queries(t), assigned, centroids, NPROBE, 10, **_IDS)
+    """As many lists as the root of the vectors, a quarter probed, exact scores inside them."""
+    centroids, assigned, probed = _lists(t)
+    return ivf.ivf_search(_queries(t), assigned, centroids, probed, 10, **_IDS)
 
 
 _CODES = """
@@ -84,16 +100,15 @@ s AS (SELECT qid, a.vec_id, round(list_dot_product(q.e, b.e) / (q.n * b.n), 6) +
 {_TOP}
 """)
 def ivf_sq8_search(t: Tables) -> DataFrame:
-    """The same lists searched on the decoded codes."""
-    centroids, assigned = _lists(t)
-    return ivf.sq8_search(_queries(t), assigned, centroids, NPROBE, 10, **_IDS)
+    """The same lists, stored and read as one-byte codes."""
+    return _search_stored(t, "IVF_SQ8")
 
 
 @query(f"""
 WITH {_LISTS},
 p AS (SELECT vec_id, i.i AS part, e[i.i * 8 + 1 : i.i * 8 + 8] AS x FROM v, LATERAL unnest(range(0, 8)) AS i(i)),
-book AS (SELECT part, x AS c, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS code FROM p
-         QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= 16),
+book AS (SELECT part, x AS c, row_number() OVER (PARTITION BY part ORDER BY md5(vec_id::varchar)) - 1 AS code FROM p
+         QUALIFY row_number() OVER (PARTITION BY part ORDER BY md5(vec_id::varchar)) <= 16),
 enc AS (SELECT vec_id, part, c FROM p JOIN book USING (part)
         QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY round(list_distance(x, c) ** 2, 6), code) = 1),
 dv AS (SELECT vec_id, flatten(list(c ORDER BY part)) AS e FROM enc GROUP BY 1),
@@ -105,18 +120,17 @@ s AS (SELECT qid, cand.vec_id, round(list_dot_product(q.e, b.e) / (q.n * b.n), 6
 {_TOP}
 """)
 def ivf_pq_search(t: Tables) -> DataFrame:
-    """Eight parts of four bits, forty candidates per query ranked exactly."""
-    centroids, assigned = _lists(t)
-    books = ivf.sampled_codebooks(_base(t), id_column="vec_id")
-    return ivf.pq_search(_queries(t), assigned, centroids, books, NPROBE, 10, **_IDS)
+    """Eight parts of four bits, stored and read as codes, forty candidates per query ranked exactly."""
+    return _search_stored(t, "IVF_PQ")
 
 
 @query(name="ivf_kmeans_search")
 def ivf_kmeans_search(t: Tables) -> DataFrame:
     """Lists around fitted centers; the fit is iterative, so there is no SQL for it."""
-    centroids = ivf.kmeans_centroids(_base(t), NLIST)
-    assigned = ivf.assign_lists(_base(t), centroids, "vec_id")
-    return ivf.ivf_search(_queries(t), assigned, centroids, NPROBE, 10, **_IDS)
+    lists, probed = _sizes(t)
+    centroids = ivf.kmeans_centroids(_base(t), lists)
+    assigned = ivf.assign_lists(_base(t), centroids, "vec_id", "L2")  # as the fit measures
+    return ivf.ivf_search(_queries(t), assigned, centroids, probed, 10, list_metric="L2", **_IDS)
 
 
 @query(f"""
@@ -128,7 +142,8 @@ def index_build(t: Tables) -> DataFrame:
     """An index written to tables: its registry row and the sizes of its lists."""
     base = t.embeddings.select(F.col("vec_id").alias("object_id"), "embedding")
     path = work_dir(t.spark, "index")
-    registry = ivf.build_index(base, ivf.sampled_centroids(base, NLIST), path, "warm.default")
+    centroids = ivf.sampled_centroids(_base(t), _sizes(t)[0], "vec_id")
+    registry = ivf.build_index(base, centroids, path, "warm.default")
     sizes = ivf.read_lists(t.spark, path).groupBy("list_id").agg(F.count(F.lit(1)).alias("n_vectors"))
     return sizes.crossJoin(F.broadcast(registry.select("index_type", "n_lists")))
 

@@ -35,7 +35,7 @@ def _scanned(t: Tables, path: str, **options) -> DataFrame:
     rows = fbin.read(t.spark, path, **options)
     offsets = fbin.file_offsets(fbin.read(t.spark, path, mode="header"))
     total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return rows.join(F.broadcast(offsets), "path").select(
+    return rows.join(offsets, "path").select(
         (F.col("first_row") + F.col("row_index")).alias("global_row"), "dim", r6(total).alias("vector_sum"),
         F.element_at("vector", 1).cast("double").alias("first_value"),
         F.element_at("vector", -1).cast("double").alias("last_value"),
@@ -68,19 +68,21 @@ def fbin_row_count(t: Tables) -> DataFrame:
 
 @query("""
 WITH r AS (SELECT embedding, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM embeddings)
-SELECT concat('evt_my_data_part-00000-0000_', lpad(i::varchar, 8, '0')) AS event_id,
-       'ingest_my data_part-00000-0000.fbin' AS session_id,
-       concat('dataset=part-00000-0000.fbin dataset_name:my data row:', i, ' dim:64 dtype:float32 head:',
+SELECT concat('evt_my_data_vectors_', lpad(i::varchar, 8, '0')) AS event_id,
+       'ingest_my data_vectors.fbin' AS session_id,
+       concat('dataset=vectors.fbin dataset_name:my data row:', i, ' dim:64 dtype:float32 head:',
               array_to_string(list_transform(embedding[1:8], lambda x: (x::double)::varchar), ' ')) AS text,
        i AS row_index, 'batch_one' AS import_batch_id
 FROM r
 """)
 def fbin_event_build(t: Tables) -> DataFrame:
-    """Every row of one vector file as an event."""
-    path = work_dir(t.spark, "fbin")
-    one_task = t.embeddings.select("vec_id", "embedding").coalesce(1).sortWithinPartitions("vec_id")
-    fbin.write(one_task, path, "embedding")
-    events = bulk_load.vector_events(fbin.read(t.spark, path), "my data", "w_demo", "batch_one")
+    """Every row of a folder of vector files as an event; rows count on over the files, as those of one table."""
+    path = _vector_files(t)
+    offsets = fbin.file_offsets(fbin.read(t.spark, path, mode="header"))
+    rows = fbin.read(t.spark, path).join(offsets, "path").withColumns(
+        {"row_index": F.col("first_row") + F.col("row_index"), "file_name": F.lit("vectors.fbin")}
+    )
+    events = bulk_load.vector_events(rows, "my data", "w_demo", "batch_one")
     return events.select("event_id", "session_id", "payload.text", "payload.row_index", "payload.import_batch_id")
 
 
@@ -415,6 +417,44 @@ def event_batch_accounting(t: Tables) -> DataFrame:
     return _event_batches(t)
 
 
+def _failing_events(t: Tables) -> DataFrame:
+    batched = ingest.batch_ranges(t.fx_events.select("lsn", "event_id", "event_type"), ["lsn"], DEFAULT_BATCH_SIZE)
+    return batched.withColumn("error", F.when(F.col("event_type") == "error", "event refused"))
+
+
+_NUMBERED_EVENTS = "SELECT event_id, event_type, row_number() OVER (ORDER BY lsn) - 1 AS i FROM fx_events"
+
+
+@query(f"""
+SELECT i // 500 AS batch_index, i AS event_index, 'ValueError' AS error_type, 'event refused' AS error
+FROM ({_NUMBERED_EVENTS}) WHERE event_type = 'error'
+""")
+def event_batch_errors(t: Tables) -> DataFrame:
+    """Every refused event as a row."""
+    return ingest.error_rows(_failing_events(t), "error")
+
+
+@query(f"""
+SELECT i // 500 AS batch_index, event_id AS accepted_id FROM ({_NUMBERED_EVENTS}) WHERE event_type <> 'error'
+""")
+def event_batch_accepted(t: Tables) -> DataFrame:
+    """The ids that were taken, by batch."""
+    return ingest.accepted_ids(_failing_events(t), "error", "event_id")
+
+
+@query(f"""
+WITH {_BAD}
+SELECT 0 AS operation, batch_index, i AS event_index, err AS error FROM er WHERE err IS NOT NULL
+UNION ALL
+SELECT 1, i // 500, i, 'event refused' FROM ({_NUMBERED_EVENTS}) WHERE event_type = 'error'
+""")
+def batch_errors_merge(t: Tables) -> DataFrame:
+    """The errors of the vector load and of the event load in one table."""
+    checked = ingest.validate_vectors(ingest.batch_ranges(_damaged(t), ["vec_id"], 30), ["batch_index"], "row_index")
+    parts = [ingest.error_rows(checked, "reject_reason"), ingest.error_rows(_failing_events(t), "error")]
+    return ingest.merge_rows(parts).select("operation", "batch_index", "event_index", "error")
+
+
 @query(f"""
 WITH {_BAD}, {_EVENT_BATCHES},
 pooled AS (SELECT accepted_count, failed_count FROM va UNION ALL SELECT accepted_count, failed_count FROM ea)

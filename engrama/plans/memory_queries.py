@@ -203,7 +203,7 @@ def memory_compress_sources(t: Tables) -> DataFrame:
     return lifecycle.compressed_sources(t.fx_memory)
 
 
-_TOKENS = "list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda x: x <> '')"
+_TOKENS = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
 
 
 @query(f"""
@@ -375,6 +375,15 @@ def log_replay_preview(t: Tables) -> DataFrame:
     return lifecycle.replay_preview(t.fx_events, from_lsn=100)
 
 
+@query("""
+SELECT event_type, count(*) AS n_events, min(lsn) AS first_lsn, max(lsn) AS last_lsn
+FROM (SELECT * FROM fx_events WHERE lsn >= 50 ORDER BY lsn LIMIT 400) GROUP BY 1
+""")
+def log_replay_limited(t: Tables) -> DataFrame:
+    """What a replay of at most 400 events would read."""
+    return lifecycle.replay_preview(t.fx_events, from_lsn=50, limit=400)
+
+
 @query(f"""
 WITH e AS (SELECT *, 0 AS extra FROM fx_events
            UNION ALL BY NAME SELECT * REPLACE (version + 1 AS version, visible_time + interval '2' day AS visible_time), 0 AS extra

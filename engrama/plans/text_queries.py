@@ -13,7 +13,7 @@ from engrama.plans.registry import query
 from engrama.plans.views import Tables
 
 # reusable SQL pieces for the TF-IDF checks
-TOK = "list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda x: x <> '')"
+TOK = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
 WEIGHTS = f"""
 tc AS (SELECT memory_id, token, count(*) AS tf FROM
        (SELECT memory_id, unnest({TOK.format('text')}) AS token FROM fx_memory) GROUP BY 1, 2),

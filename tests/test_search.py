@@ -68,19 +68,31 @@ def test_on_and_within(spark, points, limit):
         assert source[r.object_id] == r.source
 
 
-def test_many_groups_are_handed_over_early(spark, points, monkeypatch):
+@pytest.mark.parametrize("within", [[], ["source"]])
+def test_shipped_rows_are_bounded_however_little_a_task_may_hold(spark, points, within, monkeypatch):
     base, queries = points
-    source = [f"s{i % 30}" for i in range(300)]
-    b = frame(spark, range(300), base, "object_id", "embedding", source=source)
+    b = frame(spark, range(300), base, "object_id", "embedding", source=[f"s{i % 30}" for i in range(300)])
     q = frame(spark, range(12), queries, "query_id", "query_vector")
-    want = sorted(map(tuple, vs.top_k(q, b, k=3, within=["source"]).collect()))
-    best = vectors.Best(3, 1)
-    best.keep(("a",), np.array([0]), np.array([1]), np.array([0.5]))
-    schema = vectors.arrow_schema(vs.top_k(q, b, k=3, within=["source"]).drop("rank").schema)
-    assert not list(best.overflow(np.array([7]), schema))
-    monkeypatch.setattr(vectors, "KEPT_ROWS", 0)
-    assert [x.to_pylist() for x in best.overflow(np.array([7]), schema)] == [[{"query_id": 7, "source": "a", "object_id": 1, "score": 0.5}]]
-    assert best.size == 0 and len(want) == 12 * 30 * 3
+    want = sorted(map(tuple, vs.top_k(q, b, k=3, within=within).collect()))
+    monkeypatch.setattr(vs, "LEAST_QUERY_ROWS", 4)
+    tight = vs.top_k(q, b, k=3, within=within, kept_rows=1, block_bytes=(8 * base.shape[1] * 100, 8 * base.shape[1] * 100))
+    assert sorted(map(tuple, tight.collect())) == want
+
+
+def test_a_task_keeps_its_bars():
+    best = vectors.Best(2, 1)
+    for i in range(50):
+        best.keep((), np.array([0]), np.array([i]), np.array([float(i)]))
+        assert len(best.kept[()][0]) <= 2
+    assert list(best.kept[()][1]) == [49, 48]
+
+
+def test_groups_keep_large_and_missing_integers(spark, points):
+    base, queries = points
+    big = [2**53, 2**53 + 1, None]
+    b = frame(spark, range(300), base, "object_id", "embedding", source=[big[i % 3] for i in range(300)])
+    q = frame(spark, range(2), queries[:2], "query_id", "query_vector")
+    assert {r.source for r in vs.top_k(q, b, k=1, within=["source"]).collect()} == set(big)
 
 
 def test_query_dimension_must_match(spark, points):
