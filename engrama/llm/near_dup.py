@@ -155,7 +155,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest linked id), kept (the one that stays), n_links of its class."""
+    """doc_id, n_shingles, component_id (smallest linked id), kept (the one that stays), class_id (smallest id with the same set)."""
     signed = materialize(signatures(docs).dropDuplicates(["doc_id", "n_shingles", "d1", "d2"]))
     keys = ["n_shingles", "d1", "d2"]
     named = signed.where("n_shingles > 0 and doc_id is not null")
@@ -195,16 +195,15 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     links = first.unionByName(confirmed(pairs.select("a", "b"), texts, threshold))
     links = materialize(links)
     component = connected_components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
 
-    reps = classes.select(*keys, "rep").join(component, F.col("rep") == component.id, "left").join(degree.withColumnRenamed("id", "linked"), F.col("rep") == F.col("linked"), "left")
-    reps = reps.select(*keys, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    reps = classes.select(*keys, "rep").join(component, F.col("rep") == component.id, "left")
+    reps = reps.select(*keys, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", *keys).join(reps, keys, "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     own = F.when(F.col("doc_id").isNotNull(), own)
     return out.select(
         "doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
-        F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("class_id", "doc_id").alias("class_id"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engrama.llm import ann, chat, decontam, html_text, lang_id, line_dedup, near_dup, packing, records, toxicity
+from engrama.llm.oracles import ORACLES  # noqa: F401  read with QUERIES
 from engrama.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,4 +75,3 @@ QUERIES: dict[str, Query] = {
         op8_decontamination, op9_language_id, op10_packing,
     )
 }
-ORACLES: dict[str, str] = {}
