@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from engrama.llm.common import map_arrow
 
 SAMPLE = 5_000
-TAG_COST = 0.5        # of any tag, besides what was learned
+TAG_COST = 0.5        # of a tag, besides what was learned
+TEXT_TAG_COST = 0.1   # of a tag within running text, so that short paragraphs still count
 LIMIT = 4.0           # of a learned weight, either way
 LEFT_OUT_COST = -0.2  # of a word in an element that is left out
 OUTSIDE = -1.0        # at most, of a word outside the element that marks the article
@@ -48,6 +49,7 @@ _CONTAINERS = {*_LEFT_OUT, *"html body article main section div ul ol dl table t
 _BLOCKS = {*_CONTAINERS, *"p h1 h2 h3 h4 h5 h6 li dt dd pre br hr address figcaption caption summary thead tbody tfoot center fieldset".split()}
 _VOID = set("br hr img input meta link area base col embed source track wbr".split())
 _CLOSED_BY_BLOCK = {"p", "li", "dt", "dd", "td", "th", "tr", "option"}
+_TEXT_TAGS = set("p br b i em strong u sub sup code h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _ARTICLE = {"article", "main"}
 # fixed values: parts of class names and ids of what isn't running text
 _UNWANTED = re.compile(
@@ -149,7 +151,7 @@ class Weights:
         return self.words[key]
 
     def tag(self, name: str) -> float:
-        return self.tags.get(name, -TAG_COST)
+        return self.tags.get(name, 0.0) - (TEXT_TAG_COST if name in _TEXT_TAGS else TAG_COST)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -237,7 +239,7 @@ def learn(pages: DataFrame) -> Weights:
         if r.kind == "word":
             words[r.key] = odds
         else:
-            tags[r.key] = min(0.0, odds / LIMIT) - TAG_COST
+            tags[r.key] = min(0.0, odds / LIMIT)
     return Weights(words, tags)
 
 
