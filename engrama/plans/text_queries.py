@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engrama.operators import graph
+from engrama.operators import graph, text_index
 from engrama.operators import text_search as ts
 from engrama.operators import vector_search as vs
 from engrama.functions.vectors import r6
 from engrama.plans.registry import query
 from engrama.plans.views import Tables
+from engrama.session import work_dir
 
 # reusable SQL pieces for the TF-IDF checks
 TOK = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{M}}\p{{N}}]+'), lambda x: x <> '')"
@@ -66,6 +67,33 @@ def text_search(t: Tables) -> DataFrame:
     return ts.text_search(t.fx_queries, t.fx_memory, k=10, within=["workspace_id"])
 
 
+def _text_index(t: Tables) -> tuple[str, DataFrame]:
+    path = work_dir(t.spark, "text-index")
+    return path, text_index.build(t.fx_memory, path, carried=["workspace_id"])
+
+
+@query(f"""
+WITH {WEIGHTS}
+SELECT (SELECT count(*) FROM len) AS n_texts, (SELECT count(*) FROM idf) AS n_tokens, (SELECT count(*) FROM tc) AS n_postings
+""")
+def text_index_build(t: Tables) -> DataFrame:
+    """The sizes of a text index written to tables."""
+    return _text_index(t)[1].select("n_texts", "n_tokens", "n_postings")
+
+
+@query(f"""
+WITH {WEIGHTS}, {QTERMS}, {OVERLAP}
+SELECT query_id, workspace_id, memory_id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, workspace_id ORDER BY score DESC, memory_id) AS rank
+  FROM sc JOIN (SELECT memory_id, workspace_id FROM fx_memory) USING (memory_id))
+WHERE rank <= 10
+""")
+def text_index_search(t: Tables) -> DataFrame:
+    """The same search over the stored index."""
+    path, _ = _text_index(t)
+    return text_index.search(t.spark, path, t.fx_queries, 10, within=["workspace_id"])
+
+
 @query(f"""
 WITH {WEIGHTS}, {QTERMS}, {OVERLAP},
 bodies AS (SELECT query_id, CASE query_id % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'de' WHEN 2 THEN 'fr' ELSE 'es' END

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from engrama.functions import vectors
-from engrama.operators import ivf, text_search as ts, vector_search as vs
+from engrama.operators import ivf, text_index, text_search as ts, vector_search as vs
 
 
 def frame(spark, ids, rows, id_name, vector_name, **extra):
@@ -161,6 +161,40 @@ def test_quantized_search_stays_close(spark, points):
     assert recall["pq"] > 0.5
 
 
+@pytest.mark.parametrize("kind,least", [("IVF_FLAT", 1.0), ("IVF_SQ8", 0.9), ("IVF_PQ", 0.5)])
+def test_stored_indexes_answer_from_their_folders(spark, points, tmp_path, kind, least):
+    base, queries = points
+    b = frame(spark, range(300), base, "object_id", "embedding").where("object_id < 100 or object_id >= 200")
+    q = frame(spark, range(12), queries, "query_id", "query_vector")
+    exact = answers(vs.top_k(q, b, k=10))
+    path = str(tmp_path / "index")
+    row = ivf.build_index(b, ivf.sampled_centroids(b, 4), path, "s", kind).first()
+    assert (row.index_type, row.n_lists, row.n_vectors) == (kind, 4, 200)
+    stored = set(spark.read.parquet(f"{path}/lists").columns)
+    assert ("embedding" in stored) == (kind == "IVF_FLAT") and ("codes" in stored) == (kind != "IVF_FLAT")
+    got = answers(ivf.search_index(spark, path, q, 4, 10))
+    assert sum(len(set(a) & set(exact[i])) for i, a in got.items()) / 120 >= least
+    one = ivf.of_lists(ivf.read_lists(spark, path), spark.createDataFrame([(2,)], "list_id bigint"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(list_id" in plan and "Exchange" not in plan
+
+
+def test_lists_of_unequal_vectors_follow_their_metric(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(300, 8)) * rng.uniform(0.1, 10, size=(300, 1))
+    b = frame(spark, range(300), base, "object_id", "embedding")
+    q = frame(spark, range(12), base[:12], "query_id", "query_vector")
+    exact = answers(vs.top_k(q, b, k=10, metric="L2"))
+    centroids = ivf.kmeans_centroids(b, 8)
+
+    def recall(metric):
+        assigned = ivf.assign_lists(b, centroids, metric=metric)
+        got = answers(ivf.ivf_search(q, assigned, centroids, 3, 10, "L2", list_metric=metric))
+        return sum(len(set(got.get(i, [])) & set(exact[i])) for i in exact) / 120
+
+    assert recall("L2") > 0.7 and recall("L2") >= recall("IP")
+
+
 TEXTS = [(f"d{i:03d}", t, "ab"[i % 2]) for i, t in enumerate(
     ["the cat sat on the mat", "the dog ate the cat", "birds sing at dawn", "", "the the the", "Cat! cat? CAT."] * 20
 )]
@@ -179,6 +213,27 @@ def test_text_search_forms_agree(spark, scope, within):
     assert len(results[0]) == (20 if within else 10)
 
 
+@pytest.mark.parametrize("scope,within", [((), ()), (("ws",), ()), ((), ("ws",))])
+def test_a_stored_text_index_answers_like_a_search(spark, scope, within, tmp_path):
+    texts = spark.createDataFrame(TEXTS, "memory_id string, text string, ws string")
+    queries = spark.createDataFrame([(1, "the cat", "a"), (2, "dawn birds the", "b"), (3, "nothing here", "a")],
+                                    "query_id bigint, query_text string, ws string")
+    path = str(tmp_path / "index")
+    text_index.build(texts, path, carried=["ws"], buckets=4)
+    got = text_index.search(spark, path, queries, 5, scope, within)
+    columns = ["query_id", *dict.fromkeys([*scope, *within]), "memory_id", "score", "rank"]
+    want = ts.text_search(queries, texts, k=5, scope=scope, within=within)
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    few = text_index.only_terms(spark.read.parquet(f"{path}/postings"), spark.createDataFrame([("cat",)], "token string"), 4)
+    assert "PartitionFilters: [isnotnull(bucket" in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_all_scripts_are_found(spark):
+    texts = spark.createDataFrame([("a", "\u0441\u043b\u043e\u0432\u043e \u0434\u0435\u043b\u043e"), ("b", "caf\u00e9 noir"), ("c", "cafe")], "memory_id string, text string")
+    queries = spark.createDataFrame([(1, "\u0421\u043b\u043e\u0432\u043e"), (2, "CAF\u00c9")], "query_id bigint, query_text string")
+    assert answers(ts.text_search(queries, texts), item="memory_id") == {1: ["a"], 2: ["b"]}
+
+
 def test_boost_changes_the_order(spark):
     texts = spark.createDataFrame([("a", "cat", 0.1), ("b", "cat dog", 1.0)], "memory_id string, text string, imp double")
     queries = spark.createDataFrame([(1, "cat")], "query_id bigint, query_text string")
