@@ -174,7 +174,8 @@ def purge_job(
 
     The audit row is written first.  A version carries the key of the job that wrote
     it, so a run that died in between is told from one that finished, whatever other
-    jobs wrote meanwhile; the repeat then purges what the table holds by now.
+    jobs wrote meanwhile; the repeat then purges what the table holds by now.  Of a
+    partitioned table only the partitions with matches are rewritten.
     """
     current = snapshots.read_version(spark, table)
     gone = _gone(match, only_if_inactive)
@@ -191,7 +192,12 @@ def purge_job(
         )
         snapshots.write_version(row if history is None else history.unionByName(row), audit)
     if idempotency_key not in snapshots.finished_jobs(spark, table):
-        snapshots.write_version(current.where(~gone), table, partition_by, job=idempotency_key)
+        if partition_by:
+            touched = materialize(current.where(gone).select(partition_by).distinct())
+            changed = join_null_safe(current, touched, [partition_by], "left_semi").where(~gone)
+            snapshots.write_changed(changed, table, partition_by, touched, job=idempotency_key)
+        else:
+            snapshots.write_version(current.where(~gone), table, job=idempotency_key)
     return snapshots.read_version(spark, audit).where(F.col("idempotency_key") == idempotency_key)
 
 

@@ -80,7 +80,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     """Join on equal keys where null equals null; the key columns are the left side's."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     matched = reduce(and_, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
-    return left.join(renamed, matched, how).drop(*[f"_right_{k}" for k in keys])
+    joined = left.join(renamed, matched, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
 
 
 _shipped: set[str] = set()

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engrama.session import join_null_safe
@@ -83,7 +85,56 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> D
     found = [name for n, name in _folders(spark, root) if number in (None, n)]
     if not found:
         raise FileNotFoundError(root)
-    return spark.read.parquet(f"{root}/{found[-1]}")
+    parts = _parts(spark, root, found[-1])
+    if parts is None:
+        return spark.read.parquet(f"{root}/{found[-1]}")
+    key, held = parts
+    frames = [spark.read.parquet(f"{root}/{folder}").where(_among(F.col(key), values)) for folder, values in sorted(held.items())]
+    if not frames:  # every partition is gone: the columns are those of the version before
+        return read_version(spark, root, int(found[-1][2:].split("-")[0]) - 1).where("false")
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _among(column: Column, values: list) -> Column:
+    known = [v for v in values if v is not None]
+    return F.coalesce(column.isin(known), F.lit(False)) | (column.isNull() if None in values else F.lit(False))
+
+
+def _parts(spark: SparkSession, root: str, name: str) -> tuple[str, dict[str, list]] | None:
+    """(partition column, values by the folder that holds them) of a version written in part; None for a whole one."""
+    if not exists(spark, f"{root}/parts-{name}"):
+        return None
+    rows = spark.read.parquet(f"{root}/parts-{name}")
+    key = next(c for c in rows.columns if c != "_folder")
+    held: dict[str, list] = {}
+    for r in rows.collect():  # as many as the table has partitions
+        if r["_folder"] is not None:
+            held.setdefault(r["_folder"], []).append(r[key])
+    return key, held
+
+
+def write_changed(changed: DataFrame, root: str, partition_by: str, touched: DataFrame, job: str = "") -> int:
+    """Write the next version by rewriting only the touched partitions; the others stay where they are.
+
+    ``changed`` holds what is left of the touched partitions.  A small table next to
+    the version tells which folder holds which partition; it is written first, so
+    that the version's own ``_SUCCESS`` finishes both.
+    """
+    spark = changed.sparkSession
+    number, before = _folders(spark, root)[-1]
+    name = f"v={number + 1}" + (f"-{_job_mark(job)}" if job else "")
+    old = _parts(spark, root, before)
+    if old is None:
+        values = spark.read.parquet(f"{root}/{before}").select(partition_by).distinct().withColumn("_folder", F.lit(before))
+    else:
+        rows = [(v, folder) for folder, held in old[1].items() for v in held]
+        kind = changed.schema[partition_by].dataType.simpleString()
+        values = spark.createDataFrame(rows, f"{partition_by} {kind}, _folder string")
+    kept = values.join(touched, values[partition_by].eqNullSafe(touched[partition_by]), "left_anti")
+    moved = changed.select(partition_by).distinct().withColumn("_folder", F.lit(name))
+    kept.unionByName(moved).coalesce(1).write.mode("overwrite").parquet(f"{root}/parts-{name}")
+    spread_by(changed, partition_by).write.partitionBy(partition_by).mode("overwrite").parquet(f"{root}/{name}")
+    return number + 1
 
 
 def spread_by(df: DataFrame, key: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:

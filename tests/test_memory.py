@@ -120,6 +120,22 @@ def test_nulls_survive_what_does_not_name_them(spark, gaps, tmp_path):
     assert spark.read.parquet(snapshot).count() == 5
 
 
+def test_a_purge_rewrites_only_partitions_with_matches(spark, memory, tmp_path):
+    table, audit = str(tmp_path / "t"), str(tmp_path / "a")
+    snapshots.write_version(memory.union(memory.where("memory_id = 'm3'").replace("m3", "m5").withColumn("workspace_id", F.lit(None).cast("string"))), table, "workspace_id")
+    for job, match, want in (
+        ("k1", lifecycle.source_match("v", memory_id="m4"), ["m1", "m2", "m3", "m5"]),
+        ("k2", lifecycle.source_match("w", reference_id="r1"), ["m3", "m5"]),
+        ("k3", F.col("workspace_id").isNull(), ["m3"]),
+        ("k4", F.lit(True), []),
+    ):
+        lifecycle.purge_job(spark, table, audit, match, "purge", job, only_if_inactive=False)
+        now = snapshots.read_version(spark, table)
+        assert ids(now) == want and sorted(now.columns) == sorted(memory.columns)
+    second = next(p for p in (tmp_path / "t").iterdir() if p.name.startswith("v=2"))
+    assert not [p for p in second.iterdir() if p.name.startswith("workspace_id=w")]
+
+
 def test_null_keys_are_keys(spark):
     states = spark.createDataFrame([("s1", None, 1), ("s2", None, 2), ("s3", "k", 1)], "id string, key string, at int")
     got = {r.id: (r.is_active, r.superseded_by) for r in lifecycle.conflict_winners(states, "key", "id", ["at"]).collect()}
