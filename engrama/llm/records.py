@@ -17,7 +17,7 @@ under a new name, and only files named by the finished task's index rows exist f
 readers.  So a task that is lost and run again leaves at most an unread file.
 
 Results for odd input: a null text has just the end id; rows with a null id come
-first and keep it; repeated rows are separate records, next to each other.
+first and keep it; rows of one id are separate records, next to each other.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 def _writer(folder: str, vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_folder(folder)
-        name = f"{uuid.uuid4().hex}.rec"
+        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.rec"  # by name in the order of ids
         out, offset, row = None, 0, 0
         for batch in batches:
             if not batch.num_rows:
@@ -121,7 +122,9 @@ def write_records(docs: DataFrame, folder: str, vocabulary: str | None = None) -
     store, root = open_folder(folder)
     store.create_dir(root, recursive=True)
     vocabulary = vocabulary or vocabulary_path()
-    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # many rows of one id, or of none, spread by their texts
+    ordered = texts.withColumn("salt", F.xxhash64("text")).repartitionByRange("doc_id", "salt").sortWithinPartitions("doc_id", "salt").drop("salt")
     text_batches(ordered).mapInArrow(_writer(folder, vocabulary), INDEX).write.parquet(f"{folder}/index")
     return read_index(spark, folder)
 
@@ -130,8 +133,8 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """The index with ``start``: the number of ids in all records before, over all files in order."""
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
     # one row per file: as few as there were write tasks
-    files = index.groupBy("file").agg(F.min("doc_id").alias("low"), F.min(F.col("doc_id").isNotNull()).alias("known"), F.sum("n_tokens").alias("total"))
-    before = Window.orderBy("known", "low").rowsBetween(Window.unboundedPreceding, -1)
+    files = index.groupBy("file").agg(F.sum("n_tokens").alias("total"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     shifts = files.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     local = index.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
