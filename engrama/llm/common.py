@@ -41,9 +41,14 @@ def unused(name: str, columns: list[str]) -> str:
     return name
 
 
-def sized(df: DataFrame, row_bytes: int) -> DataFrame:
-    """``df``, which should be pinned, marked for broadcast if its counted rows fit; else left to a shuffle."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+def sized(df: DataFrame, row_bytes: int, array: str | None = None, cell_bytes: int = 0) -> DataFrame:
+    """``df``, which should be pinned, marked for broadcast if its measured size fits; else left to a shuffle.
+
+    Measured are its rows, and the cells of ``array`` if it has one.
+    """
+    cells = F.coalesce(F.sum(F.size(array).cast("bigint")), F.lit(0)) if array else F.lit(0)
+    size = df.agg(F.count(F.lit(1)).alias("rows"), cells.alias("cells")).first()
+    return F.broadcast(df) if size["rows"] * row_bytes + size["cells"] * cell_bytes <= BROADCAST_BYTES else df
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ SHORT_MASK = (0, 1, 2, 3, 4)  # for items that no mask fits
 WINDOW = 16
 MISMATCHES = 3                # of WINDOW words; in proportion, rounded down, in shorter items
 LEAST_WORDS = 5
-SLICE_BYTES = 16 * 1024 * 1024
+SLICE_BYTES = 64 * 1024 * 1024  # of seeds in memory, about ten for each byte of an item
 FILTER_BITS = 22
 
 _STEPS = random_words(16, 31) | np.uint64(1)
@@ -162,7 +162,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_items"), F.max("matched").alias("matched"), F.sort_array(F.collect_list("item_id")).alias("items")
     )
     per_doc = materialize(found)
-    out = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).join(sized(per_doc, 128), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    out = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).join(sized(per_doc, 96, "items", 8), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     return out.select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("matched", F.lit(0)).cast("bigint").alias("matched"), F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),

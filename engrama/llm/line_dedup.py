@@ -145,7 +145,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, info: str = "line_d
     """
     spans = materialize(removed_spans(repeated_runs(docs, min_words)))
     key, found, info = unused("doc", docs.columns), unused("spans", docs.columns), unused(info, docs.columns)
-    joined = docs.join(sized(spans.select(F.col("doc").alias(key), F.col("spans").alias(found)), 64), docs["doc_id"].cast("bigint") == F.col(key), "left")
+    marked = sized(spans.select(F.col("doc").alias(key), F.col("spans").alias(found)), 64, found, 32)
+    joined = docs.join(marked, docs["doc_id"].cast("bigint") == F.col(key), "left")
     lines = _lines(F.col("text").cast("string"))
     # the text between removed spans; spans are sorted and apart
     kept = F.filter(lines, lambda x, i: ~F.exists(found, lambda s: (i >= s["first"]) & (i <= s["last"])))
