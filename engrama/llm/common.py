@@ -51,32 +51,46 @@ def sized(df: DataFrame, row_bytes: int, array: str | None = None, cell_bytes: i
     return F.broadcast(df) if size["rows"] * row_bytes + size["cells"] * cell_bytes <= BROADCAST_BYTES else df
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def released(df: DataFrame) -> DataFrame:
+    """``df`` pinned, and the shuffle files of the steps before it let go.
+
+    Spark removes those once the driver's JVM has collected the plans they belong
+    to, which a quiet driver does seldom; a job of many steps would keep them all.
+    """
+    pinned = materialize(df)
+    pinned.sparkSession.sparkContext._jvm.System.gc()
+    return pinned
+
+
+def connected_components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b): the smallest id that can be reached.
 
     Alternates large-star and small-star steps: every id is joined to the
     smallest id near it until only stars are left.  Each round is pinned, and a
-    hot center's links stay rows, which a skewed join can split.
+    hot center's links stay rows, which a skewed join can split.  After ``rounds``,
+    if given, ids of one component may still differ, but never agree across two.
     """
     edges = materialize(links.select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).where("u > v").distinct())
-    seen = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
+    seen, done = None, 0
+    while rounds is None or done < rounds:
+        done += 1
+        if rounds is None:
+            state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if state == seen:
+                break
+            seen = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select("v", "m").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct())
-    centers = edges.select(F.col("v").alias("id")).distinct()
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-        centers.select("id", F.col("id").alias("component"))
-    )
+        edges = released(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct())
+    # an id with several smaller neighbours, before the last round, takes the smallest
+    own = edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
+    centers = edges.select(F.col("v").alias("id")).distinct().join(own.select("id"), "id", "left_anti")
+    return own.unionByName(centers.select("id", F.col("id").alias("component")))
 
 
 def crc32_text(column: Column) -> Column:

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from engrama.llm.common import sized, unused
+from engrama.llm.common import released, sized, unused
 from engrama.session import materialize
 
 MIN_WORDS = 50
@@ -100,7 +100,7 @@ def suffix_ranks(lines: DataFrame, longest: int) -> list[DataFrame]:
     ranks = materialize(lines.select(*_AT, "h1", "h2", F.lit(0).cast("bigint").alias("place")))
     levels, step = [ranks], 1
     while 2 * step <= longest:
-        ranks = materialize(doubled(ranks, step))
+        ranks = released(doubled(ranks, step))
         levels.append(ranks)
         step *= 2
     return levels
@@ -108,8 +108,8 @@ def suffix_ranks(lines: DataFrame, longest: int) -> list[DataFrame]:
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Later copies of repeated runs: doc, pos, m lines, the original's ``from_doc`` and ``from_pos``."""
-    lines = materialize(repeated(line_ids(docs), ["h1", "h2"], "n").drop("n").dropDuplicates(_AT))
-    runs = materialize(windows(lines, min_words))
+    lines = released(repeated(line_ids(docs), ["h1", "h2"], "n").drop("n").dropDuplicates(_AT))
+    runs = released(windows(lines, min_words))
     longest = runs.agg(F.max("m")).first()[0] or 0
     keyed = None
     for j, ranks in enumerate(suffix_ranks(lines, longest)):
@@ -120,7 +120,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         # a run of exactly 2**j lines is its own tail
         part = at_head.join(tail, ["doc", "end"]).select(*_AT, "m", "h1", "h2", "place", "g1", "g2", "next")
         keyed = part if keyed is None else keyed.unionByName(part)
-    keyed = materialize(keyed)
+    keyed = released(keyed)
     interval = ["m", "h1", "h2", "place", "g1", "g2", "next"]
     first = keyed.groupBy(*interval).agg(F.min(F.struct(*_AT)).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     return keyed.join(first, interval).where(F.struct(*_AT) > F.col("first")).select(
@@ -143,7 +143,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, info: str = "line_d
 
     ``info`` gets underscores in front if ``docs`` has such a column.
     """
-    spans = materialize(removed_spans(repeated_runs(docs, min_words)))
+    spans = released(removed_spans(repeated_runs(docs, min_words)))
     key, found, info = unused("doc", docs.columns), unused("spans", docs.columns), unused(info, docs.columns)
     marked = sized(spans.select(F.col("doc").alias(key), F.col("spans").alias(found)), 64, found, 32)
     joined = docs.join(marked, docs["doc_id"].cast("bigint") == F.col(key), "left")

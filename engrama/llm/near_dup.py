@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engrama.llm.common import connected_components, map_arrow, sized, text_batches
+from engrama.llm.common import connected_components, map_arrow, released, sized, text_batches
 from engrama.llm.hashing import mix, random_words, shingle_set, word_hashes
 from engrama.session import materialize
 
@@ -40,6 +40,7 @@ BINS = 1024          # one-permutation MinHash samples of an odd sketch
 SKETCH_BITS = 1024
 SCREEN_SIGMAS = 5.0
 THRESHOLD = 85       # percent
+FIRST_ROUNDS = 2     # of components between the two rounds of links
 
 _SEEDS = random_words(BANDS * BAND_ROWS, 21)
 _FACTORS = random_words(BANDS * BAND_ROWS, 22) | np.uint64(1)
@@ -156,17 +157,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked id), kept (the one that stays), class_id (smallest id with the same set)."""
-    signed = materialize(signatures(docs).dropDuplicates(["doc_id", "n_shingles", "d1", "d2"]))
+    signed = released(signatures(docs).dropDuplicates(["doc_id", "n_shingles", "d1", "d2"]))
     keys = ["n_shingles", "d1", "d2"]
     named = signed.where("n_shingles > 0 and doc_id is not null")
     classes = named.groupBy(*keys).agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("bins").alias("bins")
     )
-    classes = materialize(classes)
+    classes = released(classes)
 
     rows = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = rows.groupBy("band", "key").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = materialize(rows.join(buckets, ["band", "key"]))
+    members = released(rows.join(buckets, ["band", "key"]))
     met = sized(materialize(members.select(F.col("rep").alias("doc_id")).distinct()), 16)
     texts = materialize(text_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
                         .join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
@@ -177,8 +178,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     stars = members.where("center < rep").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     stars = stars.join(side("a"), "a").join(side("b"), "b").where(_close("of_a", "of_b", threshold)).select("a", "b")
-    first = materialize(confirmed(stars, texts, threshold))
-    found = connected_components(first)
+    first = released(confirmed(stars, texts, threshold))
+    found = connected_components(first, FIRST_ROUNDS)  # enough to leave out most pairs; the end result is exact
 
     placed = members.join(found, members.rep == found.id, "left").select(
         "band", "key", "rep", F.coalesce("component", "rep").alias("component")
@@ -193,7 +194,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     again = F.when(F.col("band") > 0, earlier).otherwise(False)
     pairs = left.join(right, ["band", "key"]).where((F.col("ca") < F.col("cb")) & _close("of_a", "of_b", threshold) & ~again)
     links = first.unionByName(confirmed(pairs.select("a", "b"), texts, threshold))
-    links = materialize(links)
+    links = released(links)
     component = connected_components(links)
 
     reps = classes.select(*keys, "rep").join(component, F.col("rep") == component.id, "left")
