@@ -83,6 +83,8 @@ def store_metrics(events: DataFrame, storage: bool = False) -> DataFrame:
     if storage:
         size = F.octet_length("payload")
         measures += [F.sum(size).cast("bigint").alias("payload_bytes"), F.max(size).alias("largest_payload")]
+        # exact, from counts per distinct size, which are few
+        measures += [r6(F.percentile(size, p)).alias(f"payload_p{round(100 * p)}") for p in (0.5, 0.95)]
     return events.groupBy("workspace_id", "event_type").agg(*measures)
 
 

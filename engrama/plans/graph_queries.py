@@ -248,7 +248,8 @@ def handoff_matrix(t: Tables) -> DataFrame:
 
 @query("""
 SELECT workspace_id, event_type, count(*) AS n_events, count(DISTINCT agent_id) AS n_agents,
-       CAST(sum(strlen(payload)) AS BIGINT) AS payload_bytes, CAST(max(strlen(payload)) AS INTEGER) AS largest_payload
+       CAST(sum(strlen(payload)) AS BIGINT) AS payload_bytes, CAST(max(strlen(payload)) AS INTEGER) AS largest_payload,
+       round(quantile_cont(strlen(payload)::double, 0.5), 6) AS payload_p50, round(quantile_cont(strlen(payload)::double, 0.95), 6) AS payload_p95
 FROM fx_events GROUP BY 1, 2
 """)
 def store_metrics(t: Tables) -> DataFrame:

@@ -64,6 +64,17 @@ def latest_batch_only(t: Tables) -> DataFrame:
     return filters.scoped(t.fx_memory, QueryRequest(latest_batch_only=True)).select(*_COLUMNS)
 
 
+@query(f"""
+WITH m AS (SELECT *, concat('part-', CAST(substr(memory_id, 5) AS BIGINT) % 7, '.fbin') AS file FROM fx_memory)
+SELECT {_LIST} FROM m WHERE import_batch_id = 'batch_000001' AND file = 'part-3.fbin'
+""")
+def import_filter(t: Tables) -> DataFrame:
+    """One file of one import batch."""
+    file = F.concat(F.lit("part-"), F.substring("memory_id", 5, 20).cast("bigint") % 7, F.lit(".fbin"))
+    request = QueryRequest(import_batch_id="batch_000001", source_file_name="part-3.fbin")
+    return filters.scoped(t.fx_memory.withColumn("source_file_name", file), request).select(*_COLUMNS)
+
+
 @query(f"""
 SELECT 'hot_only' AS request, {_LIST} FROM fx_memory WHERE tier = 'hot'
 UNION ALL SELECT 'with_cold', {_LIST} FROM fx_memory
