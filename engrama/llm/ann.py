@@ -12,10 +12,10 @@ How many are enough is calibrated: sample queries are compared with brute force
 the sample, and the visits widen until ``RECALL`` of the true neighbours lie in the
 leaves visited.
 
-Leaves are joined with the queries that visit them.  A leaf is cut into blocks of
-``BLOCK_ROWS`` vectors, so a leaf full of copies is many small groups; a query block
-and a vector block meet in one group and leave the best k per query, and a second
-step merges those.  Scores are summed in double precision, one component after
+Neighbouring leaves are bundled up to ``BLOCK_ROWS`` vectors, and a larger leaf, full
+of copies, is cut into several such bundles.  A query goes once to each bundle that
+holds leaves it visits, is compared with the vectors of those leaves and leaves its
+best k, and a second step merges those.  Scores are summed in double precision, one component after
 another, so equal vectors get equal scores wherever they are.
 
 Results for odd input: vectors that are null, zero, of another length than most, or
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from engrama.llm.common import text_batches
@@ -45,7 +45,8 @@ LEAST_SAMPLE = 8      # sample vectors per leaf at least
 ROUNDS = 8            # of k-means per node
 TRIALS = 200          # sample queries for the calibration
 RECALL = 0.95         # share of true neighbours the visited leaves must hold
-BLOCK_ROWS = 4096     # vectors of one leaf, and queries, compared in one group
+BLOCK_ROWS = 16_384   # vectors of neighbouring leaves, and queries, compared in one group
+SCORE_CELLS = 4_000_000  # scores held at once
 
 
 class Tree:
@@ -164,14 +165,40 @@ def _leaves(tree):
     return run
 
 
-def _visits(tree, visits: int):
+def bundles_of(sizes: dict[int, int], rows: int) -> dict[int, tuple[int, int]]:
+    """(first bundle, bundles) of each leaf: neighbours in the tree share a bundle of about ``rows`` vectors,
+    and a larger leaf has several of its own."""
+    out, bundle, held = {}, 0, 0
+    for leaf, size in sorted(sizes.items()):
+        parts = -(-size // rows)
+        if held and held + size > rows:
+            bundle, held = bundle + 1, 0
+        out[leaf] = (bundle, parts)
+        held += size
+        if parts > 1:
+            bundle, held = bundle + parts, 0
+    return out
+
+
+def _visits(tree, visits: int, bundles: dict[int, tuple[int, int]]):
+    """Each query once per bundle it visits, with the leaves it visits there."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                found = [tree.value.best_first(q, visits) for q in _matrix(batch.column(1))]
-                row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                picked = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int32)), *picked.columns], ["leaf", "query_id", "q"])
+            if not batch.num_rows:
+                continue
+            row, bundle, leaves = [], [], []
+            for i, q in enumerate(_matrix(batch.column(1))):
+                wanted: dict[int, list[int]] = {}
+                for leaf in tree.value.best_first(q, visits):
+                    first, parts = bundles.get(leaf, (0, 0))  # a leaf without vectors isn't visited
+                    for part in range(parts):
+                        wanted.setdefault(first + part, []).append(leaf)
+                row.extend([i] * len(wanted)), bundle.extend(wanted), leaves.extend(wanted.values())
+            picked = batch.take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bundle, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), *picked.columns], ["ask_bundle", "leaves", "query_id", "q"]
+            )
 
     return run
 
@@ -184,9 +211,11 @@ def exact_scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return total
 
 
-def best_of_block(query_ids, queries, ids, vectors, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, vec position, score) of the k best per query, the query's own row left out."""
+def best_of_block(query_ids, queries, ids, vectors, k: int, allowed=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, vec position, score) of the k best per query, among the allowed, the query's own row left out."""
     rough = queries @ vectors.T
+    if allowed is not None:
+        rough[~allowed] = -np.inf
     rough[query_ids[:, None] == ids[None, :]] = -np.inf
     n = min(k, len(ids))
     bar = np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n]
@@ -206,9 +235,13 @@ def _compare(k: int):
         if left.num_rows and right.num_rows:
             qid, q = left.column("query_id").to_numpy(), _matrix(left.column("q").combine_chunks())
             ids, v = right.column("vec_id").to_numpy(), _matrix(right.column("v").combine_chunks())
-            for a in range(0, len(qid), 256):
-                at, spot, scores = best_of_block(qid[a:a + 256], q[a:a + 256], ids, v, k)
-                parts.append((qid[a:a + 256][at], ids[spot], scores))
+            leaves, place = np.unique(right.column("leaf").to_numpy(), return_inverse=True)
+            visited = [np.isin(leaves, x) for x in left.column("leaves").to_pylist()]
+            step = max(1, SCORE_CELLS // len(ids))
+            for a in range(0, len(qid), step):
+                allowed = np.array(visited[a:a + step])[:, place]
+                at, spot, scores = best_of_block(qid[a:a + step], q[a:a + step], ids, v, k, allowed)
+                parts.append((qid[a:a + step][at], ids[spot], scores))
         columns = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns)))
 
@@ -238,28 +271,25 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
         return queries.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     asked = usable(queries).dropDuplicates(["vec_id"]).where(F.size("v") == int(tree.centers.shape[1]))
     sent = queries.sparkSession.sparkContext.broadcast(tree)
-    visiting = text_batches(asked.select("vec_id", "v")).mapInArrow(_visits(sent, visits), "leaf int, query_id bigint, q array<double>")
-    # both sides are cut: a group holds at most about BLOCK_ROWS vectors of one leaf and as many queries
+    # both sides are cut: a group holds about BLOCK_ROWS vectors of neighbouring leaves and as many queries
     parts = max(1, -(-asked.count() // BLOCK_ROWS))
-    sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"))  # as many rows as leaves
-    blocks = sizes.select("leaf", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
-    blocked = placed.join(F.broadcast(blocks), "leaf").select(
-        "leaf", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(_upto(F.lit(parts))).alias("part"), "vec_id", "v"
+    sizes = {r.leaf: r.rows for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).collect()}  # as many as leaves
+    bundles = bundles_of(sizes, BLOCK_ROWS)
+    table = queries.sparkSession.createDataFrame([(leaf, *b) for leaf, b in bundles.items()], "leaf int, first int, blocks int")
+    blocked = placed.join(F.broadcast(table), "leaf").select(
+        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).alias("bundle"),
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "leaf", "vec_id", "v",
     )
-    blocks = blocks.select(F.col("leaf").alias("ask_leaf"), "blocks")
-    asks = visiting.join(F.broadcast(blocks), visiting["leaf"] == blocks["ask_leaf"]).select(
-        "ask_leaf", F.explode(_upto(F.col("blocks"))).alias("ask_block"), F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("ask_part"), "query_id", "q"
+    visiting = text_batches(asked.select("vec_id", "v")).mapInArrow(
+        _visits(sent, visits, bundles), "ask_bundle int, leaves array<int>, query_id bigint, q array<double>"
     )
-    best = asks.groupBy("ask_leaf", "ask_block", "ask_part").cogroup(blocked.groupBy("leaf", "block", "part")).applyInArrow(_compare(k), schema)
+    asks = visiting.withColumn("ask_part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+    best = asks.groupBy("ask_bundle", "ask_part").cogroup(blocked.groupBy("bundle", "part")).applyInArrow(_compare(k), schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _upto(n: Column) -> Column:
-    return F.sequence(F.lit(0), n - 1)
-
-
 def brute_force(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> dict[int, list[int]]:
     """For tests: the true neighbours."""
     at, spot, _ = best_of_block(query_ids, queries, ids, vectors, k)
