@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from engrama.llm import decontam, lang_id, line_dedup, near_dup, packing
 from engrama.session import ship_package, work_dir
 
+NEAR_DUP_THRESHOLD = 80  # percent of shared five-word shingles; op2's own is 85
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without a letter or far from every prototype go."""
@@ -25,7 +26,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     ship_package(spark)
-    return near_dup.drop_near_duplicates(docs)
+    return near_dup.drop_near_duplicates(docs, NEAR_DUP_THRESHOLD)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ A document's set is its distinct five-word shingles (see ``hashing``).  Texts
 with one and the same set form a class and are represented by their smallest id,
 so copies never meet as pairs.  Each class has
 
-* 25 bands of five MinHash values: two sets of similarity 0.85 share no band with
-  probability (1 - 0.85**5)**25, below one in a million;
+* bands of five MinHash values, as many as the threshold needs (``bands_for``): two
+  sets at the threshold share no band with probability (1 - t**5)**bands, below one
+  in a million (25 bands at 0.85, 35 at 0.8);
 * an odd sketch: the least shingle hash of each of ``BINS`` bins is one MinHash
   sample (one-permutation hashing), and each sample flips one bit of a bitmap.
   Bits differing between two bitmaps count the samples not shared, which tells
@@ -25,6 +26,7 @@ one id and set count once; other columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,29 +37,41 @@ from engrama.llm.common import connected_components, map_arrow, released, sized,
 from engrama.llm.hashing import mix, random_words, shingle_set, word_hashes
 from engrama.session import materialize
 
-BANDS, BAND_ROWS = 25, 5
+BANDS, BAND_ROWS = 25, 5  # bands at least
+MISS = 1e-6          # probability that two sets at the threshold share no band, at most
 BINS = 1024          # one-permutation MinHash samples of an odd sketch
 SKETCH_BITS = 1024
 SCREEN_SIGMAS = 5.0
-THRESHOLD = 85       # percent
+THRESHOLD = 85       # percent, of near_duplicates
 FIRST_ROUNDS = 2     # of components between the two rounds of links
 
-_SEEDS = random_words(BANDS * BAND_ROWS, 21)
-_FACTORS = random_words(BANDS * BAND_ROWS, 22) | np.uint64(1)
+_FACTORS = random_words(BAND_ROWS, 22) | np.uint64(1)
 _PLACES = random_words(BINS, 23)
 
 
-def min_hashes(shingles: np.ndarray) -> np.ndarray:
+def bands_for(threshold: int) -> int:
+    """The fewest bands, ``BANDS`` at least, that miss a pair at the threshold with a probability below ``MISS``."""
+    together = (threshold / 100) ** BAND_ROWS
+    return max(BANDS, math.ceil(math.log(MISS) / math.log1p(-together))) if together < 1 else BANDS
+
+
+@lru_cache(maxsize=4)
+def hash_functions(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds and factors; those of fewer bands are the first of more."""
+    return random_words(bands * BAND_ROWS, 21), random_words(bands * BAND_ROWS, 22) | np.uint64(1)
+
+
+def min_hashes(shingles: np.ndarray, bands: int) -> np.ndarray:
     """The smallest value of each hash function over a set, in slices that stay in cache."""
-    least = np.full(len(_SEEDS), np.uint64(2**64 - 1))
+    seeds, factors = hash_functions(bands)
+    least = np.full(len(seeds), np.uint64(2**64 - 1))
     for at in range(0, len(shingles), 512):
-        np.minimum(least, ((shingles[at:at + 512, None] ^ _SEEDS) * _FACTORS).min(axis=0), out=least)
+        np.minimum(least, ((shingles[at:at + 512, None] ^ seeds) * factors).min(axis=0), out=least)
     return least
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
-    steps = _FACTORS[:BAND_ROWS]
-    return mix((least.reshape(BANDS, BAND_ROWS) * steps).sum(axis=1, dtype=np.uint64)).view(np.int64)
+    return mix((least.reshape(-1, BAND_ROWS) * _FACTORS).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
 
 def odd_sketch(shingles: np.ndarray) -> tuple[np.ndarray, int]:
@@ -80,31 +94,34 @@ def _lists(rows: list[np.ndarray], width: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def _sign(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sizes, ones, twos, bands, sketches, used = [], [], [], [], [], []
-    with np.errstate(over="ignore"):
-        for words in word_hashes(batch.column(1).to_pylist()):
-            shingles = shingle_set(words)
-            sizes.append(len(shingles))
-            ones.append(int(shingles.sum(dtype=np.uint64).view(np.int64)))
-            twos.append(int(mix(shingles * _FACTORS[0]).sum(dtype=np.uint64).view(np.int64)))
-            if not len(shingles):
-                bands.append(None), sketches.append(None), used.append(0)
-                continue
-            bands.append(band_keys(min_hashes(shingles)))
-            sketch, n = odd_sketch(shingles)
-            sketches.append(sketch), used.append(n)
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
-         _lists(bands, BANDS), _lists(sketches, SKETCH_BITS // 64), pa.array(used, pa.int32())],
-        ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch", "bins"],
-    )
+def _sign(n_bands: int):
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, ones, twos, bands, sketches, used = [], [], [], [], [], []
+        with np.errstate(over="ignore"):
+            for words in word_hashes(batch.column(1).to_pylist()):
+                shingles = shingle_set(words)
+                sizes.append(len(shingles))
+                ones.append(int(shingles.sum(dtype=np.uint64).view(np.int64)))
+                twos.append(int(mix(shingles * _FACTORS[0]).sum(dtype=np.uint64).view(np.int64)))
+                if not len(shingles):
+                    bands.append(None), sketches.append(None), used.append(0)
+                    continue
+                bands.append(band_keys(min_hashes(shingles, n_bands)))
+                sketch, n = odd_sketch(shingles)
+                sketches.append(sketch), used.append(n)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
+             _lists(bands, n_bands), _lists(sketches, SKETCH_BITS // 64), pa.array(used, pa.int32())],
+            ["doc_id", "n_shingles", "d1", "d2", "bands", "sketch", "bins"],
+        )
+
+    return run
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, bands: int) -> DataFrame:
     """One row per id and set: its size, digest, band keys and odd sketch."""
     signed = map_arrow(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), _sign,
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), _sign(bands),
         "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, sketch array<bigint>, bins int",
     )
     return signed
@@ -157,7 +174,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked id), kept (the one that stays), class_id (smallest id with the same set)."""
-    signed = released(signatures(docs).dropDuplicates(["doc_id", "n_shingles", "d1", "d2"]))
+    signed = released(signatures(docs, bands_for(threshold)).dropDuplicates(["doc_id", "n_shingles", "d1", "d2"]))
     keys = ["n_shingles", "d1", "d2"]
     named = signed.where("n_shingles > 0 and doc_id is not null")
     classes = named.groupBy(*keys).agg(

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from engrama.llm import decontam, hashing, lang_id, line_dedup, near_dup, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -94,6 +95,22 @@ def test_star_of_near_copies_around_one_text(spark):
     assert {r.doc_id: r.component_id for r in got} == {d: c for d, (_, c) in brute_components(rows).items()}
 
 
+def test_pipeline_drops_near_copies_from_80_percent_on(spark):
+    rng = random.Random(8)
+    rows = near_copies()
+    for base in range(30):  # 196 shingles; each run of new words away from others spoils their number and four
+        words = [f"b{base}w{i}" for i in range(200)]
+        rows.append((10_000 + 10 * base, " ".join(words)))
+        at = rng.randrange(20, 150)
+        new = rng.randrange(13, 20)
+        rows.append((10_001 + 10 * base, " ".join(words[:at] + [f"n{i}" for i in range(new)] + words[at + new:])))
+    assert near_dup.bands_for(85) == 25 and (1 - 0.8**5) ** near_dup.bands_for(80) < 1e-6
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SMALL).collect()}
+    want, at_85 = ({d for d, (_, c) in brute_components(rows, t).items() if d == c} for t in (80, 85))
+    assert kept == want and len(at_85 - want) > 5
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dup.near_duplicates(odd(spark)).collect()}
     assert got[(1, 0)] == (1, True) and got[(2, 0)] == (2, True) and got[(3, 0)] == (3, True)
