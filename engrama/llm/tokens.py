@@ -6,7 +6,8 @@ spaces and newlines falls apart at them without changing its ids.  Such pieces
 repeat all the time: each distinct one is encoded once and kept.  A piece of
 common letters is split by the vocabulary's own pattern and given to the
 tokenizer's model; other pieces, and texts with longer or other white space, go
-through the whole tokenizer.
+through the whole tokenizer.  So do texts that hold the string of an added token,
+such as an end-of-text mark, which the library finds before it splits a text.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.words_in = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = _byte_letters()
         self.single = frozenset(" abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")  # begins one word, if letters follow
@@ -79,6 +80,9 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _holds_added(self, text: str) -> bool:
+        return any(content in text for content in self.added)
+
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isprintable() and not word.isspace():
             spelled = word.replace(" ", self.letters[32])
@@ -90,7 +94,7 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if not piece:
             return b""
-        if len(piece) > 63 or _UNCOMMON.search(piece) or "\n" in piece[1:]:
+        if len(piece) > 63 or _UNCOMMON.search(piece) or "\n" in piece[1:] or self._holds_added(piece):
             return self._whole(piece)
         if piece[1:].isalpha() and piece[0] in self.single:
             return self.words[piece]
@@ -102,7 +106,7 @@ class Encoder:
         for text in texts:
             if not text:
                 split.append([])
-            elif _OTHER_SPACE.search(text) or (
+            elif _OTHER_SPACE.search(text) or self._holds_added(text) or (
                 ("  " in text or "\n\n" in text or " \n" in text or "\n " in text) and _LONG_RUN.search(text)
             ):
                 split.append([text])

@@ -116,6 +116,36 @@ def test_pieces_encode_like_whole_texts(monkeypatch):
     assert enc.encode([None]) == [b""]
 
 
+def library_ids(texts):
+    """By the library's defaults, without special tokens added."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokens.vocabulary_path())
+    return [np.asarray(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in texts]
+
+
+MARKED = ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|>x", "x\n<|endoftext|>\n<|endoftext|>y z", "a <|endoftext|", "<|END|> <|endoftext |>"]
+
+
+def test_added_tokens_are_found_in_texts():
+    rng = random.Random(9)
+    texts = MARKED + ["".join(rng.choice(["ab", "é", " ", "\n", "<|endoftext|>", "<|", "|>", "1"]) for _ in range(rng.randrange(12))) for _ in range(500)]
+    assert tokens.Encoder(tokens.vocabulary_path()).encode(texts) == library_ids(texts)
+    assert library_ids(["a <|endoftext|> b"])[0] == np.array([64, 220, 50256, 275], dtype="<u4").tobytes()
+
+
+def test_records_and_pieces_hold_added_tokens(spark):
+    docs = spark.createDataFrame(list(enumerate(MARKED)), "doc_id bigint, text string")
+    want = {i: ids + b"\0\0\0\0" for i, ids in enumerate(library_ids(MARKED))}
+    got = sorted(records.token_records(docs, work_dir(spark, "marked-test")).collect(), key=lambda r: r.doc_id)
+    start = 0
+    for r in got:
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(want[r.doc_id]) // 4, zlib.crc32(want[r.doc_id]))
+        start += r.n_tokens
+    packed = packing.pack_documents(docs, 64).collect()
+    assert {r.doc_id: r.ids_crc32 for r in packed} == {i: zlib.crc32(x) for i, x in want.items()}
+
+
 def test_records_read_back(spark):
     rows = [(i * 7 % 50, t) for i, t in enumerate(TEXTS)] + [(None, "null id"), (3, None), (3, None), (60, "word " * 50_000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("file", F.lit("clash"))
