@@ -13,7 +13,9 @@ first by a hash of their id, are learned from; counts are made on the cluster.
 
 Within the region, and only there, elements that are no running text are left out:
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments by readers.  Tags are read leniently, as browsers do: an unclosed paragraph
+comments by readers.  An element is known as such by its name, or by a whole class
+name or id such as ``site-footer``; ``has-sidebar`` isn't one, and html, body, main and
+article stay whatever their classes say.  Tags are read leniently, as browsers do: an unclosed paragraph
 ends at the next block, a closing tag that was never opened is ignored.
 
 Results for odd input: null or empty html, or a page without words, gives an empty
@@ -51,12 +53,19 @@ _VOID = set("br hr img input meta link area base col embed source track wbr".spl
 _CLOSED_BY_BLOCK = {"p", "li", "dt", "dd", "td", "th", "tr", "option"}
 _TEXT_TAGS = set("p br b i em strong u sub sup code h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _ARTICLE = {"article", "main"}
-# fixed values: parts of class names and ids of what isn't running text
-_UNWANTED = re.compile(
-    r"(?:^|[-_ ])(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar|side|footer|foot|header|masthead|topbar|toolbar|"
-    r"comment\w*|respon[ds]e?\w*|disqus|reply|replies|cookie\w*|consent|notice\w*|notification\w*|alert|popup|modal|overlay|subscribe\w*|newsletter|signup|login|"
-    r"share|sharing|social\w*|related|recommend\w*|pagination|pager|search\w*|form|widget\w*|tags?|hidden|copyright|legal|disclaimer)(?:$|[-_ ])"
+_PAGE = {"html", "body", *_ARTICLE}  # never left out by class or id
+# fixed values: class names and ids of what isn't running text, whole names only
+_UNWANTED_WORD = (
+    r"(?:ad|ads|advert[a-z0-9]*|banner|promo[a-z0-9]*|sponsor[a-z0-9]*|nav[a-z0-9]*|menu[a-z0-9]*|breadcrumb[a-z0-9]*|sidebar|side|footer|foot|header|masthead|topbar|toolbar|"
+    r"comment[a-z0-9]*|respon[ds]e?[a-z0-9]*|disqus|reply|replies|cookie[a-z0-9]*|consent|notice[a-z0-9]*|notification[a-z0-9]*|alert|popup|modal|overlay|subscribe[a-z0-9]*|"
+    r"newsletter|signup|login|share|sharing|social[a-z0-9]*|related|recommend[a-z0-9]*|pagination|pager|search[a-z0-9]*|form|widget[a-z0-9]*|tags?|hidden|copyright|legal|disclaimer)"
 )
+_BEFORE = r"(?:site|main|top|bottom|left|right|primary|secondary|global|post|article|entry)"  # which of them
+_AFTER = (  # what sort of box
+    r"(?:bar|box|block|list|links?|area|wrap|wrapper|container|inner|outer|section|panel|buttons?|icons?|items?|slot|unit|message|posts|articles|"
+    r"top|bottom|left|right|primary|secondary|mobile|desktop|toggle|\d+(?:x\d+)?)"
+)
+_UNWANTED = re.compile(rf"(?<!\S)(?:{_BEFORE}[-_]+)*{_UNWANTED_WORD}(?:[-_]+(?:{_UNWANTED_WORD}|{_AFTER}))*(?!\S)")
 _WANTED = re.compile(r"(?:^|[-_ ])(?:article\w*|content|post|entry\w*|story\w*|main|body|text)(?:$|[-_ ])")
 
 _TOKEN = re.compile(
@@ -85,7 +94,7 @@ def container_name(name: str, attrs: str) -> str:
 
 def unwanted(key: str) -> bool:
     name, _, marks = key.partition(" ")
-    return name in _LEFT_OUT or bool(marks and _UNWANTED.search(marks))
+    return name in _LEFT_OUT or (name not in _PAGE and bool(marks and _UNWANTED.search(marks)))
 
 
 def prior(key: str) -> float:

@@ -79,6 +79,23 @@ def test_unmarked_pages_and_broken_html():
     assert html_text.main_text("<p>a < b and <script>x</p>", weights) == "a < b and"
 
 
+@pytest.mark.parametrize("body, article", [
+    ("single-post has-sidebar", "post tag-news hentry"), ("page with-header", "comments-open post"), ("modal-open search legal", "post form"), ("", "main-content legal"),
+])
+def test_classes_of_whole_pages_leave_nothing_out(spark, body, article):
+    page = (
+        f'<html class="no-js menu"><body class="{body}"><div id="site-header">top line</div><div class="wrapper has-sidebar"><{{0}} class="{article}"><h1>Head</h1>'
+        '<p>Some text that is long enough.</p><div class="ad-slot">Buy now</div><p>More of it.</p></{0}></div><div class="sidebar-left">side line</div></body></html>'
+    )
+    pages = [page.format(name) for name in ("article", "main", "div")]
+    pages[2] = pages[2].replace(article, "content")
+    for p in pages:
+        assert html_text.main_text(p, html_text.Weights()) == "Head\nSome text that is long enough.\nMore of it."
+    rows = spark.createDataFrame([(i, "u", pages[i % 2]) for i in range(8)], "page_id bigint, url string, html string")
+    assert {r.text for r in html_text.extract(rows).collect()} == {"Head\nSome text that is long enough.\nMore of it."}
+    assert html_text.learn(rows).words[f"article {article}"] > 0
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>x y</p>"), (3, "u", "<p>long</p>" * 20_000), (3, "u", "<p>long</p>" * 20_000)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
