@@ -16,7 +16,8 @@ menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 comments by readers.  An element is known as such by its name, or by a whole class
 name or id such as ``site-footer``; ``has-sidebar`` isn't one, and html, body, main and
 article stay whatever their classes say.  Tags are read leniently, as browsers do: an unclosed paragraph
-ends at the next block, a closing tag that was never opened is ignored.
+ends at the next block, a closing tag that was never opened is ignored, and so is the
+tag of a graphic, frame or the like that is never closed.
 
 Results for odd input: null or empty html, or a page without words, gives an empty
 text; text outside any tag is content; rows with null ids are kept, repeated rows
@@ -46,6 +47,7 @@ LEAST_PAGES = 3       # labelled pages a container must be on
 
 # fixed values: element names of HTML
 _RAW = "script style noscript template iframe textarea svg math object canvas".split()
+_FOREIGN = {"svg", "math"}  # "/>" closes them
 _LEFT_OUT = {*_RAW, *"head title nav header footer aside form button select option label input dialog menu".split()}
 _CONTAINERS = {*_LEFT_OUT, *"html body article main section div ul ol dl table tr td th blockquote figure details".split()}
 _BLOCKS = {*_CONTAINERS, *"p h1 h2 h3 h4 h5 h6 li dt dd pre br hr address figcaption caption summary thead tbody tfoot center fieldset".split()}
@@ -71,7 +73,6 @@ _WANTED = re.compile(r"(?:^|[-_ ])(?:article\w*|content|post|entry\w*|story\w*|m
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(?P<raw>" + "|".join(_RAW) + r")\b(?P<rawattrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"  # quotes that don't match
     r"|<[!?][^>]*(?:>|\Z)"
@@ -80,6 +81,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?P<key>class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_RAW_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in _RAW}
 _SPACE = re.compile(r"\s+")
 
 
@@ -105,6 +107,30 @@ def prior(key: str) -> float:
     return 1.5 if name in _ARTICLE or (marks and _WANTED.search(marks)) else 1.0
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Texts and tags in page order, without raw elements.
+
+    Of a raw element that is never closed only the tag goes, except that a script runs to the end.
+    """
+    at, unclosed = 0, set()
+    while at < len(page):
+        for m in _TOKEN.finditer(page, at):
+            at = m.end()
+            name = (m["name"] or m["name2"] or "").lower()
+            if name not in _RAW_ENDS or m["end"] or m["end2"]:
+                yield m
+                continue
+            if name in unclosed or (name in _FOREIGN and page.endswith("/>", m.start(), at)):
+                continue
+            close = _RAW_ENDS[name].search(page, at)
+            if close:
+                at = close.end()
+                break
+            if name == "script":
+                return
+            unclosed.add(name)  # looked for once: there is none further on either
+
+
 class Piece:
     """A run of text, or a tag, with where it stands."""
 
@@ -125,14 +151,14 @@ def pieces(page: str) -> Iterator[Piece]:
         cuts -= unwanted(key)
         articles -= name in _ARTICLE
 
-    for m in _TOKEN.finditer(page):
+    for m in _tokens(page):
         key = stack[-1][1] if stack else "body"
         if m["text"] is not None:
             yield Piece(m["text"], None, key, cuts > 0, articles > 0)
             continue
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
-            continue  # comments, declarations and raw elements
+            continue  # comments and declarations
         closing = bool(m["end"] or m["end2"])
         if name in _CONTAINERS and not closing and name not in _VOID:
             if stack and name in _CLOSED_BY_BLOCK and stack[-1][0] == name:

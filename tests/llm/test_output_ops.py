@@ -96,6 +96,19 @@ def test_classes_of_whole_pages_leave_nothing_out(spark, body, article):
     assert html_text.learn(rows).words[f"article {article}"] > 0
 
 
+@pytest.mark.parametrize("icon", [
+    "<svg class=x/>", "<SVG viewBox='0 0 1 1' />", "<svg/>", "<math/>", "<svg-icon></svg-icon>", "<svg-icon>", "<template-x></template-x>", "<svg>", "<iframe src=x>",
+    "<canvas>", '<svg title="x>', "<svg><path d=1 /><text>no</text></svg>", "<style>p { a: b }</style>", "<script>'<p>no</p><!--'</script >", "<svg/><svg>no</svg>", "<noscript a='>'>no</noscript>",
+])
+def test_icons_and_unclosed_elements_cut_nothing(icon):
+    page = f"<p>a one</p>{icon}<p>b two</p><p>c three</p>"
+    assert html_text.main_text(page, html_text.Weights()).split("\n") == ["a one", "b two", "c three"]
+
+
+def test_many_unclosed_elements_take_one_search():
+    assert html_text.main_text("<canvas><p>a one</p>" * 50_000, html_text.Weights()).count("a one") == 50_000
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>x y</p>"), (3, "u", "<p>long</p>" * 20_000), (3, "u", "<p>long</p>" * 20_000)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
