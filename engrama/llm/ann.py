@@ -8,9 +8,11 @@ the table is put into the leaf its descent by nearest center ends in.
 A query walks the tree with a priority queue: the node with the largest possible
 inner product so far (center times query, plus the query's length times how far the
 node's sample reached from its center) is opened next, until enough leaves came out.
-How many are enough is calibrated: sample queries are compared with brute force over
-the sample, and the visits widen until ``RECALL`` of the true neighbours lie in the
-leaves visited.
+How many are enough is calibrated: distinct sample vectors are compared with brute
+force over the others, so that copies don't stand for all, and the visits widen until
+``RECALL`` of the true neighbours lie in the leaves visited.  Leaves without vectors
+don't count, a query goes on until its leaves hold ``k`` vectors besides its own rows,
+and it always visits the leaf that copies of it are in.
 
 Neighbouring leaves are bundled up to ``BLOCK_ROWS`` vectors, and a larger leaf, full
 of copies, is cut into several such bundles.  A query goes once to each bundle that
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from engrama.llm.common import text_batches
+from engrama.llm.common import sized, text_batches
 from engrama.llm.hashing import random_words
 from engrama.session import materialize
 
@@ -103,17 +105,27 @@ class Tree:
             stack.extend((int(kids[c]), rows[near == c]) for c in np.unique(near))
         return out
 
-    def best_first(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves, most promising first."""
+    def best_first(self, query: np.ndarray) -> Iterator[int]:
+        """All leaves, most promising first."""
         promise = self.centers @ query + np.linalg.norm(query) * self.reach
-        queue, found = [(-promise[0], 0)], []
-        while queue and len(found) < visits:
+        queue = [(-promise[0], 0)]
+        while queue:
             _, node = heapq.heappop(queue)
             if self.leaf[node] >= 0:
-                found.append(self.leaf[node])
+                yield self.leaf[node]
             for child in self.children[node]:
                 heapq.heappush(queue, (-promise[child], child))
-        return found
+
+    def opened(self, query: np.ndarray, own: int, visits: int, rows: int, sizes: dict[int, int]) -> list[int]:
+        """The leaf ``own``, and the first leaves with vectors until there are ``visits`` of them that hold ``rows``."""
+        found, held = [], 0
+        for leaf in self.best_first(query):
+            if len(found) >= visits and held >= rows:
+                break
+            if leaf in sizes:
+                found.append(leaf)
+                held += sizes[leaf]
+        return found if own in found or own not in sizes else [*found, own]
 
 
 def nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -121,10 +133,12 @@ def nearest(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 def calibrate(tree: Tree, sample: np.ndarray, k: int, recall: float) -> int:
-    """The fewest leaf visits that reach ``recall`` over the sample's own trial queries."""
+    """The fewest leaf visits that reach ``recall`` over distinct trial vectors of the sample, among its distinct vectors."""
     leaf_of = np.empty(len(sample), dtype=np.int64)
     for leaf, rows in enumerate(tree.rows):
         leaf_of[rows] = leaf
+    firsts = np.sort(np.unique(sample, axis=0, return_index=True)[1])
+    sample, leaf_of = sample[firsts], leaf_of[firsts]
     trials = np.argsort(random_words(len(sample), 47))[:TRIALS]
     needed = []
     for q in trials:
@@ -132,7 +146,7 @@ def calibrate(tree: Tree, sample: np.ndarray, k: int, recall: float) -> int:
         scores[q] = -np.inf
         best = np.argsort(-scores, kind="stable")[:min(k, len(sample) - 1)]
         place = np.empty(tree.leaves, dtype=np.int64)
-        place[tree.best_first(sample[q], tree.leaves)] = np.arange(tree.leaves)
+        place[list(tree.best_first(sample[q]))] = np.arange(tree.leaves)
         needed.append(place[leaf_of[best]] + 1)
     if not needed or not len(needed[0]):
         return tree.leaves
@@ -180,24 +194,25 @@ def bundles_of(sizes: dict[int, int], rows: int) -> dict[int, tuple[int, int]]:
     return out
 
 
-def _visits(tree, visits: int, bundles: dict[int, tuple[int, int]]):
-    """Each query once per bundle it visits, with the leaves it visits there."""
+def _visits(tree, visits: int, k: int, sizes: dict[int, int], bundles: dict[int, tuple[int, int]]):
+    """Each query once per bundle it visits, with the leaves it visits there; ``own`` is how many rows of the table have its id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             row, bundle, leaves = [], [], []
-            for i, q in enumerate(_matrix(batch.column(1))):
+            queries, own = _matrix(batch.column(1)), batch.column(2).to_pylist()
+            for i, (q, home) in enumerate(zip(queries, tree.value.descend(queries).tolist())):
                 wanted: dict[int, list[int]] = {}
-                for leaf in tree.value.best_first(q, visits):
-                    first, parts = bundles.get(leaf, (0, 0))  # a leaf without vectors isn't visited
+                for leaf in tree.value.opened(q, home, visits, k + own[i], sizes):
+                    first, parts = bundles[leaf]
                     for part in range(parts):
                         wanted.setdefault(first + part, []).append(leaf)
                 row.extend([i] * len(wanted)), bundle.extend(wanted), leaves.extend(wanted.values())
             picked = batch.take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bundle, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), *picked.columns], ["ask_bundle", "leaves", "query_id", "q"]
+                [pa.array(bundle, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), *picked.columns[:2]], ["ask_bundle", "leaves", "query_id", "q"]
             )
 
     return run
@@ -280,8 +295,11 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
         (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).alias("bundle"),
         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "leaf", "vec_id", "v",
     )
-    visiting = text_batches(asked.select("vec_id", "v")).mapInArrow(
-        _visits(sent, visits, bundles), "ask_bundle int, leaves array<int>, query_id bigint, q array<double>"
+    # a query's own rows are no candidates; one is the rule, so only ids with more are looked up
+    repeats = materialize(placed.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own")).where("own > 1"))
+    asked = asked.join(sized(repeats, 16), "vec_id", "left").select("vec_id", "v", F.coalesce("own", F.lit(1)).alias("own"))
+    visiting = text_batches(asked).mapInArrow(
+        _visits(sent, visits, k, sizes, bundles), "ask_bundle int, leaves array<int>, query_id bigint, q array<double>"
     )
     asks = visiting.withColumn("ask_part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
     best = asks.groupBy("ask_bundle", "ask_part").cogroup(blocked.groupBy("bundle", "part")).applyInArrow(_compare(k), schema)

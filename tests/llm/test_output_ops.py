@@ -286,6 +286,39 @@ def test_a_leaf_of_copies_is_cut_into_blocks(spark, monkeypatch):
     assert [r.vec_id for r in rows] == [i for i in range(21) if i != 7]
 
 
+def test_neighbours_among_copies_and_scattered_vectors(spark):
+    rng = np.random.default_rng(3)
+    centers, scattered = rng.normal(size=(40, 8)), rng.normal(size=(700, 8))
+    x = np.concatenate([np.repeat(centers, 250, axis=0), scattered])
+    ids = np.arange(len(x))
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    asked = np.flatnonzero((ids % 5 == 0) & (ids >= 10_000) | (ids % 250 == 0))
+    got = collections.defaultdict(list)
+    for r in ann.search(rows.where(F.col("vec_id").isin(asked.tolist())), rows).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.score)
+    assert set(got) == set(asked.tolist()) and all(len(v) == 20 for v in got.values())
+    # copies tie, so scores are compared: a score that brute force has is a true neighbour's
+    least = {q: np.sort(np.delete(x @ x[q], q))[-20] for q in asked.tolist()}
+    found = {q: np.mean(np.array(v) >= least[q] - 1e-9) for q, v in got.items()}
+    assert np.mean([found[q] for q in asked.tolist() if q >= 10_000]) >= 0.9
+    assert np.mean([found[q] for q in asked.tolist() if q < 10_000]) >= 0.9
+
+
+def test_sparse_and_empty_leaves_still_give_all_rows():
+    tree = ann.Tree(np.repeat(np.eye(4), 50, axis=0), 8)
+    sizes = {leaf: n for leaf, n in zip(range(1, tree.leaves), (3, 3, 500))}  # the first leaf has none
+    for q in np.eye(4):
+        leaves = tree.opened(q, 0, 1, 21, sizes)
+        assert set(leaves) <= set(sizes) and sum(sizes[x] for x in leaves) >= 21
+        assert tree.opened(q, 1, 1, 10_000, sizes) and set(tree.opened(q, 1, 1, 10_000, sizes)) == set(sizes)
+
+
+def test_rows_of_the_own_id_are_no_candidates(spark):
+    rows = [(1, [1.0, 0.1 * i]) for i in range(300)] + [(100 + i, [-1.0, 0.01 * i]) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert ann.search(vectors.where("vec_id = 1").limit(1), vectors).count() == 20
+
+
 # --- queries and pipeline ----------------------------------------------------
 
 
