@@ -9,6 +9,7 @@ from __future__ import annotations
 from engrama.llm.chat import END, START
 from engrama.llm.line_dedup import MIN_WORDS
 from engrama.llm.near_dup import THRESHOLD
+from engrama.llm.quality import BASE_RULES, RULES, STOP_WORDS, Rule
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,4 +63,35 @@ SELECT d.doc_id, o.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id
 """
 
-ORACLES = {"op1_chat_format": CHAT, "op2_near_dup": NEAR_DUP, "op5_line_dedup": LINE_DEDUP}
+
+
+def _breaks(rule: Rule) -> str:
+    bounds = [f"100 * {rule.count} < {rule.least} * {rule.per}"] if rule.least is not None else []
+    bounds += [f"100 * {rule.count} > {rule.most} * {rule.per}"] if rule.most is not None else []
+    return f"(({' OR '.join(bounds)}){''.join(f' AND NOT {_breaks(r)}' for r in rule.when)})"
+
+
+_STOPS = ", ".join(f"'{form}'" for w in STOP_WORDS for form in (w, w.capitalize(), w.upper()))
+QUALITY = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM t),
+g AS (SELECT r, unnest(range(1, len(words) - 3)) AS i, words FROM w WHERE len(words) >= 5),
+v AS (SELECT r, i, array_to_string(words[i:i + 4], ' ') AS run FROM g),
+d AS (SELECT r, i, count(*) OVER (PARTITION BY r, run) AS n FROM v),
+c AS (SELECT r, count(DISTINCT i + j) AS n_repeat_words FROM d, range(5) x(j) WHERE n > 1 GROUP BY r),
+m AS (SELECT doc_id, 1 AS one, len(words) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+             len(list_filter(words, lambda x: x IN ({_STOPS}))) AS n_stop_words,
+             length(text) AS n_chars, octet_length(encode(text)) AS n_bytes,
+             len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•●‣]'))) AS n_bullet_lines,
+             len(list_filter(lines, lambda l: regexp_matches(l, '([.][.][.]|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines
+      FROM w LEFT JOIN c USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words,
+       {' OR '.join(map(_breaks, BASE_RULES))} AS base_failed,
+       NOT ({' OR '.join(map(_breaks, (*BASE_RULES, *RULES)))}) AS kept
+FROM m
+"""
+
+ORACLES = {"op12_quality_rules": QUALITY, "op1_chat_format": CHAT, "op2_near_dup": NEAR_DUP, "op5_line_dedup": LINE_DEDUP}
