@@ -19,15 +19,24 @@ from engrama.session import join_null_safe, materialize
 _SEGMENT, _SLOT, _LOCAL, _BEFORE = "_segment", "_slot", "_local", "_before"
 
 
-def pinned_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Range-partition and sort by ``keys + order``, pin, and expose the partition as ``_segment``."""
+def pinned_segments(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[Column | str] = ("*",)
+) -> DataFrame:
+    """Range-partition and sort by ``keys + order``, pin, and expose the partition as ``_segment``.
+
+    ``keep`` are the columns to pin, so that a wide column that only orders rows is not stored.
+    """
     columns = [*keys, *order]
-    laid_out = materialize(df.repartitionByRange(*columns).sortWithinPartitions(*columns))
+    laid_out = materialize(df.repartitionByRange(*columns).sortWithinPartitions(*columns).select(*keep))
     # the high bits of this id are the partition, the low 33 bits the row's place in it
     slot = F.monotonically_increasing_id()
     return laid_out.withColumn(_SLOT, slot).withColumn(_SEGMENT, F.shiftright(_SLOT, 33))
 
 
+def _own(segments: DataFrame) -> list[str]:
+    return [c for c in segments.columns if c not in (_SEGMENT, _SLOT)]
+
+
 def _shift(segments: DataFrame, keys: Sequence[str], amount: Column) -> DataFrame:
     """Sum of ``amount`` in earlier segments of the same key: one row per (segment, key)."""
     per_segment = segments.groupBy(_SEGMENT, *keys).agg(amount.alias("_amount"))
@@ -41,7 +50,11 @@ def dense_number(
     df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "row_index"
 ) -> DataFrame:
     """Add a 0-based number in ``order``, restarting per ``keys``; give a unique order for stable numbers."""
-    segments = pinned_segments(df, keys, order)
+    return number_segments(pinned_segments(df, keys, order), keys, name)
+
+
+def number_segments(segments: DataFrame, keys: Sequence[str] = (), name: str = "row_index") -> DataFrame:
+    """``dense_number`` over rows already pinned by ``pinned_segments``, which are numbered as they lie."""
     if keys:
         first_slot = segments.groupBy(_SEGMENT, *keys).agg(
             F.min(_SLOT).alias("_first"), F.count(F.lit(1)).alias("_rows")
@@ -62,21 +75,25 @@ def dense_number(
         )
         low_bits = F.col(_SLOT) - F.shiftleft(F.col(_SEGMENT), 33)
         numbered = segments.join(F.broadcast(shift), _SEGMENT).withColumn(name, low_bits + F.col(_BEFORE))
-    return numbered.select(*df.columns, F.col(name).cast("bigint").alias(name))
+    return numbered.select(*_own(segments), F.col(name).cast("bigint").alias(name))
 
 
 def running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str = "running_total"
 ) -> DataFrame:
     """Inclusive running sum of ``value`` per ``keys`` in ``order``."""
-    segments = pinned_segments(df, keys, order)
+    return total_segments(pinned_segments(df, keys, order), keys, value, name)
+
+
+def total_segments(segments: DataFrame, keys: Sequence[str], value: str, name: str = "running_total") -> DataFrame:
+    """``running_total`` over rows already pinned by ``pinned_segments``."""
     shift = _shift(segments, keys, F.sum(value))
     inside = (
         Window.partitionBy(_SEGMENT, *keys).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, 0)
     )
     local = segments.withColumn(_LOCAL, F.sum(value).over(inside))
     return join_null_safe(local, shift, [_SEGMENT, *keys]).select(
-        *df.columns, (F.col(_LOCAL) + F.col(_BEFORE)).alias(name)
+        *_own(segments), (F.col(_LOCAL) + F.col(_BEFORE)).alias(name)
     )
 
 
