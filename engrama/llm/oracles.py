@@ -94,4 +94,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 FROM m
 """
 
-ORACLES = {"op12_quality_rules": QUALITY, "op1_chat_format": CHAT, "op2_near_dup": NEAR_DUP, "op5_line_dedup": LINE_DEDUP}
+_CRC32 = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda state, byte: list_reduce([xor(state, byte)] || list_transform(range(8), lambda x: CAST(x AS BIGINT)),
+        lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)))"""
+PREFIX_TRIE = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, count(*) AS own FROM t GROUP BY 1),
+h AS (SELECT conv_id, own, {_CRC32} % 9 AS h, conv_id - (conv_id % 5 + 5) % 5 AS first FROM o),
+c AS (SELECT h.conv_id, h, h.first, least(h, coalesce(f.own, 0)) AS head, h.own FROM h LEFT JOIN o f ON f.conv_id = h.first),
+r AS (SELECT c.conv_id, i AS depth, role, text FROM c JOIN t ON t.conv_id = c.first AND i <= c.head
+      UNION ALL SELECT c.conv_id, i - h + head, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND i > h),
+p AS (SELECT conv_id, depth, octet_length(encode(text)) AS bytes,
+             string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+      UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT conv_id, max(depth) AS length FROM p GROUP BY 1),
+n AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+      FROM p JOIN e USING (conv_id) GROUP BY 1, 2),
+k AS (SELECT left(path, 32 * (CAST(depth AS INTEGER) - 1)) AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+a AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, path)),
+u AS (SELECT d AS depth, left(path, 32 * CAST(d AS INTEGER)) AS path, n_children, (n_convs - 1) * bytes AS saved FROM a, unnest(range(0, depth + 1)) x(d)),
+s AS (SELECT depth, path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM u GROUP BY 1, 2)
+SELECT a.conv_id, a.depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens, a.ends_sha256
+FROM a JOIN s USING (depth, path) LEFT JOIN n b ON b.depth = a.depth - 1 AND b.path = left(a.path, 32 * (CAST(a.depth AS INTEGER) - 1))
+"""
+
+ORACLES = {"op13_prefix_trie": PREFIX_TRIE, "op12_quality_rules": QUALITY, "op1_chat_format": CHAT, "op2_near_dup": NEAR_DUP, "op5_line_dedup": LINE_DEDUP}

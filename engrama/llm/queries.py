@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engrama.llm import ann, chat, decontam, html_text, lang_id, line_dedup, near_dup, packing, quality, records, toxicity
+from engrama.llm import ann, chat, decontam, html_text, lang_id, line_dedup, near_dup, packing, quality, records, toxicity, trie
 from engrama.llm.oracles import ORACLES  # noqa: F401  read with QUERIES
 from engrama.session import ship_package
 
@@ -75,9 +75,13 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_chat_format, op2_near_dup, op3_html_text, op4_token_records, op5_line_dedup, op6_toxicity, op7_ann,
-        op8_decontamination, op9_language_id, op10_packing, op12_quality_rules,
+        op8_decontamination, op9_language_id, op10_packing, op12_quality_rules, op13_prefix_trie,
     )
 }
