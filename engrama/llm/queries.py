@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from engrama.llm import ann, chat, decontam, html_text, lang_id, line_dedup, near_dup, packing, quality, records, toxicity, trie
+from engrama.llm import alignment, ann, chat, decontam, html_text, lang_id, line_dedup, near_dup, packing, quality, records, toxicity, trie
 from engrama.llm.oracles import ORACLES  # noqa: F401  read with QUERIES
 from engrama.session import ship_package
 
@@ -69,6 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_read(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "base_failed", "kept",
@@ -82,6 +86,6 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_chat_format, op2_near_dup, op3_html_text, op4_token_records, op5_line_dedup, op6_toxicity, op7_ann,
-        op8_decontamination, op9_language_id, op10_packing, op12_quality_rules, op13_prefix_trie,
+        op8_decontamination, op9_language_id, op10_packing, op11_alignment, op12_quality_rules, op13_prefix_trie,
     )
 }

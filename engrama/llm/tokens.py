@@ -63,14 +63,19 @@ class Remembered(dict):
 
 
 class Encoder:
-    """Encodes batches of texts with one byte-level tokenizer file."""
+    """Encodes batches of texts with one byte-level tokenizer file.
 
-    def __init__(self, path: str):
+    With ``plain`` the strings of added tokens are ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.tokenizer.encode_special_tokens = plain
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if t.content and not (plain and t.special)]
         self.words_in = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = _byte_letters()
         self.single = frozenset(" abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")  # begins one word, if letters follow
@@ -118,7 +123,7 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
+def encoder(path: str, plain: bool = False) -> Encoder:
+    """One encoder per worker process, file and kind."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Encoder(path)
+    return Encoder(path, plain)
