@@ -44,3 +44,6 @@ QUERY_BLOCK_BYTES = 32 * 1024 * 1024  # query vectors of one search block
 SCORE_CELLS = 4_000_000               # scores held at once inside a task
 KEPT_ROWS = 2_000_000                 # best rows a task holds, all queries and groups together
 LEAST_QUERY_ROWS = 256                # queries compared at once, however much each keeps
+
+# diversified search: rows returned, rows fetched, weight of nearness against novelty
+MMR_K, MMR_FETCH, MMR_WEIGHT = 4, 20, 0.5

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from engrama.defaults import BASE_BLOCK_BYTES, BROADCAST_BYTES, DEFAULT_TOP_K, KEPT_ROWS, LEAST_QUERY_ROWS, QUERY_BLOCK_BYTES
+from engrama.defaults import BASE_BLOCK_BYTES, BROADCAST_BYTES, DEFAULT_TOP_K, KEPT_ROWS, LEAST_QUERY_ROWS, MMR_FETCH, MMR_K, MMR_WEIGHT, QUERY_BLOCK_BYTES
 from engrama.functions import vectors
 from engrama.functions.vectors import r6
 
@@ -207,3 +207,49 @@ def explode_flat_result(frames: DataFrame, query_offset: str, ids: str, dists: s
         F.col(f"_pair.{ids}").alias("id"),
         F.col(f"_pair.{dists}").cast("double").alias("distance"),
     )
+
+
+def _diverse(fetched_id: str, k: int, weight: float, metric: str):
+    """Greedy picks among one query's fetched rows."""
+
+    def pick(table: pa.Table) -> pa.Table:
+        names = vectors.sortable(table.column(fetched_id))
+        order = np.argsort(names, kind="stable")  # of equal rows the smallest id is picked
+        table, names = table.take(pa.array(order)), names[order]
+        nearness = table.column("score").to_numpy()
+        nearness = -nearness if metric == "L2" else nearness
+        matrix = vectors.matrix_of(table.column("_vector"))
+        between = np.round(vectors.scores(metric, matrix, matrix), 6)
+        between = -np.abs(between) if metric == "L2" else between
+        value, covered = nearness.copy(), np.full(len(names), -np.inf)
+        left, picked, gains = np.ones(len(names), bool), [], []
+        for _ in range(min(k, len(names))):
+            best = int(np.argmax(np.where(left, value, -np.inf)))
+            picked.append(best), gains.append(float(value[best]))
+            left[best] = False
+            covered = np.maximum(covered, between[best])
+            value = np.round(weight * nearness - (1 - weight) * covered, 9)
+        out = table.take(pa.array(picked)).drop_columns(["_vector"])
+        return out.append_column("gain", pa.array(gains)).append_column("pick", pa.array(range(1, len(picked) + 1), pa.int64()))
+
+    return pick
+
+
+def mmr(
+    queries: DataFrame, base: DataFrame, k: int = MMR_K, fetch_k: int = MMR_FETCH, weight: float = MMR_WEIGHT, metric: str = "COSINE",
+    query_id: str = "query_id", query_vector: str = "query_vector", base_id: str = "object_id", base_vector: str = "embedding",
+) -> DataFrame:
+    """``(query_id, base_id, score, gain, pick)``: of the ``fetch_k`` nearest rows, ``k`` that also differ from each other.
+
+    The first pick is the nearest row.  Each next one has the most
+    ``weight * nearness - (1 - weight) * (its largest nearness to a row picked before)``.
+    A query's fetched rows meet in one group of at most ``fetch_k``; ids in ``base`` must be unique.
+    """
+    metric = vectors.normalize_metric(metric)
+    if not 0 <= weight <= 1:
+        raise ValueError("weight must be between 0 and 1")
+    hits = top_k(queries, base, fetch_k, metric, query_id=query_id, query_vector=query_vector, base_id=base_id, base_vector=base_vector).drop("rank")
+    fetched = hits.join(base.select(base_id, F.col(base_vector).alias("_vector")), base_id).select(query_id, base_id, "score", "_vector")
+    kinds = {f.name: f.dataType.simpleString() for f in hits.schema}
+    schema = f"`{query_id}` {kinds[query_id]}, `{base_id}` {kinds[base_id]}, score double, gain double, pick bigint"
+    return fetched.groupBy(query_id).applyInArrow(_diverse(base_id, k, weight, metric), schema)

@@ -92,7 +92,7 @@ def _task_stream(t: Tables) -> tuple[DataFrame, DataFrame]:
     )
     output, state = _folders(t, "tasks")
     jobs.task_lifecycle(_stream_of(t, starts, "starts"), _stream_of(t, completions, "completions"), output, state)
-    return starts, t.spark.read.parquet(output)
+    return starts, jobs.task_outcomes(t.spark, output)
 
 
 @query(f"""

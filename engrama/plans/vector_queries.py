@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from engrama.defaults import MMR_FETCH, MMR_K
 from engrama.operators import filters
 from engrama.operators import vector_search as vs
 from engrama.plans.registry import query
@@ -39,6 +40,29 @@ def vector_batch_topk(t: Tables) -> DataFrame:
     return vs.top_k(_queries(t), t.embeddings, k=10, **_IDS).withColumnRenamed("rank", "rnk")
 
 
+def _mmr_sql(k: int, fetch: int) -> str:
+    steps = ["p1 AS (SELECT qid, vec_id, score, score AS gain, 1 AS pick FROM c QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) = 1)"]
+    for i in range(2, k + 1):
+        steps.append(f"""g{i} AS (SELECT c.qid, c.vec_id, c.score, round(0.5 * c.score - 0.5 * max(s.score), 9) AS gain
+            FROM c JOIN p{i - 1} p ON p.qid = c.qid JOIN s ON s.qid = c.vec_id AND s.vec_id = p.vec_id
+            WHERE NOT EXISTS (SELECT 1 FROM p{i - 1} x WHERE x.qid = c.qid AND x.vec_id = c.vec_id) GROUP BY c.qid, c.vec_id, c.score),
+        p{i} AS (SELECT * FROM p{i - 1} UNION ALL SELECT qid, vec_id, score, gain, {i} FROM g{i}
+            QUALIFY row_number() OVER (PARTITION BY qid ORDER BY gain DESC, vec_id) = 1)""")
+    return f"""
+WITH {_NORMED},
+s AS (SELECT q.vec_id AS qid, b.vec_id, {_COSINE} AS score FROM v q, v b),
+c AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) <= {fetch}),
+{", ".join(steps)}
+SELECT qid, vec_id, score, round(gain, 6) + 0.0 AS gain, CAST(pick AS BIGINT) AS pick FROM p{k}
+"""
+
+
+@query(_mmr_sql(MMR_K, MMR_FETCH))
+def mmr_search(t: Tables) -> DataFrame:
+    """Every stored vector as a query: near rows that also differ from each other."""
+    return vs.mmr(_queries(t), t.embeddings, **_IDS).withColumn("gain", vs.r6("gain") + 0.0)
+
+
 @query(f"""
 WITH {_NORMED},
 q AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),

@@ -7,7 +7,8 @@ folder, so a batch that is run again after a failure replaces what it wrote.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,11 @@ from engrama.operators.ingest import materialize_memory, upsert_latest
 from engrama.session import join_null_safe
 from engrama.sources import snapshots
 from engrama.sources.wal import from_position, parse_frames
+from engrama.streaming.lifecycle import OUTCOME_SCHEMA, TaskLifecycle
 
 INGEST_DELAY = "1 hour"
+TASK_BUCKETS = 1024
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
@@ -152,31 +156,61 @@ def metrics(spark: SparkSession, output: str, delay: str = INGEST_DELAY) -> Data
     return totals.crossJoin(F.broadcast(reached)).withColumn("closed", F.col("window_end") <= F.col("_reached")).drop("_reached", "window_end")
 
 
+@contextmanager
+def _state_store(spark: SparkSession) -> Iterator[None]:
+    """The state store that timers need, for the time of a run; the session's own setting comes back."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+
+
+def _micros(spark: SparkSession, span: str) -> int:
+    return spark.sql(f"SELECT unix_micros(timestamp '1970-01-01 00:00:00Z' + interval {span})").first()[0]
+
+
 def task_lifecycle(
     starts: DataFrame, completions: DataFrame, output: str, checkpoint: str, timeout: str = "10 days",
-    delay: str = INGEST_DELAY,
+    delay: str = INGEST_DELAY, keep: str = "30 days", buckets: int = TASK_BUCKETS,
 ) -> StreamingQuery:
-    """Started tasks joined to their completion; without one in time they come out as timed out.
-
-    An outer stream-stream join keeps a start until the watermark is past its
-    timeout, so the state is bounded by the tasks of one timeout span.  Tasks that
-    came out as neither, late ones among them, are listed by ``open_tasks``.
+    """Started tasks with their completion; without one in time they come out as timed out.
+
+    A start's timer fires when the watermark is past its timeout.  The task's state stays
+    ``keep`` longer: a completion that happened in time but arrives later comes out as a
+    correction, the next ``revision`` of the task; ``task_outcomes`` gives the last one.
+    A completion may also arrive before its start, by at most ``keep``.  Tasks that came
+    out as neither are listed by ``open_tasks``, those without an id among them.  State is
+    held per bucket of task ids; ``buckets`` is fixed for a checkpoint and grows with the
+    tasks of one span.
     """
+    spark = starts.sparkSession
     started = with_event_time(starts, "started_at").withWatermark("started_at", delay)
-    finished = with_event_time(completions, "finished_at").withWatermark("finished_at", delay).withColumnRenamed(
-        "task_id", "_finished_task"
-    )
-    in_time = F.expr(
-        f"task_id = _finished_task AND finished_at >= started_at AND finished_at <= started_at + interval {timeout}"
-    )
-    joined = started.join(finished, in_time, "left_outer").select(
-        "task_id", "task_type", F.col("started_at").cast("timestamp_ntz").alias("started_at"),
-        F.when(F.col("finished_at").isNull(), "timed_out").otherwise("completed").alias("outcome"),
-        ((F.unix_micros("finished_at") - F.unix_micros("started_at")) / 1000.0).alias("duration_ms"),
-    )
-    return run_available(
-        joined.writeStream.format("parquet").outputMode("append").option("path", output).option("checkpointLocation", checkpoint)
-    )
+    finished = with_event_time(completions, "finished_at").withWatermark("finished_at", delay)
+    kinds = {f.name: f.dataType.simpleString() for f in starts.schema}
+    # as numbers, times no longer mark a row as late: the watermark moves timers but drops nothing
+    rows = started.select("task_id", "task_type", F.unix_micros("started_at").alias("started_us"), F.lit(None).cast("bigint").alias("finished_us"))
+    rows = rows.unionByName(finished.select(
+        "task_id", F.lit(None).cast(kinds["task_type"]).alias("task_type"), F.lit(None).cast("bigint").alias("started_us"), F.unix_micros("finished_at").alias("finished_us")))
+    processor = TaskLifecycle(_micros(spark, timeout), _micros(spark, keep))
+    bucketed = rows.where("task_id IS NOT NULL").withColumn("bucket", F.pmod(F.xxhash64("task_id"), F.lit(buckets)))
+    told = bucketed.groupBy("bucket").transformWithStateInPandas(
+        processor, OUTCOME_SCHEMA.format(id=kinds["task_id"], type=kinds["task_type"]), "Append", "EventTime")
+    time = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    outcomes = told.select(
+        "task_id", "task_type", time("started_us").alias("started_at"), "outcome", ((F.col("finished_us") - F.col("started_us")) / 1000.0).alias("duration_ms"), "revision")
+    with _state_store(spark):
+        return run_available(
+            outcomes.writeStream.format("parquet").outputMode("append").option("path", output).option("checkpointLocation", checkpoint)
+        )
+
+
+def task_outcomes(spark: SparkSession, output: str) -> DataFrame:
+    """The last revision of every task's outcome."""
+    rows = spark.read.parquet(output)
+    last = F.max_by(F.struct(*rows.columns), "revision")
+    return rows.groupBy("task_id").agg(last.alias("r")).select("r.*").drop("revision")
 
 
 def open_tasks(starts: DataFrame, outcomes: DataFrame) -> DataFrame:

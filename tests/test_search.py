@@ -267,3 +267,44 @@ def test_a_large_vocabulary_is_joined_not_broadcast(spark, monkeypatch):
     got = ts.tfidf_weights(texts, ["memory_id"], "text")
     assert sorted(map(tuple, got.collect())) == want
     assert "SortMergeJoin" in got._jdf.queryExecution().toString()
+
+
+def greedy_picks(query, base, k, fetch_k, weight):
+    """Diversified picks by the formula, one at a time."""
+    def near(a, b):
+        n = np.linalg.norm(a) * np.linalg.norm(b)
+        return round(float(a @ b / n), 6) if n else 0.0
+
+    fetched = sorted(base, key=lambda i: (-near(query, base[i]), i))[:fetch_k]
+    picks = []
+    while fetched and len(picks) < k:
+        def gain(i):
+            nearness = near(query, base[i])
+            return round(weight * nearness - (1 - weight) * max(near(base[i], base[j]) for j in picks), 9) if picks else nearness
+        best = min(fetched, key=lambda i: (-gain(i), i))
+        picks.append(best)
+        fetched.remove(best)
+    return picks
+
+
+@pytest.mark.parametrize("k,fetch_k,weight", [(4, 20, 0.5), (3, 3, 0.2), (50, 10, 0.9), (4, 20, 1.0), (4, 20, 0.0)])
+def test_mmr_picks(spark, k, fetch_k, weight):
+    rng = np.random.default_rng(k)
+    base = {i: rng.normal(size=6) for i in range(40)}
+    base[40], base[41], base[42] = base[3], base[3], np.zeros(6)
+    queries = {i: rng.normal(size=6) for i in range(5)}
+    frame = lambda rows, names: spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows.items()], names)
+    got = vs.mmr(frame(queries, "query_id int, query_vector array<double>"), frame(base, "object_id int, embedding array<double>"), k, fetch_k, weight).collect()
+    for q, vector in queries.items():
+        picks = [r.object_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.pick)]
+        assert picks == greedy_picks(vector, base, k, fetch_k, weight)
+
+
+def test_mmr_by_distance_and_without_rows(spark):
+    base = spark.createDataFrame([(1, [0.0, 1.0]), (2, [0.0, 1.1]), (3, [3.0, 0.0]), (4, None)], "object_id int, embedding array<double>")
+    queries = spark.createDataFrame([(1, [0.0, 1.0]), (2, None)], "query_id int, query_vector array<double>")
+    got = sorted(vs.mmr(queries, base, 2, 3, 0.4, "L2").collect(), key=lambda r: r.pick)
+    assert [(r.object_id, r.score) for r in got] == [(1, 0.0), (3, pytest.approx(3.162278))]
+    assert vs.mmr(queries, base.limit(0)).count() == vs.mmr(queries.limit(0), base).count() == 0
+    with pytest.raises(ValueError):
+        vs.mmr(queries, base, weight=1.5)

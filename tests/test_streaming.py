@@ -88,6 +88,36 @@ def test_tasks_complete_or_time_out(spark, tmp_path):
     add(starts, paths[0])
     add(done, paths[1])
     jobs.task_lifecycle(jobs.table_stream(spark, paths[0], starts.schema), jobs.table_stream(spark, paths[1], done.schema), *paths[2:])
-    got = {r.task_id: r.outcome for r in spark.read.parquet(paths[2]).collect()}
+    got = {r.task_id: r.outcome for r in jobs.task_outcomes(spark, paths[2]).collect()}
     assert got == {1: "completed", 2: "timed_out"}
     assert [r.task_id for r in jobs.open_tasks(starts, spark.read.parquet(paths[2])).collect()] == [3]
+
+
+def test_late_completions_correct_outcomes(spark, tmp_path):
+    """A completion behind the watermark, after a restart, corrects; one that was too late, or repeated, changes nothing."""
+    start_rows = lambda data: spark.createDataFrame(data, "task_id bigint, task_type string, at string").selectExpr(
+        "task_id", "task_type", "cast(at as timestamp_ntz) as started_at")
+    done_rows = lambda data: spark.createDataFrame(data, "task_id bigint, at string").selectExpr("task_id", "cast(at as timestamp_ntz) as finished_at")
+    paths = [str(tmp_path / n) for n in ("starts", "done", "out", "state")]
+
+    def run(starts, done):
+        if starts:
+            add(start_rows(starts), paths[0])
+        if done:
+            add(done_rows(done), paths[1])
+        jobs.task_lifecycle(
+            jobs.table_stream(spark, paths[0], start_rows([]).schema), jobs.table_stream(spark, paths[1], done_rows([]).schema), *paths[2:])
+        return {r.task_id: (r.outcome, r.duration_ms) for r in jobs.task_outcomes(spark, paths[2]).collect()}
+
+    day = 86_400_000.0
+    first = [(i, "t", "2024-01-01") for i in (1, 2, 3, 4)] + [(5, "t", "2024-01-15"), (None, "t", "2024-01-01")]
+    got = run(first, [(1, "2024-01-02"), (99, "2024-01-15"), (None, "2024-01-02"), (6, "2024-01-14")])
+    timed_out = ("timed_out", None)
+    assert got == {1: ("completed", day), 2: timed_out, 3: timed_out, 4: timed_out}
+    # all of these are behind the watermark: in time, too late, in time twice, before the start
+    got = run([(6, "t", "2024-01-13")], [(2, "2024-01-03"), (3, "2024-01-12"), (4, "2024-01-05"), (4, "2024-01-04"), (1, "2024-01-03")])
+    assert got == {1: ("completed", day), 2: ("completed", 2 * day), 3: timed_out, 4: ("completed", 3 * day), 6: ("completed", day)}
+    got = run([(7, "t", "2024-06-01"), (4, "t", "2024-01-01")], [(98, "2024-06-01"), (4, "2024-01-02")])
+    assert got[4] == ("completed", 3 * day) and got[5] == timed_out and 7 not in got
+    told = spark.read.parquet(paths[2]).groupBy("task_id", "revision").count().where("count > 1")
+    assert told.count() == 0
