@@ -9,7 +9,7 @@ from engrama.plans.ingest_queries import _log, _redelivered
 from engrama.plans.registry import query
 from engrama.plans.views import Tables
 from engrama.session import work_dir
-from engrama.sources import wal
+from engrama.sources import wal_stream
 from engrama.streaming import jobs
 
 
@@ -32,7 +32,7 @@ def stream_wal_tail(t: Tables) -> DataFrame:
     """The log followed from its middle."""
     middle = t.fx_events.agg(F.floor(F.median("lsn")).cast("bigint")).first()[0]
     output, state = _folders(t, "tail")
-    jobs.wal_tail(wal.stream_frames(t.spark, _log(t)), output, state, from_lsn=middle)
+    jobs.wal_tail(wal_stream.follow(t.spark, _log(t)), output, state, from_lsn=middle)
     return t.spark.read.parquet(output).select(
         "lsn", F.get_json_object("event", "$.event_id").alias("event_id"),
         F.get_json_object("event", "$.event_type").alias("event_type"),

@@ -31,10 +31,6 @@ def read_frames(spark: SparkSession, path: str, newline: str = "\n") -> DataFram
     return _with_file(spark.read.option("lineSep", newline * 2).text(path))
 
 
-def stream_frames(spark: SparkSession, path: str, newline: str = "\n", **options: str) -> DataFrame:
-    return _with_file(spark.readStream.options(**options).option("lineSep", newline * 2).text(path))
-
-
 def finished_frames(frames: DataFrame, newline: str = "\n") -> DataFrame:
     """Drop the last frame of a file that ends before the frame's blank line.
 
@@ -58,10 +54,15 @@ def _after(prefix: str, lines: Column) -> Column:
 
 def parse_frames(frames: DataFrame, newline: str = "\n") -> DataFrame:
     """``(lsn, event, parse_error, raw)`` of the log frames; comments and other frames are skipped."""
+    return parse_finished(finished_frames(frames, newline))
+
+
+def parse_finished(frames: DataFrame) -> DataFrame:
+    """``parse_frames`` of frames that are all whole."""
     lines = F.split(F.col("value"), "\r?\n")
     names = F.transform(_after("event:", lines), lambda line: F.trim(F.substring(line, 7, 1 << 30)))
     data = F.transform(_after("data:", lines), lambda line: F.ltrim(F.substring(line, 6, 1 << 30)))
-    parsed = finished_frames(frames, newline).select(
+    parsed = frames.select(
         F.try_element_at(names, F.lit(-1)).alias("_name"), F.size(data).alias("_n"),
         F.array_join(data, "\n").alias("raw"),
     ).where((F.col("_name") == EVENT_NAME) & (F.col("_n") > 0))

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from engrama.operators.ingest import materialize_memory, upsert_latest
 from engrama.session import join_null_safe
 from engrama.sources import snapshots
-from engrama.sources.wal import from_position, parse_frames
+from engrama.sources.wal import from_position, parse_finished
 from engrama.streaming.lifecycle import OUTCOME_SCHEMA, TaskLifecycle
 
 INGEST_DELAY = "1 hour"
@@ -51,9 +51,12 @@ def _per_batch(transform: Callable[[DataFrame], DataFrame], output: str):
 
 
 def wal_tail(frames: DataFrame, output: str, checkpoint: str, from_lsn: int = 0) -> StreamingQuery:
-    """Follow the log folder and append its events from a position on."""
+    """Follow the log (``wal_stream.follow``) and append its events from a position on.
+
+    A frame comes once it is finished, in a file that has grown since the last run as well.
+    """
     def parse(batch: DataFrame) -> DataFrame:
-        return from_position(parse_frames(batch), from_lsn)
+        return from_position(parse_finished(batch), from_lsn)
 
     writer = frames.writeStream.foreachBatch(_per_batch(parse, output)).option("checkpointLocation", checkpoint)
     return run_available(writer)

@@ -1,7 +1,7 @@
 """Streams fed batch by batch: late data, duplicates across batches, repeated runs."""
 
 from engrama.operators.ingest import materialize_memory
-from engrama.sources import wal
+from engrama.sources import wal, wal_stream
 from engrama.streaming import jobs
 
 SCHEMA = (
@@ -76,7 +76,7 @@ def test_log_is_followed_across_runs(spark, tmp_path):
     log, out, state = (str(tmp_path / n) for n in ("log", "out", "state"))
     for start in (0, 10):
         wal.write_log(spark.range(start, start + 10).selectExpr("id as lsn", "concat('e', id) as event_id"), log)
-        jobs.wal_tail(wal.stream_frames(spark, log), out, state, from_lsn=5)
+        jobs.wal_tail(wal_stream.follow(spark, log), out, state, from_lsn=5)
     assert sorted(r.lsn for r in spark.read.parquet(out).collect()) == list(range(5, 20))
 
 
@@ -121,3 +121,51 @@ def test_late_completions_correct_outcomes(spark, tmp_path):
     assert got[4] == ("completed", 3 * day) and got[5] == timed_out and 7 not in got
     told = spark.read.parquet(paths[2]).groupBy("task_id", "revision").count().where("count > 1")
     assert told.count() == 0
+
+
+def _frame(lsn, newline="\n", text="x"):
+    return f'event: wal{newline}data: {{"lsn": {lsn}, "event": {{"text": "{text}"}}}}{newline}{newline}'
+
+
+def test_a_growing_log_loses_no_frame(spark, tmp_path):
+    log, out, state = (tmp_path / n for n in ("log", "out", "state"))
+    log.mkdir()
+
+    def run():
+        jobs.wal_tail(wal_stream.follow(spark, str(log)), str(out), str(state))
+        return sorted(r.lsn for r in spark.read.parquet(str(out)).collect())
+
+    two = _frame(2, text="é" * 50)
+    (log / "a.log").write_bytes((_frame(1) + two).encode()[:-40])  # an unfinished frame, cut within its text
+    (log / "_ignored").write_text(_frame(77))
+    assert run() == [1]
+    (log / "a.log").write_text(_frame(1) + two + _frame(3) + "event: wal\ndata: {")
+    assert run() == [1, 2, 3]
+    (log / "b.log").write_text(_frame(4) + _frame(5)[:-1])  # only the last newline is missing
+    assert run() == [1, 2, 3, 4]
+    (log / "b.log").write_text(_frame(4) + _frame(5))
+    (log / "a.log").write_text(_frame(1) + two + _frame(3) + _frame(6))
+    assert run() == run() == [1, 2, 3, 4, 5, 6]
+    texts = {r.lsn: r.event for r in spark.read.parquet(str(out)).collect()}
+    assert "é" * 50 in texts[2]
+
+
+def test_log_ranges_are_cut_between_frames(tmp_path):
+    for newline in ("\n", "\r\n"):
+        path = tmp_path / f"long{len(newline)}.log"
+        path.write_bytes("".join(_frame(i, newline, "w" * (i * 7 % 90)) for i in range(300)).encode() + b"event: cut")
+        reader = wal_stream.LogReader({"path": str(path), "newline": newline.encode("unicode_escape").decode(), "splitBytes": "500"})
+        end = reader.latestOffset()
+        parts = reader.partitions({}, end)
+        assert len(parts) > 20 and [p.end for p in parts[:-1]] == [p.start for p in parts[1:]]
+        frames = [f for p in parts for f in reader.read(p)]
+        assert [int(value.split('"lsn": ')[1].split(",")[0]) for value, _, _ in frames] == list(range(300))
+        data = path.read_bytes()
+        assert all(data[at:at + len(value.encode())] == value.encode() for value, _, at in frames)
+        with path.open("rb") as raw:
+            class Source:
+                def read_at(self, n, at):
+                    raw.seek(at)
+                    return raw.read(n)
+            for block in (1, 3, 64, 100_000):
+                assert wal_stream.last_frame_end(Source(), len(data), reader.separator, block) == len(data) - len("event: cut")
