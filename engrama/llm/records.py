@@ -25,6 +25,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from struct import Struct
 
 import numpy as np
@@ -71,13 +72,19 @@ def unframe(record: bytes | memoryview) -> bytes:
     return payload
 
 
+@lru_cache(maxsize=1)
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One of each per worker process."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def encode_payload(doc_id: int | None, ids: bytes) -> bytes:
-    return _HEAD.pack(doc_id is not None, doc_id or 0) + zstandard.ZstdCompressor(level=1).compress(ids)
+    return _HEAD.pack(doc_id is not None, doc_id or 0) + _codec()[0].compress(ids)
 
 
 def decode_payload(payload: bytes) -> tuple[int | None, bytes]:
     known, doc_id = _HEAD.unpack_from(payload)
-    return doc_id if known else None, zstandard.ZstdDecompressor().decompress(payload[_HEAD.size:])
+    return doc_id if known else None, _codec()[1].decompress(payload[_HEAD.size:])
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:

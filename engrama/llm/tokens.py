@@ -23,11 +23,14 @@ import regex
 
 END_ID = 0
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-KEPT_PIECES = 600_000  # pieces, and words in them, that a worker remembers before it starts anew
+KEPT_PIECES = 600_000  # pieces that a worker remembers
 
 _LONG_RUN = re.compile(r"\s{3}|\s\s\Z")
 _OTHER_SPACE = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _UNCOMMON = re.compile("[^\n -~\u00a1-\u024f]")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_MARKS = r"!-&(-/:-@\[-`{-~"  # of ASCII, without the apostrophe, which begins words of its own
+_SIMPLE = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]*)| ?[{_MARKS}]+")
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -45,20 +48,27 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Remembered(dict):
-    """Values of a function by argument; long arguments aren't kept."""
+    """Values of a function by argument; long arguments aren't kept.
+
+    Once half of what may be kept is held, it becomes the older half, of which
+    only what is asked for again is carried over.
+    """
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) < 64:
             self[key] = value
         return value
 
     def trim(self) -> None:
-        if len(self) > KEPT_PIECES:
+        if len(self) > KEPT_PIECES // 2:
+            self.older = dict(self)
             self.clear()
 
 
@@ -78,7 +88,6 @@ class Encoder:
         self.added = [t.content for t in added if t.content and not (plain and t.special)]
         self.words_in = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = _byte_letters()
-        self.single = frozenset(" abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")  # begins one word, if letters follow
         self.known = Remembered(self._piece)
         self.words = Remembered(self._word)
 
@@ -99,10 +108,11 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         if not piece:
             return b""
+        simple = _SIMPLE.fullmatch(piece) if len(piece) < 64 else None
+        if simple:  # letters, then marks: one word of the pattern each
+            return self.known[simple[1]] + self.known[simple[2]] if simple[2] else self._word(piece)
         if len(piece) > 63 or _UNCOMMON.search(piece) or "\n" in piece[1:] or self._holds_added(piece):
             return self._whole(piece)
-        if piece[1:].isalpha() and piece[0] in self.single:
-            return self.words[piece]
         return b"".join(map(self.words.__getitem__, self.words_in(piece)))
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
