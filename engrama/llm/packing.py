@@ -7,11 +7,11 @@ alike, so the problem is fully told by how many there are of each length: at mos
 * a bin is completed around the largest piece left: fillings of its remaining
   room are enumerated, largest pieces first, and fillings dominated by another
   (whose pieces fit into the other's) are left out;
-* a chosen filling is repeated as long as its pieces last, so a solution is a
-  short list of patterns with counts;
-* the first descent takes the least waste each time, which is a best-fit solution
-  and the incumbent; a branch is cut once its waste exceeds what any solution
-  with one bin less than the incumbent could have;
+* a chosen filling is repeated as long as its pieces last, or used once, so a
+  solution is a short list of patterns with counts;
+* best-fit decreasing gives the first incumbent, so no result has more bins than it;
+  a branch is cut once its waste exceeds what any solution with one bin less than
+  the incumbent could have;
 * the search ends when the incumbent meets the lower bound, or after ``NODES``
   branches (packing is NP-hard), with the best solution so far.
 
@@ -25,6 +25,8 @@ null id are packed like all others; repeated rows are packed each.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator, Mapping
 from itertools import islice
 
@@ -112,11 +114,53 @@ def completions(largest: int, left: Mapping[int, int], capacity: int) -> list[tu
     return kept or [()]
 
 
-def _step(left: dict[int, int], largest: int, filling: tuple[int, ...]) -> tuple[Pattern, int, dict[int, int]]:
+def best_fit(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
+    """Best-fit decreasing, bins of one filling taken together.
+
+    The pieces of a length go where they leave the least room.  A bin that takes one has
+    less room than its like, so it takes as many as fit before the next bin gets any.
+    """
+    rooms: dict[int, list[tuple[tuple[int, ...], int]]] = {}  # by room left: fillings and how many bins have each
+    order: list[int] = []                                     # rooms that bins have, ascending
+
+    def put(filling: tuple[int, ...], room: int, bins: int) -> None:
+        if bins:
+            if room not in rooms:
+                rooms[room] = []
+                insort(order, room)
+            rooms[room].append((filling, bins))
+
+    for length in sorted((x for x, n in counts.items() if n), reverse=True):
+        left = counts[length]
+        at = bisect_left(order, length)
+        while left and at < len(order):
+            room = order[at]
+            per_bin, groups = room // length, rooms.pop(room)
+            del order[at]
+            kept = []
+            for filling, bins in groups:
+                full = min(bins, left // per_bin)
+                rest = left - full * per_bin if bins > full and left - full * per_bin < per_bin else 0
+                put((*filling, *[length] * per_bin), room - per_bin * length, full)
+                put((*filling, *[length] * rest), room - rest * length, 1 if rest else 0)
+                left -= full * per_bin + rest
+                untouched = bins - full - bool(rest)
+                if untouched:
+                    kept.append((filling, untouched))
+            for filling, bins in kept:
+                put(filling, room, bins)
+            at = bisect_right(order, room)
+        per_bin = capacity // length
+        put((length,) * per_bin, capacity - per_bin * length, left // per_bin)
+        put((length,) * (left % per_bin), capacity - left % per_bin * length, 1 if left % per_bin else 0)
+    return [(tuple(sorted(Counter(f).items(), reverse=True)), bins) for groups in rooms.values() for f, bins in groups]
+
+
+def _step(left: dict[int, int], largest: int, filling: tuple[int, ...], most: int | None = None) -> tuple[Pattern, int, dict[int, int]]:
     need: dict[int, int] = {}
     for x in (largest, *filling):
         need[x] = need.get(x, 0) + 1
-    times = min(left[x] // n for x, n in need.items())
+    times = min([left[x] // n for x, n in need.items()] + ([most] if most else []))
     rest = dict(left)
     for x, n in need.items():
         rest[x] -= n * times
@@ -125,42 +169,51 @@ def _step(left: dict[int, int], largest: int, filling: tuple[int, ...]) -> tuple
     return tuple(sorted(need.items(), reverse=True)), times, rest
 
 
+def _choices(left: Mapping[int, int], capacity: int) -> list[tuple[tuple[int, ...], int | None]]:
+    """Fillings around the largest piece: each as often as its pieces last, then each used once."""
+    top = max(left)
+    found = completions(top, {**left, top: left[top] - 1}, capacity)
+    once = [(f, 1) for f in found if _step(dict(left), top, f)[1] > 1]
+    return [(f, None) for f in found] + once
+
+
 def complete_bins(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
     """Patterns and how many bins have each, using every piece once."""
     start = {length: count for length, count in counts.items() if count}
     if not start:
         return []
     total, bound = sum(x * n for x, n in start.items()), lower_bound(start, capacity)
-    best: list[tuple[Pattern, int]] | None = None
-    best_bins, nodes = None, 0
+    best = best_fit(start, capacity)
+    best_bins, nodes = sum(times for _, times in best), 0
+    if best_bins == bound:
+        return best
     path: list[tuple[Pattern, int]] = []
-    # each level: pieces left, bins so far, waste so far, fillings not tried yet
-    levels = [(start, 0, 0, completions(max(start), {**start, max(start): start[max(start)] - 1}, capacity))]
+    # each level: pieces left, bins so far, waste so far, choices not tried yet
+    levels = [(start, 0, 0, _choices(start, capacity))]
     while levels:
         left, bins, waste, options = levels[-1]
-        if not options or (best is not None and nodes >= NODES):
+        if not options or nodes >= NODES:
             levels.pop()
             if path:
                 path.pop()
             continue
-        filling = options.pop(0)
+        filling, most = options.pop(0)
         nodes += 1
         largest = max(left)
-        pattern, times, rest = _step(left, largest, filling)
+        pattern, times, rest = _step(left, largest, filling, most)
         bins, waste = bins + times, waste + times * (capacity - largest - sum(filling))
-        if best_bins is not None and waste > (best_bins - 1) * capacity - total:
+        if waste > (best_bins - 1) * capacity - total:
             continue
         path.append((pattern, times))
         if not rest:
-            if best_bins is None or bins < best_bins:
+            if bins < best_bins:
                 best, best_bins = list(path), bins
                 if bins == bound:
                     break
             path.pop()
             continue
-        top = max(rest)
-        levels.append((rest, bins, waste, completions(top, {**rest, top: rest[top] - 1}, capacity)))
-    return best or []
+        levels.append((rest, bins, waste, _choices(rest, capacity)))
+    return best
 
 
 def slots(patterns: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:

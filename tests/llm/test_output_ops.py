@@ -360,3 +360,42 @@ def test_nothing_else_imports_this_part():
     root = pathlib.Path(queries.__file__).parents[1]
     others = [p for p in root.rglob("*.py") if "llm" not in p.parts]
     assert others and not any("engrama.llm" in p.read_text() for p in others)
+
+
+def plain_best_fit(pieces, capacity):
+    rooms = []
+    for x in sorted(pieces, reverse=True):
+        fitting = [r for r in rooms if r >= x]
+        if fitting:
+            rooms.remove(min(fitting))
+            rooms.append(min(fitting) - x)
+        else:
+            rooms.append(capacity - x)
+    return sorted(rooms)
+
+
+@pytest.mark.parametrize("low,high,most", [(1, 100, 3), (25, 55, 9), (17, 35, 30), (1, 12, 60), (90, 100, 5)])
+def test_packing_is_never_worse_than_best_fit(low, high, most):
+    rng = random.Random(low)
+    for _ in range(12):
+        counts = {x: rng.randint(0, most) for x in range(low, high + 1)}
+        pieces = [x for x, n in counts.items() for _ in range(n)]
+        rooms = plain_best_fit(pieces, 100)
+        together = packing.best_fit(counts, 100)
+        assert sorted(100 - sum(x * n for x, n in p) for p, times in together for _ in range(times)) == rooms
+        packed = packing.complete_bins(counts, 100)
+        used = collections.Counter()
+        for pattern, times in packed:
+            assert sum(x * n for x, n in pattern) <= 100
+            for x, n in pattern:
+                used[x] += n * times
+        assert used == collections.Counter(pieces)
+        assert packing.lower_bound(counts, 100) <= sum(times for _, times in packed) <= len(rooms)
+
+
+@pytest.mark.parametrize("low,high", [(1, 2047), (500, 1099), (350, 690)])
+def test_wide_histograms_pack_as_best_fit_does_or_better(low, high):
+    rng = random.Random(high)
+    counts = {x: rng.randint(0, 12) for x in range(low, high + 1)}
+    bins = sum(times for _, times in packing.complete_bins(counts, 2048))
+    assert packing.lower_bound(counts, 2048) <= bins <= sum(times for _, times in packing.best_fit(counts, 2048))
