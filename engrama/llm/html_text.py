@@ -43,6 +43,7 @@ TEXT_TAG_COST = 0.1   # of a tag within running text, so that short paragraphs s
 LIMIT = 4.0           # of a learned weight, either way
 LEFT_OUT_COST = -0.2  # of a word in an element that is left out
 OUTSIDE = -1.0        # at most, of a word outside the element that marks the article
+MOST = 0.8            # of the words: a container with these isn't left out for its class
 LEAST_PAGES = 3       # labelled pages a container must be on
 
 # fixed values: element names of HTML
@@ -58,9 +59,9 @@ _ARTICLE = {"article", "main"}
 _PAGE = {"html", "body", *_ARTICLE}  # never left out by class or id
 # fixed values: class names and ids of what isn't running text, whole names only
 _UNWANTED_WORD = (
-    r"(?:ad|ads|advert[a-z0-9]*|banner|promo[a-z0-9]*|sponsor[a-z0-9]*|nav[a-z0-9]*|menu[a-z0-9]*|breadcrumb[a-z0-9]*|sidebar|side|footer|foot|header|masthead|topbar|toolbar|"
-    r"comment[a-z0-9]*|respon[ds]e?[a-z0-9]*|disqus|reply|replies|cookie[a-z0-9]*|consent|notice[a-z0-9]*|notification[a-z0-9]*|alert|popup|modal|overlay|subscribe[a-z0-9]*|"
-    r"newsletter|signup|login|share|sharing|social[a-z0-9]*|related|recommend[a-z0-9]*|pagination|pager|search[a-z0-9]*|form|widget[a-z0-9]*|tags?|hidden|copyright|legal|disclaimer)"
+    r"(?:ad|ads|advert[a-z0-9]*|banner|promo[a-z0-9]*|sponsor[a-z0-9]*|nav|navs|navbar|navigation|navmenu|navlinks|menu|menus|menubar|menuitems?|breadcrumb[a-z0-9]*|sidebar|side|footer|foot|header|masthead|topbar|toolbar|"
+    r"comments?|commentlist|commentform|commentbox|commenter|respond|responses?|disqus|reply|replies|cookie[a-z0-9]*|consent|notice[a-z0-9]*|notification[a-z0-9]*|alert|popup|modal|overlay|subscribe[a-z0-9]*|"
+    r"newsletter|signup|login|share|sharing|social[a-z0-9]*|related|recommend[a-z0-9]*|pagination|pager|search|searchbox|searchform|searchbar|form|widget[a-z0-9]*|tags?|hidden|copyright|legal|disclaimer)"
 )
 _BEFORE = r"(?:site|main|top|bottom|left|right|primary|secondary|global|post|article|entry)"  # which of them
 _AFTER = (  # what sort of box
@@ -140,38 +141,60 @@ class Piece:
         self.text, self.tag, self.key, self.dropped, self.inside = text, tag, key, dropped, inside
 
 
-def pieces(page: str) -> Iterator[Piece]:
-    """Texts and tags in page order."""
-    stack: list[tuple[str, str]] = []  # open containers: name, key
-    cuts = articles = 0                # how many of them are left out, and are articles
+class _Open:
+    """A container while it is open, and what is known of it at the end of the page."""
 
-    def pop() -> None:
-        nonlocal cuts, articles
-        name, key = stack.pop()
-        cuts -= unwanted(key)
-        articles -= name in _ARTICLE
+    __slots__ = ("name", "key", "parent", "hard", "soft", "in_article", "articles", "words", "dropped")
 
+    def __init__(self, name: str, key: str, parent: _Open | None):
+        self.name, self.key, self.parent = name, key, parent
+        self.hard = name in _LEFT_OUT and name != "form"       # the element says so
+        self.soft = not self.hard and unwanted(key)            # its class or id does, or it is a form
+        self.in_article = name in _ARTICLE or bool(parent and parent.in_article)
+        self.articles, self.words, self.dropped = 0, 0, False
+
+
+def pieces(page: str) -> list[Piece]:
+    """Texts and tags in page order.
+
+    A container whose class, id or being a form speaks against it is left out, but not
+    if it holds an article, nor ``MOST`` of the words of its article or, where none is
+    marked, of the page: then its words count as those of a plain container.
+    """
+    top = _Open("body", "body", None)
+    opened, stack, found = [top], [top], []
     for m in _tokens(page):
-        key = stack[-1][1] if stack else "body"
+        here = stack[-1]
         if m["text"] is not None:
-            yield Piece(m["text"], None, key, cuts > 0, articles > 0)
+            found.append((m["text"], None, here))
+            here.words += len(m["text"].split())
             continue
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
             continue  # comments and declarations
         closing = bool(m["end"] or m["end2"])
         if name in _CONTAINERS and not closing and name not in _VOID:
-            if stack and name in _CLOSED_BY_BLOCK and stack[-1][0] == name:
-                pop()
-            own = container_name(name, m["attrs"] or "")
-            stack.append((name, own))
-            cuts += unwanted(own)
-            articles += name in _ARTICLE
-        elif name in _CONTAINERS and closing and any(n == name for n, _ in stack):
-            while stack[-1][0] != name:
-                pop()
-            pop()
-        yield Piece(None, name, key, cuts > 0, articles > 0)
+            if name in _CLOSED_BY_BLOCK and here.name == name and len(stack) > 1:
+                stack.pop()
+            stack.append(_Open(name, container_name(name, m["attrs"] or ""), stack[-1]))
+            opened.append(stack[-1])
+            stack[-1].articles = int(name in _ARTICLE)
+        elif name in _CONTAINERS and closing and any(o.name == name for o in stack[1:]):
+            while stack.pop().name != name:
+                pass
+        found.append((None, name, stack[-1]))
+    for o in reversed(opened[1:]):  # children come after their parents
+        if not o.hard:
+            o.parent.words += o.words
+            o.parent.articles += o.articles
+    marked = sum(o.words for o in opened if o.name in _ARTICLE and not (o.parent and o.parent.in_article))
+    for o in opened:
+        of = marked if o.in_article else 0 if marked else top.words
+        most = o.articles > 0 or (of > 0 and o.words >= MOST * of)
+        o.dropped = o.hard or (o.soft and not most) or bool(o.parent and o.parent.dropped)
+        if o.soft and most:
+            o.key = "div"
+    return [Piece(text, tag, o.key, o.dropped, o.in_article) for text, tag, o in found]
 
 
 class Weights:
@@ -206,7 +229,7 @@ def main_text(page: str | None, weights: Weights) -> str:
     """The article's blocks, one per line."""
     if not page:
         return ""
-    found = list(pieces(page))
+    found = pieces(page)
     marked = any(p.inside for p in found)
     scores = []
     for p in found:

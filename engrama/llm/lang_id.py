@@ -35,6 +35,7 @@ UNKNOWN = "und"
 LEAST_COSINE = 0.1    # below it a text is rejected as no known language
 FULL_CHARS = 200      # shorter texts need a share of it only, in proportion
 BUNDLE_CHARS = 1 << 19
+SLICE = 8192  # trigrams bound at once
 PIECE_CHARS = 1 << 22  # a longer text is bundled in pieces
 
 
@@ -73,12 +74,24 @@ def _bundle_group(texts: Sequence[np.ndarray]) -> np.ndarray:
     ]
     present = np.unique(np.concatenate(grams)) if n > 200 else np.flatnonzero(np.bincount(np.concatenate(grams), minlength=n**3))
     vectors = letter_vectors(known)
-    first, second, third = present // (n * n), present // n % n, present % n
-    bound = np.roll(vectors, 2, axis=1)[first] * np.roll(vectors, 1, axis=1)[second] * vectors[third]
-    counts = np.zeros((len(texts), len(present)), dtype=np.float32)
-    for row, g in zip(counts, grams):
-        row += np.bincount(np.searchsorted(present, g), minlength=len(present)) if n > 200 else np.bincount(g, minlength=n**3)[present]
-    return counts @ bound
+    held = []  # of each text: places of its trigrams among those present, and how often each
+    for g in grams:
+        if n > 200:
+            held.append(np.unique(np.searchsorted(present, g), return_counts=True))
+        else:
+            often = np.bincount(g, minlength=n**3)[present]
+            held.append((np.flatnonzero(often), often[often > 0]))
+    out = np.zeros((len(texts), vectors.shape[1]), dtype=np.float32)
+    for low in range(0, len(present), SLICE):  # so that memory is bounded however many trigrams there are
+        part = present[low:low + SLICE]
+        first, second, third = part // (n * n), part // n % n, part % n
+        bound = np.roll(vectors[first], 2, axis=1) * np.roll(vectors[second], 1, axis=1) * vectors[third]
+        counts = np.zeros((len(texts), len(part)), dtype=np.float32)
+        for row, (places, often) in zip(counts, held):
+            begin, end = np.searchsorted(places, [low, low + SLICE])
+            row[places[begin:end] - low] = often[begin:end]
+        out += counts @ bound
+    return out
 
 
 def bundles(texts: Sequence[str | None]) -> Iterator[tuple[int, np.ndarray]]:

@@ -22,9 +22,10 @@ All work is DataFrame expressions; groups are counted by partial aggregates and
 joined back, so a line in a third of all documents is a skewed join that splits.
 
 Results for odd input: a null text stays null, an empty one empty; rows with a null
-id are passed through and no copies are looked for in them; repeated rows of one
-id count as one document, the smallest text; a document's own repeats are deleted
-too; other columns are kept.
+id are passed through and no copies are looked for in them; rows of one id with one
+text count as one document; of an id with several texts the smallest counts, and rows
+with another one are passed through; a document's own repeats are deleted too; other
+columns are kept.
 """
 
 from __future__ import annotations
@@ -48,9 +49,24 @@ def _words(line: Column) -> Column:
     return F.size(F.filter(F.split(line, r"[ \t\x0B\f\r]+"), lambda w: w != "")).cast("bigint")
 
 
-def line_ids(docs: DataFrame) -> DataFrame:
-    """One row per line: document, place, id (h1, h2) and words."""
-    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
+
+
+def smallest_texts(docs: DataFrame) -> DataFrame | None:
+    """(doc, text) of the ids that several rows have, each with its smallest text; None where there are none."""
+    ids = materialize(_texts(docs).groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"))
+    if ids.isEmpty():
+        return None
+    rows = _texts(docs).join(sized(ids, 16), "doc", "left_semi")
+    return materialize(rows.groupBy("doc").agg(F.min("text").alias("text")))  # texts of these ids only, least per task first
+
+
+def line_ids(docs: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
+    """One row per line: document, place, id (h1, h2) and words; ``chosen`` are the texts of ids with several rows."""
+    texts = _texts(docs)
+    if chosen is not None:
+        texts = texts.join(sized(chosen.select("doc"), 16), "doc", "left_anti").unionByName(chosen)
     described = F.transform(_lines(F.col("text")), lambda x: F.struct(F.xxhash64(x).alias("h1"), F.hash(x).alias("h2"), _words(x).alias("words")))
     return texts.select("doc", F.posexplode(described).alias("pos", "line")).select("doc", F.col("pos").cast("bigint").alias("pos"), "line.*")
 
@@ -106,9 +122,9 @@ def suffix_ranks(lines: DataFrame, longest: int) -> list[DataFrame]:
     return levels
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, chosen: DataFrame | None = None) -> DataFrame:
     """Later copies of repeated runs: doc, pos, m lines, the original's ``from_doc`` and ``from_pos``."""
-    lines = released(repeated(line_ids(docs), ["h1", "h2"], "n").drop("n").dropDuplicates(_AT))
+    lines = released(repeated(line_ids(docs, chosen), ["h1", "h2"], "n").drop("n"))
     runs = released(windows(lines, min_words))
     longest = runs.agg(F.max("m")).first()[0] or 0
     keyed = None
@@ -143,10 +159,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, info: str = "line_d
 
     ``info`` gets underscores in front if ``docs`` has such a column.
     """
-    spans = released(removed_spans(repeated_runs(docs, min_words)))
+    chosen = smallest_texts(docs)
+    spans = released(removed_spans(repeated_runs(docs, min_words, chosen)))
+    digest = F.sha2(F.col("text").cast("string"), 256)
+    # which text the spans are of, where an id has several rows
+    of = F.lit(None).cast("string").alias("of")
+    spans = spans.select("*", of) if chosen is None else spans.join(chosen.select("doc", digest.alias("of")), "doc", "left")
     key, found, info = unused("doc", docs.columns), unused("spans", docs.columns), unused(info, docs.columns)
-    marked = sized(spans.select(F.col("doc").alias(key), F.col("spans").alias(found)), 64, found, 32)
-    joined = docs.join(marked, docs["doc_id"].cast("bigint") == F.col(key), "left")
+    text_of = unused("of", docs.columns)
+    marked = sized(spans.select(F.col("doc").alias(key), F.col("spans").alias(found), F.col("of").alias(text_of)), 160, found, 32)
+    mine = F.col(text_of).isNull() | (F.col(text_of) == F.sha2(docs["text"].cast("string"), 256))
+    joined = docs.join(marked, (docs["doc_id"].cast("bigint") == F.col(key)) & mine, "left")
     lines = _lines(F.col("text").cast("string"))
     # the text between removed spans; spans are sorted and apart
     kept = F.filter(lines, lambda x, i: ~F.exists(found, lambda s: (i >= s["first"]) & (i <= s["last"])))

@@ -33,9 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from engrama.llm.common import connected_components, map_arrow, released, sized, text_batches
+from engrama.llm.common import connected_components, map_arrow, released, sized, text_batches, unused
 from engrama.llm.hashing import mix, random_words, shingle_set, word_hashes
-from engrama.session import materialize
+from engrama.operators.numbering import dense_number
+from engrama.session import join_null_safe, materialize
 
 BANDS, BAND_ROWS = 25, 5  # bands at least
 MISS = 1e-6          # probability that two sets at the threshold share no band, at most
@@ -225,7 +226,30 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     )
 
 
+def _without_copies(docs: DataFrame, id_column: str, threshold: int) -> DataFrame:
+    gone = materialize(near_duplicates(docs.select(F.col(id_column).alias("doc_id"), "text"), threshold).where("not kept").select("doc_id").distinct())
+    key = unused("_gone", docs.columns)
+    return docs.join(sized(gone.withColumnRenamed("doc_id", key), 16), docs[id_column] == F.col(key), "left_anti")
+
+
 def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The documents without all but one of each group of near copies; rows with a null id stay."""
-    gone = materialize(near_duplicates(docs, threshold).where("not kept").select("doc_id").distinct())
-    return docs.join(sized(gone, 16), "doc_id", "left_anti").select(*docs.columns)
+    """The documents without all but one of each group of near copies; texts without a word all stay.
+
+    Where ids repeat or are null, a row counts by its id and text: of equal rows one stays,
+    and of a group the row with the smallest id, null last.
+    """
+    counted = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    if counted["rows"] == counted["ids"]:
+        return _without_copies(docs, "doc_id", threshold).select(*docs.columns)
+    names = {n: unused(n, docs.columns) for n in ("key", "digest", "no_id", "id", "wordless")}
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    marked = docs.withColumns({
+        names["digest"]: F.sha2(text, 256), names["no_id"]: F.col("doc_id").isNull(), names["id"]: F.col("doc_id").cast("bigint"),
+        names["wordless"]: ~text.rlike(r"[^\x20\x09-\x0D]"),
+    })
+    order = [names[n] for n in ("no_id", "id", "digest")]
+    worded = marked.where(~F.col(names["wordless"]))
+    keys = dense_number(worded.select(*order).distinct(), order, name=names["key"])
+    numbered = join_null_safe(worded, keys, order).dropDuplicates([names["key"]])
+    kept = _without_copies(numbered, names["key"], threshold).select(*docs.columns)
+    return kept.unionByName(marked.where(F.col(names["wordless"])).select(*docs.columns))

@@ -38,6 +38,7 @@ from engrama.llm.hashing import shingle_set, word_hashes
 from engrama.session import materialize
 
 SAMPLE = 30_000
+QUOTE_WORDS = 60  # of a quotation, at most
 LEXICON = 2_000       # terms at most, strongest first
 STEMS = range(4, 8)
 LEAST_TEXTS = 6       # toxic texts a term must be in, and at least this share of them
@@ -49,7 +50,7 @@ TOXIC_FROM = 0.7
 KEPT_WORDS = 400_000
 
 _WORD = re.compile(r"\w+")
-_QUOTES = re.compile("[\"«»“”„]")
+_QUOTES = re.compile("(?<!\\d)\"|[«»“”„]")
 FEATURES = 11
 
 
@@ -170,12 +171,16 @@ class Matcher:
 
     @staticmethod
     def _quoted(chunks: list[str]) -> list[bool]:
-        inside, marks = False, []
-        for chunk in chunks:
-            n = len(_QUOTES.findall(chunk))
-            marks.append(inside or n > 0)
-            inside ^= n % 2 == 1
-        return marks
+        """Which words stand in a quotation: between two marks at most ``QUOTE_WORDS`` apart; inches are no marks."""
+        inside, opened = [False] * len(chunks), None
+        for i, chunk in enumerate(chunks):
+            for _ in _QUOTES.findall(chunk):
+                if opened is not None and i - opened <= QUOTE_WORDS:
+                    inside[opened:i + 1] = [True] * (i + 1 - opened)
+                    opened = None
+                else:
+                    opened = i
+        return inside
 
 
 def training_rows(doc_id: Column) -> Column:

@@ -352,7 +352,7 @@ def test_pipeline_of_odd_documents(spark, tmp_path):
     for folder, table in (("a", docs), ("b", docs.limit(0))):
         table.write.parquet(f"{tmp_path}/{folder}/documents.parquet")
         spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/{folder}/benchmark.parquet")
-    assert corpus_pipeline.run(spark, f"{tmp_path}/a").count() == 3
+    assert corpus_pipeline.run(spark, f"{tmp_path}/a").count() == 1  # of three equal texts one stays
     assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
 
 
@@ -399,3 +399,25 @@ def test_wide_histograms_pack_as_best_fit_does_or_better(low, high):
     counts = {x: rng.randint(0, 12) for x in range(low, high + 1)}
     bins = sum(times for _, times in packing.complete_bins(counts, 2048))
     assert packing.lower_bound(counts, 2048) <= bins <= sum(times for _, times in packing.best_fit(counts, 2048))
+
+
+PROSE = " ".join(f"Sentence {i} of a story that goes on about something." for i in range(9))
+
+
+@pytest.mark.parametrize("name", ["responsive", "content responsive", "commentary", "navy", "searchable", "notices", "side", "tag", "item legal", "comments", "sidebar"])
+def test_a_class_alone_drops_no_article(name):
+    plain = html_text.Weights()
+    menu = "<nav><a href=/>Home</a> <a href=/b>More</a></nav>"
+    for page in (
+        f"<body>{menu}<div class='{name}'><p>{PROSE}</p></div><footer>Imprint</footer></body>",
+        f"<body>{menu}<article><div class='{name}'><p>{PROSE}</p></div></article><footer>Imprint</footer></body>",
+        f"<body><form id=aspnetForm>{menu}<div id='{name}'><p>{PROSE}</p></div><footer>Imprint</footer></form></body>",
+        f"<body><div class='{name}'>{menu}<article><p>{PROSE}</p></article></div></body>",
+    ):
+        assert html_text.main_text(page, plain) == PROSE
+
+
+def test_comments_go_even_where_they_are_longer():
+    comments = f"<div class=comments><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p></div>"
+    for page in (f"<article><p>{PROSE}</p></article>{comments}", f"<article><p>{PROSE}</p>{comments}</article>", f"<div><p>{PROSE}</p></div>{comments}"):
+        assert html_text.main_text(f"<body>{page}</body>", html_text.Weights()) == PROSE

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,7 +119,7 @@ def test_near_duplicates_of_odd_rows(spark):
     assert got[(None, 1)] == (None, True) and got[(7, 1)] == (7, True) and got[(8, 1)] == (7, False)
     assert near_dup.near_duplicates(nothing(spark)).count() == 0
     kept = near_dup.drop_near_duplicates(odd(spark))
-    assert kept.columns == odd(spark).columns and kept.count() == len(ODD) - 2
+    assert kept.columns == odd(spark).columns and kept.count() == len(ODD) - 4  # one of each group of copies, whatever their ids
 
 
 def test_hashing_follows_the_word_rule():
@@ -177,6 +178,51 @@ def test_line_dedup_of_odd_rows(spark):
     assert line_dedup.dedup_lines(nothing(spark)).count() == 0
 
 
+def test_an_id_with_two_texts_loses_no_unique_line(spark):
+    rows = [(1, "A\nZ"), (2, "A\nZ"), (2, "U\nV"), (3, "U\nW"), (4, "A\nB"), (4, "A\nB")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("of", F.lit("clash"))
+    out = line_dedup.dedup_lines(docs, min_words=1)
+    assert sorted((r.doc_id, r.text, r["_line_dedup"]["n_removed"] if "_line_dedup" in out.columns else r.line_dedup.n_removed) for r in out.collect()) == [
+        (1, "A\nZ", 0), (2, "", 2), (2, "U\nV", 0), (3, "U\nW", 0), (4, "B", 1), (4, "B", 1)]
+
+
+def test_one_of_equal_texts_stays_whatever_their_ids(spark):
+    text = "one two three four five six seven"
+    rows = [(None, text), (None, text), (3, text), (3, text), (4, text), (5, text + " eight"), (None, "alone here now"), (None, ""), (None, ""), (6, None), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({c: F.lit(1) for c in ("key", "digest", "id", "_gone")})
+    got = sorted(((r.doc_id, r.text) for r in near_dup.drop_near_duplicates(docs, 80).collect()), key=str)
+    assert got == sorted([(3, text), (5, text + " eight"), (None, "alone here now"), (None, ""), (None, ""), (6, None), (6, None)], key=str)
+    many = near_dup.drop_near_duplicates(docs.where("doc_id is null"), 80).collect()
+    assert sorted(r.text for r in many) == ["", "", "alone here now", text]
+
+
+# --- bundles of trigrams, quotations ------------------------------------------
+
+
+def test_bundles_agree_with_one_trigram_at_a_time():
+    rng = random.Random(5)
+    wide = "".join(chr(0x4E00 + rng.randrange(900)) for _ in range(3000))
+    texts = ["The cat sat.", "a", "", None, "ÄÖ ü 12 ß", wide, "x " * 500]
+    got = dict(lang_id.bundles(texts))
+    for i, text in enumerate(texts):
+        letters = lang_id._letters(text) if text else np.zeros(0, int)
+        if not len(letters) or not letters.any():
+            assert i not in got
+            continue
+        letters = np.pad(letters, (int(letters[0] != 0), int(letters[-1] != 0)))
+        vector = {x: lang_id.letter_vectors(np.array([x]))[0] for x in set(letters.tolist())}
+        want = sum(np.roll(vector[a], 2) * np.roll(vector[b], 1) * vector[c] for a, b, c in zip(letters[:-2].tolist(), letters[1:-1].tolist(), letters[2:].tolist()))
+        assert np.allclose(got[i], want)
+
+
+def test_quotations_end():
+    quoted = toxicity.Matcher._quoted
+    assert quoted('a 5" pipe and you are an idiot'.split()) == [False] * 8
+    assert quoted('he said "you idiot" to me'.split()) == [False, False, True, True, False, False]
+    open_mark = ['"so'] + ["word"] * 200 + ['"one', 'two"', "end"]
+    assert quoted(open_mark) == [False] * 201 + [True, True, False]
+
+
 # --- benchmark overlaps ------------------------------------------------------
 
 
