@@ -20,6 +20,7 @@ from engrama.operators.text_search import term_counts, token_idf, with_idf
 from engrama.session import join_null_safe, materialize, spread
 from engrama.sources import snapshots
 
+COMMIT_TRIES = 5
 CONFIRM_COLD = "purge_cold_tier"  # fixed value: what a caller must send
 
 
@@ -168,36 +169,49 @@ def rolled_back(memory: DataFrame, memory_id: str, action: str) -> DataFrame:
 
 def purge_job(
     spark: SparkSession, table: str, audit: str, match: Column, action: str, idempotency_key: str,
-    only_if_inactive: bool = True, partition_by: str | None = "workspace_id", dry_run: bool = False,
+    only_if_inactive: bool = True, partition_by: str | None = "workspace_id", dry_run: bool = False, tries: int = COMMIT_TRIES,
 ) -> DataFrame:
     """Hard purge of a versioned table; a repeated key returns the stored report and changes nothing.
 
     The audit row is written first.  A version carries the key of the job that wrote
     it, so a run that died in between is told from one that finished, whatever other
     jobs wrote meanwhile; the repeat then purges what the table holds by now.  Of a
-    partitioned table only the partitions with matches are rewritten.
+    partitioned table only the partitions with matches are rewritten.  If another
+    writer commits in between, the purge is made anew on what that one left, up to
+    ``tries`` times; then ``snapshots.Conflict`` is raised.
     """
-    current = snapshots.read_version(spark, table)
     gone = _gone(match, only_if_inactive)
-    counts = current.agg(F.count_if(gone).alias("n_removed"), F.count_if(~gone).alias("n_left"))
-    if dry_run:
-        return counts
-    finished = snapshots.versions(spark, table)
-    history = snapshots.read_version(spark, audit) if snapshots.versions(spark, audit) else None
-    stored = history and history.where(F.col("idempotency_key") == idempotency_key).first()
-    if stored is None:
-        row = counts.select(
+
+    def counts() -> DataFrame:
+        return snapshots.read_version(spark, table).agg(F.count_if(gone).alias("n_removed"), F.count_if(~gone).alias("n_left"))
+
+    def announce() -> None:
+        known, finished = snapshots.versions(spark, audit), snapshots.versions(spark, table)
+        history = snapshots.read_version(spark, audit, known[-1]) if known else None
+        if history is not None and history.where(F.col("idempotency_key") == idempotency_key).first():
+            return
+        row = counts().select(
             F.lit(idempotency_key).alias("idempotency_key"), F.lit(action).alias("action"),
             F.lit(finished[-1] + 1).cast("bigint").alias("version"), "n_removed", "n_left",
         )
-        snapshots.write_version(row if history is None else history.unionByName(row), audit)
-    if idempotency_key not in snapshots.finished_jobs(spark, table):
+        snapshots.write_version(row if history is None else history.unionByName(row), audit, based_on=known[-1] if known else 0)
+
+    def purge() -> None:
+        if idempotency_key in snapshots.finished_jobs(spark, table):
+            return
+        newest = snapshots.versions(spark, table)[-1]
+        current = snapshots.read_version(spark, table, newest)
         if partition_by:
             touched = materialize(current.where(gone).select(partition_by).distinct())
             changed = join_null_safe(current, touched, [partition_by], "left_semi").where(~gone)
-            snapshots.write_changed(changed, table, partition_by, touched, job=idempotency_key)
+            snapshots.write_changed(changed, table, partition_by, touched, job=idempotency_key, based_on=newest)
         else:
-            snapshots.write_version(current.where(~gone), table, job=idempotency_key)
+            snapshots.write_version(current.where(~gone), table, job=idempotency_key, based_on=newest)
+
+    if dry_run:
+        return counts()
+    for step in (announce, purge):
+        snapshots.retried(step, tries)
     return snapshots.read_version(spark, audit).where(F.col("idempotency_key") == idempotency_key)
 
 

@@ -1,22 +1,32 @@
 """Tables as numbered versions: a change writes a new folder, readers take the newest finished one.
 
-Spark leaves ``_SUCCESS`` in a folder only after every task committed, so a lost
-executor or driver never exposes half a table, and the last good version stays
-readable.
+A writer fills a folder of its own and then commits it under the next number by creating
+that number's commit file, which only one writer can: of two at once, the other gets a
+``Conflict`` and has changed nothing.  A folder that nobody committed is never read, so a
+lost executor or driver never exposes half a table, and the last good version stays
+readable.  A writer that died between creating and filling its commit file leaves a
+number without a version, which the next one skips.
 """
 
 from __future__ import annotations
 
 import hashlib
-
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from engrama.session import join_null_safe
 
 ROWS_PER_FILE = 5_000_000
+_COMMITS = "_commits"
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed the version this one was to be."""
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -35,16 +45,62 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted({number for number, _ in _folders(spark, root)})
 
 
-def _folders(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(version, folder name) of all finished versions, oldest first."""
-    system, target, jvm = _file_system(spark, root)
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers that some writer has taken, oldest first."""
+    system, target, _ = _file_system(spark, f"{root}/{_COMMITS}")
     if not system.exists(target):
         return []
-    names = [status.getPath().getName() for status in system.listStatus(target)]
-    return sorted(
-        (int(n[2:].split("-")[0]), n) for n in names
-        if n.startswith("v=") and system.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))
-    )
+    return sorted(int(n) for n in (s.getPath().getName() for s in system.listStatus(target)) if n.isdigit())
+
+
+def _folders(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(version, folder name) of all committed versions, oldest first."""
+    found = []
+    for number in _numbers(spark, root):
+        system, target, jvm = _file_system(spark, f"{root}/{_COMMITS}/{number}")
+        stream = system.open(target)
+        try:
+            name = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+        if name:
+            found.append((number, name))
+    return found
+
+
+def _next(spark: SparkSession, root: str, based_on: int | None) -> int:
+    """The number to commit; ``based_on`` must still be the newest version."""
+    newest = (versions(spark, root) or [0])[-1]
+    if based_on is not None and newest != based_on:
+        raise Conflict(f"{root}: version {newest} has come after version {based_on}")
+    return ([newest, *_numbers(spark, root)])[-1] + 1
+
+
+def retried(change: Callable[[], None], tries: int) -> None:
+    """Run a change that reads the newest version and writes the next, again after each conflict."""
+    for left in range(tries - 1, -1, -1):
+        try:
+            return change()
+        except Conflict:
+            if not left:
+                raise
+
+
+def _folder_name(number: int, job: str) -> str:
+    return f"v={number}-{_job_mark(job) if job else 0}-{uuid.uuid4().hex}"
+
+
+def _commit(spark: SparkSession, root: str, number: int, name: str) -> None:
+    """Make the folder version ``number``, unless there is one."""
+    system, target, _ = _file_system(spark, f"{root}/{_COMMITS}/{number}")
+    try:
+        stream = system.create(target, False)  # fails if the file exists
+    except Py4JJavaError as error:
+        if system.exists(target):
+            raise Conflict(f"{root}: version {number} was committed by another writer") from error
+        raise
+    stream.write(bytearray(name.encode()))
+    stream.close()
 
 
 def _job_mark(job: str) -> str:
@@ -65,19 +121,20 @@ def finished_jobs(spark: SparkSession, root: str) -> _Finished:
     return _Finished({name.split("-")[1] for _, name in _folders(spark, root) if "-" in name})
 
 
-def write_version(df: DataFrame, root: str, partition_by: str | None = None, job: str = "") -> int:
+def write_version(df: DataFrame, root: str, partition_by: str | None = None, job: str = "", based_on: int | None = None) -> int:
     """Write the next version and return its number; ``df`` may read an earlier one.
 
-    With ``job`` the folder's name carries the job's mark, and becomes finished
-    together with it.
+    With ``job`` the folder's name carries the job's mark.  ``based_on`` is the version
+    that ``df`` was made from (0: none); if there is a newer one, ``Conflict`` is raised.
     """
     spark = df.sparkSession
-    number = (versions(spark, root) or [0])[-1] + 1
-    path = f"{root}/v={number}" + (f"-{_job_mark(job)}" if job else "")
+    number = _next(spark, root, based_on)
+    name = _folder_name(number, job)
     if partition_by:
-        spread_by(df, partition_by).write.partitionBy(partition_by).mode("overwrite").parquet(path)
+        spread_by(df, partition_by).write.partitionBy(partition_by).parquet(f"{root}/{name}")
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(f"{root}/{name}")
+    _commit(spark, root, number, name)
     return number
 
 
@@ -91,7 +148,9 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> D
     key, held = parts
     frames = [spark.read.parquet(f"{root}/{folder}").where(_among(F.col(key), values)) for folder, values in sorted(held.items())]
     if not frames:  # every partition is gone: the columns are those of the version before
-        return read_version(spark, root, int(found[-1][2:].split("-")[0]) - 1).where("false")
+        numbers = [n for n, name in _folders(spark, root)]
+        at = next(n for n, name in _folders(spark, root) if name == found[-1])
+        return read_version(spark, root, numbers[numbers.index(at) - 1]).where("false")
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -113,16 +172,18 @@ def _parts(spark: SparkSession, root: str, name: str) -> tuple[str, dict[str, li
     return key, held
 
 
-def write_changed(changed: DataFrame, root: str, partition_by: str, touched: DataFrame, job: str = "") -> int:
+def write_changed(
+    changed: DataFrame, root: str, partition_by: str, touched: DataFrame, job: str = "", based_on: int | None = None
+) -> int:
     """Write the next version by rewriting only the touched partitions; the others stay where they are.
 
     ``changed`` holds what is left of the touched partitions.  A small table next to
-    the version tells which folder holds which partition; it is written first, so
-    that the version's own ``_SUCCESS`` finishes both.
+    the version tells which folder holds which partition; the commit finishes both.
     """
     spark = changed.sparkSession
-    number, before = _folders(spark, root)[-1]
-    name = f"v={number + 1}" + (f"-{_job_mark(job)}" if job else "")
+    number = _next(spark, root, based_on)
+    before = _folders(spark, root)[-1][1]
+    name = _folder_name(number, job)
     old = _parts(spark, root, before)
     if old is None:
         values = spark.read.parquet(f"{root}/{before}").select(partition_by).distinct().withColumn("_folder", F.lit(before))
@@ -132,9 +193,10 @@ def write_changed(changed: DataFrame, root: str, partition_by: str, touched: Dat
         values = spark.createDataFrame(rows, f"{partition_by} {kind}, _folder string")
     kept = values.join(touched, values[partition_by].eqNullSafe(touched[partition_by]), "left_anti")
     moved = changed.select(partition_by).distinct().withColumn("_folder", F.lit(name))
-    kept.unionByName(moved).coalesce(1).write.mode("overwrite").parquet(f"{root}/parts-{name}")
-    spread_by(changed, partition_by).write.partitionBy(partition_by).mode("overwrite").parquet(f"{root}/{name}")
-    return number + 1
+    kept.unionByName(moved).coalesce(1).write.parquet(f"{root}/parts-{name}")
+    spread_by(changed, partition_by).write.partitionBy(partition_by).parquet(f"{root}/{name}")
+    _commit(spark, root, number, name)
+    return number
 
 
 def spread_by(df: DataFrame, key: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:

@@ -283,3 +283,35 @@ def test_vector_without_document_is_still_a_hit(spark):
     queries = spark.createDataFrame([(1, "abc")], "query_id bigint, query_text string")
     rows = embedding.similarity_search(queries, vectors, events, Lengths).orderBy("rank").collect()
     assert [(r.object_id, r.page_content) for r in rows] == [("a", "text"), ("lost", None)]
+
+
+def test_two_writers_at_once(spark, tmp_path, monkeypatch):
+    table, audit = f"{tmp_path}/memory", f"{tmp_path}/audit"
+    memory = spark.createDataFrame([(f"m{i}", "w", False) for i in range(6)], "memory_id string, workspace_id string, is_active boolean")
+    assert snapshots.write_version(memory, table, based_on=0) == 1
+    with pytest.raises(snapshots.Conflict):
+        snapshots.write_version(memory, table, based_on=0)
+    # both make the next number: the first to commit has it, the other changes nothing
+    number, name = snapshots._next(spark, table, 1), None
+    assert snapshots.write_version(memory.where("memory_id <> 'm0'"), table, based_on=1) == number
+    with pytest.raises(snapshots.Conflict):
+        snapshots._commit(spark, table, number, "v=2-0-other")
+    assert ids(snapshots.read_version(spark, table)) == [f"m{i}" for i in range(1, 6)]
+    # a purge that another one overtakes is made anew on what that one left
+    original, calls = snapshots.write_changed, []
+
+    def overtaken(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 1:
+            lifecycle.purge_job(spark, table, audit, F.col("memory_id") == "m1", "purge", "k1")
+        return original(*args, **kwargs)
+
+    monkeypatch.setattr(snapshots, "write_changed", overtaken)
+    lifecycle.purge_job(spark, table, audit, F.col("memory_id") == "m2", "purge", "k2")
+    assert len(calls) == 3 and ids(snapshots.read_version(spark, table)) == ["m3", "m4", "m5"]
+    # a writer that died while it committed leaves a number without a version
+    (tmp_path / "memory" / "_commits" / "5").write_text("")
+    assert snapshots.versions(spark, table) == [1, 2, 3, 4]
+    assert snapshots.write_version(memory, table, based_on=4) == 6
+    (tmp_path / "memory" / "v=7-0-unfinished").mkdir()
+    assert snapshots.versions(spark, table)[-1] == 6
