@@ -23,7 +23,7 @@ from engrama.sources.wal import from_position, parse_finished
 from engrama.streaming.lifecycle import OUTCOME_SCHEMA, TaskLifecycle
 
 INGEST_DELAY = "1 hour"
-TASK_BUCKETS = 1024
+TASK_BUCKETS = 256  # choose it so that a bucket has some ten thousand open tasks at most
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
