@@ -16,23 +16,42 @@ from engrama.session import materialize
 def proof_trace(roots: DataFrame, edges: DataFrame, max_depth: int | None = None, root: str = "root_id") -> DataFrame:
     """``(root, node_id, depth)``: everything reachable along edges, at its smallest depth, up to ``max_depth`` if given.
 
-    Breadth-first: each level is one join of the frontier with the edges, pinned
-    by a checkpoint so that later levels do not repeat earlier joins.  Nodes seen
-    before are dropped, so cycles end, and the loop stops at an empty frontier.
+    Breadth-first over pairs of a root and a node: each level is one join of the
+    frontier with the edges, pinned by a checkpoint so that later levels do not repeat
+    earlier joins.  Nodes seen before are dropped, so cycles end, and the loop stops at an
+    empty frontier.  Once the frontier holds at most half as many nodes as roots, these
+    nodes become the roots of a trace of their own, and that is joined to the frontier:
+    a path that many roots share is walked once, however many they are.  A null root
+    reaches itself only; edges with a null end lead nowhere.
     """
-    links = edges.select(F.col("src_id").alias("node_id"), "dst_id")
-    seen = roots.select(root, F.col(root).alias("node_id")).distinct().withColumn("depth", F.lit(0).cast("bigint"))
+    starts = roots.select(F.col(root).alias("_root")).distinct()
+    links = edges.where("src_id IS NOT NULL AND dst_id IS NOT NULL").select(F.col("src_id").alias("node_id"), "dst_id")
+    return _trace(starts, links, max_depth).withColumnRenamed("_root", root)
+
+
+def _trace(starts: DataFrame, links: DataFrame, max_depth: int | None) -> DataFrame:
+    seen = starts.select("_root", F.col("_root").alias("node_id"), F.lit(0).cast("bigint").alias("depth"))
     frontier = seen
     for depth in count(1):
         if max_depth is not None and depth > max_depth:
-            break
-        reached = frontier.join(links, "node_id").select(root, F.col("dst_id").alias("node_id")).distinct()
-        fresh = reached.join(seen.select(root, "node_id"), [root, "node_id"], "left_anti")
+            return seen
+        reached = frontier.join(links, "node_id").select("_root", F.col("dst_id").alias("node_id")).distinct()
+        fresh = reached.join(seen.select("_root", "node_id"), ["_root", "node_id"], "left_anti")
         frontier = materialize(fresh.withColumn("depth", F.lit(depth).cast("bigint")))
-        if frontier.isEmpty():
+        n_roots, n_nodes = frontier.agg(F.count_distinct("_root"), F.count_distinct("node_id")).first()
+        if not n_roots:
+            return seen
+        if 2 * n_nodes <= n_roots:
             break
         seen = seen.unionByName(frontier)
-    return seen
+    shared = frontier.select(F.col("node_id").alias("_root")).distinct()
+    onward = _trace(shared, links, None if max_depth is None else max_depth - depth).select(
+        F.col("_root").alias("_via"), F.col("node_id").alias("_next"), F.col("depth").alias("_further")
+    )
+    joined = frontier.join(onward, F.col("node_id") == F.col("_via")).select(
+        "_root", F.col("_next").alias("node_id"), (F.col("depth") + F.col("_further")).alias("depth")
+    )
+    return seen.unionByName(joined).groupBy("_root", "node_id").agg(F.min("depth").alias("depth"))
 
 
 def evidence(

@@ -24,6 +24,7 @@ from engrama.streaming.lifecycle import OUTCOME_SCHEMA, TaskLifecycle
 
 INGEST_DELAY = "1 hour"
 TASK_BUCKETS = 256  # choose it so that a bucket has some ten thousand open tasks at most
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name Spark writes for null
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -62,20 +63,28 @@ def wal_tail(frames: DataFrame, output: str, checkpoint: str, from_lsn: int = 0)
     return run_available(writer)
 
 
-def _before(spark: SparkSession, output: str, batch_id: int) -> DataFrame | None:
-    """What earlier micro-batches wrote, or None; an unfinished run of this batch isn't among it."""
-    if not snapshots.exists(spark, output):
+def _ids_of_days(spark: SparkSession, output: str, days: DataFrame, schema: T.StructType, batch_id: int) -> DataFrame | None:
+    """Rows that earlier micro-batches wrote for these days, or None; an unfinished run of this batch isn't among them.
+
+    Only the folders of these days are listed, however many batches and days there have been.
+    """
+    # one value per day a micro-batch brings
+    names = [r.name for r in days.select(F.coalesce(F.col("event_date").cast("string"), F.lit(NULL_DAY)).alias("name")).distinct().collect()]
+    folders = [f for f in (f"{output}/event_date={name}" for name in names) if snapshots.exists(spark, f)]
+    if not folders:
         return None
-    rows = spark.read.parquet(output)
-    return rows.where(F.col("batch_id") < batch_id)
+    kept = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(kept).option("basePath", output).parquet(*folders).where(F.col("batch_id") < batch_id)
 
 
 def deduplicated_ingest(events: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
     """One row per event id and day of the event, however late it comes.
 
-    The output, partitioned by day, is its own ledger: a batch reads the ids of the
-    days it brings, so no event is discarded and no state grows.  A repeated delivery
-    has the time of the first.  Events without an id are all kept.
+    The output, a folder per day and in it one per batch, is its own ledger: a batch
+    lists and reads the days it brings, so no event is discarded, no state grows, and a
+    batch doesn't get dearer with the batches before it.  A repeated delivery has the
+    time of the first.  Events without an id are all kept.  A batch that is run again
+    replaces the folders it wrote.
     """
     keys = ["event_id", "event_date"]
 
@@ -83,12 +92,12 @@ def deduplicated_ingest(events: DataFrame, output: str, checkpoint: str) -> Stre
         spark = batch.sparkSession
         dated = batch.withColumn("event_date", F.to_date("event_time"))
         fresh = dated.where("event_id IS NOT NULL").dropDuplicates(keys)
-        earlier = _before(spark, output, batch_id)
+        earlier = _ids_of_days(spark, output, fresh.select("event_date"), dated.schema, batch_id)
         if earlier is not None:
-            days = fresh.select("event_date").distinct()
-            fresh = join_null_safe(fresh, join_null_safe(earlier.select(*keys), days, ["event_date"], "left_semi"), keys, "left_anti")
-        rows = fresh.unionByName(dated.where("event_id IS NULL"))
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{output}/batch_id={batch_id}")
+            fresh = join_null_safe(fresh, earlier.select(*keys), keys, "left_anti")
+        rows = fresh.unionByName(dated.where("event_id IS NULL")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        replaced = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        replaced.partitionBy("event_date", "batch_id").parquet(output)
 
     return run_available(events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
@@ -126,33 +135,48 @@ def compact_memory(spark: SparkSession, output: str, table: str) -> int:
     return snapshots.write_version(merged, table)
 
 
+def _latest_before(spark: SparkSession, output: str, batch_id: int) -> object:
+    """The latest event time before this micro-batch: one row, kept by the batch before it."""
+    if not batch_id:
+        return None
+    return spark.read.parquet(f"{output}/reached/batch_id={batch_id - 1}").first().latest
+
+
 def window_metrics(
     events: DataFrame, output: str, checkpoint: str, window: str = "1 day", delay: str = INGEST_DELAY
 ) -> StreamingQuery:
     """Event counts per window, workspace and type: each batch adds its part, late rows like any other.
 
-    ``n_late`` counts input rows whose window had closed before they came.
+    ``n_late`` counts input rows whose window had closed before they came.  How far the
+    stream has come is one row per batch, apart from the counts, and a batch reads only
+    the row of the batch before it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        earlier = _before(batch.sparkSession, output, batch_id)
-        latest = earlier.agg(F.max("latest")).first()[0] if earlier is not None else None
+        spark = batch.sparkSession
+        latest = _latest_before(spark, output, batch_id)
         counted = batch.groupBy(F.window(F.col("event_time").cast("timestamp"), window), "workspace_id", "event_type").agg(
             F.count(F.lit(1)).alias("n_events"), F.sum(F.octet_length("payload")).alias("payload_bytes"), F.max("event_time").alias("latest"),
         )
         closed = F.lit(False) if latest is None else F.col("window.end").cast("timestamp_ntz") <= F.lit(latest) - F.expr(f"interval {delay}")
+        counts = f"{output}/counts/batch_id={batch_id}"
         counted.select(
             F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.col("window.end").cast("timestamp_ntz").alias("window_end"),
             "workspace_id", "event_type", "n_events", "payload_bytes", F.when(closed, F.col("n_events")).otherwise(0).alias("n_late"), "latest",
-        ).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        ).write.mode("overwrite").parquet(counts)
+        reached = spark.read.parquet(counts).agg(F.max("latest").alias("latest"))
+        if latest is not None:
+            reached = reached.select(F.greatest("latest", F.lit(latest)).alias("latest"))
+        reached.write.mode("overwrite").parquet(f"{output}/reached/batch_id={batch_id}")
 
     return run_available(events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
 def metrics(spark: SparkSession, output: str, delay: str = INGEST_DELAY) -> DataFrame:
     """Totals per window with ``n_late`` and ``closed``: whether events have come from ``delay`` behind its end."""
-    rows = spark.read.parquet(output)
-    reached = rows.agg((F.max("latest") - F.expr(f"interval {delay}")).alias("_reached"))  # one row
+    rows = spark.read.parquet(f"{output}/counts")
+    kept = spark.read.parquet(f"{output}/reached")  # one row per batch
+    reached = kept.agg((F.max("latest") - F.expr(f"interval {delay}")).alias("_reached"))
     totals = rows.groupBy("window_start", "window_end", "workspace_id", "event_type").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("n_events", "payload_bytes", "n_late")]
     )

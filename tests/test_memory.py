@@ -1,10 +1,13 @@
 """Lifecycle, filters, graph, tasks and provenance on small hand-made tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from engrama.functions.provenance import runtime_info
 from engrama.operators import collections, embedding, filters, graph, lifecycle, tasks
+from engrama.session import materialize
 from engrama.sources import snapshots
 
 
@@ -206,6 +209,54 @@ def test_trace_ends_on_cycles(spark):
     assert graph.proof_trace(roots, edges, max_depth=0).count() == 1
 
 
+def reached_by_hand(roots, edges, max_depth):
+    out, want = {}, set()
+    for a, b in edges:
+        if a is not None and b is not None:
+            out.setdefault(a, set()).add(b)
+    for root in set(roots):
+        level, seen, depth = {root}, {root}, 0
+        while level:
+            want |= {(root, node, depth) for node in level}
+            depth += 1
+            level = {b for a in level for b in out.get(a, ())} - seen if max_depth is None or depth <= max_depth else set()
+            seen |= level
+    return want
+
+
+@pytest.mark.parametrize("max_depth", [None, 1, 3])
+@pytest.mark.parametrize("n_nodes,n_edges", [(12, 20), (60, 70)])
+def test_traces_of_many_roots(spark, n_nodes, n_edges, max_depth):
+    """Random graphs with cycles and diamonds, entered by many roots through few nodes, some roots inside."""
+    rng = random.Random(n_nodes)
+    edges = [(f"n{rng.randrange(n_nodes)}", f"n{rng.randrange(n_nodes)}") for _ in range(n_edges)]
+    edges += [(f"r{i}", f"n{rng.randrange(4)}") for i in range(40)] + [(None, "n1"), ("n1", None), ("r1", "r2")]
+    roots = [f"r{i}" for i in range(40)] + ["n0", "n0", "lonely", None]
+    got = graph.proof_trace(
+        spark.createDataFrame([(r,) for r in roots], "root_id string"), spark.createDataFrame(edges, "src_id string, dst_id string"), max_depth
+    ).collect()
+    assert len(got) == len(set(got)) and {tuple(r) for r in got} == reached_by_hand(roots, edges, max_depth)
+
+
+def test_a_shared_path_is_walked_once(spark, monkeypatch):
+    """Rows pinned beyond the first level don't depend on the number of roots."""
+    chain = spark.range(6).selectExpr("concat('n', id) AS src_id", "concat('n', id + 1) AS dst_id")
+    walked = []
+
+    def counted(df):
+        pinned = materialize(df)
+        walked.append(pinned.count())
+        return pinned
+
+    monkeypatch.setattr(graph, "materialize", counted)
+    for n_roots in (10, 100):
+        walked.clear()
+        roots = spark.range(n_roots).selectExpr("concat('r', id) AS root_id")
+        edges = chain.unionByName(roots.selectExpr("root_id AS src_id", "'n0' AS dst_id"))
+        assert graph.proof_trace(roots, edges).count() == 8 * n_roots
+        assert walked == [n_roots, 1, 1, 1, 1, 1, 1, 0]
+
+
 def test_pending_calls_need_a_later_result(spark):
     events = spark.createDataFrame(
         [(1, "s", "call", 10), (2, "s", "result", 20), (3, "s", "call", 20), (4, "t", "call", 5)],

@@ -1,5 +1,7 @@
 """Streams fed batch by batch: late data, duplicates across batches, repeated runs."""
 
+import shutil
+
 from engrama.operators.ingest import materialize_memory
 from engrama.sources import wal, wal_stream
 from engrama.streaming import jobs
@@ -30,6 +32,12 @@ def test_late_rows_are_counted_and_kept(spark, tmp_path):
     jobs.window_metrics(stream(), out, state)
     got = {str(r.window_start)[:10]: (r.n_events, r.n_late, r.closed) for r in jobs.metrics(spark, out).collect()}
     assert got == {"2024-01-01": (2, 1, True), "2024-01-03": (1, 0, True), "2024-01-05": (1, 0, False)}
+    add(rows(spark, [("later", "2024-01-03 11:00:00", 1), ("last", "2024-01-01 23:00:00", 1)]), source)
+    jobs.window_metrics(stream(), out, state)  # older than all before: how far the stream has come stays
+    got = {str(r.window_start)[:10]: (r.n_events, r.n_late, r.closed) for r in jobs.metrics(spark, out).collect()}
+    assert got == {"2024-01-01": (3, 2, True), "2024-01-03": (2, 1, True), "2024-01-05": (1, 0, False)}
+    kept = sorted((r.batch_id, str(r.latest)) for r in spark.read.parquet(f"{out}/reached").collect())
+    assert kept == [(0, "2024-01-03 10:00:00"), (1, "2024-01-05 10:00:00"), (2, "2024-01-05 10:00:00")]
 
 
 def test_late_events_are_ingested_once(spark, tmp_path):
@@ -41,6 +49,27 @@ def test_late_events_are_ingested_once(spark, tmp_path):
     assert sorted(r.event_id or "" for r in jobs.ingested(spark, out).collect()) == ["", "", "e1", "late"]
 
 
+def test_a_batch_lists_the_days_it_brings(spark, tmp_path, monkeypatch):
+    """Events of null and of several days; a run reads no folder of another day, and a run repeated changes nothing."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    stream = lambda: jobs.table_stream(spark, source, rows(spark, []).schema)
+    asked = []
+    exists = jobs.snapshots.exists
+    monkeypatch.setattr(jobs.snapshots, "exists", lambda s, path: asked.append(path.rpartition("/")[2]) or exists(s, path))
+    days = [("e1", "2024-01-01 10:00:00", 1), ("e2", "2024-01-02 10:00:00", 1), ("e3", None, 1)]
+    add(rows(spark, days), source)
+    jobs.deduplicated_ingest(stream(), out, state)
+    before = shutil.copytree(state, tmp_path / "before")
+    asked.clear()
+    add(rows(spark, [("e3", None, 1), ("e4", None, 1), ("e2", "2024-01-02 12:00:00", 1), ("e2", "2024-01-03 12:00:00", 1)]), source)
+    jobs.deduplicated_ingest(stream(), out, state)
+    assert sorted(asked) == ["event_date=2024-01-02", "event_date=2024-01-03", f"event_date={jobs.NULL_DAY}"]
+    want = ["e1", "e2", "e2", "e3", "e4"]
+    assert sorted(r.event_id for r in jobs.ingested(spark, out).collect()) == want
+    jobs.deduplicated_ingest(stream(), out, str(before))  # the second batch once more, as if its end had been lost
+    assert sorted(r.event_id for r in jobs.ingested(spark, out).collect()) == want
+
+
 def test_duplicates_across_runs(spark, tmp_path):
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     schema = rows(spark, []).schema
