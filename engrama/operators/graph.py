@@ -36,10 +36,16 @@ def _trace(starts: DataFrame, links: DataFrame, max_depth: int | None) -> DataFr
         if max_depth is not None and depth > max_depth:
             return seen
         reached = frontier.join(links, "node_id").select("_root", F.col("dst_id").alias("node_id")).distinct()
-        fresh = reached.join(seen.select("_root", "node_id"), ["_root", "node_id"], "left_anti")
+        if depth == 1:  # a root has seen itself only
+            fresh = reached.where(F.col("node_id") != F.col("_root"))
+        else:
+            fresh = reached.join(seen.select("_root", "node_id"), ["_root", "node_id"], "left_anti")
         frontier = materialize(fresh.withColumn("depth", F.lit(depth).cast("bigint")))
-        n_roots, n_nodes = frontier.agg(F.count_distinct("_root"), F.count_distinct("node_id")).first()
-        if not n_roots:
+        # estimates serve: both ways to go on give the same rows
+        n_pairs, n_roots, n_nodes = frontier.agg(
+            F.count(F.lit(1)), F.approx_count_distinct("_root"), F.approx_count_distinct("node_id")
+        ).first()
+        if not n_pairs:
             return seen
         if 2 * n_nodes <= n_roots:
             break
