@@ -98,14 +98,63 @@ def keep_best(
     return query[kept], ids[kept], score[kept]
 
 
+class Coding:
+    """Base rows as they are: vectors.  Other codings say how queries are scored against stored codes."""
+
+    cells = 1  # numbers held per query beside its scores
+
+    def width(self, dim: int) -> int:
+        """Length of a stored row, for queries of this dimension."""
+        return dim
+
+    def scores(self, metric: str, queries: np.ndarray, stored: np.ndarray) -> np.ndarray:
+        return scores(metric, queries, stored)
+
+
+class ByteRanges(Coding):
+    """A step of 255 per dimension between its smallest and largest value."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray):
+        self.low, self.high = low, high
+
+    def scores(self, metric: str, queries: np.ndarray, stored: np.ndarray) -> np.ndarray:
+        return scores(metric, queries, self.low + stored * (self.high - self.low) / 255)
+
+
+class PartTables(Coding):
+    """A codebook entry per part, ``books`` being ``(parts, entries, dim / parts)``; for L2.
+
+    A query's distances to all entries are one table; a stored row's distance is the
+    root of the entries its codes pick from it, so no stored row becomes a vector again.
+    """
+
+    def __init__(self, books: np.ndarray):
+        self.books = books
+        self.cells = books.shape[0] * books.shape[1]
+
+    def width(self, dim: int) -> int:
+        return len(self.books)
+
+    def scores(self, metric: str, queries: np.ndarray, stored: np.ndarray) -> np.ndarray:
+        if metric != "L2":
+            raise ValueError("part codes are compared by L2")
+        codes = stored.astype(np.int64)
+        squared = np.zeros((len(queries), len(codes)))
+        pieces = queries.reshape(len(queries), len(self.books), -1)
+        for part, book in enumerate(self.books):
+            squared += (distances_l2(pieces[:, part], book) ** 2)[:, codes[:, part]]
+        return -np.round(np.sqrt(squared), 6) + 0.0
+
+
 def block_top_k(
-    metric: str, query_rows: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int
+    metric: str, query_rows: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int,
+    coding: Coding | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best ``k`` base rows for each query, with the score matrix held in bounded slices."""
-    parts = []
-    step = max(1, SCORE_CELLS // max(1, len(base)))
+    parts, coding = [], coding or Coding()
+    step = max(1, SCORE_CELLS // max(1, len(base), coding.cells))
     for start in range(0, len(queries), step):
-        block = scores(metric, queries[start : start + step], base)
+        block = coding.scores(metric, queries[start : start + step], base)
         if k < block.shape[1]:
             # every entry tied with the k-th best survives, so the id order decides among ties
             bar = np.partition(block, block.shape[1] - k, axis=1)[:, block.shape[1] - k, None]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from engrama.defaults import BROADCAST_BYTES, DEFAULT_TOP_K, PQ_BITS, PQ_PARTS, PQ_RERANK
-from engrama.functions.vectors import distances_l2, matrix_of, nearest, normalize_metric, scores
+from engrama.functions.vectors import ByteRanges, PartTables, distances_l2, matrix_of, nearest, normalize_metric, scores
 from engrama.operators import vector_search as vs
 from engrama.operators.filters import only_of
 from engrama.session import materialize
@@ -26,7 +26,8 @@ from engrama.sources.snapshots import spread_by
 
 CODES = T.ArrayType(T.ShortType())
 FILTERED_LISTS = 4_096  # list numbers written into a filter
-QUANTIZED = ("IVF_SQ8", "IVF_PQ")
+FOLDERS = 128  # folders of a stored index at most
+LISTS_PER_FOLDER = 8
 
 
 def list_count(n_vectors: int, nlist: int = 0) -> int:
@@ -112,13 +113,17 @@ def ivf_search(
     return found.drop("list_id")
 
 
-def of_lists(rows: DataFrame, probed: DataFrame) -> DataFrame:
+def of_lists(rows: DataFrame, probed: DataFrame, n_folders: int = 0) -> DataFrame:
     """Rows of the lists somebody asked for.
 
-    List numbers, as long as they are few, become a filter: nothing is shuffled,
-    and of a table written by list only those folders are read.
+    List numbers, as long as they are few, become a filter: nothing is shuffled, and of a
+    stored index (``n_folders`` of its registry row) only their folders are read, there
+    only row groups that may hold them.
     """
     lists = materialize(probed.select("list_id").distinct())
+    if n_folders:
+        folders = lists.select(F.pmod("list_id", F.lit(n_folders)).alias("folder")).distinct().collect()  # FOLDERS at most
+        rows = rows.where(F.col("folder").isin([r.folder for r in folders]))
     if lists.count() <= FILTERED_LISTS:
         return rows.where(F.col("list_id").isin([r.list_id for r in lists.collect()]))
     return rows.join(F.broadcast(lists), "list_id", "left_semi")  # no more numbers than centroids
@@ -179,27 +184,6 @@ def sq8_encode(base: DataFrame, low: np.ndarray, high: np.ndarray) -> DataFrame:
     return _map_vectors(base, "embedding", "codes", CODES, encode)
 
 
-def sq8_decode(coded: DataFrame, low: np.ndarray, high: np.ndarray) -> DataFrame:
-    """``codes`` back to approximate vectors."""
-    return _map_vectors(
-        coded, "codes", "embedding", T.ArrayType(T.DoubleType()), lambda codes: low + codes * (high - low) / 255
-    )
-
-
-def sq8_search(
-    queries: DataFrame, assigned: DataFrame, centroids: DataFrame, nprobe: int, k: int = DEFAULT_TOP_K,
-    sq_type: str = "INT8", **names: str,
-) -> DataFrame:
-    """List search on quantized vectors; ``FP32`` keeps them as they are."""
-    if sq_type == "FP32":
-        return ivf_search(queries, assigned, centroids, nprobe, k, **names)
-    if sq_type != "INT8":
-        raise ValueError("sq_type must be INT8 or FP32")
-    low, high = dimension_ranges(assigned)
-    decoded = sq8_decode(sq8_encode(assigned, low, high), low, high)
-    return ivf_search(queries, decoded, centroids, nprobe, k, **names)
-
-
 # --- product quantization ---------------------------------------------------
 
 def sampled_codebooks(base: DataFrame, parts: int = PQ_PARTS, bits: int = PQ_BITS, id_column: str = "object_id") -> np.ndarray:
@@ -240,34 +224,6 @@ def pq_encode(base: DataFrame, codebooks: np.ndarray) -> DataFrame:
     return _map_vectors(base, "embedding", "codes", CODES, encode)
 
 
-def pq_decode(coded: DataFrame, codebooks: np.ndarray) -> DataFrame:
-    def decode(codes: np.ndarray) -> np.ndarray:
-        chosen = codes.astype(np.int64)
-        return np.concatenate([book[chosen[:, p]] for p, book in enumerate(codebooks)], axis=1)
-
-    return _map_vectors(coded, "codes", "embedding", T.ArrayType(T.DoubleType()), decode)
-
-
-def pq_search(
-    queries: DataFrame, assigned: DataFrame, centroids: DataFrame, codebooks: np.ndarray, nprobe: int,
-    k: int = DEFAULT_TOP_K, rerank: int = PQ_RERANK, query_id: str = "query_id", base_id: str = "object_id",
-) -> DataFrame:
-    """Candidates by distance to the coded vectors, then ranked by exact cosine.
-
-    The sum of per-part distances to the chosen entries is the distance to the
-    decoded vector, so the block kernel serves here too.
-    """
-    decoded = pq_decode(pq_encode(assigned, codebooks), codebooks)
-    rough = ivf_search(queries, decoded, centroids, nprobe, k * rerank, "L2", query_id, base_id)
-    exact = rough.select(query_id, base_id).join(assigned.select(base_id, "embedding"), base_id).join(
-        queries.select(query_id, "query_vector"), query_id
-    )
-    ranking = Window.partitionBy(query_id).orderBy(F.desc("score"), base_id)
-    return _pair_cosines(exact.select(query_id, base_id, "query_vector", "embedding")).withColumn(
-        "rank", F.row_number().over(ranking).cast("bigint")
-    ).where(F.col("rank") <= k)
-
-
 def _pair_cosines(pairs: DataFrame) -> DataFrame:
     """``(query id, base id, score)`` from rows that hold both vectors in their last two columns."""
     schema = T.StructType([*pairs.schema.fields[:2], T.StructField("score", T.DoubleType())])
@@ -290,72 +246,87 @@ def _pair_cosines(pairs: DataFrame) -> DataFrame:
 def build_index(
     base: DataFrame, centroids: DataFrame, path: str, segment_id: str, index_type: str = "IVF_FLAT",
     codebooks: np.ndarray | None = None, id_column: str = "object_id", metric: str = "IP",
+    nprobe: int = 0, sq_type: str = "INT8", parts: int = PQ_PARTS, bits: int = PQ_BITS,
 ) -> DataFrame:
-    """Write an index, a folder per list; returns the registry row.
+    """Write an index as tables; returns the registry row, which keeps its settings for searches.
 
     ``IVF_FLAT`` stores vectors.  ``IVF_SQ8`` stores a byte per dimension and the
-    dimensions' ranges; ``IVF_PQ`` a code per part, the codebooks, and the vectors
-    apart, by list, which only the exact ranking of candidates reads.
+    dimensions' ranges, or vectors with ``sq_type="FP32"``.  ``IVF_PQ`` stores a code per
+    part (``parts`` of ``bits``), the codebooks, and the vectors apart, which only the exact
+    ranking of candidates reads.  Lists lie sorted in at most ``FOLDERS`` folders.
     """
+    if sq_type not in ("INT8", "FP32"):
+        raise ValueError("sq_type must be INT8 or FP32")
     spark = base.sparkSession
     assigned = assign_lists(base.select(id_column, "embedding"), centroids, id_column, metric)
     centroids.write.mode("overwrite").parquet(f"{path}/centroids")
-    if index_type in QUANTIZED:
+    nlist = spark.read.parquet(f"{path}/centroids").count()
+    n_folders = max(1, min(FOLDERS, nlist // LISTS_PER_FOLDER))
+    coded_as = {"IVF_SQ8": "bytes" if sq_type == "INT8" else "vectors", "IVF_PQ": "parts"}.get(index_type, "vectors")
+    if coded_as != "vectors":
         assigned = materialize(assigned)  # read for the ranges, the codes and the vectors
-    if index_type == "IVF_SQ8":
+    if coded_as == "bytes":
         low, high = dimension_ranges(assigned)
         ranges = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(low, high))]
         spark.createDataFrame(ranges, "dim int, low double, high double").write.mode("overwrite").parquet(f"{path}/ranges")
         stored = sq8_encode(assigned, low, high)
-    elif index_type == "IVF_PQ":
-        books = sampled_codebooks(base, id_column=id_column) if codebooks is None else codebooks
+    elif coded_as == "parts":
+        books = sampled_codebooks(base, parts, bits, id_column) if codebooks is None else codebooks
         entries = [(p, c, [float(x) for x in v]) for p, book in enumerate(books) for c, v in enumerate(book)]
         spark.createDataFrame(entries, "part int, code int, entry array<double>").write.mode("overwrite").parquet(f"{path}/codebooks")
         stored = pq_encode(assigned, books)
-        _write_lists(assigned, f"{path}/vectors")
+        _write_lists(assigned, f"{path}/vectors", n_folders)
     else:
         stored = assigned
-    _write_lists(stored, f"{path}/lists")
+    _write_lists(stored, f"{path}/lists", n_folders)
     registry = read_lists(spark, path).agg(
         F.lit(segment_id).alias("segment_id"), F.lit(index_type).alias("index_type"), F.lit(metric).alias("list_metric"),
+        F.lit(coded_as).alias("coded_as"), F.lit(n_folders).alias("n_folders"), F.lit(probe_count(nlist, nprobe)).alias("nprobe"),
         F.count_distinct("list_id").alias("n_lists"), F.count(F.lit(1)).alias("n_vectors"), F.lit(path).alias("path"),
     )
     registry.write.mode("overwrite").parquet(f"{path}/registry")
     return spark.read.parquet(f"{path}/registry")
 
 
-def _write_lists(rows: DataFrame, path: str) -> None:
-    spread_by(rows, "list_id").write.mode("overwrite").partitionBy("list_id").parquet(path)
+def _write_lists(rows: DataFrame, path: str, n_folders: int) -> None:
+    """A folder holds every ``n_folders``-th list, its files sorted by list."""
+    by_folder = spread_by(rows.withColumn("folder", F.pmod("list_id", F.lit(n_folders))), "folder")
+    by_folder.sortWithinPartitions("folder", "list_id").write.mode("overwrite").partitionBy("folder").parquet(path)
 
 
 def read_lists(spark: SparkSession, path: str, table: str = "lists") -> DataFrame:
-    return spark.read.parquet(f"{path}/{table}").withColumn("list_id", F.col("list_id").cast("bigint"))
+    return spark.read.parquet(f"{path}/{table}")
 
 
 def search_index(
-    spark: SparkSession, path: str, queries: DataFrame, nprobe: int, k: int = DEFAULT_TOP_K, metric: str = "COSINE",
+    spark: SparkSession, path: str, queries: DataFrame, nprobe: int = 0, k: int = DEFAULT_TOP_K, metric: str = "COSINE",
     query_id: str = "query_id", base_id: str = "object_id", rerank: int = PQ_RERANK,
 ) -> DataFrame:
-    """Search a stored index: only the folders of probed lists are read, and codes are decoded there."""
+    """Search a stored index: only row groups of probed lists are read, and codes are compared as codes.
+
+    Without ``nprobe`` as many lists are probed as the index was built for.  ``IVF_PQ`` finds
+    ``k * rerank`` candidates by the queries' distance tables and ranks them by exact cosine.
+    """
     registry = spark.read.parquet(f"{path}/registry").first()
     centroids = spark.read.parquet(f"{path}/centroids")
-    probed = materialize(probes(queries, centroids, nprobe, query_id, registry.list_metric))
-    rows = of_lists(read_lists(spark, path), probed)
+    probed = materialize(probes(queries, centroids, nprobe or registry.nprobe, query_id, registry.list_metric))
+    rows = of_lists(read_lists(spark, path), probed, registry.n_folders)
     names = {"on": ["list_id"], "query_id": query_id, "base_id": base_id}
-    if registry.index_type == "IVF_PQ":
+    if registry.coded_as == "parts":
         entries = spark.read.parquet(f"{path}/codebooks").orderBy("part", "code").toArrow()  # parts x codes rows
         parts = entries.column("part").to_numpy().max() + 1
         flat = matrix_of(entries.column("entry"))
-        decoded = pq_decode(rows, flat.reshape(parts, len(flat) // parts, -1))
-        rough = materialize(vs.top_k(probed, decoded, k=k * rerank, metric="L2", **names))
+        tables = PartTables(flat.reshape(parts, len(flat) // parts, -1))
+        rough = materialize(vs.top_k(probed, rows, k=k * rerank, metric="L2", base_vector="codes", coding=tables, **names))
         # a candidate's vector lies in the list it was found in
-        vectors = of_lists(read_lists(spark, path, "vectors"), rough).select(base_id, "list_id", "embedding")
-        exact = rough.select(query_id, base_id, "list_id").join(only_of(vectors, rough, base_id), [base_id, "list_id"])
+        stored = of_lists(read_lists(spark, path, "vectors"), rough, registry.n_folders).select(base_id, "list_id", "embedding")
+        exact = rough.select(query_id, base_id, "list_id").join(only_of(stored, rough, base_id), [base_id, "list_id"])
         pairs = exact.join(queries.select(query_id, "query_vector"), query_id)
         ranking = Window.partitionBy(query_id).orderBy(F.desc("score"), base_id)
         scored = _pair_cosines(pairs.select(query_id, base_id, "query_vector", "embedding"))
         return scored.withColumn("rank", F.row_number().over(ranking).cast("bigint")).where(F.col("rank") <= k)
-    if registry.index_type == "IVF_SQ8":
+    if registry.coded_as == "bytes":
         ranges = spark.read.parquet(f"{path}/ranges").orderBy("dim").toArrow()  # one row per dimension
-        rows = sq8_decode(rows, ranges.column("low").to_numpy(), ranges.column("high").to_numpy())
+        coding = ByteRanges(ranges.column("low").to_numpy(), ranges.column("high").to_numpy())
+        return vs.top_k(probed, rows, k=k, metric=metric, base_vector="codes", coding=coding, **names).drop("list_id")
     return vs.top_k(probed, rows, k=k, metric=metric, **names).drop("list_id")

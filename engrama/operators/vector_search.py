@@ -58,14 +58,16 @@ def top_k(
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: tuple[int, int] = (BASE_BLOCK_BYTES, QUERY_BLOCK_BYTES),
     kept_rows: int = KEPT_ROWS,
+    coding: vectors.Coding | None = None,
 ) -> DataFrame:
     """``(query_id, *on, *within, base_id, score, rank)`` of the ``k`` best base rows.
 
     ``on``      columns both sides carry; a query meets only base rows that agree on them.
     ``within``  base columns; a query gets its own ``k`` rows for every value of them.
+    ``coding``  how ``base_vector`` is coded; codes stay codes in every shuffle.
     Ranks count per query, and per ``within`` value when that is given.
     """
-    metric = vectors.normalize_metric(metric)
+    metric, coding = vectors.normalize_metric(metric), coding or vectors.Coding()
     queries = queries.where(F.col(query_vector).isNotNull()).select(query_id, *on, query_vector)
     base = base.where(F.col(base_vector).isNotNull()).select(*on, *within, base_id, base_vector)
     out_schema = T.StructType(
@@ -78,13 +80,13 @@ def top_k(
     # what a task holds, and hands over once: the best k of every query, in each group of base rows
     per_query = k * (base.agg(F.count_distinct(*within)).first()[0] or 1 if within else 1)
     if (size["cells"] or 0) * 8 <= broadcast_bytes and size["rows"] * per_query <= kept_rows:
-        partial = _broadcast_form(queries, base, k, metric, on, within, out_schema)
+        partial = _broadcast_form(queries, base, k, metric, on, within, out_schema, coding)
     else:
         dim = size["cells"] / size["rows"]
         base_rows, query_rows = (max(1, int(limit / (8 * dim))) for limit in block_bytes)
         # fewer queries at once where each keeps much, but not so few that the base is copied without need
         block_rows = base_rows, min(query_rows, max(LEAST_QUERY_ROWS, kept_rows // per_query))
-        partial = _block_form(queries, base, k, metric, on, within, out_schema, *block_rows)
+        partial = _block_form(queries, base, k, metric, on, within, out_schema, coding, *block_rows)
     best_first = F.col("score").asc() if metric == "L2" else F.col("score").desc()
     if metric == "L2":
         partial = partial.withColumn("score", F.abs("score"))
@@ -92,7 +94,7 @@ def top_k(
     return partial.withColumn("rank", F.row_number().over(ranking).cast("bigint")).where(F.col("rank") <= k)
 
 
-def _broadcast_form(queries, base, k, metric, on, within, out_schema) -> DataFrame:
+def _broadcast_form(queries, base, k, metric, on, within, out_schema, coding) -> DataFrame:
     query_id, query_vector = queries.columns[0], queries.columns[-1]
     base_id, base_vector = base.columns[-2:]
     packed = queries.toArrow()  # size checked by the caller
@@ -115,16 +117,15 @@ def _broadcast_form(queries, base, k, metric, on, within, out_schema) -> DataFra
                 if wanted is None:
                     continue
                 picked = batch.column(base_vector).take(pa.array(rows))
-                found = vectors.block_top_k(
-                    metric, wanted, query_matrix[wanted], names[rows], vectors.matrix_of(picked, query_matrix.shape[1]), k
-                )
+                stored = vectors.matrix_of(picked, coding.width(query_matrix.shape[1]))
+                found = vectors.block_top_k(metric, wanted, query_matrix[wanted], names[rows], stored, k, coding)
                 best.keep(group, *found)
         yield from best.batches(query_ids, arrow_schema)
 
     return base.mapInArrow(search, out_schema)
 
 
-def _block_form(queries, base, k, metric, on, within, out_schema, base_rows, query_rows) -> DataFrame:
+def _block_form(queries, base, k, metric, on, within, out_schema, coding, base_rows, query_rows) -> DataFrame:
     query_id, query_vector = queries.columns[0], queries.columns[-1]
     base_id, base_vector = base.columns[-2:]
 
@@ -160,8 +161,8 @@ def _block_form(queries, base, k, metric, on, within, out_schema, base_rows, que
             rows_of_queries = np.arange(left.num_rows)
             names = vectors.sortable(right.column(base_id))
             for group, rows in _groups(right, [*on, *within]):
-                block = vectors.matrix_of(right.column(base_vector).take(pa.array(rows)), query_matrix.shape[1])
-                best.keep(group, *vectors.block_top_k(metric, rows_of_queries, query_matrix, names[rows], block, k))
+                block = vectors.matrix_of(right.column(base_vector).take(pa.array(rows)), coding.width(query_matrix.shape[1]))
+                best.keep(group, *vectors.block_top_k(metric, rows_of_queries, query_matrix, names[rows], block, k, coding))
         found = list(best.batches(left.column(query_id).to_numpy(), arrow_schema))
         return pa.Table.from_batches(found, schema=arrow_schema)
 

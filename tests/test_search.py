@@ -140,25 +140,33 @@ def test_recall_rises_with_probes_and_ends_at_one(spark, points):
         assert recalls[-1] == 1.0
 
 
-def test_quantized_search_stays_close(spark, points):
-    base, queries = points
-    b = frame(spark, range(300), base, "object_id", "embedding").where("object_id < 100 or object_id >= 200")
-    q = frame(spark, range(12), queries, "query_id", "query_vector")
-    exact = answers(vs.top_k(q, b, k=10))
-    centroids = ivf.sampled_centroids(b, 4)
-    assigned = ivf.assign_lists(b, centroids)
-    books = ivf.kmeans_codebooks(b, parts=4, bits=4)
-    results = {
-        "sq8": ivf.sq8_search(q, assigned, centroids, 4, 10),
-        "fp32": ivf.sq8_search(q, assigned, centroids, 4, 10, sq_type="FP32"),
-        "pq": ivf.pq_search(q, assigned, centroids, books, 4, 10),
-    }
-    recall = {
-        n: sum(len(set(a) & set(exact[i])) for i, a in answers(r).items()) / 120 for n, r in results.items()
-    }
-    assert recall["fp32"] == 1.0
-    assert recall["sq8"] > 0.9
-    assert recall["pq"] > 0.5
+def test_codes_are_scored_as_the_vectors_they_stand_for():
+    rng = np.random.default_rng(3)
+    books, codes, queries = rng.normal(size=(4, 16, 2)), rng.integers(0, 16, (50, 4)), rng.normal(size=(7, 8))
+    codes[:16] = np.arange(16)[:, None]
+    queries[0] = books[:, 5].ravel()  # an entry itself
+    decoded = books[np.arange(4), codes].reshape(50, 8)
+    tables = vectors.PartTables(books)
+    assert np.abs(tables.scores("L2", queries, codes.astype(float)) - vectors.scores("L2", queries, decoded)).max() <= 2e-6
+    assert (tables.width(8), tables.cells) == (4, 64)
+    with pytest.raises(ValueError):
+        tables.scores("IP", queries, codes)
+    low, high = decoded.min(axis=0), decoded.max(axis=0)
+    stored = np.floor(255 * (decoded - low) / (high - low) + 0.5)
+    got = vectors.ByteRanges(low, high).scores("IP", queries, stored)
+    assert np.abs(got - vectors.scores("IP", queries, decoded)).max() < 0.5
+
+
+@pytest.mark.parametrize("limit", [{}, {"broadcast_bytes": 0}])
+def test_coded_search_in_both_forms(spark, limit):
+    """Codes stay codes in the broadcast and in the block form, with the same answers as decoded vectors."""
+    rng = np.random.default_rng(4)
+    books, codes, queries = rng.normal(size=(4, 16, 2)), rng.integers(0, 16, (60, 4)), rng.normal(size=(5, 8))
+    q = frame(spark, range(5), queries, "query_id", "query_vector")
+    coded = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(codes)], "object_id bigint, codes array<smallint>")
+    decoded = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(books[np.arange(4), codes].reshape(60, 8))], "object_id bigint, embedding array<double>")
+    got = vs.top_k(q, coded, k=10, metric="L2", base_vector="codes", coding=vectors.PartTables(books), **limit)
+    assert answers(got) == answers(vs.top_k(q, decoded, k=10, metric="L2"))
 
 
 @pytest.mark.parametrize("kind,least", [("IVF_FLAT", 1.0), ("IVF_SQ8", 0.9), ("IVF_PQ", 0.5)])
@@ -174,9 +182,29 @@ def test_stored_indexes_answer_from_their_folders(spark, points, tmp_path, kind,
     assert ("embedding" in stored) == (kind == "IVF_FLAT") and ("codes" in stored) == (kind != "IVF_FLAT")
     got = answers(ivf.search_index(spark, path, q, 4, 10))
     assert sum(len(set(a) & set(exact[i])) for i, a in got.items()) / 120 >= least
-    one = ivf.of_lists(ivf.read_lists(spark, path), spark.createDataFrame([(2,)], "list_id bigint"))
+    assert answers(ivf.search_index(spark, path, q, k=10)) == answers(ivf.search_index(spark, path, q, 1, 10))  # a quarter of the lists
+    one = ivf.of_lists(ivf.read_lists(spark, path), spark.createDataFrame([(2,)], "list_id bigint"), row.n_folders)
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(list_id" in plan and "Exchange" not in plan
+    assert "PartitionFilters: [isnotnull(folder" in plan and "EqualTo(list_id,2)" in plan and "Exchange" not in plan
+
+
+def test_an_index_lies_in_few_folders_and_keeps_its_settings(spark, points, tmp_path):
+    base, queries = points
+    b = frame(spark, range(300), base, "object_id", "embedding")
+    q = frame(spark, range(12), queries, "query_id", "query_vector")
+    path = str(tmp_path / "index")
+    row = ivf.build_index(b, ivf.sampled_centroids(b, 40), path, "s", "IVF_PQ", nprobe=40, parts=2, bits=6).first()
+    assert (row.n_folders, row.nprobe) == (5, 40)
+    assert len(list((tmp_path / "index/lists").glob("folder=*"))) == len(list((tmp_path / "index/vectors").glob("folder=*"))) == 5
+    assert spark.read.parquet(f"{path}/codebooks").groupBy("part").count().orderBy("part").collect() == [(0, 64), (1, 64)]
+    assert answers(ivf.search_index(spark, path, q, k=10)) == answers(ivf.search_index(spark, path, q, 40, 10))
+    sizes = ivf.read_lists(spark, path).where("folder <> list_id % 5").count()
+    assert sizes == 0
+    exact = ivf.build_index(b, ivf.sampled_centroids(b, 4), str(tmp_path / "exact"), "s", "IVF_SQ8", sq_type="FP32").first()
+    assert exact.coded_as == "vectors"
+    assert answers(ivf.search_index(spark, str(tmp_path / "exact"), q, 4, 10)) == answers(vs.top_k(q, b, k=10))
+    with pytest.raises(ValueError, match="sq_type"):
+        ivf.build_index(b, ivf.sampled_centroids(b, 4), path, "s", "IVF_SQ8", sq_type="INT4")
 
 
 def test_lists_of_unequal_vectors_follow_their_metric(spark):
