@@ -47,3 +47,5 @@ LEAST_QUERY_ROWS = 256                # queries compared at once, however much e
 
 # diversified search: rows returned, rows fetched, weight of nearness against novelty
 MMR_K, MMR_FETCH, MMR_WEIGHT = 4, 20, 0.5
+AGENT_SKETCH_BITS = 12  # estimates of distinct agents are off by about 1.6 %
+SIZE_SKETCH_K = 200     # ranks of estimated quantiles are off by about 1 %

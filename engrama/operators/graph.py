@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from engrama.defaults import CONTEXT_EVENTS
 from engrama.operators.filters import only_of
 from engrama.operators.ingest import document_chunks
-from engrama.session import materialize
+from engrama.operators.numbering import pinned_segments
+from engrama.session import join_null_safe, materialize
 
 
 def proof_trace(roots: DataFrame, edges: DataFrame, max_depth: int | None = None, root: str = "root_id") -> DataFrame:
@@ -100,6 +101,40 @@ def pending_calls(events: DataFrame, call_type: str, result_type: str, time: str
     return calls.where(F.col("_last_result").isNull() | (F.col("_last_result") <= F.col(time))).drop("_last_result")
 
 
+def matched_results(
+    events: DataFrame, call_type: str, result_type: str, time: str = "event_time", id_column: str = "event_id"
+) -> DataFrame:
+    """Every call with the first later result of its session, ties to the smaller id, and the wait in milliseconds.
+
+    An as-of match without a join of calls and results: both lie newest first in range
+    partitions of session and time, so a session holding a third of all events spreads over
+    many tasks; each task carries the earliest result so far, and one row per partition and
+    session carries it on.  Calls without a session, a time or a later result keep null.
+    """
+    called = F.col("event_type") == call_type
+    both = events.where(called | ((F.col("event_type") == result_type) & F.col("session_id").isNotNull() & F.col(time).isNotNull()))
+    newest_first = both.select(
+        F.col(id_column).alias("_id"), "session_id", F.col(time).alias("_time"), called.alias("_call"),
+        (-F.unix_micros(F.col(time).cast("timestamp"))).alias("_back"), F.when(called, 0).otherwise(1).alias("_last"),
+    )
+    # at one time calls come before results, which are not later
+    laid_out = pinned_segments(newest_first, ["session_id"], ["_back", "_last"])
+    result = F.when(~F.col("_call"), F.struct(F.col("_time").alias("time"), F.col("_id").alias("id")))
+    inside = Window.partitionBy("_segment", "session_id").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    local = laid_out.withColumn("_here", F.min(result).over(inside)).where("_call")
+    earlier = Window.partitionBy("session_id").orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    carried = laid_out.groupBy("_segment", "session_id").agg(F.min(result).alias("_first")).select(
+        "_segment", "session_id", F.min("_first").over(earlier).alias("_carried")
+    )
+    found = join_null_safe(local, carried, ["_segment", "session_id"])
+    match = F.when(F.col("_time").isNotNull(), F.coalesce("_here", "_carried"))
+    wait = (F.unix_micros(F.col("_m.time").cast("timestamp")) - F.unix_micros(F.col("_time").cast("timestamp"))) / 1000.0
+    return found.withColumn("_m", match).select(
+        F.col("_id").alias(id_column), "session_id", F.col("_time").alias(time), F.col("_m.id").alias("result_id"),
+        F.col("_m.time").alias("result_time"), wait.alias("wait_ms"),
+    )
+
+
 def shared_view(memory: DataFrame, contracts: DataFrame) -> DataFrame:
     """Who can see which memory: owners their own, grantees what a contract covers in its workspace."""
     granted = contracts.where(F.col("owner_agent_id") != F.col("grantee_agent_id")).select(

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from engrama.operators import filters, graph, ingest, tasks
+from engrama.operators import filters, graph, ingest, sketches, tasks
 from engrama.operators import text_search as ts
 from engrama.operators import vector_search as vs
 from engrama.plans.registry import query
 from engrama.plans.text_queries import OVERLAP, QTERMS, WEIGHTS
 from engrama.plans.views import Tables
+from engrama.session import work_dir
 
 # --- object tables: list, create or replace ---------------------------------
 
@@ -132,6 +133,18 @@ def tool_state_pending(t: Tables) -> DataFrame:
     return pending.select("event_id", "session_id", "agent_id", "event_time")
 
 
+@query("""
+SELECT c.event_id, c.session_id, c.event_time, r.event_id AS result_id, r.event_time AS result_time,
+       (epoch_us(r.event_time) - epoch_us(c.event_time)) / 1000.0::double AS wait_ms
+FROM (SELECT * FROM fx_events WHERE event_type = 'click') c LEFT JOIN (SELECT * FROM fx_events WHERE event_type = 'purchase') r
+ON r.session_id = c.session_id AND r.event_time > c.event_time
+QUALIFY row_number() OVER (PARTITION BY c.event_id ORDER BY r.event_time, r.event_id) = 1
+""")
+def tool_call_results(t: Tables) -> DataFrame:
+    """Every click with the first later purchase of its session and the wait."""
+    return graph.matched_results(t.fx_events, "click", "purchase")
+
+
 # --- tasks ------------------------------------------------------------------
 
 
@@ -256,6 +269,16 @@ def store_metrics(t: Tables) -> DataFrame:
     return tasks.store_metrics(t.fx_events, storage=True)
 
 
+@query(name="metrics_of_range")
+def metrics_of_range(t: Tables) -> DataFrame:
+    """The second half of all days from stored sketches; estimates, so it has no SQL."""
+    path = work_dir(t.spark, "sketches")
+    sketches.sketched(t.fx_events).write.parquet(path)
+    stored = t.spark.read.parquet(path)
+    ends = stored.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last")).first()
+    return sketches.of_range(stored, F.lit(ends.first + (ends.last - ends.first) / 2), F.lit(ends.last))
+
+
 _EXACT = """
 v AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM
       (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)),

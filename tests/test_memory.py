@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from engrama.functions.provenance import runtime_info
-from engrama.operators import collections, embedding, filters, graph, lifecycle, tasks
+from engrama.operators import collections, embedding, filters, graph, lifecycle, sketches, tasks
 from engrama.session import materialize
 from engrama.sources import snapshots
 
@@ -257,6 +257,44 @@ def test_a_shared_path_is_walked_once(spark, monkeypatch):
         assert walked == [n_roots, 1, 1, 1, 1, 1, 1, 0]
 
 
+def test_calls_meet_their_first_later_result(spark):
+    """Against every pair by hand: a hot session over several partitions, equal times, odd rows."""
+    rng = random.Random(5)
+    data = [(f"e{i}", rng.choice(["hot"] * 4 + ["s1", "s2", None]), rng.choice(["call", "call", "result", "other"]), rng.randrange(300)) for i in range(600)]
+    data += [("late", "hot", "call", 1000), ("untimed", "hot", "call", None), ("void", "hot", "result", None), ("alone", "s3", "call", 5)]
+    events = spark.createDataFrame(data, "event_id string, session_id string, event_type string, at int").selectExpr(
+        "*", "timestampadd(SECOND, at, timestamp_ntz'2024-01-01') AS event_time", "'clash' AS result_id").repartition(8)
+    got = {r.event_id: (r.result_id, r.wait_ms) for r in graph.matched_results(events, "call", "result").collect()}
+    want = {}
+    for name, session, kind, at in data:
+        if kind == "call":
+            later = [(t, n) for n, s, k, t in data if k == "result" and None not in (t, at, session) and s == session and t > at]
+            want[name] = (min(later)[1], (min(later)[0] - at) * 1000.0) if later else (None, None)
+    assert got == want and got["late"] == got["untimed"] == (None, None)
+    assert graph.matched_results(events.where("false"), "call", "result").count() == 0
+
+
+def test_sketches_of_windows_merge(spark):
+    """Any range of windows, also from two batches, within the stated bounds; null times, agents and payloads stay counted."""
+    events = spark.range(40_000).selectExpr(
+        "timestampadd(HOUR, cast(id % 240 AS int), timestamp_ntz'2024-01-01') AS event_time", "'w' AS workspace_id",
+        "if(id % 2 = 0, 'a', 'b') AS event_type", "concat('a', id % 6000) AS agent_id", "repeat('x', cast(id % 1000 AS int)) AS payload")
+    odd = spark.sql("SELECT timestamp_ntz'2024-01-03' AS event_time, 'w' AS workspace_id, 'odd' AS event_type, "
+                    "cast(null AS string) AS agent_id, cast(null AS string) AS payload UNION ALL SELECT null, 'w', 'odd', 'x', 'y'")
+    stored = sketches.sketched(events.where("payload > 'xxx'")).unionByName(sketches.sketched(events.where("NOT payload > 'xxx'"))).unionByName(sketches.sketched(odd))
+    assert stored.agg(F.sum("n_events")).first()[0] == 40_002
+    days = F.lit("2024-01-02").cast("timestamp_ntz"), F.lit("2024-01-07").cast("timestamp_ntz")
+    got = {r.event_type: r for r in sketches.of_range(stored, *days).collect()}
+    part = events.where((F.col("event_time") >= days[0]) & (F.col("event_time") < days[1])).withColumn("size", F.length("payload"))
+    for r in part.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.count_distinct("agent_id").alias("agents")).collect():
+        mine = got[r.event_type]
+        assert (mine.n_events, mine.payload_bytes) == (r.n, r.bytes) and abs(mine.n_agents - r.agents) <= 0.07 * r.agents
+        for share, value in ((0.5, mine.payload_p50), (0.95, mine.payload_p95)):
+            below = part.where((F.col("event_type") == r.event_type) & (F.col("size") <= value)).count()
+            assert abs(below / r.n - share) < 0.03
+    assert (got["odd"].n_events, got["odd"].n_agents, got["odd"].payload_p50, got["odd"].payload_bytes) == (1, 0, None, None)
+
+
 def test_pending_calls_need_a_later_result(spark):
     events = spark.createDataFrame(
         [(1, "s", "call", 10), (2, "s", "result", 20), (3, "s", "call", 20), (4, "t", "call", 5)],
