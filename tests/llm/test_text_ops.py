@@ -255,16 +255,49 @@ def test_overlaps_with_substitutions(spark):
     assert got[200].items == [2] and not any(got[d].contaminated for d in (201, 202, 203, 204))
 
 
-def test_slices_of_the_benchmark_find_the_same(spark, monkeypatch):
+def test_seeds_joined_by_a_shuffle_find_the_same(spark, monkeypatch):
     docs, bench = documents(spark), spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = {r.doc_id: r.items for r in decontam.contamination(docs, bench).collect()}
-    monkeypatch.setattr(decontam, "SLICE_BYTES", 100_000)
+    # nothing broadcast, a bitmap that turns few seeds away, one item in a group
+    for name, value in {"BROADCAST_BYTES": 0, "LEAST_BITS": 1 << 16, "MOST_BITS": 1 << 16, "GROUP_ITEMS": 1}.items():
+        monkeypatch.setattr(decontam, name, value)
     assert {r.doc_id: r.items for r in decontam.contamination(docs, bench).collect()} == whole
     items = {r.item_id: r.text for r in bench.collect()}
     for r in docs.collect():  # whole items in a text are always found
         assert {i for i, t in items.items() if t in r.text} <= set(whole[r.doc_id])
 
 
+def plain_overlap(words, item):
+    """Every diagonal on which some mask's words agree, one after another."""
+    masks = [m for m in decontam.MASKS if m[-1] < len(item)] or [decontam.SHORT_MASK]
+    size, best = min(len(item), decontam.WINDOW), 0
+    for shift in range(-len(item) + 1, len(words)):
+        same = [words[i + shift] == w if 0 <= i + shift < len(words) else None for i, w in enumerate(item)]
+        seeded = any(all(p + i < len(item) and same[p + i] for i in m) for m in masks for p in range(len(item)))
+        windows = [same[i:i + size] for i in range(len(item) - size + 1)]
+        if seeded and any(None not in w and sum(w) >= size - decontam.tolerance(size) for w in windows):
+            best = max(best, sum(x is True for x in same))
+    return best
+
+
+def test_overlap_against_every_diagonal():
+    rng = random.Random(3)
+    for n in range(150):
+        item = [rng.choice("abc"[:1 + n % 3]) if n % 2 else f"w{i}" for i in range(rng.randint(5, 40))]
+        words = [rng.choice("abc") for _ in range(30)] + [w if rng.random() < 0.85 else "z" for w in item] + item[3:]
+        words = words[rng.randint(0, 35):]
+        hashed = list(hashing.word_hashes([" ".join(words), " ".join(item)]))
+        with np.errstate(over="ignore"):
+            assert decontam.overlap(*hashed) == plain_overlap(words, item), (words, item)
+
+
+def test_a_word_repeated_in_text_and_item_costs_no_pairs():
+    words, item = hashing.word_hashes(["same " * 30_000, "same " * 400])
+    with np.errstate(over="ignore"):
+        assert len(decontam.shifts(words, item)) == 30_000 + 400 - 15  # all that a mask of eight words fits on
+        assert decontam.overlap(words, item) == 400
+
+
 def test_decontamination_of_odd_rows(spark):
     bench = spark.createDataFrame([(1, "word " * 6), (None, "one two")], "item_id bigint, text string")
     out = decontam.drop_contaminated(odd(spark), bench)
