@@ -2,8 +2,10 @@
 
 The tree is fitted on a documented sample (``SAMPLE`` vectors, the first by a hash of
 their id) and has ``BRANCHES`` children per node, down to leaves of about
-``LEAF_ROWS`` vectors of the whole table, so it grows with the table.  Every vector of
-the table is put into the leaf its descent by nearest center ends in.
+``LEAF_ROWS`` vectors of the whole table, but of ``LEAST_SAMPLE`` of the sample at
+least: the tree, which goes to every task, has no more than about a thousand leaves,
+and beyond 262,144 vectors leaves grow with the table.  Every vector of the table is
+put into the leaf its descent by nearest center ends in.
 
 A query walks the tree with a priority queue: the node with the largest possible
 inner product so far (center times query, plus the query's length times how far the
@@ -17,7 +19,9 @@ and it always visits the leaf that copies of it are in.
 Neighbouring leaves are bundled up to ``BLOCK_ROWS`` vectors, and a larger leaf, full
 of copies, is cut into several such bundles.  A query goes once to each bundle that
 holds leaves it visits, is compared with the vectors of those leaves and leaves its
-best k, and a second step merges those.  Scores are summed in double precision, one component after
+best k, and a second step merges those.  Asks are counted per bundle: only a bundle
+asked by more than ``BLOCK_ROWS`` queries is sent several times, once per that many
+queries, and one that none asks isn't sent.  Scores are summed in double precision, one component after
 another, so equal vectors get equal scores wherever they are.
 
 Results for odd input: vectors that are null, zero, of another length than most, or
@@ -210,9 +214,9 @@ def _visits(tree, visits: int, k: int, sizes: dict[int, int], bundles: dict[int,
                     for part in range(parts):
                         wanted.setdefault(first + part, []).append(leaf)
                 row.extend([i] * len(wanted)), bundle.extend(wanted), leaves.extend(wanted.values())
-            picked = batch.take(pa.array(row, pa.int64()))
+            asking = batch.column(0).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bundle, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), *picked.columns[:2]], ["ask_bundle", "leaves", "query_id", "q"]
+                [pa.array(bundle, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), asking], ["bundle", "leaves", "query_id"]
             )
 
     return run
@@ -286,23 +290,26 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = K) -> DataFrame:
         return queries.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     asked = usable(queries).dropDuplicates(["vec_id"]).where(F.size("v") == int(tree.centers.shape[1]))
     sent = queries.sparkSession.sparkContext.broadcast(tree)
-    # both sides are cut: a group holds about BLOCK_ROWS vectors of neighbouring leaves and as many queries
-    parts = max(1, -(-asked.count() // BLOCK_ROWS))
     sizes = {r.leaf: r.rows for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).collect()}  # as many as leaves
     bundles = bundles_of(sizes, BLOCK_ROWS)
-    table = queries.sparkSession.createDataFrame([(leaf, *b) for leaf, b in bundles.items()], "leaf int, first int, blocks int")
-    blocked = placed.join(F.broadcast(table), "leaf").select(
-        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).alias("bundle"),
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "leaf", "vec_id", "v",
-    )
     # a query's own rows are no candidates; one is the rule, so only ids with more are looked up
     repeats = materialize(placed.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own")).where("own > 1"))
-    asked = asked.join(sized(repeats, 16), "vec_id", "left").select("vec_id", "v", F.coalesce("own", F.lit(1)).alias("own"))
-    visiting = text_batches(asked).mapInArrow(
-        _visits(sent, visits, k, sizes, bundles), "ask_bundle int, leaves array<int>, query_id bigint, q array<double>"
-    )
-    asks = visiting.withColumn("ask_part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
-    best = asks.groupBy("ask_bundle", "ask_part").cogroup(blocked.groupBy("bundle", "part")).applyInArrow(_compare(k), schema)
+    asked = materialize(asked.join(sized(repeats, 16), "vec_id", "left").select("vec_id", "v", F.coalesce("own", F.lit(1)).alias("own")))
+    # pinned without the query vectors, which would be stored once per bundle
+    asks = materialize(text_batches(asked).mapInArrow(_visits(sent, visits, k, sizes, bundles), "bundle int, leaves array<int>, query_id bigint"))
+    # both sides are cut: a group holds about BLOCK_ROWS vectors of neighbouring leaves and as many queries
+    parts = {r.bundle: -(-r.rows // BLOCK_ROWS) for r in asks.groupBy("bundle").agg(F.count(F.lit(1)).alias("rows")).collect()}  # as many as bundles
+    blocks = [(leaf, first, count) for leaf, (first, count) in bundles.items()]
+    spark = queries.sparkSession
+    leaf_table = F.broadcast(spark.createDataFrame(blocks, "leaf int, first int, blocks int"))
+    part_table = F.broadcast(spark.createDataFrame(list(parts.items()), "bundle int, parts int"))
+    blocked = placed.join(leaf_table, "leaf").select(
+        (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).alias("bundle"), "leaf", "vec_id", "v"
+    ).join(part_table, "bundle").select("bundle", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "leaf", "vec_id", "v")
+    asking = asks.join(part_table, "bundle").select(
+        F.col("bundle").alias("ask_bundle"), F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("ask_part"), "leaves", "query_id"
+    ).join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
+    best = asking.groupBy("ask_bundle", "ask_part").cogroup(blocked.groupBy("bundle", "part")).applyInArrow(_compare(k), schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -278,6 +278,15 @@ def test_a_leaf_of_copies_is_cut_into_blocks(spark, monkeypatch):
     assert [r.vec_id for r in rows] == [i for i in range(21) if i != 7]
 
 
+def test_bundles_asked_by_many_queries_are_sent_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(500, 6)), rng.normal(size=(500, 6)) * 0.01 + 3])  # half of it in one place
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    whole = sorted(map(tuple, ann.search(rows, rows, 5).collect()))
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 60)
+    assert sorted(map(tuple, ann.search(rows, rows, 5).collect())) == whole
+
+
 def test_neighbours_among_copies_and_scattered_vectors(spark):
     rng = np.random.default_rng(3)
     centers, scattered = rng.normal(size=(40, 8)), rng.normal(size=(700, 8))
