@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from engrama.defaults import (
     CHUNK_OVERLAP, CHUNK_SIZE, DEFAULT_BATCH_SIZE, DEFAULT_EVENT_TYPE, DEFAULT_TENANT, ERRORS_SHOWN,
@@ -159,26 +160,51 @@ def assembled_text(parts: DataFrame, page_chars: int = PAGE_CHARS) -> DataFrame:
 
 # --- records and ids --------------------------------------------------------
 
+def numbered_rows(rows: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "row_index") -> DataFrame:
+    """``dense_number`` where texts, vectors and other columns without a fixed size stay out of the sort and its checkpoint.
+
+    They are joined back by ``keys + order``, which must then be unique.
+    """
+    taken = [*keys, *order]
+    loose = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    if not any(isinstance(f.dataType, loose) for f in rows.schema if f.name not in taken):
+        return dense_number(rows, order, keys, name)
+    return join_null_safe(rows, dense_number(rows.select(*taken), order, keys, name), taken)
+
+
 def route_records(records: DataFrame, collection: str, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Records with a vector go to the vector table, others with text become documents, the rest is dropped."""
-    numbered = dense_number(records, order, name="_i")
+    """Records with a vector go to the vector table, others with text become documents, the rest is dropped.
+
+    A record's default id holds its place in ``order``, which must be unique. Places
+    are joined only to vectors that bring no id.
+    """
+    given = F.coalesce("id", "object_id")
+    held = records.where(F.col("vector").isNotNull())
+    places = dense_number(records.select(*order), order, name="_i")
     default_id = F.concat(F.lit(f"{collection}_"), F.col("_i").cast("string"))
-    vectors = numbered.where(F.col("vector").isNotNull()).select(
-        F.coalesce("id", "object_id", default_id).alias("object_id"), F.col("vector").alias("embedding")
+    own = held.where(given.isNotNull()).select(given.alias("object_id"), F.col("vector").alias("embedding"))
+    named = join_null_safe(held.where(given.isNull()), places, list(order)).select(
+        default_id.alias("object_id"), F.col("vector").alias("embedding")
     )
+    vectors = own.unionByName(named)
     has_text = F.coalesce(F.col("text"), F.lit("")) != ""
-    documents = numbered.where(F.col("vector").isNull() & has_text).select(
+    documents = records.where(F.col("vector").isNull() & has_text).select(
         F.lit(collection).alias("workspace_id"), "id", "text"
     )
     return vectors, documents
 
 
 def default_object_ids(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``object_id`` where given, else the segment and the row's place in it."""
-    numbered = dense_number(rows, order, keys=["segment_id"], name="_i")
+    """``object_id`` where given, else the segment and the row's place in it.
+
+    Only rows without an id are joined with their places; ``order`` must be unique within a segment.
+    """
+    taken = ["segment_id", *order]
+    places = dense_number(rows.select(*taken), order, keys=["segment_id"], name="_i")
+    given = F.coalesce(F.col("object_id"), F.lit("")) != ""
     generated = F.concat("segment_id", F.lit("_"), F.col("_i").cast("string"))
-    given = F.when(F.coalesce(F.col("object_id"), F.lit("")) != "", F.col("object_id"))
-    return numbered.withColumn("object_id", F.coalesce(given, generated)).drop("_i")
+    named = join_null_safe(rows.where(~given), places, taken).withColumn("object_id", generated).drop("_i")
+    return rows.where(given).unionByName(named)
 
 
 # --- validation and accounting ----------------------------------------------
@@ -186,11 +212,10 @@ def default_object_ids(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 def framed(rows: DataFrame, keys: Sequence[str], order: str, frame_rows: int = MAX_BATCH_VECTORS) -> DataFrame:
     """Add ``frame``: the rows of each key in order, cut into frames of at most ``frame_rows``.
 
-    Only keys and order are numbered; ``order`` must be unique within a key.
+    ``order`` must be unique within a key.
     """
-    numbered = dense_number(rows.select(*keys, order), [order], keys, "_i")
-    frames = numbered.select(*keys, order, F.floor(F.col("_i") / frame_rows).cast("bigint").alias("frame"))
-    return join_null_safe(rows, frames, [*keys, order])
+    numbered = numbered_rows(rows, [order], keys, "_i")
+    return numbered.withColumn("frame", F.floor(F.col("_i") / frame_rows).cast("bigint")).drop("_i")
 
 
 def check_query(dim: int, n_queries: int, n_ids: int | None = None) -> None:
@@ -222,8 +247,8 @@ def validate_vectors(rows: DataFrame, batch: Sequence[str], order: str) -> DataF
 
 
 def batch_ranges(rows: DataFrame, order: Sequence[str], batch_size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
-    """Rows with a dense ``row_index`` and the ``batch_index`` it falls into."""
-    numbered = dense_number(rows, order)
+    """Rows with a dense ``row_index`` and the ``batch_index`` it falls into; ``order`` must be unique."""
+    numbered = numbered_rows(rows, order)
     return numbered.withColumn("batch_index", batch_of(F.col("row_index"), batch_size, MAX_BATCH_VECTORS))
 
 

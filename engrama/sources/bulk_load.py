@@ -21,9 +21,9 @@ def new_import_batch_id() -> str:
 
 
 @F.pandas_udf(T.StringType())
-def _first_values(vectors: pd.Series, k: pd.Series) -> pd.Series:
-    """The first ``k`` values printed at full double precision, joined by blanks."""
-    return pd.Series([" ".join(repr(float(x)) for x in v[:n]) for v, n in zip(vectors, k)])
+def _printed(values: pd.Series) -> pd.Series:
+    """Values at full double precision, joined by blanks."""
+    return pd.Series([" ".join(map(repr, v.astype(float).tolist())) for v in values])
 
 
 def vector_events(
@@ -44,7 +44,7 @@ def vector_events(
     name = F.col("file_name")
     batch = F.lit(import_batch_id) if event_id_scope == "batch" else None
     session = F.lit(session_id.strip()) if session_id.strip() else F.concat(F.lit(f"ingest_{dataset}_"), name)
-    head = _first_values(F.col("vector"), F.lit(preview_k)) if preview_k > 0 else F.lit("")
+    head = _printed(F.slice("vector", 1, preview_k)) if preview_k > 0 else F.lit("")  # the rest of a vector stays in the JVM
     text = F.format_string(EVENT_TEXT_FORMAT, name, F.lit(dataset), F.col("row_index"), F.col("dim"), head)
     stamp = F.date_trunc("second", F.current_timestamp()).cast("timestamp_ntz")
     return rows.select(
