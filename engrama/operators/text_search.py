@@ -59,7 +59,12 @@ def token_idf(texts: DataFrame, text: str) -> DataFrame:
     words = spread(texts.select(text)).select(
         F.explode_outer(F.array_distinct(F.split(F.lower(text), TOKEN_SPLIT))).alias("token")
     )
-    frequencies = words.where(F.col("token") != "").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return corpus_idf(words.where(F.col("token") != ""), texts)
+
+
+def corpus_idf(tokens: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(token, df, idf)``, pinned, from a row per text and distinct token."""
+    frequencies = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     total = texts.agg(F.count(F.lit(1)).cast("double").alias("n_texts"))  # a single row
     return materialize(frequencies.crossJoin(F.broadcast(total)).select(
         "token", "df", idf(F.col("n_texts"), F.col("df")).alias("idf")
@@ -145,14 +150,7 @@ def _scored_in_tasks(terms, weights, query_id, text_id, scope, carried, k) -> Da
     All rows of a text arrive one after the other: they were made from one row,
     and only broadcast sides were joined since.
     """
-    packed = terms.toPandas()
-    query_keys = packed[[query_id, *scope]].drop_duplicates().reset_index(drop=True)
-    vocabulary = {token: i for i, token in enumerate(packed["token"].unique())}
-    packed = packed.merge(query_keys.reset_index(names="_row"), on=[query_id, *scope])
-    packed["_term"] = packed["token"].map(vocabulary)
-    packed = packed.sort_values("_term", kind="stable")
-    starts = np.searchsorted(packed["_term"].to_numpy(dtype=np.int64), np.arange(len(vocabulary) + 1))
-    postings = (starts, packed["_row"].to_numpy(dtype=np.int64), packed["_query_tf"].to_numpy(dtype=np.float64))
+    query_keys, vocabulary, postings = query_postings(terms, query_id, scope)
     spark = weights.sparkSession
     shared = spark.sparkContext.broadcast((query_keys, postings))
     term_numbers = spark.createDataFrame(list(vocabulary.items()), "token string, _term bigint")
@@ -166,7 +164,7 @@ def _scored_in_tasks(terms, weights, query_id, text_id, scope, carried, k) -> Da
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_rows, query_postings = shared.value
         best = Best(k, len(query_rows))
-        for frame in _whole_texts(batches, text_id):
+        for frame in whole_texts(batches, text_id):
             for group, q, ids, score in _score(frame, query_rows, query_postings, text_id, scope, carried):
                 best.keep(group, q, ids, score)
         yield from best.batches(query_rows[query_id].to_numpy(), out_arrow)
@@ -174,11 +172,31 @@ def _scored_in_tasks(terms, weights, query_id, text_id, scope, carried, k) -> Da
     return rows.mapInArrow(search, out_schema)
 
 
-def _whole_texts(batches: Iterator[pa.RecordBatch], text_id: str) -> Iterator[pd.DataFrame]:
+def query_postings(terms: DataFrame, query_id: str, scope: Sequence[str]) -> tuple[pd.DataFrame, dict[str, int], tuple]:
+    """Query terms of checked size, collected: (distinct queries, number per token, queries and counts by token)."""
+    packed = terms.toPandas()
+    query_keys = packed[[query_id, *scope]].drop_duplicates().reset_index(drop=True)
+    vocabulary = {token: i for i, token in enumerate(packed["token"].unique())}
+    packed = packed.merge(query_keys.reset_index(names="_row"), on=[query_id, *scope])
+    packed["_term"] = packed["token"].map(vocabulary)
+    packed = packed.sort_values("_term", kind="stable")
+    starts = np.searchsorted(packed["_term"].to_numpy(dtype=np.int64), np.arange(len(vocabulary) + 1))
+    postings = (starts, packed["_row"].to_numpy(dtype=np.int64), packed["_query_tf"].to_numpy(dtype=np.float64))
+    if len(query_keys) * len(vocabulary) <= SCORE_CELLS:
+        counts = np.bincount(
+            packed["_term"].to_numpy(dtype=np.int64) * len(query_keys) + packed["_row"].to_numpy(dtype=np.int64),
+            packed["_query_tf"].to_numpy(dtype=np.float64), minlength=len(query_keys) * len(vocabulary),
+        ).reshape(len(vocabulary), -1)
+    else:
+        counts = None
+    return query_keys, vocabulary, (*postings, counts)
+
+
+def whole_texts(batches: Iterator[pa.RecordBatch], text_id: str) -> Iterator[pd.DataFrame]:
     """Batches cut at text boundaries: the rows of the last text wait for the next batch."""
     waiting = None
     for batch in batches:
-        frame = batch.to_pandas()
+        frame = batch.to_pandas(integer_object_nulls=True)
         if waiting is not None:
             frame = pd.concat([waiting, frame], ignore_index=True)
         if frame.empty:
@@ -194,15 +212,46 @@ def _whole_texts(batches: Iterator[pa.RecordBatch], text_id: str) -> Iterator[pd
 
 def _score(frame, query_rows, postings, text_id, scope, carried):
     """``(group, query rows, text ids, scores)`` of all queries that share a term with these texts."""
-    starts, posting_query, posting_tf = postings
     ids = frame[text_id].to_numpy()
     new_text = np.concatenate([[True], ids[1:] != ids[:-1]])
     text_of_row, first = np.cumsum(new_text) - 1, np.flatnonzero(new_text)
     terms, weights = frame["_term"].to_numpy(), frame["w"].to_numpy()
-    n_queries, n_texts = len(query_rows), len(first)
+    n_queries = len(query_rows)
     per_text, lengths = frame.iloc[first], np.sqrt(np.add.reduceat(weights**2, first))
+    for low, overlap in overlaps(text_of_row, terms, weights, postings, len(first), n_queries):
+        chosen = np.flatnonzero(overlap)
+        text, q = chosen // n_queries + low, chosen % n_queries
+        score = np.round(np.round(overlap[chosen] / lengths[text], 6) * per_text["_boost"].to_numpy()[text], 6)
+        for column in scope:
+            agree = per_text[column].to_numpy()[text] == query_rows[column].to_numpy()[q]
+            text, q, score = text[agree], q[agree], score[agree]
+        if not carried:
+            yield (), q, sortable(ids[first][text]), score
+            continue
+        groups = per_text[list(carried)].iloc[text]
+        for group, where in groups.groupby(list(carried), sort=False, dropna=False).indices.items():
+            yield (group if isinstance(group, tuple) else (group,)), q[where], sortable(ids[first][text[where]]), score[where]
+
+
+def overlaps(
+    text_of_row: np.ndarray, terms: np.ndarray, weights: np.ndarray, postings: tuple, n_texts: int, n_queries: int
+) -> Iterator[tuple[int, np.ndarray]]:
+    """``(first text, text by query sums of weight times query count)`` in slices of bounded size; rows lie by text.
+
+    A small table of query counts is multiplied as a matrix, a large one is looked up by term.
+    """
+    starts, posting_query, posting_tf, counts = postings
     asked = terms >= 0
     terms, weights, text_of_row = terms[asked], weights[asked], text_of_row[asked]
+    if counts is not None:
+        step = max(1, SCORE_CELLS // max(1, *counts.shape))
+        for low in range(0, n_texts, step):
+            high = min(low + step, n_texts)
+            a, b = np.searchsorted(text_of_row, [low, high])
+            cells = (text_of_row[a:b] - low) * len(counts) + terms[a:b]
+            held = np.bincount(cells, weights[a:b], minlength=(high - low) * len(counts)).reshape(high - low, -1)
+            yield low, (held @ counts).ravel()
+        return
     fan_out = starts[terms + 1] - starts[terms]
     step = max(1, SCORE_CELLS // max(1, n_queries))
     for low in range(0, n_texts, step):
@@ -216,18 +265,7 @@ def _score(frame, query_rows, postings, text_id, scope, carried):
             at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + starts[terms[repeated]]
             cells = (text_of_row[repeated] - low) * n_queries + posting_query[at]
             overlap += np.bincount(cells, weights[repeated] * posting_tf[at], minlength=len(overlap))
-        chosen = np.flatnonzero(overlap)
-        text, q = chosen // n_queries + low, chosen % n_queries
-        score = np.round(np.round(overlap[chosen] / lengths[text], 6) * per_text["_boost"].to_numpy()[text], 6)
-        for column in scope:
-            agree = per_text[column].to_numpy()[text] == query_rows[column].to_numpy()[q]
-            text, q, score = text[agree], q[agree], score[agree]
-        if not carried:
-            yield (), q, sortable(ids[first][text]), score
-            continue
-        groups = per_text[list(carried)].iloc[text]
-        for group, where in groups.groupby(list(carried), sort=False, dropna=False).indices.items():
-            yield (group if isinstance(group, tuple) else (group,)), q[where], sortable(ids[first][text[where]]), score[where]
+        yield low, overlap
 
 
 def ranked(found: DataFrame, keys: Sequence[str], id_column: str, k: int) -> DataFrame:

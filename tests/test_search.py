@@ -336,3 +336,17 @@ def test_mmr_by_distance_and_without_rows(spark):
     assert vs.mmr(queries, base.limit(0)).count() == vs.mmr(queries.limit(0), base).count() == 0
     with pytest.raises(ValueError):
         vs.mmr(queries, base, weight=1.5)
+
+
+@pytest.mark.parametrize("scope,within", [([], []), (["ws"], []), ([], ["ws"])])
+def test_index_postings_meet_by_text_whatever_the_number_of_queries(spark, tmp_path, scope, within):
+    """Few queries are scored in tasks: no row per posting and query; beyond the bound the join gives the same."""
+    path = str(tmp_path / "text-index")
+    rows = [*TEXTS, ("d000", "the other cat", "a"), (None, "the cat", "a"), ("d999", "the cat", None)]
+    text_index.build(spark.createDataFrame(rows, "memory_id string, text string, ws string"), path, carried=["ws"], buckets=4)
+    queries = spark.createDataFrame([(i, "the cat sat at dawn", "ab"[i % 2]) for i in range(6)], "query_id bigint, query_text string, ws string")
+    small = text_index.search(spark, path, queries, 5, scope, within)
+    large = text_index.search(spark, path, queries, 5, scope, within, broadcast_bytes=0)
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in (small, large)]
+    assert "MapInArrow" in plans[0] and "MapInArrow" not in plans[1]
