@@ -354,5 +354,13 @@ def test_hot_key_is_spread_over_files(spark, many_segments):
     assert parts.count() > 1
 
 
+def test_few_long_rows_of_a_hot_key_are_spread_by_their_bytes(spark):
+    rows = spark.range(200).select("id", F.lit("hot").alias("key"), F.repeat(F.lit("x"), 10_000).alias("text"), F.array(F.lit("ab")).alias("refs"))
+    out = snapshots.spread_by(rows, "key", bytes_per_file=100_000)
+    held = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 200 and len(held) > 8 and max(held) < 100
+    assert sorted(out.collect()) == sorted(rows.collect())
+
+
 def test_work_dir_is_under_the_shared_root(spark):
     assert work_dir(spark, "x") != work_dir(spark, "x")
