@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -292,21 +293,80 @@ def bucket_of(token: Column) -> Column:
 
 def dense_text_cells(texts: DataFrame, id_column: str, text: str) -> DataFrame:
     """``(id, bucket, value)``: weights summed per bucket, then scaled to unit length."""
+    return packed_text_cells(texts, id_column, text).select(id_column, F.inline("_cells"))
+
+
+def packed_text_cells(texts: DataFrame, id_column: str, text: str) -> DataFrame:
+    """``(id, _cells, embedding)``, a row per id: its buckets with their values, and all 256 values.
+
+    Tokens that lie one after the other are summed where they are made, so a row per text
+    is shuffled and none per token or bucket.
+    """
     weights = tfidf_weights(texts, [id_column], text)
-    summed = weights.groupBy(id_column, bucket_of(F.col("token")).alias("bucket")).agg(F.sum("w").alias("_sum"))
-    # at most 256 rows per text
-    length = F.sqrt(F.sum(F.col("_sum") * F.col("_sum")).over(Window.partitionBy(id_column)))
-    return summed.select(id_column, "bucket", (F.col("_sum") / length).alias("value"))
+    rows = weights.select(id_column, bucket_of(F.col("token")).alias("bucket"), "w")
+    cells = T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("value", T.DoubleType())]))
+    schema = T.StructType([rows.schema[id_column], T.StructField("_part", cells)])
+    out = arrow_schema(schema)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(ids))))
+            spot, at = np.unique(run * TEXT_VECTOR_DIM + batch.column(1).to_numpy(), return_inverse=True)
+            value = np.bincount(at, batch.column(2).to_numpy())
+            offsets = np.searchsorted(spot, np.arange(len(first) + 1) * TEXT_VECTOR_DIM).astype(np.int32)
+            entries = pa.StructArray.from_arrays([pa.array((spot % TEXT_VECTOR_DIM).astype(np.int32)), pa.array(value)], ["bucket", "value"])
+            parts = pa.ListArray.from_arrays(pa.array(offsets), entries)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first)), parts.cast(out.field(1).type)], schema=out)
+
+    # several parts: a text cut between two batches, or rows of one id
+    parts = rows.mapInArrow(sums, schema).repartition(id_column).sortWithinPartitions(id_column)
+    vector = T.StructField("embedding", T.ArrayType(T.FloatType()))
+    packed = T.StructType([rows.schema[id_column], T.StructField("_cells", cells), vector])
+    packed_arrow = arrow_schema(packed)
+
+    def finished(ids: pa.Array, dense: np.ndarray) -> pa.RecordBatch:
+        unit = dense / np.sqrt((dense * dense).sum(axis=1, keepdims=True))
+        run, bucket = np.nonzero(dense)
+        offsets = np.searchsorted(run, np.arange(len(dense) + 1)).astype(np.int32)
+        entries = pa.StructArray.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(unit[run, bucket])], ["bucket", "value"])
+        places = np.arange(len(dense) + 1, dtype=np.int32) * TEXT_VECTOR_DIM
+        columns = [pa.ListArray.from_arrays(pa.array(offsets), entries), pa.ListArray.from_arrays(pa.array(places), pa.array(unit.astype(np.float32).ravel()))]
+        return pa.RecordBatch.from_arrays([ids, *(c.cast(f.type) for c, f in zip(columns, list(packed_arrow)[1:]))], schema=packed_arrow)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            new = np.concatenate([[True], ids[1:] != ids[:-1]])
+            names, run = batch.column(0).take(pa.array(np.flatnonzero(new))), np.cumsum(new) - 1
+            held = batch.column(1)
+            of_cell = np.repeat(run, pa.compute.list_value_length(held).to_numpy(zero_copy_only=False))
+            entries = held.flatten()
+            spots = of_cell * TEXT_VECTOR_DIM + entries.field("bucket").to_numpy()
+            dense = np.bincount(spots, entries.field("value").to_numpy(), minlength=len(names) * TEXT_VECTOR_DIM).reshape(len(names), -1)
+            if waiting is not None:
+                if waiting[0][0].as_py() == names[0].as_py():
+                    dense[0] += waiting[1][0]
+                else:
+                    yield finished(*waiting)
+            if len(names) > 1:
+                yield finished(names[:-1], dense[:-1])
+            waiting = names[-1:], dense[-1:]
+        if waiting is not None:
+            yield finished(*waiting)
+
+    return parts.mapInArrow(merge, packed)
 
 
 def dense_text_vectors(texts: DataFrame, id_column: str, text: str) -> DataFrame:
     """``(id, embedding)`` of 256 dimensions; a text without tokens gets the zero vector."""
-    cells = dense_text_cells(texts, id_column, text)
-    packed = cells.groupBy(id_column).agg(
-        F.map_from_entries(F.collect_list(F.struct("bucket", "value"))).alias("_cells")
-    )
-    filled = F.transform(
-        F.sequence(F.lit(0), F.lit(TEXT_VECTOR_DIM - 1)),
-        lambda i: F.coalesce(F.try_element_at(F.col("_cells"), i), F.lit(0.0)).cast("float"),
-    )
+    packed = packed_text_cells(texts, id_column, text).select(id_column, "embedding")
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), TEXT_VECTOR_DIM)
+    filled = F.coalesce("embedding", zeros)
     return texts.select(id_column).join(packed, id_column, "left").select(id_column, filled.alias("embedding"))

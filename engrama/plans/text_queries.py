@@ -47,10 +47,9 @@ SELECT memory_id, bucket, round(s / sqrt(sum(s * s) OVER (PARTITION BY memory_id
 def tfidf_dense_256(t: Tables) -> DataFrame:
     """Fixed-length text vectors, shown as their non-zero cells."""
     vectors = ts.dense_text_vectors(t.fx_memory, "memory_id", "text")
-    cells = vectors.select("memory_id", F.posexplode("embedding").alias("bucket", "value"))
     exact = ts.dense_text_cells(t.fx_memory, "memory_id", "text").withColumnRenamed("value", "exact")
-    # the stored vector is float32: check it against the double cells it was made from
-    joined = cells.where(F.col("value") != 0).join(exact, ["memory_id", "bucket"])
+    # the stored vector is float32: check it against the double cells it was made from; both lie by id
+    joined = exact.join(vectors, "memory_id").withColumn("value", F.get("embedding", F.col("bucket"))).where(F.col("value") != 0)
     close = F.abs(F.col("value") - F.col("exact")) < 1e-6
     return joined.where(close).select("memory_id", "bucket", r6(F.col("exact")).alias("value"))
 
