@@ -350,3 +350,65 @@ def test_index_postings_meet_by_text_whatever_the_number_of_queries(spark, tmp_p
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
     plans = [d._jdf.queryExecution().executedPlan().toString() for d in (small, large)]
     assert "MapInArrow" in plans[0] and "MapInArrow" not in plans[1]
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2"])
+def test_queries_go_once_to_a_block_of_lists(spark, points, metric):
+    """Lists of blocks, long lists in pieces, lists nobody holds, repeated ids and asks: as if each list were searched alone."""
+    base, queries = points
+    b = frame(spark, range(300), base, "object_id", "embedding", list_id=[0 if i % 2 else 1 + i % 7 for i in range(300)])
+    lists = [[0, 1, 5], [2], [9], [0, 0, 3], [1, 2, 3, 4, 5, 6, 7]] * 2 + [[7], []]
+    rows = [(i if i < 11 else 0, [float(x) for x in v], asked) for i, (v, asked) in enumerate(zip(queries, lists))]
+    q = spark.createDataFrame(rows, "query_id bigint, query_vector array<float>, lists array<bigint>")
+    asks = q.select("query_id", F.explode("lists").alias("list_id"), "query_vector")
+    columns = ["query_id", "list_id", "object_id", "score", "rank"]
+    want = vs.top_k(asks, b, k=7, metric=metric, on=["list_id"]).select("query_id", "object_id", "score", "rank")
+    got = vs.top_k_in_lists(q, b, k=7, metric=metric, broadcast_bytes=0, block_bytes=(64 * 40, 64 * 5))
+    assert set(columns) == set(got.columns)
+    assert sorted(map(tuple, got.select("query_id", "object_id", "score", "rank").collect())) == sorted(map(tuple, want.collect()))
+    lists_of = {r.object_id: r.list_id for r in b.collect()}
+    assert all(r.list_id == lists_of[r.object_id] for r in got.collect())
+
+
+def test_probes_are_one_row_per_query(spark, points):
+    base, queries = points
+    q = frame(spark, range(12), queries, "query_id", "query_vector")
+    centroids = frame(spark, range(20), base[:20], "list_id", "centroid")
+    for metric in ("IP", "L2"):
+        best = vs.top_k(q, centroids, k=5, metric=metric, base_id="list_id", base_vector="centroid")
+        want = {i: sorted(found) for i, found in answers(best, item="list_id").items()}
+        assert {r.query_id: sorted(r.lists) for r in ivf.probes(q, centroids, 5, metric=metric).collect()} == want
+        twice = {r.query_id: sorted(set(r.lists)) for r in ivf.probes(q.union(q.where("query_id = 0")), centroids, 5, metric=metric).collect()}
+        assert {i: found for i, found in twice.items() if i} == {i: found for i, found in want.items() if i}
+
+
+def test_slices_of_base_rows_keep_ties(monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.integers(-1, 2, (500, 4)).astype(float)  # many equal scores
+    queries, ids = rng.normal(size=(9, 4)), rng.permutation(500)
+    want = vectors.block_top_k("IP", np.arange(9), queries, ids, base, 12)
+    monkeypatch.setattr(vectors, "SCORE_ROWS", 7)
+    for got, expected in zip(vectors.block_top_k("IP", np.arange(9), queries, ids, base, 12), want):
+        assert got.tolist() == expected.tolist()
+
+
+def test_text_vectors_merge_torn_texts_and_repeated_ids(spark):
+    """A row per text is shuffled, none per token; rows of one id are one vector, and so are texts longer than a batch."""
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [("a", "x y y"), ("b", long), ("a", "z x"), ("c", ""), (None, "x"), (None, "y")]
+    texts = spark.createDataFrame(rows, "memory_id string, text string")
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30")
+    try:
+        cells = {(r.memory_id, r.bucket): r.value for r in ts.dense_text_cells(texts, "memory_id", "text").collect()}
+        vectors_of = [(r.memory_id, r.embedding) for r in ts.dense_text_vectors(texts, "memory_id", "text").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    weights = ts.tfidf_weights(texts, ["memory_id"], "text").groupBy("memory_id", ts.bucket_of(F.col("token")).alias("bucket")).agg(F.sum("w").alias("s"))
+    sums = {(r.memory_id, r.bucket): r.s for r in weights.collect()}
+    for (name, bucket), s in sums.items():
+        length = sum(v * v for (n, _), v in sums.items() if n == name) ** 0.5
+        assert abs(cells.pop((name, bucket)) - s / length) < 1e-12
+    assert not cells and len(vectors_of) == 6
+    assert all(not any(v) for name, v in vectors_of if name in ("c", None))
+    assert all(abs(sum(x * x for x in v) - 1) < 1e-5 for name, v in vectors_of if name in ("a", "b"))
