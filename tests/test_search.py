@@ -68,6 +68,19 @@ def test_on_and_within(spark, points, limit):
         assert source[r.object_id] == r.source
 
 
+@pytest.mark.parametrize("limit", [1 << 28, 0], ids=["broadcast", "blocks"])
+def test_a_table_searched_for_its_own_rows_within_their_groups(spark, points, limit):
+    base, _ = points
+    part = ["hot" if i % 3 else "cold" for i in range(300)]
+    b = frame(spark, range(300), base, "object_id", "embedding", part=part)
+    q = b.select(F.col("object_id").alias("query_id"), "part", F.col("embedding").alias("query_vector"))
+    got = answers(vs.top_k(q, b, k=4, on=["part"], broadcast_bytes=limit, block_bytes=(50 * 64, 70 * 64)))
+    for kind in ("hot", "cold"):
+        ids = np.array([i for i in range(300) if part[i] == kind])
+        want = brute("COSINE", base[ids].astype(float), base[ids].astype(float), ids, 4)
+        assert [got[i] for i in ids] == [want[n] for n in range(len(ids))]
+
+
 @pytest.mark.parametrize("within", [[], ["source"]])
 def test_shipped_rows_are_bounded_however_little_a_task_may_hold(spark, points, within, monkeypatch):
     base, queries = points
