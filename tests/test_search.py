@@ -100,6 +100,51 @@ def test_a_task_keeps_its_bars():
     assert list(best.kept[()][1]) == [49, 48]
 
 
+def several(kind, rng, n, dim=16):
+    rows = rng.normal(size=(n, dim))
+    if kind == "copies":
+        rows[n // 3 :: 2] = rows[0]
+    elif kind == "near":
+        rows = rows[:1] + 1e-4 * rows
+    elif kind == "lengths":
+        rows *= np.exp(3 * rng.normal(size=(n, 1)))
+    elif kind == "zeros":
+        rows[::3] = 0
+    return rows.astype(np.float32).astype(float)
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "IP", "L2"])
+@pytest.mark.parametrize("kind", ["plain", "copies", "near", "lengths", "zeros"])
+def test_screening_loses_no_row(metric, kind):
+    rng = np.random.default_rng(8)
+    base, ids = several(kind, rng, 5000), rng.permutation(5000)
+    queries = np.concatenate([base[:30], several(kind, rng, 10), 1e3 * base[:5]])
+    got = vectors.block_top_k(metric, np.arange(45), queries, ids, base, 7)
+    score = vectors.scores(metric, queries, base)
+    for q in range(45):
+        best = np.lexsort((ids, -score[q]))[:7]
+        assert got[1][got[0] == q].tolist() == ids[best].tolist()
+        assert np.allclose(got[2][got[0] == q], score[q][best], rtol=1e-9, atol=2e-6)
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "IP", "L2"])
+def test_few_pairs_are_scored_in_full(metric, monkeypatch):
+    rng = np.random.default_rng(9)
+    base, cells, scores = several("plain", rng, 20_000), [], vectors.scores
+    monkeypatch.setattr(vectors, "scores", lambda m, q, b: cells.append(len(q) * len(b)) or scores(m, q, b))
+    vectors.block_top_k(metric, np.arange(40), base[:40], np.arange(20_000), base, 10)
+    assert sum(cells) < 40 * 20_000 / 10
+
+
+def test_what_is_not_finite_is_not_screened():
+    rng = np.random.default_rng(10)
+    base = several("plain", rng, 3000)
+    base[2000, 1] = np.nan
+    got = vectors.block_top_k("IP", np.arange(3), base[:3], np.arange(3000), base, 5)
+    score = np.where(np.isnan(s := vectors.scores("IP", base[:3], base)), -np.inf, s)
+    assert got[1].reshape(3, 5).tolist() == [np.lexsort((np.arange(3000), -r))[:5].tolist() for r in score]
+
+
 def test_groups_keep_large_and_missing_integers(spark, points):
     base, queries = points
     big = [2**53, 2**53 + 1, None]
