@@ -145,6 +145,33 @@ def test_what_is_not_finite_is_not_screened():
     assert got[1].reshape(3, 5).tolist() == [np.lexsort((np.arange(3000), -r))[:5].tolist() for r in score]
 
 
+def test_a_search_of_a_list_starts_from_the_bars_of_others(monkeypatch):
+    rng = np.random.default_rng(11)
+    books, queries = rng.normal(size=(4, 16, 2)), rng.normal(size=(50, 8))
+    tables, codes = vectors.PartTables(books), rng.integers(0, 16, (6000, 4)).astype(float)
+    score = tables.scores("L2", queries, codes)
+    cells, full = [], vectors.PartTables.scores
+    monkeypatch.setattr(vectors.PartTables, "scores", lambda self, m, q, b: cells.append(len(q) * len(b)) or full(self, m, q, b))
+    best, asking = vectors.Best(10, 50, wait=500), np.arange(50)
+    for rows in np.array_split(np.arange(6000), 30):
+        best.keep((), *vectors.block_top_k("L2", asking, queries, rows, codes[rows], 10, tables, best.bars_of((), asking)))
+    best.sort(())
+    assert sum(cells) < 50 * 6000 / 2
+    assert best.kept[()][1].reshape(50, 10).tolist() == [np.lexsort((np.arange(6000), -r))[:10].tolist() for r in score]
+
+
+@pytest.mark.parametrize("ids", [np.arange(-50, 50), np.arange(100) + 2**62, np.array([f"n{i}" for i in range(100)])])
+def test_entries_sort_alike_as_numbers_and_by_columns(ids):
+    rng = np.random.default_rng(12)
+    query, which = rng.integers(0, 9, 700), rng.integers(0, 100, 700)
+    for score in (np.round(rng.normal(size=700), 1), rng.normal(size=700), np.where(which == 3, np.inf, -1.5)):
+        order = np.lexsort((ids[which], -score, query))
+        want = [i for q in range(9) for i in [j for j in order if query[j] == q][:4]]
+        got = vectors.keep_best(query, ids[which], score, 4)
+        assert [x.tolist() for x in got] == [query[want].tolist(), ids[which][want].tolist(), score[want].tolist()]
+    assert all(len(x) == 0 for x in vectors.keep_best(query[:0], ids[:0], np.empty(0), 4))
+
+
 def test_groups_keep_large_and_missing_integers(spark, points):
     base, queries = points
     big = [2**53, 2**53 + 1, None]
